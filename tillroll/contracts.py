@@ -22,13 +22,14 @@ ADDITIONAL_COLUMN = "additional_column"
 MONEY = T.DecimalType(12, 2)
 MONEY_TOTAL = T.DecimalType(18, 2)
 
-# Types of the contract columns when a sales file is parsed.
+# Types of the contract columns when a sales file is parsed. Keys are read as
+# 64-bit so that key spaces beyond 2^31 parse instead of turning into rejects.
 CONTRACT_TYPES: dict[str, T.DataType] = {
-    "customer_id": T.IntegerType(),
-    "store_id": T.IntegerType(),
+    "customer_id": T.LongType(),
+    "store_id": T.LongType(),
     "product_name": T.StringType(),
     "sales_date": T.DateType(),
-    "sales_person_id": T.IntegerType(),
+    "sales_person_id": T.LongType(),
     "price": MONEY,
     "quantity": T.IntegerType(),
     "total_cost": MONEY,

@@ -13,8 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.operators import enrich, marts
-from tillroll.plans import star
+from tillroll.operators import enrich, ledger, marts
+from tillroll.operators.conform import fold_extras
+from tillroll.plans import landing, pipeline, star, synth
+from tillroll.session import fresh_dir
+from tillroll.sinks import parquet
+from tillroll.sinks.quarantine import quarantine
+from tillroll.sources.files import file_manifest
 
 
 def normalise(df: DataFrame) -> DataFrame:
@@ -141,6 +146,320 @@ FROM enriched
 GROUP BY ALL"""
 
 
+# ------------------------------------------------- sinks (write, read back)
+
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark: SparkSession, sf: str, kind: str, make) -> str:
+    """Write a derived dataset once per (application, sf, kind); reuse it while
+    it exists. Each dataset lives in a fresh folder of the shared root."""
+    key = (spark.sparkContext.applicationId, sf, kind)
+    path = _WRITTEN.get(key)
+    if path is None or not _exists(spark, path):
+        path = make()
+        _WRITTEN[key] = path
+    return path
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
+        return True
+    except Exception:  # noqa: BLE001
+        return False
+
+
+def _partitioned_mart(spark, sf) -> str:
+    def make():
+        path = fresh_dir(spark, "sales_team_partitioned")
+        parquet.write_partitioned(marts.sales_team_mart(_enriched(spark, sf)), path)
+        return path
+    return _once(spark, sf, "partitioned", make)
+
+
+def q_partitioned_mart_roundtrip(spark, sf):
+    back = spark.read.parquet(_partitioned_mart(spark, sf))
+    return back.groupBy(
+        F.col("sales_month").cast("string").alias("sales_month"),
+        F.col("store_id").cast("bigint").alias("store_id"),
+    ).agg(F.count(F.lit(1)).alias("n_rows"),
+          F.sum("total_cost").cast("double").alias("total_sales"))
+
+
+PRUNE_MONTH = "1996-02"
+
+
+def q_partition_pruned_read(spark, sf):
+    back = spark.read.parquet(_partitioned_mart(spark, sf))
+    return back.filter(F.col("sales_month") == PRUNE_MONTH).groupBy(
+        F.col("sales_month").cast("string").alias("sales_month"),
+        F.col("store_id").cast("bigint").alias("store_id"),
+    ).agg(F.count(F.lit(1)).alias("n_rows"),
+          F.sum("total_cost").cast("double").alias("total_sales"))
+
+
+def q_snapshot_latest(spark, sf):
+    def make():
+        root = fresh_dir(spark, "snapshots")
+        cust = marts.customer_mart(_enriched(spark, sf, carry=("l_linestatus",)))
+        # First run saw only part of the files; the second saw all of them.
+        parquet.write_snapshot(cust.filter(F.col("l_linestatus") == "F").drop("l_linestatus"),
+                               root, "000000000000001")
+        parquet.write_snapshot(marts.customer_mart(_enriched(spark, sf)), root, "000000000000002")
+        return root
+    root = _once(spark, sf, "snapshots", make)
+    latest = parquet.latest_snapshot(spark, root)
+    return latest.groupBy("run_id", F.col("customer_id").cast("bigint").alias("customer_id")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("total_cost").cast("double").alias("total_sales"))
+
+
+# ------------------------------------------------------------ file front end
+
+def _landing(spark, sf) -> str:
+    return _once(spark, sf, "landing", lambda: landing.write_landing(spark, sf))
+
+
+def _ingested(spark, sf) -> pipeline.Ingested:
+    return pipeline.ingest(spark, _landing(spark, sf))
+
+
+def q_file_manifest(spark, sf):
+    m = file_manifest(spark, _landing(spark, sf))
+    return m.groupBy(
+        F.element_at(F.split("file_path", "/"), -3).alias("layout"), "is_csv",
+    ).agg(F.count(F.lit(1)).alias("n_files"))
+
+
+def q_header_contract(spark, sf):
+    routed = _ingested(spark, sf).routed.filter("is_csv")
+    return routed.groupBy(
+        F.array_join("header", ",").alias("header"),
+        F.array_join("missing", ",").alias("missing"),
+        F.array_join("extra", ",").alias("extra"),
+        "ok", "reason",
+    ).agg(F.count(F.lit(1)).alias("n_files"),
+          F.sum(F.col("n_lines") - 1).alias("n_rows"))
+
+
+def q_reconcile_layouts(spark, sf):
+    acc = _ingested(spark, sf).read.accepted
+    return normalise(acc.select(*[c for c in acc.columns if not c.startswith("_")]))
+
+
+def q_quarantine(spark, sf):
+    ing = _ingested(spark, sf)
+    files, lines = quarantine(spark, ing.routed)
+    acc = ing.read.accepted.agg(
+        F.countDistinct("_src_file").alias("n_files"), F.count(F.lit(1)).alias("n_rows"))
+    acc = acc.select(F.lit("accepted").alias("route"), F.lit(None).cast("string").alias("reason"),
+                     "n_files", "n_rows")
+    line_counts = lines.groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))
+    q = files.join(line_counts, "file_path", "left").groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n_files"),
+        F.sum(F.col("n") - 1).alias("n_rows"))
+    q = q.select(F.lit("quarantined").alias("route"), "reason", "n_files", "n_rows")
+    return acc.unionByName(q)
+
+
+BAD_DATE_RULE = "o_orderpriority = '1-URGENT' AND l_linestatus = 'O'"
+
+
+def q_reject_rows(spark, sf):
+    root = _once(spark, sf, "bad_dates",
+                 lambda: landing.write_bad_dates(spark, sf, BAD_DATE_RULE))
+    read = pipeline.ingest(spark, root).read
+    acc = read.accepted.agg(F.count(F.lit(1)).alias("n_rows"),
+                            F.sum("total_cost").cast("double").alias("total_cost"))
+    rej = read.rejects.agg(F.count(F.lit(1)).alias("n_rows"),
+                           F.lit(None).cast("double").alias("total_cost"))
+    return (acc.select(F.lit("accepted").alias("outcome"), "*")
+            .unionByName(rej.select(F.lit("rejected").alias("outcome"), "*")))
+
+
+def q_fold_extras(spark, sf):
+    ev = star.table(spark, sf, "events").select(
+        "event_id",
+        F.when(F.col("event_type") != "view", F.col("event_type")).alias("event_type"),
+        F.when(F.col("value") > 10, F.col("props")).alias("props"),
+    )
+    return fold_extras(ev, ["event_type", "props"]).select("event_id", "additional_column")
+
+
+# ------------------------------------------------------- ledger, unmatched
+
+def q_ledger_open_files(spark, sf):
+    o = star.table(spark, sf, "orders")
+    events = o.select(
+        F.lit("r0").alias("run_id"),
+        F.col("o_custkey").cast("string").alias("file_name"),
+        F.col("o_custkey").cast("string").alias("file_location"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("I")).otherwise(F.lit("A")).alias("status"),
+        F.col("o_orderdate").cast("timestamp").alias("event_ts"),
+        F.col("o_orderkey").alias("seq"),
+    )
+    return ledger.ledger_open_files(events)
+
+
+def q_unmatched_facts(spark, sf):
+    fact = star.sales_fact(spark, sf)
+    customer, store, team = star.dims(spark, sf)
+    customer = customer.filter(F.col("last_name") != "BUILDING")
+    team = team.filter(F.col("last_name") != "AFRICA")
+    miss = enrich.unmatched_facts(fact, customer, store, team)
+    return normalise(miss.select("dimension", "customer_id", "store_id", "sales_person_id",
+                                 "sales_date", "total_cost"))
+
+
+# ------------------------------------------------------------ synth, job
+
+def q_synth_sales(spark, sf):
+    n = star.table(spark, sf, "lineitem").count()
+    df = synth.synth_sales(spark, n)
+    bad_total = F.col("total_cost") != (F.col("price") * F.col("quantity")).cast("decimal(12,2)")
+    bad_person = F.floor((F.col("sales_person_id") - 1) / 3) != (F.col("store_id") - 121)
+    bad_qty = (F.col("quantity") < 1) | (F.col("quantity") > 10)
+    return df.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(F.when(bad_total, 1)).alias("n_bad_total"),
+        F.count(F.when(bad_person, 1)).alias("n_bad_person"),
+        F.count(F.when(bad_qty, 1)).alias("n_bad_quantity"),
+    )
+
+
+def q_pipeline_monthly_total(spark, sf):
+    def make():
+        out = fresh_dir(spark, "job")
+        customer, store, team = star.dims(spark, sf)
+        cfg = pipeline.JobConfig(
+            landing=[_landing(spark, sf)], out_root=out, run_id=pipeline.new_run_id(),
+            customer=customer, store=store, sales_team=team, ledger_path=f"{out}/ledger",
+            # Month folders only: the (month, store) layout is exercised by
+            # partitioned_mart_roundtrip; here it would add ~8k tiny files.
+            partition_keys=("sales_month",))
+        pipeline.run(spark, cfg)
+        return out
+    out = _once(spark, sf, "job", make)
+    return normalise(spark.read.parquet(f"{out}/customer_monthly_total"))
+
+
+_LAYOUT_SQL = "WITH " + _FACT_SQL + """,
+laid AS (
+  SELECT *, strftime(sales_date, '%Y-%m') AS m,
+         CASE WHEN l_returnflag = 'A' THEN 'standard'
+              WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN 'extra'
+              WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN 'reordered'
+              ELSE 'missing' END AS layout,
+         CASE o_orderstatus WHEN 'F' THEN 'cash' WHEN 'O' THEN 'UPI' END AS payment_mode,
+         o_orderpriority AS channel
+  FROM fact
+)"""
+
+_PART_SQL = "WITH " + _ENRICHED_SQL + """
+SELECT strftime(sales_date, '%Y-%m') AS sales_month, CAST(store_id AS BIGINT) AS store_id,
+       COUNT(*) AS n_rows, CAST(SUM(total_cost) AS DOUBLE) AS total_sales
+FROM enriched {where} GROUP BY ALL"""
+SQL["partitioned_mart_roundtrip"] = _PART_SQL.format(where="")
+SQL["partition_pruned_read"] = _PART_SQL.format(
+    where=f"WHERE strftime(sales_date, '%Y-%m') = '{PRUNE_MONTH}'")
+
+SQL["snapshot_latest"] = "WITH " + _ENRICHED_SQL + """
+SELECT '000000000000002' AS run_id, CAST(customer_id AS BIGINT) AS customer_id,
+       COUNT(*) AS n_rows, CAST(SUM(total_cost) AS DOUBLE) AS total_sales
+FROM enriched GROUP BY ALL"""
+
+SQL["file_manifest"] = _LAYOUT_SQL + """
+SELECT layout, TRUE AS is_csv, COUNT(DISTINCT m) AS n_files FROM laid GROUP BY layout
+UNION ALL
+SELECT 'exports' AS layout, FALSE AS is_csv, COUNT(DISTINCT m) AS n_files FROM laid
+WHERE layout = 'missing'"""
+
+SQL["header_contract"] = _LAYOUT_SQL + """
+SELECT h.header, h.missing, h.extra, h.ok, h.reason,
+       COUNT(DISTINCT laid.m) AS n_files, CAST(COUNT(*) AS BIGINT) AS n_rows
+FROM laid JOIN (VALUES
+  ('standard', 'customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost', '', '', TRUE, NULL),
+  ('extra', 'customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost,payment_mode,channel', '', 'payment_mode,channel', TRUE, NULL),
+  ('reordered', 'total_cost,quantity,price,sales_person_id,sales_date,product_name,store_id,customer_id', '', '', TRUE, NULL),
+  ('missing', 'customer_id,product_name,sales_date,sales_person_id,price,quantity,total_cost,payment_mode', 'store_id', 'payment_mode', FALSE, 'missing:store_id')
+) AS h(layout, header, missing, extra, ok, reason) ON h.layout = laid.layout
+GROUP BY ALL"""
+
+SQL["reconcile_layouts"] = _LAYOUT_SQL + """
+SELECT CAST(customer_id AS BIGINT) AS customer_id, CAST(store_id AS BIGINT) AS store_id,
+       product_name, CAST(sales_date AS VARCHAR) AS sales_date,
+       CAST(sales_person_id AS BIGINT) AS sales_person_id, CAST(price AS DOUBLE) AS price,
+       CAST(quantity AS BIGINT) AS quantity, CAST(total_cost AS DOUBLE) AS total_cost,
+       CASE WHEN layout = 'extra' THEN concat_ws(',', payment_mode, channel) END AS additional_column
+FROM laid WHERE layout <> 'missing'"""
+
+SQL["quarantine"] = _LAYOUT_SQL + """
+SELECT 'accepted' AS route, CAST(NULL AS VARCHAR) AS reason,
+       COUNT(DISTINCT layout || m) AS n_files, COUNT(*) AS n_rows
+FROM laid WHERE layout <> 'missing'
+UNION ALL
+SELECT 'quarantined', 'missing:store_id', COUNT(DISTINCT m), CAST(COUNT(*) AS BIGINT)
+FROM laid WHERE layout = 'missing'
+UNION ALL
+SELECT 'quarantined', 'not_csv', COUNT(DISTINCT m), CAST(NULL AS BIGINT)
+FROM laid WHERE layout = 'missing'"""
+
+SQL["reject_rows"] = "WITH " + _FACT_SQL + """
+SELECT 'accepted' AS outcome, COUNT(*) AS n_rows, CAST(SUM(total_cost) AS DOUBLE) AS total_cost
+FROM fact WHERE NOT (o_orderpriority = '1-URGENT' AND l_linestatus = 'O')
+UNION ALL
+SELECT 'rejected', COUNT(*), CAST(NULL AS DOUBLE)
+FROM fact WHERE o_orderpriority = '1-URGENT' AND l_linestatus = 'O'"""
+
+SQL["fold_extras"] = """
+SELECT event_id,
+       concat_ws(',', NULLIF(event_type, 'view'), CASE WHEN value > 10 THEN props END)
+         AS additional_column
+FROM events"""
+
+SQL["ledger_open_files"] = """
+SELECT CAST(o_custkey AS VARCHAR) AS file_location FROM (
+  SELECT o_custkey, o_orderstatus,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  FROM orders) t
+WHERE rn = 1 AND o_orderstatus <> 'F'"""
+
+SQL["unmatched_facts"] = "WITH " + _FACT_SQL + """
+SELECT 'customer' AS dimension, CAST(customer_id AS BIGINT) AS customer_id,
+       CAST(store_id AS BIGINT) AS store_id, CAST(sales_person_id AS BIGINT) AS sales_person_id,
+       CAST(sales_date AS VARCHAR) AS sales_date, CAST(total_cost AS DOUBLE) AS total_cost
+FROM fact f WHERE NOT EXISTS (
+  SELECT 1 FROM customer c WHERE c.c_custkey = f.customer_id AND c.c_mktsegment <> 'BUILDING')
+UNION ALL
+SELECT 'store', CAST(customer_id AS BIGINT), CAST(store_id AS BIGINT),
+       CAST(sales_person_id AS BIGINT), CAST(sales_date AS VARCHAR), CAST(total_cost AS DOUBLE)
+FROM fact f WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = f.store_id)
+UNION ALL
+SELECT 'sales_team', CAST(customer_id AS BIGINT), CAST(store_id AS BIGINT),
+       CAST(sales_person_id AS BIGINT), CAST(sales_date AS VARCHAR), CAST(total_cost AS DOUBLE)
+FROM fact f WHERE NOT EXISTS (
+  SELECT 1 FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+  WHERE n.n_nationkey = f.sales_person_id AND r.r_name <> 'AFRICA')"""
+
+SQL["synth_sales"] = """
+SELECT COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_bad_total, CAST(0 AS BIGINT) AS n_bad_person,
+       CAST(0 AS BIGINT) AS n_bad_quantity
+FROM lineitem"""
+
+# The whole job over the landing folder: rows of the 'missing' layout are
+# quarantined, so the monthly total covers the other three layouts.
+SQL["pipeline_monthly_total"] = "WITH " + _ENRICHED_SQL.replace(
+    "FROM fact f\n", "FROM (SELECT * FROM fact WHERE l_returnflag <> 'R') f\n"
+) + """
+SELECT DISTINCT CAST(customer_id AS BIGINT) AS customer_id,
+       first_name || ' ' || last_name AS full_name, address, phone_number,
+       strftime(sales_date, '%Y-%m') AS sales_date_month,
+       CAST(SUM(total_cost) OVER (PARTITION BY customer_id, strftime(sales_date, '%Y-%m')) AS DOUBLE)
+         AS total_sales
+FROM enriched"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enrich_sales": q_enrich_sales,
     "customer_mart": q_customer_mart,
@@ -148,4 +467,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "customer_monthly_total": q_customer_monthly_total,
     "customer_monthly_total_varying": q_customer_monthly_total_varying,
     "sales_team_monthly_total": q_sales_team_monthly_total,
+    "partitioned_mart_roundtrip": q_partitioned_mart_roundtrip,
+    "partition_pruned_read": q_partition_pruned_read,
+    "header_contract": q_header_contract,
+    "reconcile_layouts": q_reconcile_layouts,
+    "fold_extras": q_fold_extras,
+    "quarantine": q_quarantine,
+    "reject_rows": q_reject_rows,
+    "ledger_open_files": q_ledger_open_files,
+    "unmatched_facts": q_unmatched_facts,
+    "snapshot_latest": q_snapshot_latest,
+    "synth_sales": q_synth_sales,
+    "file_manifest": q_file_manifest,
+    "pipeline_monthly_total": q_pipeline_monthly_total,
 }

@@ -1,0 +1,146 @@
+"""The batch job: landing files -> checked, conformed fact -> marts -> sinks.
+
+    paths -> file_manifest -> file_headers -> route_files -+- bad  -> quarantine
+                                                           +- good, per layout
+    -> read_sales (explicit schema) -+- malformed -> rejects
+                                     +- conformed fact (persisted once)
+    -> enrich_sales -> customer mart | sales-team mart | monthly totals
+    -> parquet / partitioned / snapshot / JDBC -> ledger 'I'
+
+Only file-level metadata (distinct layouts with their paths) reaches the
+driver; all row work is Spark jobs.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+import logging
+from dataclasses import dataclass, field
+
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tillroll.contracts import STATUS_DONE, STATUS_OPEN
+from tillroll.operators import enrich, ledger, marts
+from tillroll.operators.contract import route_files
+from tillroll.sinks import parquet, quarantine as qmod
+from tillroll.sinks.jdbc import write_jdbc
+from tillroll.sources.files import file_headers, file_manifest
+from tillroll.sources.sales_csv import SalesRead, read_sales
+
+log = logging.getLogger("tillroll")
+
+CSV_GLOB = "*.[cC][sS][vV]"
+
+
+@dataclass
+class Ingested:
+    manifest: DataFrame
+    routed: DataFrame
+    read: SalesRead
+
+
+def ingest(spark: SparkSession, paths: str | list[str]) -> Ingested:
+    """List, check and read a landing folder (or folders)."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    manifest = file_manifest(spark, paths)
+    headers = file_headers(
+        spark, paths, path_glob=CSV_GLOB, recursive=True)
+    routed = route_files(manifest, headers).persist(StorageLevel.MEMORY_AND_DISK)
+    return Ingested(manifest, routed, read_sales(spark, routed))
+
+
+@dataclass
+class JobConfig:
+    landing: list[str]
+    out_root: str
+    run_id: str
+    customer: DataFrame
+    store: DataFrame
+    sales_team: DataFrame
+    ledger_path: str | None = None
+    partition_keys: tuple[str, ...] = ("sales_month", "store_id")
+    snapshots: bool = True
+    jdbc_url: str | None = None
+    jdbc_table: str = "customers_data_mart"
+    jdbc_properties: dict = field(default_factory=dict)
+    incentive: Column | None = None
+
+
+@dataclass
+class JobResult:
+    run_id: str
+    files_ok: int
+    files_set_aside: int
+    layouts: int
+    outputs: dict[str, str]
+
+
+def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
+    """Run one batch. Safe to re-run with the same run_id after a failure:
+    every output of a run lives under paths keyed by run_id (or is an
+    overwrite), and the ledger's 'I' events are written last."""
+    out = cfg.out_root.rstrip("/")
+    ing = ingest(spark, cfg.landing)
+    routed = ing.routed
+
+    if cfg.ledger_path:
+        try:
+            prior = ledger.read_ledger(spark, cfg.ledger_path)
+            stale = ledger.ledger_open_files(prior, ing.manifest).count()
+            if stale:
+                log.warning("%d files were left open by an earlier run", stale)
+        except Exception:  # noqa: BLE001 - first run: no ledger yet
+            log.info("no ledger at %s yet", cfg.ledger_path)
+        ledger.ledger_append(
+            ledger.ledger_events(routed.filter("ok").select("file_path"), cfg.run_id, STATUS_OPEN),
+            cfg.ledger_path)
+
+    qmod.quarantine(spark, routed, out=f"{out}/quarantine", run_id=cfg.run_id)
+
+    parsed = ing.read.parsed  # persisted by read_sales
+    try:
+        ing.read.rejects.withColumn("run_id", F.lit(cfg.run_id)) \
+            .write.mode("append").parquet(f"{out}/rejects")
+        fact = parsed.filter(F.col("_corrupt_record").isNull())
+        enriched = enrich.enrich_sales(fact, cfg.customer, cfg.store, cfg.sales_team)
+        cust = marts.customer_mart(enriched)
+        team = marts.sales_team_mart(enriched)
+        outputs = {}
+        outputs["customer_mart"] = f"{out}/customer_mart"
+        parquet.write_mart(cust, outputs["customer_mart"])
+        outputs["sales_team_mart"] = f"{out}/sales_team_mart"
+        parquet.write_mart(team, outputs["sales_team_mart"])
+        outputs["sales_team_partitioned"] = f"{out}/sales_team_partitioned"
+        parquet.write_partitioned(team, outputs["sales_team_partitioned"], cfg.partition_keys)
+        if cfg.snapshots:
+            parquet.write_snapshot(cust, f"{out}/snapshots/customer_mart", cfg.run_id)
+            parquet.write_snapshot(team, f"{out}/snapshots/sales_team_mart", cfg.run_id)
+            parquet.write_snapshot(team, f"{out}/snapshots/sales_team_partitioned",
+                                   cfg.run_id, partition_by=cfg.partition_keys)
+        monthly = marts.customer_monthly_total(cust)
+        outputs["customer_monthly_total"] = f"{out}/customer_monthly_total"
+        parquet.write_mart(monthly, outputs["customer_monthly_total"])
+        if cfg.jdbc_url:
+            write_jdbc(monthly, cfg.jdbc_url, cfg.jdbc_table, cfg.jdbc_properties)
+        outputs["sales_team_monthly_total"] = f"{out}/sales_team_monthly_total"
+        parquet.write_mart(marts.sales_team_monthly_total(team, cfg.incentive),
+                           outputs["sales_team_monthly_total"])
+    finally:
+        parsed.unpersist()
+
+    counts = routed.groupBy("ok").count().collect()
+    by = {r["ok"]: r["count"] for r in counts}
+    if cfg.ledger_path:
+        ledger.ledger_append(
+            ledger.ledger_events(routed.filter("ok").select("file_path"), cfg.run_id, STATUS_DONE),
+            cfg.ledger_path)
+    routed.unpersist()
+    return JobResult(cfg.run_id, by.get(True, 0), by.get(False, 0), ing.read.layouts, outputs)
+
+
+def new_run_id(now: _dt.datetime | None = None) -> str:
+    """Zero-padded epoch milliseconds: sorts in run order as a string."""
+    now = now or _dt.datetime.now(_dt.timezone.utc)
+    return f"{int(now.timestamp() * 1000):015d}"

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 SNAPSHOT_KEY = "run_id"
 
@@ -65,19 +64,23 @@ def write_snapshot(df: DataFrame, root: str, run_id: str,
     return path
 
 
-def latest_snapshot(spark: SparkSession, root: str, schema=None) -> DataFrame:
-    """Read only the newest snapshot under ``root``.
+def latest_snapshot(spark: SparkSession, root: str) -> DataFrame:
+    """Read only the newest snapshot under ``root``, with its run_id.
 
-    The newest run id is found from partition values (a scan that reads no
-    data columns), then applied as a literal so the final read is pruned to
-    that one folder (PartitionFilters in the plan).
+    The newest run id is the max over a listing of the files under ``root``
+    (``binaryFile`` with only the path selected, so no content is read); it
+    reaches the driver as one value. Only that run's folder is then read,
+    so snapshots of different layouts (plain, partitioned) can share a root
+    and older runs cost nothing. run_id is returned as text, digits intact.
     """
-    if schema is None:
-        schema = spark.read.parquet(root).schema
-    # Read the run id as text so '000...2' keeps its digits (type inference
-    # would turn it into a number).
-    fields = [f for f in schema.fields if f.name != SNAPSHOT_KEY]
-    schema = T.StructType(fields + [T.StructField(SNAPSHOT_KEY, T.StringType(), True)])
-    every = spark.read.schema(schema).option("basePath", root).parquet(root)
-    newest = every.select(F.max(SNAPSHOT_KEY).alias("m")).first()["m"]
-    return every.filter(F.col(SNAPSHOT_KEY) == F.lit(newest))
+    listing = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        .load(root).select("path")
+    )
+    pattern = f"/{SNAPSHOT_KEY}=([^/]+)/"
+    newest = listing.select(
+        F.max(F.regexp_extract("path", pattern, 1)).alias("m")).first()["m"]
+    if not newest:
+        raise FileNotFoundError(f"no {SNAPSHOT_KEY}=... snapshot under {root}")
+    return spark.read.parquet(snapshot_path(root, newest)).withColumn(
+        SNAPSHOT_KEY, F.lit(newest))

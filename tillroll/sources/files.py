@@ -18,7 +18,9 @@ def file_manifest(
     Uses the ``binaryFile`` source but selects only ``path``, ``length`` and
     ``modificationTime``, so file contents are never read. Listing is done by
     Spark/Hadoop (parallel for large folders, no page limit). Names starting
-    with '_' or '.' are hidden by Spark's listing, as for any Spark reader.
+    with '_' or '.' are hidden by Spark's listing, as for any Spark reader,
+    and zero-byte files yield no split, so they are absent too (they hold no
+    rows, so no data is lost).
 
     Columns: file_path, file_name, length, modification_time, is_csv.
     """

@@ -164,8 +164,9 @@ def _once(spark: SparkSession, sf: str, kind: str, make) -> str:
 
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
-        spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
-        return True
+        hit = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+               .load(path).select("path").limit(1).collect())
+        return bool(hit)
     except Exception:  # noqa: BLE001
         return False
 

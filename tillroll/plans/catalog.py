@@ -313,6 +313,24 @@ def q_unmatched_facts(spark, sf):
                                  "sales_date", "total_cost"))
 
 
+# ------------------------------------------------------ dimension exports
+
+def q_dimension_csv_roundtrip(spark, sf):
+    """Customer dimension exported as CSV by Spark, read back with the
+    explicit contract schema (no inference), as the job reads its dims."""
+    from tillroll.contracts import CUSTOMER_SCHEMA
+    from tillroll.sources.sales_csv import read_dim
+
+    def make():
+        path = fresh_dir(spark, "dim_customer")
+        star.customer_dim(spark, sf).write.option("header", "true").csv(path)
+        return path
+    path = _once(spark, sf, "dim_customer", make)
+    schema = T.StructType([T.StructField(f.name, T.LongType() if f.name == "customer_id"
+                                         else f.dataType, True) for f in CUSTOMER_SCHEMA.fields])
+    return normalise(read_dim(spark, path, schema, fmt="csv"))
+
+
 # ------------------------------------------------------------ synth, job
 
 def q_synth_sales(spark, sf):
@@ -443,6 +461,12 @@ FROM fact f WHERE NOT EXISTS (
   SELECT 1 FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
   WHERE n.n_nationkey = f.sales_person_id AND r.r_name <> 'AFRICA')"""
 
+SQL["dimension_csv_roundtrip"] = """
+SELECT c_custkey AS customer_id, c_name AS first_name, c_mktsegment AS last_name,
+       CAST(c_nationkey AS VARCHAR) AS address, CAST(NULL AS VARCHAR) AS pincode,
+       CAST(NULL AS VARCHAR) AS phone_number, CAST(NULL AS VARCHAR) AS customer_joining_date
+FROM customer"""
+
 SQL["synth_sales"] = """
 SELECT COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_bad_total, CAST(0 AS BIGINT) AS n_bad_person,
        CAST(0 AS BIGINT) AS n_bad_quantity
@@ -481,4 +505,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "synth_sales": q_synth_sales,
     "file_manifest": q_file_manifest,
     "pipeline_monthly_total": q_pipeline_monthly_total,
+    "dimension_csv_roundtrip": q_dimension_csv_roundtrip,
 }

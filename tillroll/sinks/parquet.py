@@ -54,13 +54,15 @@ def write_snapshot(df: DataFrame, root: str, run_id: str,
 
     Written straight to the target store; nested partition folders are kept
     as relative paths. Run ids must sort in run order (e.g. zero-padded
-    epoch milliseconds). Existing snapshots are never touched.
+    epoch milliseconds). Only this run's folder is (over)written, so redoing
+    a failed run with the same id is idempotent; other snapshots are never
+    touched.
     """
     path = snapshot_path(root, run_id)
     if partition_by:
-        write_partitioned(df, path, keys=partition_by, mode="error")
+        write_partitioned(df, path, keys=partition_by, mode="overwrite")
     else:
-        df.write.mode("error").parquet(path)
+        df.write.mode("overwrite").parquet(path)
     return path
 
 

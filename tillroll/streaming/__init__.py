@@ -1,0 +1 @@
+"""Optional micro-batch driver for the batch job (see landing_stream)."""

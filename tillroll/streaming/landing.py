@@ -1,0 +1,62 @@
+"""Run the batch job on each new set of landing files, as a file stream.
+
+The source job is batch: each run lists the landing folder, and a ledger
+remembers which files were taken in. Structured Streaming's file source
+does the same bookkeeping in its checkpoint (files already seen are never
+offered again), so this driver lets a cluster run the batch job
+continuously or on a schedule (``availableNow``) without re-listing done
+files. The stream selects only the file path from the ``binaryFile``
+source, so contents are read by the batch job alone. Each micro-batch
+sends at most ``max_files_per_trigger`` paths to the driver.
+
+Exactly-once: the run id is derived from the micro-batch id, and every
+output of a run is an overwrite or keyed by run id, so a micro-batch that
+is replayed after a failure redoes the same run.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tillroll.plans import pipeline
+
+
+def landing_stream(
+    spark: SparkSession,
+    landing: str,
+    checkpoint: str,
+    make_config: Callable[[list[str], str], pipeline.JobConfig],
+    max_files_per_trigger: int = 10_000,
+    available_now: bool = True,
+    processing_time: str | None = None,
+) -> StreamingQuery:
+    """Start the stream; ``make_config(paths, run_id)`` builds each run's config.
+
+    ``checkpoint`` must be on the shared store (e.g. under
+    ``spark.checkpoint.dir``).
+    """
+    schema = ("path string, modificationTime timestamp, length bigint, content binary")
+    files = (
+        spark.readStream.format("binaryFile").schema(schema)
+        .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", str(max_files_per_trigger))
+        .load(landing)
+        .select(F.col("path"))
+    )
+
+    def run_batch(batch: DataFrame, batch_id: int) -> None:
+        paths = sorted(r["path"] for r in batch.select("path").distinct().collect())
+        if not paths:
+            return
+        pipeline.run(spark, make_config(paths, f"{batch_id:015d}"))
+
+    writer = files.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
+    if processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    elif available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()

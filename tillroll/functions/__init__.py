@@ -1,4 +1,6 @@
 from tillroll.functions.columns import (
+    cents,
+    from_cents,
     fold_columns,
     full_name,
     header_fields,
@@ -9,6 +11,7 @@ from tillroll.functions.columns import (
 )
 
 __all__ = [
+    "cents", "from_cents",
     "fold_columns", "full_name", "header_fields", "month_key", "money",
     "money_total", "null_string",
 ]

@@ -45,6 +45,22 @@ def money_total(c: Column | str) -> Column:
     return _col(c).cast(MONEY_TOTAL)
 
 
+def cents(c: Column | str) -> Column:
+    """Money as exact integer cents (bigint).
+
+    Sums of decimal(12,2) widen past 18 digits, where Spark falls back from
+    long-backed decimals to BigDecimal arithmetic; summing cents keeps the
+    aggregate on plain longs (codegen'd, exact, and under ANSI an overflow
+    raises instead of wrapping).
+    """
+    return (_col(c).cast(MONEY) * 100).cast("bigint")
+
+
+def from_cents(c: Column | str) -> Column:
+    """Integer cents back to decimal(18,2), exactly."""
+    return (_col(c).cast("decimal(20,0)") / 100).cast(MONEY_TOTAL)
+
+
 def header_fields(line: Column | str) -> Column:
     """Split a CSV header line into trimmed, unquoted column names."""
     parts = F.split(_col(line), _CSV_COMMA)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.contracts import MONEY_TOTAL
-from tillroll.functions.columns import full_name, money_total, month_key
+from tillroll.functions.columns import cents, from_cents, full_name, money_total, month_key
 
 CUSTOMER_MART_COLUMNS = (
     "customer_id", "first_name", "last_name", "address", "pincode",
@@ -44,7 +44,8 @@ def customer_monthly_total(mart: DataFrame) -> DataFrame:
     map-side, so hot customers are reduced before the shuffle), then a window
     sum over (customer_id, month) on the reduced rows only. No window ever
     sorts raw fact rows, and no final distinct is needed because the group
-    keys are already distinct.
+    keys are already distinct. Sums run on exact integer cents (see
+    ``functions.cents``).
     """
     keyed = mart.select(
         "customer_id",
@@ -52,15 +53,15 @@ def customer_monthly_total(mart: DataFrame) -> DataFrame:
         "address",
         "phone_number",
         month_key("sales_date").alias("sales_date_month"),
-        "total_cost",
+        cents("total_cost").alias("_cents"),
     )
     partial = keyed.groupBy(
         "customer_id", "full_name", "address", "phone_number", "sales_date_month"
-    ).agg(F.sum("total_cost").alias("_part"))
+    ).agg(F.sum("_cents").alias("_part"))
     w = Window.partitionBy("customer_id", "sales_date_month")
     return partial.select(
         "customer_id", "full_name", "address", "phone_number", "sales_date_month",
-        money_total(F.sum("_part").over(w)).alias("total_sales"),
+        from_cents(F.sum("_part").over(w)).alias("total_sales"),
     )
 
 
@@ -94,6 +95,6 @@ def sales_team_monthly_total(
         "sales_person_id",
         full_name("sales_person_first_name", "sales_person_last_name").alias("full_name"),
         "sales_month",
-    ).agg(money_total(F.sum("total_cost")).alias("total_sales"))
+    ).agg(from_cents(F.sum(cents("total_cost"))).alias("total_sales"))
     inc = incentive if incentive is not None else F.lit(None)
     return agg.withColumn("incentive", inc.cast(MONEY_TOTAL))

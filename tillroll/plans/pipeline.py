@@ -27,7 +27,7 @@ from tillroll.operators.contract import route_files
 from tillroll.sinks import parquet, quarantine as qmod
 from tillroll.sinks.jdbc import write_jdbc
 from tillroll.sources.files import file_headers, file_manifest
-from tillroll.sources.sales_csv import SalesRead, read_sales
+from tillroll.sources.sales_csv import SalesRead, read_sales, reject_rows
 
 log = logging.getLogger("tillroll")
 
@@ -41,14 +41,19 @@ class Ingested:
     read: SalesRead
 
 
-def ingest(spark: SparkSession, paths: str | list[str]) -> Ingested:
-    """List, check and read a landing folder (or folders)."""
+def ingest(spark: SparkSession, paths: str | list[str],
+           storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK) -> Ingested:
+    """List, check and read a landing folder (or folders).
+
+    ``storage`` is how the parsed rows are kept (see read_sales); pass None
+    when the caller writes them out instead (the job stages them as Parquet).
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
     manifest = file_manifest(spark, paths)
     headers = file_headers(
         spark, paths, path_glob=CSV_GLOB, recursive=True)
     routed = route_files(manifest, headers).persist(StorageLevel.MEMORY_AND_DISK)
-    return Ingested(manifest, routed, read_sales(spark, routed))
+    return Ingested(manifest, routed, read_sales(spark, routed, storage=storage))
 
 
 @dataclass
@@ -66,6 +71,10 @@ class JobConfig:
     jdbc_table: str = "customers_data_mart"
     jdbc_properties: dict = field(default_factory=dict)
     incentive: Column | None = None
+    # Write the conformed fact once as Parquet under out_root/staging and read
+    # the marts from it: a durable cut of the lineage (a lost executor costs a
+    # Parquet re-read, not a CSV re-parse). False keeps it persisted instead.
+    stage_fact: bool = True
 
 
 @dataclass
@@ -82,7 +91,8 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     every output of a run lives under paths keyed by run_id (or is an
     overwrite), and the ledger's 'I' events are written last."""
     out = cfg.out_root.rstrip("/")
-    ing = ingest(spark, cfg.landing)
+    ing = ingest(spark, cfg.landing,
+                 storage=None if cfg.stage_fact else StorageLevel.MEMORY_AND_DISK)
     routed = ing.routed
 
     if cfg.ledger_path:
@@ -99,10 +109,13 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
 
     qmod.quarantine(spark, routed, out=f"{out}/quarantine", run_id=cfg.run_id)
 
-    parsed = ing.read.parsed  # persisted by read_sales
+    parsed = ing.read.parsed
+    if cfg.stage_fact:
+        staged = f"{out}/staging/run_id={cfg.run_id}"
+        parsed.write.mode("overwrite").parquet(staged)
+        parsed = spark.read.parquet(staged)
     try:
-        ing.read.rejects.withColumn("run_id", F.lit(cfg.run_id)) \
-            .write.mode("append").parquet(f"{out}/rejects")
+        reject_rows(parsed).write.mode("overwrite").parquet(f"{out}/rejects/run_id={cfg.run_id}")
         fact = parsed.filter(F.col("_corrupt_record").isNull())
         enriched = enrich.enrich_sales(fact, cfg.customer, cfg.store, cfg.sales_team)
         cust = marts.customer_mart(enriched)
@@ -128,7 +141,7 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
         parquet.write_mart(marts.sales_team_monthly_total(team, cfg.incentive),
                            outputs["sales_team_monthly_total"])
     finally:
-        parsed.unpersist()
+        ing.read.parsed.unpersist()
 
     counts = routed.groupBy("ok").count().collect()
     by = {r["ok"]: r["count"] for r in counts}

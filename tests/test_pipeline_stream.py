@@ -71,3 +71,19 @@ def test_stream_hands_new_files_to_the_job(spark, tmp):
         ("d1.csv", "000000000000000"), ("d2.csv", "000000000000001")]
     # the second micro-batch only saw the new file
     assert spark.read.parquet(f"{out}/customer_mart").count() == 1
+
+
+def test_batch_run_without_staging(spark, tmp):
+    land = os.path.join(tmp, "in")
+    _write(f"{land}/d1.csv", [HDR, "1,121,sugar,2023-03-03,1,50,2,100",
+                              "1,121,sugar,2023-03-04,1,50,1,bad"])
+    out = os.path.join(tmp, "out")
+    cfg = _cfg(spark, [land], "000000000000009", out)
+    cfg.stage_enriched = False
+    cfg.snapshots = False
+    pipeline.run(spark, cfg)
+    assert spark.read.parquet(f"{out}/customer_mart").count() == 1
+    rej = spark.read.parquet(f"{out}/rejects/run_id=000000000000009").collect()
+    assert [(r.raw_line, r.reason) for r in rej] == [
+        ("1,121,sugar,2023-03-04,1,50,1,bad", "malformed_row")]
+    assert not os.path.exists(f"{out}/staging")

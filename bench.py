@@ -47,6 +47,10 @@ def session(cpus: str) -> SparkSession:
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(max(8, 2 * int(cpus) if cpus.isdigit() else 16)))
          .config("spark.sql.adaptive.enabled", "true")
+         # Local mode: list files on the driver instead of launching a Spark
+         # job per listing (the default threshold, 32 paths, suits clusters
+         # with millions of files on object stores; keep it there).
+         .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "16g")))
     s = b.getOrCreate()

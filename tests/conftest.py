@@ -17,6 +17,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     # Tests set their own shared folder only where the session names none.

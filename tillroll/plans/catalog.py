@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tillroll.operators import enrich, ledger, marts
 from tillroll.operators.conform import fold_extras
 from tillroll.plans import landing, pipeline, star, synth
-from tillroll.session import fresh_dir
+from tillroll.session import app_id, fresh_dir
 from tillroll.sinks import parquet
 from tillroll.sinks.quarantine import quarantine
 from tillroll.sources.files import file_manifest
@@ -154,7 +154,7 @@ _WRITTEN: dict[tuple[str, str, str], str] = {}
 def _once(spark: SparkSession, sf: str, kind: str, make) -> str:
     """Write a derived dataset once per (application, sf, kind); reuse it while
     it exists. Each dataset lives in a fresh folder of the shared root."""
-    key = (spark.sparkContext.applicationId, sf, kind)
+    key = (app_id(spark), sf, kind)
     path = _WRITTEN.get(key)
     if path is None or not _exists(spark, path):
         path = make()

@@ -30,14 +30,25 @@ def shared_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - e.g. a Spark Connect session
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="tillroll-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:  # noqa: BLE001
+            pass
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (works without a SparkContext)."""
+    return spark.conf.get("spark.app.id", None) or spark.sparkContext.applicationId
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unused folder under the shared root for one write-then-read."""
     return f"{shared_root(spark)}/tillroll/{name}-{uuid.uuid4().hex[:12]}"

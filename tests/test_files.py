@@ -42,6 +42,21 @@ def landing(tmp):
     return root
 
 
+def test_crlf_and_bom_files(spark, tmp):
+    root = os.path.join(tmp, "win")
+    os.makedirs(root)
+    with open(os.path.join(root, "crlf.csv"), "wb") as fh:
+        fh.write((HDR + "\r\n" + ROW + "\r\n").encode())
+    with open(os.path.join(root, "bom.csv"), "wb") as fh:
+        fh.write(b"\xef\xbb\xbf" + (HDR + "\n" + ROW + "\n").encode())
+    ing = pipeline.ingest(spark, root)
+    routed = {r.file_name: r for r in ing.routed.collect()}
+    assert routed["crlf.csv"].ok, routed["crlf.csv"].reason
+    assert routed["bom.csv"].ok, routed["bom.csv"].reason
+    acc = ing.read.accepted.collect()
+    assert sorted((r.customer_id, r.total_cost) for r in acc) == [(1, D("100.00"))] * 2
+
+
 def _by_name(df):
     return {r.file_name: r for r in df.collect()}
 

@@ -46,13 +46,15 @@ def test_batch_run_end_to_end(spark, tmp):
     ev = ledger.read_ledger(spark, f"{out}/ledger")
     assert ledger.ledger_open_files(ev).count() == 0
     assert ev.filter(F.col("status") == "I").count() == 1
-    snap = parquet.latest_snapshot(spark, f"{out}/snapshots/sales_team_partitioned")
+    snap = parquet.latest_snapshot(spark, f"{out}/sales_team_partitioned")
     assert snap.count() == 3
+    assert {r.sales_month for r in snap.select("sales_month").distinct().collect()} == {
+        "2023-03", "2023-04"}
     assert spark.read.parquet(f"{out}/quarantine/files").first().reason == \
         "missing:product_name,quantity,sales_date,sales_person_id,store_id,total_cost"
     # rerun with the same run id is idempotent
     pipeline.run(spark, _cfg(spark, [land], "000000000000001", out))
-    assert parquet.latest_snapshot(spark, f"{out}/snapshots/customer_mart").count() == 3
+    assert parquet.latest_snapshot(spark, f"{out}/customer_mart").count() == 3
 
 
 def test_stream_hands_new_files_to_the_job(spark, tmp):
@@ -70,7 +72,8 @@ def test_stream_hands_new_files_to_the_job(spark, tmp):
     assert sorted((r.file_name, r.run_id) for r in done) == [
         ("d1.csv", "000000000000000"), ("d2.csv", "000000000000001")]
     # the second micro-batch only saw the new file
-    assert spark.read.parquet(f"{out}/customer_mart").count() == 1
+    assert parquet.latest_snapshot(spark, f"{out}/customer_mart").count() == 1
+    assert spark.read.parquet(f"{out}/customer_mart").count() == 2  # both runs kept
 
 
 def test_batch_run_without_staging(spark, tmp):

@@ -4,8 +4,9 @@
                                                            +- good, per layout
     -> read_sales (explicit schema) -+- malformed -> rejects
                                      +- conformed fact (persisted once)
-    -> enrich_sales -> customer mart | sales-team mart | monthly totals
-    -> parquet / partitioned / snapshot / JDBC -> ledger 'I'
+    -> enrich_sales (joined once, staged as Parquet)
+    -> customer mart | sales-team mart | partitioned mart   (versioned by run_id)
+    -> customer / sales-team monthly totals -> Parquet (+ JDBC) -> ledger 'I'
 
 Only file-level metadata (distinct layouts with their paths) reaches the
 driver; all row work is Spark jobs.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import logging
+import time
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -66,6 +68,8 @@ class JobConfig:
     sales_team: DataFrame
     ledger_path: str | None = None
     partition_keys: tuple[str, ...] = ("sales_month", "store_id")
+    # True: marts are versioned under <mart>/run_id=<id>/ (read the current
+    # one with sinks.parquet.latest_snapshot); False: plain overwrite.
     snapshots: bool = True
     jdbc_url: str | None = None
     jdbc_table: str = "customers_data_mart"
@@ -86,6 +90,21 @@ class JobResult:
     files_set_aside: int
     layouts: int
     outputs: dict[str, str]
+    timings: dict[str, float] = field(default_factory=dict)
+
+
+class _Clock:
+    """Wall time per job step, logged and returned with the result."""
+
+    def __init__(self) -> None:
+        self.t = time.time()
+        self.steps: dict[str, float] = {}
+
+    def lap(self, step: str) -> None:
+        now = time.time()
+        self.steps[step] = round(now - self.t, 3)
+        log.info("%s: %.2fs", step, now - self.t)
+        self.t = now
 
 
 def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
@@ -93,8 +112,10 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     every output of a run lives under paths keyed by run_id (or is an
     overwrite), and the ledger's 'I' events are written last."""
     out = cfg.out_root.rstrip("/")
+    clock = _Clock()
     ing = ingest(spark, cfg.landing)
     routed = ing.routed
+    clock.lap("list_headers_route")
 
     if cfg.ledger_path:
         try:
@@ -108,13 +129,16 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
             ledger.ledger_events(routed.filter("ok").select("file_path"), cfg.run_id, STATUS_OPEN),
             cfg.ledger_path)
 
+        clock.lap("ledger_open")
     qmod.quarantine(spark, routed, out=f"{out}/quarantine", run_id=cfg.run_id)
+    clock.lap("quarantine")
 
     parsed = ing.read.parsed  # persisted with every column parsed (read_sales)
     enriched = None
     try:
         # First action: parses each file once into the cache; rejects are small.
         reject_rows(parsed).write.mode("overwrite").parquet(f"{out}/rejects/run_id={cfg.run_id}")
+        clock.lap("parse_rejects")
         fact = parsed.filter(F.col("_corrupt_record").isNull())
         enriched = enrich.enrich_sales(fact, cfg.customer, cfg.store, cfg.sales_team)
         if cfg.stage_enriched:
@@ -122,22 +146,28 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
             enriched.write.mode("overwrite").parquet(staged)
             parsed.unpersist()
             enriched = spark.read.parquet(staged)
+            clock.lap("join_stage")
         else:
             enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
         cust = marts.customer_mart(enriched)
         team = marts.sales_team_mart(enriched)
-        outputs = {}
-        outputs["customer_mart"] = f"{out}/customer_mart"
-        parquet.write_mart(cust, outputs["customer_mart"])
-        outputs["sales_team_mart"] = f"{out}/sales_team_mart"
-        parquet.write_mart(team, outputs["sales_team_mart"])
-        outputs["sales_team_partitioned"] = f"{out}/sales_team_partitioned"
-        parquet.write_partitioned(team, outputs["sales_team_partitioned"], cfg.partition_keys)
+        outputs = {
+            "customer_mart": f"{out}/customer_mart",
+            "sales_team_mart": f"{out}/sales_team_mart",
+            "sales_team_partitioned": f"{out}/sales_team_partitioned",
+        }
         if cfg.snapshots:
-            parquet.write_snapshot(cust, f"{out}/snapshots/customer_mart", cfg.run_id)
-            parquet.write_snapshot(team, f"{out}/snapshots/sales_team_mart", cfg.run_id)
-            parquet.write_snapshot(team, f"{out}/snapshots/sales_team_partitioned",
-                                   cfg.run_id, partition_by=cfg.partition_keys)
+            # Each mart is written once, straight to its versioned folder
+            # <mart>/run_id=<id>/; the current mart is latest_snapshot(<mart>).
+            parquet.write_snapshot(cust, outputs["customer_mart"], cfg.run_id)
+            parquet.write_snapshot(team, outputs["sales_team_mart"], cfg.run_id)
+            parquet.write_snapshot(team, outputs["sales_team_partitioned"], cfg.run_id,
+                                   partition_by=cfg.partition_keys)
+        else:
+            parquet.write_mart(cust, outputs["customer_mart"])
+            parquet.write_mart(team, outputs["sales_team_mart"])
+            parquet.write_partitioned(team, outputs["sales_team_partitioned"], cfg.partition_keys)
+        clock.lap("marts")
         monthly = marts.customer_monthly_total(cust)
         outputs["customer_monthly_total"] = f"{out}/customer_monthly_total"
         parquet.write_mart(monthly, outputs["customer_monthly_total"])
@@ -147,6 +177,7 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
         outputs["sales_team_monthly_total"] = f"{out}/sales_team_monthly_total"
         parquet.write_mart(marts.sales_team_monthly_total(team, cfg.incentive),
                            outputs["sales_team_monthly_total"])
+        clock.lap("totals")
     finally:
         parsed.unpersist()
         if enriched is not None and not cfg.stage_enriched:
@@ -159,7 +190,9 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
             ledger.ledger_events(routed.filter("ok").select("file_path"), cfg.run_id, STATUS_DONE),
             cfg.ledger_path)
     routed.unpersist()
-    return JobResult(cfg.run_id, by.get(True, 0), by.get(False, 0), ing.read.layouts, outputs)
+    clock.lap("ledger_close")
+    return JobResult(cfg.run_id, by.get(True, 0), by.get(False, 0), ing.read.layouts, outputs,
+                     clock.steps)
 
 
 def new_run_id(now: _dt.datetime | None = None) -> str:

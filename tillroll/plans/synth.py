@@ -117,3 +117,60 @@ def synth_customers(spark: SparkSession, n: int, seed: int = 11) -> DataFrame:
 
 def write_synth_csv(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).option("header", "true").csv(path)
+
+
+# Row counts of the source job's four generated files (date range, one day,
+# extra column, missing column).
+REFERENCE_BATCH = {"sales_range": 50_000, "sales_day": 400_000,
+                   "sales_extra": 1_000, "sales_missing": 200}
+REFERENCE_DAY = _dt.date(2023, 8, 1)
+
+
+def write_reference_batch(spark: SparkSession, root: str,
+                          sizes: dict[str, int] | None = None, seed: int = 7) -> dict[str, str]:
+    """Write the four kinds of sales file the source job is fed, as Spark CSV
+    folders under ``root``; returns name -> folder."""
+    sizes = sizes or REFERENCE_BATCH
+    plan = {
+        "sales_range": dict(layout="standard"),
+        "sales_day": dict(layout="standard", start=REFERENCE_DAY, end=REFERENCE_DAY),
+        "sales_extra": dict(layout="extra"),
+        "sales_missing": dict(layout="missing", start=REFERENCE_DAY, end=REFERENCE_DAY),
+    }
+    out = {}
+    for i, (name, kw) in enumerate(plan.items()):
+        n = sizes.get(name, 0)
+        if n:
+            out[name] = f"{root.rstrip('/')}/{name}"
+            write_synth_csv(synth_sales(spark, n, seed=seed + i, **kw), out[name])
+    return out
+
+
+def synth_dims(spark: SparkSession, n_customers: int = 25, n_stores: int = 4,
+               n_team: int = 10, seed: int = 11) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(customer, store, sales_team) dimensions sized like the source job's
+    seed tables: customers 1..n, stores 121.., sales people 1..n_team with
+    person n_team as the one manager."""
+    customer = synth_customers(spark, n_customers, seed)
+    store = spark.range(n_stores).select(
+        (F.col("id") + FIRST_STORE).cast("int").alias("id"),
+        F.lit(CUSTOMER_ADDRESS).alias("address"),
+        F.lit(CUSTOMER_PINCODE).alias("store_pincode"),
+        F.element_at(F.array(*[F.lit(x) for x in FIRST_NAMES]),
+                     (_draw(seed, 21, len(FIRST_NAMES)) + 1).cast("int")).alias("store_manager_name"),
+        F.date_add(F.lit(JOIN_START), _draw(seed, 22, 365).cast("int")).alias("store_opening_date"),
+        F.lit(None).cast("string").alias("reviews"),
+    )
+    team = spark.range(n_team).select(
+        (F.col("id") + 1).cast("int").alias("id"),
+        F.element_at(F.array(*[F.lit(x) for x in FIRST_NAMES]),
+                     (_draw(seed, 31, len(FIRST_NAMES)) + 1).cast("int")).alias("first_name"),
+        F.element_at(F.array(*[F.lit(x) for x in LAST_NAMES]),
+                     (_draw(seed, 32, len(LAST_NAMES)) + 1).cast("int")).alias("last_name"),
+        F.lit(n_team).cast("int").alias("manager_id"),
+        F.when(F.col("id") + 1 == n_team, F.lit("Y")).otherwise(F.lit("N")).alias("is_manager"),
+        F.lit(CUSTOMER_ADDRESS).alias("address"),
+        F.lit(CUSTOMER_PINCODE).alias("pincode"),
+        F.date_add(F.lit(JOIN_START), _draw(seed, 33, 365).cast("int")).alias("joining_date"),
+    )
+    return customer, store, team

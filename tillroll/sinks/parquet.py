@@ -32,16 +32,26 @@ def write_partitioned(
     replaces only the partitions present in ``df``.
     """
     spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
+    # Small outputs spread over many folders are bound by file creation, not
+    # bytes: let AQE keep one task per core for them instead of merging the
+    # rebalance shuffle down to 1 MB partitions. Large outputs are unaffected
+    # (their partitions are sized by the advisory partition size).
+    conf = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
     if dynamic:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        conf["spark.sql.sources.partitionOverwriteMode"] = "dynamic"
+    prev = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         (df.hint("rebalance", *keys).write.mode(mode)
            .option("maxRecordsPerFile", max_records_per_file)
            .partitionBy(*keys).parquet(path))
     finally:
-        if dynamic:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev or "static")
+        for k, v in prev.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def snapshot_path(root: str, run_id: str) -> str:

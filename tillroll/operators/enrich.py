@@ -77,20 +77,28 @@ def unmatched_facts(
 ) -> DataFrame:
     """Fact rows that an inner join to a dimension would drop, tagged by dimension.
 
-    One ``left_anti`` per dimension; a null key never matches, so it is
-    reported as unmatched. A fact row missing several dimensions appears
-    once per missing dimension. Only the dimension key column is read.
+    One pass over the fact: it is left-joined to the *distinct* key set of
+    each dimension (so duplicate dimension keys cannot fan rows out), and
+    every row emits one output row per dimension it found no match in. A
+    null key never matches, so it is reported as unmatched. Only the key
+    column of each dimension is read; key sets are small relative to the
+    fact and are broadcast or sort-merge joined by Spark's size check.
     """
     checks = [
         ("customer", "customer_id", customer.select(F.col("customer_id").alias("_k"))),
         ("store", "store_id", store.select(F.col("id").alias("_k"))),
         ("sales_team", "sales_person_id", sales_team.select(F.col("id").alias("_k"))),
     ]
-    out = None
-    for name, key, keys in checks:
-        miss = (
-            fact.join(keys, fact[key] == keys["_k"], "left_anti")
-            .withColumn("dimension", F.lit(name))
-        )
-        out = miss if out is None else out.unionByName(miss)
-    return out
+    cols = fact.columns
+    f = fact
+    flags = []
+    for i, (name, key, keys) in enumerate(checks):
+        hit = f"_hit{i}"
+        ks = keys.filter(F.col("_k").isNotNull()).distinct() \
+            .select(F.col("_k").alias(f"_k{i}"), F.lit(True).alias(hit))
+        f = f.join(ks, f[key] == ks[f"_k{i}"], "left")
+        flags.append(F.when(F.col(hit).isNull(), F.lit(name)))
+    return (
+        f.select(*cols, F.explode(F.array(*flags)).alias("dimension"))
+        .filter(F.col("dimension").isNotNull())
+    )

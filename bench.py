@@ -5,7 +5,7 @@ and prints ONE JSON line:
   {"metric": "total_query_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
 Each query is executed in full into Spark's ``noop`` sink (no collect to the
-driver), best of $BENCH_REPEATS runs. Landing-folder fixtures that some
+driver), best of $BENCH_REPEATS runs (default 3). Landing-folder fixtures that some
 queries read are written once beforehand and reported separately under
 "setup" (they are test scaffolding, not query work).
 """
@@ -62,7 +62,7 @@ def session(cpus: str) -> SparkSession:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = session(cpus)
 

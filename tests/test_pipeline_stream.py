@@ -84,6 +84,7 @@ def test_batch_run_without_staging(spark, tmp):
     cfg = _cfg(spark, [land], "000000000000009", out)
     cfg.stage_enriched = False
     cfg.snapshots = False
+    cfg.preview_rows = 2
     pipeline.run(spark, cfg)
     assert spark.read.parquet(f"{out}/customer_mart").count() == 1
     rej = spark.read.parquet(f"{out}/rejects/run_id=000000000000009").collect()

@@ -81,6 +81,9 @@ class JobConfig:
     # and large dimensions are shuffled once per run, not once per output.
     # False keeps the enriched fact persisted instead.
     stage_enriched: bool = True
+    # Debug: log the schema and this many rows of the enriched fact and the
+    # marts (each preview is an extra Spark job, so 0 = off).
+    preview_rows: int = 0
 
 
 @dataclass
@@ -151,6 +154,10 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
             enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
         cust = marts.customer_mart(enriched)
         team = marts.sales_team_mart(enriched)
+        if cfg.preview_rows:
+            for label, df in (("enriched", enriched), ("customer_mart", cust),
+                              ("sales_team_mart", team)):
+                preview(df, label, cfg.preview_rows)
         outputs = {
             "customer_mart": f"{out}/customer_mart",
             "sales_team_mart": f"{out}/sales_team_mart",
@@ -195,6 +202,13 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
                      clock.steps)
 
 
+def preview(df: DataFrame, label: str, n: int = 20) -> None:
+    """Log a frame's schema and its first ``n`` rows (debug aid)."""
+    log.info("%s schema: %s", label, df.schema.simpleString())
+    for row in df.limit(n).collect():
+        log.info("%s row: %s", label, row)
+
+
 def new_run_id(now: _dt.datetime | None = None) -> str:
     """Zero-padded epoch milliseconds: sorts in run order as a string."""
     now = now or _dt.datetime.now(_dt.timezone.utc)

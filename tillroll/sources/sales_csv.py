@@ -81,13 +81,16 @@ def read_sales(spark: SparkSession, routed: DataFrame,
     do. The number of scans equals the number of distinct layouts, not the
     number of files.
     """
-    groups = (
-        routed.filter("ok")
-        .groupBy("header")
-        .agg(F.sort_array(F.collect_list("file_path")).alias("paths"))
-        .collect()
-    )
-    frames = [read_layout(spark, list(g["header"]), list(g["paths"])) for g in groups]
+    ok = routed.filter("ok").select(
+        F.array_join("header", "\u0001").alias("_layout"), "header", "file_path")
+    layouts = ok.select("_layout", "header").dropDuplicates(["_layout"]).collect()
+    frames = []
+    for lay in sorted(layouts, key=lambda r: r["_layout"]):
+        # Plain filter + collect: paths reach the driver (the reader is built
+        # from them) without being gathered into one task's group first.
+        paths = sorted(r["file_path"] for r in
+                       ok.filter(F.col("_layout") == lay["_layout"]).select("file_path").collect())
+        frames.append(read_layout(spark, list(lay["header"]), paths))
     if not frames:
         empty = spark.createDataFrame([], SALES_SCHEMA)
         empty = empty.withColumn(SOURCE_FILE, F.lit(None).cast("string"))

@@ -49,12 +49,13 @@ def test_crlf_and_bom_files(spark, tmp):
         fh.write((HDR + "\r\n" + ROW + "\r\n").encode())
     with open(os.path.join(root, "bom.csv"), "wb") as fh:
         fh.write(b"\xef\xbb\xbf" + (HDR + "\n" + ROW + "\n").encode())
-    ing = pipeline.ingest(spark, root)
-    routed = {r.file_name: r for r in ing.routed.collect()}
-    assert routed["crlf.csv"].ok, routed["crlf.csv"].reason
-    assert routed["bom.csv"].ok, routed["bom.csv"].reason
-    acc = ing.read.accepted.collect()
-    assert sorted((r.customer_id, r.total_cost) for r in acc) == [(1, D("100.00"))] * 2
+    for method in ("text", "first_bytes"):
+        ing = pipeline.ingest(spark, root, header_method=method)
+        routed = {r.file_name: r for r in ing.routed.collect()}
+        assert routed["crlf.csv"].ok, routed["crlf.csv"].reason
+        assert routed["bom.csv"].ok, routed["bom.csv"].reason
+        acc = ing.read.accepted.collect()
+        assert sorted((r.customer_id, r.total_cost) for r in acc) == [(1, D("100.00"))] * 2
 
 
 def _by_name(df):
@@ -128,3 +129,18 @@ def test_quarantine_writes_tables(spark, landing, tmp):
     lines = spark.read.parquet(out + "/lines")
     assert lines.filter(F.col("reason") == "missing:store_id").count() == 2
     assert spark.read.parquet(out + "/files").count() == 2
+
+
+def test_first_bytes_headers_match_text_scan(spark, landing):
+    from tillroll.sources.files import file_headers_first_bytes
+
+    text = {r.file_path: r.header_line for r in
+            file_headers(spark, landing, path_glob="*.csv", recursive=True).collect()}
+    fast = {r.file_path: r.header_line for r in
+            file_headers_first_bytes(file_manifest(spark, landing)).collect()}
+    assert fast == text
+    a = pipeline.ingest(spark, landing)
+    b = pipeline.ingest(spark, landing, header_method="first_bytes")
+    key = ["file_name", "ok", "reason"]
+    assert sorted(a.routed.select(key).collect()) == sorted(b.routed.select(key).collect())
+    assert a.read.accepted.exceptAll(b.read.accepted).count() == 0

@@ -28,7 +28,7 @@ from tillroll.operators import enrich, ledger, marts
 from tillroll.operators.contract import route_files
 from tillroll.sinks import parquet, quarantine as qmod
 from tillroll.sinks.jdbc import write_jdbc
-from tillroll.sources.files import file_headers, file_manifest
+from tillroll.sources.files import file_headers, file_headers_first_bytes, file_manifest
 from tillroll.sources.sales_csv import SalesRead, read_sales, reject_rows
 
 log = logging.getLogger("tillroll")
@@ -44,16 +44,25 @@ class Ingested:
 
 
 def ingest(spark: SparkSession, paths: str | list[str],
-           storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK) -> Ingested:
+           storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
+           header_method: str = "text") -> Ingested:
     """List, check and read a landing folder (or folders).
 
     ``storage`` is how the parsed rows are kept (see read_sales); pass None
-    when the caller writes them out instead (the job stages them as Parquet).
+    when the caller writes them out instead. ``header_method`` "text" reads
+    headers with one Spark text scan (portable; counts lines too);
+    "first_bytes" reads only the first bytes of each file in Spark tasks
+    through Arrow (O(files) instead of O(bytes); workers need direct
+    storage access).
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     manifest = file_manifest(spark, paths)
-    headers = file_headers(
-        spark, paths, path_glob=CSV_GLOB, recursive=True)
+    if header_method == "first_bytes":
+        headers = file_headers_first_bytes(manifest)
+    elif header_method == "text":
+        headers = file_headers(spark, paths, path_glob=CSV_GLOB, recursive=True)
+    else:
+        raise ValueError(f"unknown header_method {header_method!r}")
     routed = route_files(manifest, headers).persist(StorageLevel.MEMORY_AND_DISK)
     return Ingested(manifest, routed, read_sales(spark, routed, storage=storage))
 
@@ -84,6 +93,9 @@ class JobConfig:
     # Debug: log the schema and this many rows of the enriched fact and the
     # marts (each preview is an extra Spark job, so 0 = off).
     preview_rows: int = 0
+    # How headers are found: "text" (one Spark text scan) or "first_bytes"
+    # (Arrow reads of each file's first bytes in Spark tasks); see ingest().
+    header_method: str = "text"
 
 
 @dataclass
@@ -116,7 +128,7 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     overwrite), and the ledger's 'I' events are written last."""
     out = cfg.out_root.rstrip("/")
     clock = _Clock()
-    ing = ingest(spark, cfg.landing)
+    ing = ingest(spark, cfg.landing, header_method=cfg.header_method)
     routed = ing.routed
     clock.lap("list_headers_route")
 

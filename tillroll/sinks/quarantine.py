@@ -21,7 +21,7 @@ def quarantine(spark: SparkSession, routed: DataFrame, out: str | None = None,
     bad = routed.filter(~F.col("ok"))
     files = bad.select("file_path", "file_name", "reason", "length", "n_lines")
     bad_csv = [r["file_path"] for r in
-               bad.filter(F.col("is_csv") & (F.col("n_lines") > 0)).select("file_path").collect()]
+               bad.filter(F.col("is_csv") & (F.col("length") > 0)).select("file_path").collect()]
     if bad_csv:
         text = spark.read.text(bad_csv).select(
             F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("raw_line"))

@@ -71,3 +71,61 @@ def file_headers(spark: SparkSession, paths: str | list[str],
         F.min_by("value", F.struct("block_start", "pos")).alias("header_line"),
         F.count(F.lit(1)).alias("n_lines"),
     )
+
+
+HEAD_BYTES = 64 * 1024
+
+
+def _arrow_fs_path(uri: str):
+    """Spark/Hadoop file URI -> (pyarrow filesystem, path)."""
+    from pyarrow import fs as pafs
+
+    if uri.startswith("file:"):
+        local = uri[len("file:"):]
+        while local.startswith("//"):
+            local = local[1:]
+        from urllib.parse import unquote
+        return pafs.LocalFileSystem(), unquote(local)
+    if uri.startswith("s3a://") or uri.startswith("s3n://"):
+        uri = "s3://" + uri.split("://", 1)[1]
+    return pafs.FileSystem.from_uri(uri)
+
+
+def _first_lines(batches):
+    """mapInPandas body: read each file's first line from its first bytes."""
+    import pandas as pd
+
+    for pdf in batches:
+        heads = []
+        for uri in pdf["file_path"]:
+            fs, path = _arrow_fs_path(uri)
+            buf = b""
+            with fs.open_input_stream(path) as fh:
+                while b"\n" not in buf:
+                    chunk = fh.read(HEAD_BYTES)
+                    if not chunk:
+                        break
+                    buf += chunk
+            if not buf:
+                heads.append(None)
+                continue
+            line = buf.split(b"\n", 1)[0].rstrip(b"\r")
+            heads.append(line.decode("utf-8", errors="replace").lstrip("\ufeff"))
+        yield pd.DataFrame({"file_path": pdf["file_path"], "header_line": heads,
+                            "n_lines": pd.Series([None] * len(heads), dtype="Int64")})
+
+
+def file_headers_first_bytes(manifest: DataFrame, files_per_task: int = 1000) -> DataFrame:
+    """First line of every CSV file in a manifest, reading only its first bytes.
+
+    Same output as ``file_headers`` except ``n_lines`` is null (lines are not
+    counted). Work is O(files), not O(bytes): each Spark task opens its
+    share of the files through Arrow's filesystem layer and reads until the
+    first newline. The Python workers must be able to reach the storage
+    themselves (Arrow does not use Hadoop's credentials), which is why this
+    is opt-in.
+    """
+    csv = manifest.filter("is_csv AND length > 0").select("file_path")
+    n = max(1, int(csv.count() // files_per_task) + 1)
+    return csv.repartition(n, "file_path").mapInPandas(
+        _first_lines, "file_path string, header_line string, n_lines bigint")

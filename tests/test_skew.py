@@ -63,3 +63,34 @@ def test_hot_customer_join_is_split_and_complete(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_partition_folder_is_split_across_tasks(spark, tmp):
+    import os
+
+    from tillroll.sinks import parquet
+
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+            "spark.sql.adaptive.enabled": "true"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 60_000
+        df = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit(121)).otherwise(F.col("id") % 50 + 200)
+            .cast("int").alias("store_id"),
+            F.lit("2023-03").alias("sales_month"),
+            F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+        path = os.path.join(tmp, "p")
+        parquet.write_partitioned(df, path)
+        hot = os.path.join(path, "sales_month=2023-03", "store_id=121")
+        files = [f for f in os.listdir(hot) if f.endswith(".parquet")]
+        assert len(files) > 1  # the hot folder was written by several tasks
+        assert spark.read.parquet(path).count() == n
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -61,6 +61,17 @@ def from_cents(c: Column | str) -> Column:
     return (_col(c).cast("decimal(20,0)") / 100).cast(MONEY_TOTAL)
 
 
+def source_path() -> Column:
+    """Path of the file a row came from, in the same (unencoded) form as the
+    ``path`` column of the binaryFile source.
+
+    ``_metadata.file_path`` is URL-encoded (a space is %20, a % is %25);
+    ``url_decode`` would also turn '+' into a space, so '+' is protected
+    first (it is left literal by the encoding).
+    """
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def header_fields(line: Column | str) -> Column:
     """Split a CSV header line into trimmed, unquoted column names."""
     parts = F.split(_col(line), _CSV_COMMA)

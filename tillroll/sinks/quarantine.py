@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions.columns import source_path
+
 
 def quarantine(spark: SparkSession, routed: DataFrame, out: str | None = None,
                run_id: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -24,7 +26,7 @@ def quarantine(spark: SparkSession, routed: DataFrame, out: str | None = None,
                bad.filter(F.col("is_csv") & (F.col("length") > 0)).select("file_path").collect()]
     if bad_csv:
         text = spark.read.text(bad_csv).select(
-            F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("raw_line"))
+            source_path().alias("file_path"), F.col("value").alias("raw_line"))
         lines = text.join(files.select("file_path", "reason"), "file_path", "inner")
     else:
         lines = spark.createDataFrame([], "file_path string, raw_line string, reason string")

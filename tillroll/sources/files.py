@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions.columns import source_path
+
 
 def _as_list(paths: str | list[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
@@ -63,7 +65,7 @@ def file_headers(spark: SparkSession, paths: str | list[str],
         reader = reader.option("recursiveFileLookup", "true")
     lines = reader.text(_as_list(paths)).select(
         "value",
-        F.col("_metadata.file_path").alias("file_path"),
+        source_path().alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("pos"),
     )
@@ -81,11 +83,11 @@ def _arrow_fs_path(uri: str):
     from pyarrow import fs as pafs
 
     if uri.startswith("file:"):
+        # Manifest paths are raw (not URL-encoded): use them as they are.
         local = uri[len("file:"):]
         while local.startswith("//"):
             local = local[1:]
-        from urllib.parse import unquote
-        return pafs.LocalFileSystem(), unquote(local)
+        return pafs.LocalFileSystem(), local
     if uri.startswith("s3a://") or uri.startswith("s3n://"):
         uri = "s3://" + uri.split("://", 1)[1]
     return pafs.FileSystem.from_uri(uri)

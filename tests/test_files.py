@@ -149,8 +149,8 @@ def test_first_bytes_headers_match_text_scan(spark, landing):
 def test_special_characters_in_paths(spark, tmp):
     root = os.path.join(tmp, "odd names", "day+1")
     os.makedirs(root)
-    good = os.path.join(root, "a b%20c+d.csv")
-    bad = os.path.join(root, "bad file+1.csv")
+    good = os.path.join(root, "a b%20c+d[1].csv")
+    bad = os.path.join(root, "bad file+1{x}.csv")
     with open(good, "w") as fh:
         fh.write(HDR + "\n" + ROW + "\n")
     with open(bad, "w") as fh:
@@ -158,9 +158,9 @@ def test_special_characters_in_paths(spark, tmp):
     for method in ("text", "first_bytes"):
         ing = pipeline.ingest(spark, os.path.join(tmp, "odd names"), header_method=method)
         routed = {r.file_name: r for r in ing.routed.collect()}
-        assert routed["a b%20c+d.csv"].ok
-        assert routed["bad file+1.csv"].reason.startswith("missing:")
+        assert routed["a b%20c+d[1].csv"].ok
+        assert routed["bad file+1{x}.csv"].reason.startswith("missing:")
         src = {r._src_file for r in ing.read.accepted.collect()}
-        assert src == {routed["a b%20c+d.csv"].file_path}
+        assert src == {routed["a b%20c+d[1].csv"].file_path}
         files, lines = quarantine(spark, ing.routed)
         assert lines.count() == 3

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import source_path
+from tillroll.sources.files import literal_paths
 
 
 def quarantine(spark: SparkSession, routed: DataFrame, out: str | None = None,
@@ -25,7 +26,7 @@ def quarantine(spark: SparkSession, routed: DataFrame, out: str | None = None,
     bad_csv = [r["file_path"] for r in
                bad.filter(F.col("is_csv") & (F.col("length") > 0)).select("file_path").collect()]
     if bad_csv:
-        text = spark.read.text(bad_csv).select(
+        text = spark.read.text(literal_paths(bad_csv)).select(
             source_path().alias("file_path"), F.col("value").alias("raw_line"))
         lines = text.join(files.select("file_path", "reason"), "file_path", "inner")
     else:

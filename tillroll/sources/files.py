@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,18 @@ def _as_list(paths: str | list[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
+_GLOB_CHARS = re.compile(r"([\\\[\]{}*?])")
+
+
+def literal_paths(paths: list[str]) -> list[str]:
+    """Escape glob characters so Spark reads each listed file as named.
+
+    Spark expands glob patterns in reader paths; a listed file called
+    ``sales[1].csv`` would otherwise be read as a pattern.
+    """
+    return [_GLOB_CHARS.sub(r"\\\1", p) for p in paths]
+
+
 def file_manifest(
     spark: SparkSession, paths: str | list[str], extension: str = ".csv"
 ) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tillroll.contracts import CONTRACT_TYPES, REQUIRED_COLUMNS, SALES_SCHEMA
 from tillroll.functions.columns import source_path
+from tillroll.sources.files import literal_paths
 from tillroll.operators.conform import conform, reconcile_layouts
 
 CORRUPT = "_corrupt_record"
@@ -59,7 +60,7 @@ def read_layout(spark: SparkSession, header: list[str], paths: list[str]) -> Dat
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("dateFormat", "yyyy-MM-dd")
-        .csv(paths)
+        .csv(literal_paths(paths))
         .withColumn(SOURCE_FILE, source_path())
     )
     return conform(raw, header)

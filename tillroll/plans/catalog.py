@@ -226,11 +226,16 @@ def _ingested(spark, sf) -> pipeline.Ingested:
     return pipeline.ingest(spark, _landing(spark, sf))
 
 
+def _folder(path_col: str):
+    """Parent folder of a file path."""
+    return F.regexp_extract(F.col(path_col), r"^(.*)/[^/]*$", 1)
+
+
 def q_file_manifest(spark, sf):
     m = file_manifest(spark, _landing(spark, sf))
     return m.groupBy(
         F.element_at(F.split("file_path", "/"), -3).alias("layout"), "is_csv",
-    ).agg(F.count(F.lit(1)).alias("n_files"))
+    ).agg(F.countDistinct(_folder("file_path")).alias("n_folders"))
 
 
 def q_header_contract(spark, sf):
@@ -240,7 +245,7 @@ def q_header_contract(spark, sf):
         F.array_join("missing", ",").alias("missing"),
         F.array_join("extra", ",").alias("extra"),
         "ok", "reason",
-    ).agg(F.count(F.lit(1)).alias("n_files"),
+    ).agg(F.countDistinct(_folder("file_path")).alias("n_folders"),
           F.sum(F.col("n_lines") - 1).alias("n_rows"))
 
 
@@ -253,14 +258,15 @@ def q_quarantine(spark, sf):
     ing = _ingested(spark, sf)
     files, lines = quarantine(spark, ing.routed)
     acc = ing.read.accepted.agg(
-        F.countDistinct("_src_file").alias("n_files"), F.count(F.lit(1)).alias("n_rows"))
+        F.countDistinct(_folder("_src_file")).alias("n_folders"),
+        F.count(F.lit(1)).alias("n_rows"))
     acc = acc.select(F.lit("accepted").alias("route"), F.lit(None).cast("string").alias("reason"),
-                     "n_files", "n_rows")
+                     "n_folders", "n_rows")
     line_counts = lines.groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))
     q = files.join(line_counts, "file_path", "left").groupBy("reason").agg(
-        F.count(F.lit(1)).alias("n_files"),
+        F.countDistinct(_folder("file_path")).alias("n_folders"),
         F.sum(F.col("n") - 1).alias("n_rows"))
-    q = q.select(F.lit("quarantined").alias("route"), "reason", "n_files", "n_rows")
+    q = q.select(F.lit("quarantined").alias("route"), "reason", "n_folders", "n_rows")
     return acc.unionByName(q)
 
 
@@ -389,14 +395,14 @@ SELECT '000000000000002' AS run_id, CAST(customer_id AS BIGINT) AS customer_id,
 FROM enriched GROUP BY ALL"""
 
 SQL["file_manifest"] = _LAYOUT_SQL + """
-SELECT layout, TRUE AS is_csv, COUNT(DISTINCT m) AS n_files FROM laid GROUP BY layout
+SELECT layout, TRUE AS is_csv, COUNT(DISTINCT m) AS n_folders FROM laid GROUP BY layout
 UNION ALL
-SELECT 'exports' AS layout, FALSE AS is_csv, COUNT(DISTINCT m) AS n_files FROM laid
+SELECT 'exports' AS layout, FALSE AS is_csv, COUNT(DISTINCT m) AS n_folders FROM laid
 WHERE layout = 'missing'"""
 
 SQL["header_contract"] = _LAYOUT_SQL + """
 SELECT h.header, h.missing, h.extra, h.ok, h.reason,
-       COUNT(DISTINCT laid.m) AS n_files, CAST(COUNT(*) AS BIGINT) AS n_rows
+       COUNT(DISTINCT laid.m) AS n_folders, CAST(COUNT(*) AS BIGINT) AS n_rows
 FROM laid JOIN (VALUES
   ('standard', 'customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost', '', '', TRUE, NULL),
   ('extra', 'customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost,payment_mode,channel', '', 'payment_mode,channel', TRUE, NULL),
@@ -415,7 +421,7 @@ FROM laid WHERE layout <> 'missing'"""
 
 SQL["quarantine"] = _LAYOUT_SQL + """
 SELECT 'accepted' AS route, CAST(NULL AS VARCHAR) AS reason,
-       COUNT(DISTINCT layout || m) AS n_files, COUNT(*) AS n_rows
+       COUNT(DISTINCT layout || m) AS n_folders, COUNT(*) AS n_rows
 FROM laid WHERE layout <> 'missing'
 UNION ALL
 SELECT 'quarantined', 'missing:store_id', COUNT(DISTINCT m), CAST(COUNT(*) AS BIGINT)

@@ -29,6 +29,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _spread_small(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` only when its scan yields fewer splits
+    than there are cores (e.g. a file that is one parquet row group), so the
+    fused scan + broadcast joins run on every core instead of one task.
+
+    Large inputs are left alone: there the join's own shuffle (inserted by
+    the planner) partitions by the key, and AQE can still split a hot key,
+    which it cannot do for a user repartition.
+    """
+    try:
+        splits = df.rdd.getNumPartitions()
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - e.g. no SparkContext on Spark Connect
+        return df
+    return df.repartition(key) if splits < cores else df
+
+
 def sales_fact(
     spark: SparkSession, sf_dir: str, carry: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -43,11 +60,8 @@ def sales_fact(
     o_cols = {"o_orderkey", "o_custkey"}
     li_cols |= {c for c in carry if c.startswith("l_")}
     o_cols |= {c for c in carry if c.startswith("o_")}
-    # Cluster lines by order key up front. On large data this is exactly the
-    # shuffle the sort-merge join with orders needs (no extra exchange); on
-    # small inputs that sit in a few parquet row groups it spreads the fused
-    # scan + broadcast joins over all cores instead of one task.
-    li = table(spark, sf_dir, "lineitem").select(*sorted(li_cols)).repartition("l_orderkey")
+    li = _spread_small(spark, table(spark, sf_dir, "lineitem").select(*sorted(li_cols)),
+                       "l_orderkey")
     o = table(spark, sf_dir, "orders").select(*sorted(o_cols))
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")

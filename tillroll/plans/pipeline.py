@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as _dt
 import logging
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -96,6 +97,8 @@ class JobConfig:
     # How headers are found: "text" (one Spark text scan) or "first_bytes"
     # (Arrow reads of each file's first bytes in Spark tasks); see ingest().
     header_method: str = "text"
+    # Number of output writes submitted at once (1 = one after another).
+    parallel_writes: int = 4
 
 
 @dataclass
@@ -174,29 +177,40 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
             "customer_mart": f"{out}/customer_mart",
             "sales_team_mart": f"{out}/sales_team_mart",
             "sales_team_partitioned": f"{out}/sales_team_partitioned",
+            "customer_monthly_total": f"{out}/customer_monthly_total",
+            "sales_team_monthly_total": f"{out}/sales_team_monthly_total",
         }
+        monthly = marts.customer_monthly_total(cust)
+        team_total = marts.sales_team_monthly_total(team, cfg.incentive)
         if cfg.snapshots:
             # Each mart is written once, straight to its versioned folder
             # <mart>/run_id=<id>/; the current mart is latest_snapshot(<mart>).
-            parquet.write_snapshot(cust, outputs["customer_mart"], cfg.run_id)
-            parquet.write_snapshot(team, outputs["sales_team_mart"], cfg.run_id)
-            parquet.write_snapshot(team, outputs["sales_team_partitioned"], cfg.run_id,
-                                   partition_by=cfg.partition_keys)
+            writes = [
+                lambda: parquet.write_snapshot(cust, outputs["customer_mart"], cfg.run_id),
+                lambda: parquet.write_snapshot(team, outputs["sales_team_mart"], cfg.run_id),
+                lambda: parquet.write_snapshot(team, outputs["sales_team_partitioned"], cfg.run_id,
+                                               partition_by=cfg.partition_keys),
+            ]
         else:
-            parquet.write_mart(cust, outputs["customer_mart"])
-            parquet.write_mart(team, outputs["sales_team_mart"])
-            parquet.write_partitioned(team, outputs["sales_team_partitioned"], cfg.partition_keys)
-        clock.lap("marts")
-        monthly = marts.customer_monthly_total(cust)
-        outputs["customer_monthly_total"] = f"{out}/customer_monthly_total"
-        parquet.write_mart(monthly, outputs["customer_monthly_total"])
+            writes = [
+                lambda: parquet.write_mart(cust, outputs["customer_mart"]),
+                lambda: parquet.write_mart(team, outputs["sales_team_mart"]),
+                lambda: parquet.write_partitioned(team, outputs["sales_team_partitioned"],
+                                                  cfg.partition_keys),
+            ]
+        writes += [
+            lambda: parquet.write_mart(monthly, outputs["customer_monthly_total"]),
+            lambda: parquet.write_mart(team_total, outputs["sales_team_monthly_total"]),
+        ]
+        # The outputs are independent jobs over the staged table: submit them
+        # together so the scheduler can fill the cluster (Spark runs jobs from
+        # several driver threads concurrently). Any failure is re-raised.
+        _run_all(writes, cfg.parallel_writes)
+        clock.lap("marts_and_totals")
         if cfg.jdbc_url:
             written = spark.read.parquet(outputs["customer_monthly_total"])
             write_jdbc(written, cfg.jdbc_url, cfg.jdbc_table, cfg.jdbc_properties)
-        outputs["sales_team_monthly_total"] = f"{out}/sales_team_monthly_total"
-        parquet.write_mart(marts.sales_team_monthly_total(team, cfg.incentive),
-                           outputs["sales_team_monthly_total"])
-        clock.lap("totals")
+            clock.lap("jdbc")
     finally:
         parsed.unpersist()
         if enriched is not None and not cfg.stage_enriched:
@@ -214,6 +228,16 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
                      clock.steps)
 
 
+def _run_all(tasks: list, workers: int) -> None:
+    if workers <= 1:
+        for t in tasks:
+            t()
+        return
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        for f in [pool.submit(t) for t in tasks]:
+            f.result()
+
+
 def preview(df: DataFrame, label: str, n: int = 20) -> None:
     """Log a frame's schema and its first ``n`` rows (debug aid)."""
     log.info("%s schema: %s", label, df.schema.simpleString())

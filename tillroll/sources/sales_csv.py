@@ -86,13 +86,14 @@ def read_sales(spark: SparkSession, routed: DataFrame,
     ok = routed.filter("ok").select(
         F.array_join("header", "\u0001").alias("_layout"), "header", "file_path")
     layouts = ok.select("_layout", "header").dropDuplicates(["_layout"]).collect()
-    frames = []
-    for lay in sorted(layouts, key=lambda r: r["_layout"]):
-        # Plain filter + collect: paths reach the driver (the reader is built
-        # from them) without being gathered into one task's group first.
-        paths = sorted(r["file_path"] for r in
-                       ok.filter(F.col("_layout") == lay["_layout"]).select("file_path").collect())
-        frames.append(read_layout(spark, list(lay["header"]), paths))
+    # Plain collect of (layout, path) pairs: paths reach the driver (the
+    # reader is built from them) without being gathered into one task's
+    # group first; grouping happens here.
+    by_layout: dict[str, list[str]] = {}
+    for r in ok.select("_layout", "file_path").collect():
+        by_layout.setdefault(r["_layout"], []).append(r["file_path"])
+    frames = [read_layout(spark, list(lay["header"]), sorted(by_layout[lay["_layout"]]))
+              for lay in sorted(layouts, key=lambda r: r["_layout"])]
     if not frames:
         empty = spark.createDataFrame([], SALES_SCHEMA)
         empty = empty.withColumn(SOURCE_FILE, F.lit(None).cast("string"))

@@ -65,3 +65,15 @@ def test_ledger_open_files(spark, tmp):
     assert ledger.ledger_open_files(ev, manifest).count() == 0
     cur = {r.file_location: r.status for r in ledger.ledger_current(ev).collect()}
     assert cur == {"s3a://b/in/a.csv": "I", "s3a://b/in/b.csv": "A", "s3a://b/in/c.csv": "I"}
+
+
+def test_read_partitioned_keeps_key_types(spark, tmp):
+    path = os.path.join(tmp, "p")
+    df = _team(spark).withColumn("store_id", F.col("store_id").cast("bigint"))
+    parquet.write_partitioned(df, path)
+    assert dict(spark.read.parquet(path).dtypes)["store_id"] == "int"  # inferred
+    back = parquet.read_partitioned(spark, path, {"store_id": "bigint", "sales_month": "string"})
+    assert dict(back.dtypes)["store_id"] == "bigint"
+    pruned = back.filter(F.col("store_id") == 121)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and pruned.count() == 20

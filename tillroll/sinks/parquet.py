@@ -54,6 +54,22 @@ def write_partitioned(
                 spark.conf.set(k, v)
 
 
+def read_partitioned(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:
+    """Read a partitioned dataset with the partition columns' types fixed.
+
+    Partition values live in folder names, so Spark re-infers their types on
+    read (a bigint store_id comes back as int, '000...1' as a number). The
+    data schema is taken from the files and the named partition columns get
+    ``types``; filters on them still prune folders.
+    """
+    from pyspark.sql import types as T
+
+    inferred = spark.read.parquet(path).schema
+    fields = [T.StructField(f.name, T.DataType.fromDDL(types[f.name]), True)
+              if f.name in types else f for f in inferred.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def snapshot_path(root: str, run_id: str) -> str:
     return f"{root.rstrip('/')}/{SNAPSHOT_KEY}={run_id}"
 

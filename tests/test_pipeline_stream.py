@@ -55,6 +55,8 @@ def test_batch_run_end_to_end(spark, tmp):
     # rerun with the same run id is idempotent
     pipeline.run(spark, _cfg(spark, [land], "000000000000001", out))
     assert parquet.latest_snapshot(spark, f"{out}/customer_mart").count() == 3
+    assert spark.read.parquet(f"{out}/quarantine/files").count() == 1
+    assert spark.read.parquet(f"{out}/rejects").count() == 0
 
 
 def test_stream_hands_new_files_to_the_job(spark, tmp):

@@ -16,8 +16,9 @@ def quarantine(spark: SparkSession, routed: DataFrame, out: str | None = None,
     Returns (files, lines): ``files`` has one row per set-aside file
     (path, name, reason, length, n_lines); ``lines`` holds every line of the
     set-aside CSV files (one text scan of those files only), so nothing is
-    lost. With ``out`` both are appended to ``out/files`` and ``out/lines``
-    as Parquet (tagged with run_id); readers later read only ``ok`` paths,
+    lost. With ``out`` both are written as Parquet under ``out/files`` and
+    ``out/lines`` (in a ``run_id=<id>`` folder when a run id is given, so a
+    redone run replaces its own rows); readers later read only ``ok`` paths,
     so the source files need not be moved. Paths are matched exactly, never
     by suffix.
     """
@@ -32,7 +33,11 @@ def quarantine(spark: SparkSession, routed: DataFrame, out: str | None = None,
     else:
         lines = spark.createDataFrame([], "file_path string, raw_line string, reason string")
     if out is not None:
-        tag = F.lit(run_id).cast("string").alias("run_id")
-        files.select("*", tag).write.mode("append").parquet(f"{out}/files")
-        lines.select("*", tag).write.mode("append").parquet(f"{out}/lines")
+        if run_id is not None:
+            # Keyed by run: redoing a failed run replaces its own rows only.
+            files.write.mode("overwrite").parquet(f"{out}/files/run_id={run_id}")
+            lines.write.mode("overwrite").parquet(f"{out}/lines/run_id={run_id}")
+        else:
+            files.write.mode("append").parquet(f"{out}/files")
+            lines.write.mode("append").parquet(f"{out}/lines")
     return files, lines

@@ -73,8 +73,14 @@ def source_path() -> Column:
 
 
 def header_fields(line: Column | str) -> Column:
-    """Split a CSV header line into trimmed, unquoted column names."""
+    """Split a CSV header line into trimmed, unquoted column names.
+
+    Commas inside double quotes do not split; outer quotes are removed and a
+    doubled quote inside a quoted name ("") stands for one quote.
+    """
     parts = F.split(_col(line), _CSV_COMMA)
     return F.transform(
-        parts, lambda x: F.regexp_replace(F.trim(x), r'^"|"$', "")
+        parts,
+        lambda x: F.regexp_replace(
+            F.regexp_replace(F.trim(x), r'^"|"$', ""), '""', '"'),
     )

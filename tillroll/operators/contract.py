@@ -19,14 +19,17 @@ def header_contract(
       header   array of column names in file order
       missing  required names absent from the header (sorted)
       extra    header names that are not required (header order)
-      ok       no column missing, no duplicate name, no unbalanced quote
+      ok       no column missing, no duplicate name (ignoring case), no
+               unbalanced quote
       reason   null when ok, else why the file is set aside
     """
     req = F.array(*[F.lit(c) for c in required])
     h = headers.withColumn("header", header_fields("header_line"))
     quotes = F.length("header_line") - F.length(F.regexp_replace("header_line", '"', ""))
     missing = F.array_sort(F.array_except(req, F.col("header")))
-    dup = F.size(F.array_distinct("header")) != F.size("header")
+    # Spark resolves column names case-insensitively by default, so names
+    # that differ only in case would collide in the reader: set them aside.
+    dup = F.size(F.array_distinct(F.transform("header", F.lower))) != F.size("header")
     reason = (
         F.when(F.col("header_line").isNull(), F.lit("empty"))
         .when(quotes % 2 != 0, F.lit("unbalanced_quotes"))

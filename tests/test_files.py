@@ -29,6 +29,7 @@ CASES = {
     "notes.txt": ["not a sales file"],
     "own_additional.csv": [HDR + ",additional_column", ROW + ",old"],
     "case_dup.csv": [HDR + ",Price", ROW + ",9"],
+    "blank_name.csv": [HDR + ",,note", ROW + ",x,y"],
 }
 
 
@@ -88,6 +89,7 @@ def test_routes_and_reasons(spark, landing):
     assert r["notes.txt"].reason == "not_csv"
     assert list(r["extra.csv"].extra) == ["payment_mode", "note"]
     assert r["case_dup.csv"].reason == "duplicate_columns"
+    assert r["blank_name.csv"].reason == "blank_column_name"
     ok = {k for k, v in r.items() if v.ok}
     assert ok == {"good.csv", "a_good.csv", "extra.csv", "reordered.csv", "quoted.csv",
                   "bad_date.csv", "header_only.csv", "own_additional.csv"}
@@ -121,7 +123,8 @@ def test_rejects_and_row_invariant(spark, landing):
     data_lines_in = sum(max(len(v) - 1, 0) for k, v in CASES.items() if k.endswith(".csv"))
     q_rows = lines.count() - lines.select("file_path").distinct().count()
     assert ing.read.accepted.count() + len(rej) + q_rows == data_lines_in
-    assert {r.file_name for r in files.collect()} == {"missing.csv", "notes.txt", "case_dup.csv"}
+    assert {r.file_name for r in files.collect()} == {"missing.csv", "notes.txt", "case_dup.csv",
+                                                     "blank_name.csv"}
 
 
 def test_quarantine_writes_tables(spark, landing, tmp):
@@ -130,7 +133,7 @@ def test_quarantine_writes_tables(spark, landing, tmp):
     quarantine(spark, ing.routed, out=out, run_id="r1")
     lines = spark.read.parquet(out + "/lines")
     assert lines.filter(F.col("reason") == "missing:store_id").count() == 2
-    assert spark.read.parquet(out + "/files").count() == 3
+    assert spark.read.parquet(out + "/files").count() == 4
 
 
 def test_first_bytes_headers_match_text_scan(spark, landing):

@@ -20,7 +20,7 @@ def header_contract(
       missing  required names absent from the header (sorted)
       extra    header names that are not required (header order)
       ok       no column missing, no duplicate name (ignoring case), no
-               unbalanced quote
+               blank name, no unbalanced quote
       reason   null when ok, else why the file is set aside
     """
     req = F.array(*[F.lit(c) for c in required])
@@ -35,6 +35,7 @@ def header_contract(
         .when(quotes % 2 != 0, F.lit("unbalanced_quotes"))
         .when(F.size(missing) > 0, F.concat(F.lit("missing:"), F.array_join(missing, ",")))
         .when(dup, F.lit("duplicate_columns"))
+        .when(F.exists("header", lambda x: x == ""), F.lit("blank_column_name"))
     )
     return (
         h.withColumn("missing", missing)

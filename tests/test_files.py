@@ -30,6 +30,7 @@ CASES = {
     "own_additional.csv": [HDR + ",additional_column", ROW + ",old"],
     "case_dup.csv": [HDR + ",Price", ROW + ",9"],
     "blank_name.csv": [HDR + ",,note", ROW + ",x,y"],
+    "ragged.csv": [HDR, "9,121,sugar,2023-03-03,1,50,2,100,EXTRA", "9,121,sugar,2023-03-03,1,50"],
 }
 
 
@@ -92,7 +93,7 @@ def test_routes_and_reasons(spark, landing):
     assert r["blank_name.csv"].reason == "blank_column_name"
     ok = {k for k, v in r.items() if v.ok}
     assert ok == {"good.csv", "a_good.csv", "extra.csv", "reordered.csv", "quoted.csv",
-                  "bad_date.csv", "header_only.csv", "own_additional.csv"}
+                  "bad_date.csv", "header_only.csv", "own_additional.csv", "ragged.csv"}
     assert ing.read.layouts == 4  # plain (also quoted), extra, reordered, own additional
 
 
@@ -117,8 +118,10 @@ def test_accepted_rows_conformed_by_name(spark, landing):
 def test_rejects_and_row_invariant(spark, landing):
     ing = pipeline.ingest(spark, landing)
     rej = ing.read.rejects.collect()
-    assert [(os.path.basename(r.file_path), r.raw_line) for r in rej] == [
-        ("bad_date.csv", "7,121,sugar,03/03/2023,1,50,2,100")]
+    assert sorted((os.path.basename(r.file_path), r.raw_line) for r in rej) == [
+        ("bad_date.csv", "7,121,sugar,03/03/2023,1,50,2,100"),
+        ("ragged.csv", "9,121,sugar,2023-03-03,1,50"),
+        ("ragged.csv", "9,121,sugar,2023-03-03,1,50,2,100,EXTRA")]
     files, lines = quarantine(spark, ing.routed)
     data_lines_in = sum(max(len(v) - 1, 0) for k, v in CASES.items() if k.endswith(".csv"))
     q_rows = lines.count() - lines.select("file_path").distinct().count()

@@ -31,6 +31,7 @@ CASES = {
     "case_dup.csv": [HDR + ",Price", ROW + ",9"],
     "blank_name.csv": [HDR + ",,note", ROW + ",x,y"],
     "ragged.csv": [HDR, "9,121,sugar,2023-03-03,1,50,2,100,EXTRA", "9,121,sugar,2023-03-03,1,50"],
+    "reserved.csv": [HDR + ",_corrupt_record", ROW + ",x"],
 }
 
 
@@ -91,6 +92,7 @@ def test_routes_and_reasons(spark, landing):
     assert list(r["extra.csv"].extra) == ["payment_mode", "note"]
     assert r["case_dup.csv"].reason == "duplicate_columns"
     assert r["blank_name.csv"].reason == "blank_column_name"
+    assert r["reserved.csv"].reason == "reserved_column_name"
     ok = {k for k, v in r.items() if v.ok}
     assert ok == {"good.csv", "a_good.csv", "extra.csv", "reordered.csv", "quoted.csv",
                   "bad_date.csv", "header_only.csv", "own_additional.csv", "ragged.csv"}
@@ -127,7 +129,7 @@ def test_rejects_and_row_invariant(spark, landing):
     q_rows = lines.count() - lines.select("file_path").distinct().count()
     assert ing.read.accepted.count() + len(rej) + q_rows == data_lines_in
     assert {r.file_name for r in files.collect()} == {"missing.csv", "notes.txt", "case_dup.csv",
-                                                     "blank_name.csv"}
+                                                     "blank_name.csv", "reserved.csv"}
 
 
 def test_quarantine_writes_tables(spark, landing, tmp):
@@ -136,7 +138,7 @@ def test_quarantine_writes_tables(spark, landing, tmp):
     quarantine(spark, ing.routed, out=out, run_id="r1")
     lines = spark.read.parquet(out + "/lines")
     assert lines.filter(F.col("reason") == "missing:store_id").count() == 2
-    assert spark.read.parquet(out + "/files").count() == 4
+    assert spark.read.parquet(out + "/files").count() == 5
 
 
 def test_first_bytes_headers_match_text_scan(spark, landing):

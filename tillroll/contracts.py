@@ -18,6 +18,10 @@ REQUIRED_COLUMNS = (
 )
 # Name of the column that carries the folded extra columns of a file.
 ADDITIONAL_COLUMN = "additional_column"
+# Bookkeeping columns the reader adds: raw text of a malformed row, and the
+# file a row came from. Headers may not use these names.
+CORRUPT_COLUMN = "_corrupt_record"
+SOURCE_FILE_COLUMN = "_src_file"
 
 MONEY = T.DecimalType(12, 2)
 MONEY_TOTAL = T.DecimalType(18, 2)

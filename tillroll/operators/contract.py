@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.contracts import REQUIRED_COLUMNS
+from tillroll.contracts import CORRUPT_COLUMN, REQUIRED_COLUMNS, SOURCE_FILE_COLUMN
 from tillroll.functions.columns import header_fields
 
+# Names the reader uses for its own bookkeeping columns.
+RESERVED_COLUMNS = (CORRUPT_COLUMN, SOURCE_FILE_COLUMN)
+
 
 def header_contract(
     headers: DataFrame, required: tuple[str, ...] = REQUIRED_COLUMNS
@@ -20,7 +23,7 @@ def header_contract(
       missing  required names absent from the header (sorted)
       extra    header names that are not required (header order)
       ok       no column missing, no duplicate name (ignoring case), no
-               blank name, no unbalanced quote
+               blank or reserved name, no unbalanced quote
       reason   null when ok, else why the file is set aside
     """
     req = F.array(*[F.lit(c) for c in required])
@@ -36,6 +39,9 @@ def header_contract(
         .when(F.size(missing) > 0, F.concat(F.lit("missing:"), F.array_join(missing, ",")))
         .when(dup, F.lit("duplicate_columns"))
         .when(F.exists("header", lambda x: x == ""), F.lit("blank_column_name"))
+        .when(F.arrays_overlap(F.transform("header", F.lower),
+                               F.array(*[F.lit(c) for c in RESERVED_COLUMNS])),
+              F.lit("reserved_column_name"))
     )
     return (
         h.withColumn("missing", missing)

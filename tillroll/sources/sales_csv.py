@@ -9,13 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.contracts import CONTRACT_TYPES, REQUIRED_COLUMNS, SALES_SCHEMA
+from tillroll.contracts import (
+    CONTRACT_TYPES,
+    CORRUPT_COLUMN,
+    REQUIRED_COLUMNS,
+    SALES_SCHEMA,
+    SOURCE_FILE_COLUMN,
+)
 from tillroll.functions.columns import source_path
 from tillroll.sources.files import literal_paths
 from tillroll.operators.conform import conform, reconcile_layouts
 
-CORRUPT = "_corrupt_record"
-SOURCE_FILE = "_src_file"
+CORRUPT = CORRUPT_COLUMN
+SOURCE_FILE = SOURCE_FILE_COLUMN
 
 
 @dataclass

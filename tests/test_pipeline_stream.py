@@ -1,3 +1,5 @@
+import contextlib
+import io
 import os
 
 from pyspark.sql import functions as F
@@ -66,6 +68,10 @@ def test_stream_hands_new_files_to_the_job(spark, tmp):
     _write(f"{land}/d1.csv", [HDR, "1,121,sugar,2023-03-03,1,50,2,100"])
     q = landing_stream(spark, land, ck, lambda paths, rid: _cfg(spark, paths, rid, out))
     q.awaitTermination(120)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain()
+    assert "ReadSchema: struct<path:string>" in buf.getvalue()  # contents never read
     _write(f"{land}/d2.csv", [HDR, "2,121,sugar,2023-03-05,1,50,1,50"])
     q = landing_stream(spark, land, ck, lambda paths, rid: _cfg(spark, paths, rid, out))
     q.awaitTermination(120)

@@ -94,7 +94,7 @@ def main() -> None:
         # The source job's own workload at its own sizes (50k + 400k + 1k +
         # 200 rows in four files, 25/4/10 dimension rows): the whole batch job
         # from CSV landing files to every mart, snapshot and ledger write.
-        from tillroll.plans import pipeline, synth
+        from tillroll.plans import batch, synth
         from tillroll.session import fresh_dir
 
         t0 = time.time()
@@ -105,8 +105,8 @@ def main() -> None:
 
         def reference_job(sp, _sf):
             out = fresh_dir(sp, "bench-reference-job")
-            pipeline.run(sp, pipeline.JobConfig(
-                landing=[land], out_root=out, run_id=pipeline.new_run_id(),
+            batch.run(sp, batch.JobConfig(
+                landing=[land], out_root=out, run_id=batch.new_run_id(),
                 customer=dims[0], store=dims[1], sales_team=dims[2],
                 ledger_path=f"{out}/ledger"))
             return sp.read.parquet(f"{out}/customer_monthly_total")

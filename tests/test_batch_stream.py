@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tillroll.contracts import CUSTOMER_SCHEMA, SALES_TEAM_SCHEMA, STORE_SCHEMA
 from tillroll.operators import ledger
-from tillroll.plans import pipeline
+from tillroll.plans import batch
 from tillroll.sinks import parquet
 from tillroll.streaming.landing import landing_stream
 
@@ -29,7 +29,7 @@ def _write(path, lines):
 
 def _cfg(spark, paths, run_id, out):
     c, s, t = _dims(spark)
-    return pipeline.JobConfig(landing=paths, out_root=out, run_id=run_id, customer=c, store=s,
+    return batch.JobConfig(landing=paths, out_root=out, run_id=run_id, customer=c, store=s,
                               sales_team=t, ledger_path=f"{out}/ledger")
 
 
@@ -40,7 +40,7 @@ def test_batch_run_end_to_end(spark, tmp):
                               "1,121,sugar,2023-04-01,1,50,1,50"])
     _write(f"{land}/bad.csv", ["customer_id,price", "1,2"])
     out = os.path.join(tmp, "out")
-    res = pipeline.run(spark, _cfg(spark, [land], "000000000000001", out))
+    res = batch.run(spark, _cfg(spark, [land], "000000000000001", out))
     assert (res.files_ok, res.files_set_aside, res.layouts) == (1, 1, 1)
     monthly = {(r.customer_id, r.sales_date_month): float(r.total_sales)
                for r in spark.read.parquet(f"{out}/customer_monthly_total").collect()}
@@ -55,7 +55,7 @@ def test_batch_run_end_to_end(spark, tmp):
     assert spark.read.parquet(f"{out}/quarantine/files").first().reason == \
         "missing:product_name,quantity,sales_date,sales_person_id,store_id,total_cost"
     # rerun with the same run id is idempotent
-    pipeline.run(spark, _cfg(spark, [land], "000000000000001", out))
+    batch.run(spark, _cfg(spark, [land], "000000000000001", out))
     assert parquet.latest_snapshot(spark, f"{out}/customer_mart").count() == 3
     assert spark.read.parquet(f"{out}/quarantine/files").count() == 1
     assert spark.read.parquet(f"{out}/rejects").count() == 0
@@ -93,7 +93,7 @@ def test_batch_run_without_staging(spark, tmp):
     cfg.stage_enriched = False
     cfg.snapshots = False
     cfg.preview_rows = 2
-    pipeline.run(spark, cfg)
+    batch.run(spark, cfg)
     assert spark.read.parquet(f"{out}/customer_mart").count() == 1
     rej = spark.read.parquet(f"{out}/rejects/run_id=000000000000009").collect()
     assert [(r.raw_line, r.reason) for r in rej] == [

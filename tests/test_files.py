@@ -6,7 +6,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from tillroll.plans import pipeline
+from tillroll.plans import batch
 from tillroll.sinks.quarantine import quarantine
 from tillroll.sources.files import file_headers, file_manifest
 
@@ -54,7 +54,7 @@ def test_crlf_and_bom_files(spark, tmp):
     with open(os.path.join(root, "bom.csv"), "wb") as fh:
         fh.write(b"\xef\xbb\xbf" + (HDR + "\n" + ROW + "\n").encode())
     for method in ("text", "first_bytes"):
-        ing = pipeline.ingest(spark, root, header_method=method)
+        ing = batch.ingest(spark, root, header_method=method)
         routed = {r.file_name: r for r in ing.routed.collect()}
         assert routed["crlf.csv"].ok, routed["crlf.csv"].reason
         assert routed["bom.csv"].ok, routed["bom.csv"].reason
@@ -83,7 +83,7 @@ def test_headers_one_row_per_nonempty_file(spark, landing):
 
 
 def test_routes_and_reasons(spark, landing):
-    ing = pipeline.ingest(spark, landing)
+    ing = batch.ingest(spark, landing)
     r = _by_name(ing.routed)
     assert r["missing.csv"].reason == "missing:store_id"
     assert list(r["missing.csv"].missing) == ["store_id"]
@@ -100,7 +100,7 @@ def test_routes_and_reasons(spark, landing):
 
 
 def test_accepted_rows_conformed_by_name(spark, landing):
-    ing = pipeline.ingest(spark, landing)
+    ing = batch.ingest(spark, landing)
     rows = ing.read.accepted.collect()
     acc = {(r.customer_id, r._src_file.rsplit("/", 1)[-1]): r for r in rows}
     # reordered header: values land in the right columns
@@ -118,7 +118,7 @@ def test_accepted_rows_conformed_by_name(spark, landing):
 
 
 def test_rejects_and_row_invariant(spark, landing):
-    ing = pipeline.ingest(spark, landing)
+    ing = batch.ingest(spark, landing)
     rej = ing.read.rejects.collect()
     assert sorted((os.path.basename(r.file_path), r.raw_line) for r in rej) == [
         ("bad_date.csv", "7,121,sugar,03/03/2023,1,50,2,100"),
@@ -133,7 +133,7 @@ def test_rejects_and_row_invariant(spark, landing):
 
 
 def test_quarantine_writes_tables(spark, landing, tmp):
-    ing = pipeline.ingest(spark, landing)
+    ing = batch.ingest(spark, landing)
     out = os.path.join(tmp, "q")
     quarantine(spark, ing.routed, out=out, run_id="r1")
     lines = spark.read.parquet(out + "/lines")
@@ -149,8 +149,8 @@ def test_first_bytes_headers_match_text_scan(spark, landing):
     fast = {r.file_path: r.header_line for r in
             file_headers_first_bytes(file_manifest(spark, landing)).collect()}
     assert fast == text
-    a = pipeline.ingest(spark, landing)
-    b = pipeline.ingest(spark, landing, header_method="first_bytes")
+    a = batch.ingest(spark, landing)
+    b = batch.ingest(spark, landing, header_method="first_bytes")
     key = ["file_name", "ok", "reason"]
     assert sorted(a.routed.select(key).collect()) == sorted(b.routed.select(key).collect())
     assert a.read.accepted.exceptAll(b.read.accepted).count() == 0
@@ -166,7 +166,7 @@ def test_special_characters_in_paths(spark, tmp):
     with open(bad, "w") as fh:
         fh.write("customer_id,price\n1,2\n3,4\n")
     for method in ("text", "first_bytes"):
-        ing = pipeline.ingest(spark, os.path.join(tmp, "odd names"), header_method=method)
+        ing = batch.ingest(spark, os.path.join(tmp, "odd names"), header_method=method)
         routed = {r.file_name: r for r in ing.routed.collect()}
         assert routed["a b%20c+d[1].csv"].ok
         assert routed["bad file+1{x}.csv"].reason.startswith("missing:")

@@ -5,7 +5,7 @@ import io
 import os
 
 from conftest import SF0001
-from tillroll.plans import catalog, pipeline
+from tillroll.plans import batch, catalog
 
 
 def test_star_scans_are_pruned_and_filtered(spark):
@@ -24,7 +24,7 @@ def test_no_good_file_gives_empty_typed_fact(spark, tmp):
     os.makedirs(d)
     with open(os.path.join(d, "x.csv"), "w") as fh:
         fh.write("customer_id,price\n1,2\n")
-    ing = pipeline.ingest(spark, d)
+    ing = batch.ingest(spark, d)
     assert ing.read.layouts == 0
     acc = ing.read.accepted
     assert acc.count() == 0

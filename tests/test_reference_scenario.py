@@ -4,7 +4,7 @@ import os
 from collections import defaultdict
 from decimal import Decimal as D
 
-from tillroll.plans import pipeline, synth
+from tillroll.plans import batch, synth
 
 
 def test_reference_batch_through_the_job(spark, tmp):
@@ -13,7 +13,7 @@ def test_reference_batch_through_the_job(spark, tmp):
     synth.write_reference_batch(spark, land, sizes)
     customer, store, team = synth.synth_dims(spark)
     out = os.path.join(tmp, "out")
-    res = pipeline.run(spark, pipeline.JobConfig(
+    res = batch.run(spark, batch.JobConfig(
         landing=[land], out_root=out, run_id="000000000000001",
         customer=customer, store=store, sales_team=team, ledger_path=f"{out}/ledger",
         partition_keys=("sales_month", "store_id")))

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tillroll.operators import enrich, ledger, marts
 from tillroll.operators.conform import fold_extras
-from tillroll.plans import landing, pipeline, star, synth
+from tillroll.plans import batch, landing, star, synth
 from tillroll.session import app_id, fresh_dir
 from tillroll.sinks import parquet
 from tillroll.sinks.quarantine import quarantine
@@ -222,8 +222,8 @@ def _landing(spark, sf) -> str:
     return _once(spark, sf, "landing", lambda: landing.write_landing(spark, sf))
 
 
-def _ingested(spark, sf) -> pipeline.Ingested:
-    return pipeline.ingest(spark, _landing(spark, sf))
+def _ingested(spark, sf) -> batch.Ingested:
+    return batch.ingest(spark, _landing(spark, sf))
 
 
 def _folder(path_col: str):
@@ -276,7 +276,7 @@ BAD_DATE_RULE = "o_orderpriority = '1-URGENT' AND l_linestatus = 'O'"
 def q_reject_rows(spark, sf):
     root = _once(spark, sf, "bad_dates",
                  lambda: landing.write_bad_dates(spark, sf, BAD_DATE_RULE))
-    read = pipeline.ingest(spark, root).read
+    read = batch.ingest(spark, root).read
     acc = read.accepted.agg(F.count(F.lit(1)).alias("n_rows"),
                             F.sum("total_cost").cast("double").alias("total_cost"))
     rej = read.rejects.agg(F.count(F.lit(1)).alias("n_rows"),
@@ -353,17 +353,17 @@ def q_synth_sales(spark, sf):
     )
 
 
-def q_pipeline_monthly_total(spark, sf):
+def q_job_monthly_total(spark, sf):
     def make():
         out = fresh_dir(spark, "job")
         customer, store, team = star.dims(spark, sf)
-        cfg = pipeline.JobConfig(
-            landing=[_landing(spark, sf)], out_root=out, run_id=pipeline.new_run_id(),
+        cfg = batch.JobConfig(
+            landing=[_landing(spark, sf)], out_root=out, run_id=batch.new_run_id(),
             customer=customer, store=store, sales_team=team, ledger_path=f"{out}/ledger",
             # Month folders only: the (month, store) layout is exercised by
             # partitioned_mart_roundtrip; here it would add ~8k tiny files.
             partition_keys=("sales_month",))
-        pipeline.run(spark, cfg)
+        batch.run(spark, cfg)
         return out
     out = _once(spark, sf, "job", make)
     return normalise(spark.read.parquet(f"{out}/customer_monthly_total"))
@@ -480,7 +480,7 @@ FROM lineitem"""
 
 # The whole job over the landing folder: rows of the 'missing' layout are
 # quarantined, so the monthly total covers the other three layouts.
-SQL["pipeline_monthly_total"] = "WITH " + _ENRICHED_SQL.replace(
+SQL["job_monthly_total"] = "WITH " + _ENRICHED_SQL.replace(
     "FROM fact f\n", "FROM (SELECT * FROM fact WHERE l_returnflag <> 'R') f\n"
 ) + """
 SELECT DISTINCT CAST(customer_id AS BIGINT) AS customer_id,
@@ -510,6 +510,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_latest": q_snapshot_latest,
     "synth_sales": q_synth_sales,
     "file_manifest": q_file_manifest,
-    "pipeline_monthly_total": q_pipeline_monthly_total,
+    "job_monthly_total": q_job_monthly_total,
     "dimension_csv_roundtrip": q_dimension_csv_roundtrip,
 }

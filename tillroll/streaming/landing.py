@@ -22,14 +22,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillroll.plans import pipeline
+from tillroll.plans import batch
 
 
 def landing_stream(
     spark: SparkSession,
     landing: str,
     checkpoint: str,
-    make_config: Callable[[list[str], str], pipeline.JobConfig],
+    make_config: Callable[[list[str], str], batch.JobConfig],
     max_files_per_trigger: int = 10_000,
     available_now: bool = True,
     processing_time: str | None = None,
@@ -48,11 +48,11 @@ def landing_stream(
         .select(F.col("path"))
     )
 
-    def run_batch(batch: DataFrame, batch_id: int) -> None:
-        paths = sorted(r["path"] for r in batch.select("path").distinct().collect())
+    def run_batch(new_files: DataFrame, batch_id: int) -> None:
+        paths = sorted(r["path"] for r in new_files.select("path").distinct().collect())
         if not paths:
             return
-        pipeline.run(spark, make_config(paths, f"{batch_id:015d}"))
+        batch.run(spark, make_config(paths, f"{batch_id:015d}"))
 
     writer = files.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     if processing_time:

@@ -135,7 +135,9 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     routed = ing.routed
     clock.lap("list_headers_route")
 
-    if cfg.ledger_path:
+    def open_ledger() -> None:
+        if not cfg.ledger_path:
+            return
         try:
             prior = ledger.read_ledger(spark, cfg.ledger_path)
             stale = ledger.ledger_open_files(prior, ing.manifest).count()
@@ -147,9 +149,16 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
             ledger.ledger_events(routed.filter("ok").select("file_path"), cfg.run_id, STATUS_OPEN),
             cfg.ledger_path)
 
-        clock.lap("ledger_open")
-    qmod.quarantine(spark, routed, out=f"{out}/quarantine", run_id=cfg.run_id)
-    clock.lap("quarantine")
+    def set_aside() -> None:
+        qmod.quarantine(spark, routed, out=f"{out}/quarantine", run_id=cfg.run_id)
+
+    # The ledger 'A' events and the quarantine do not depend on parsing: run
+    # them beside it (both finish before any mart is written).
+    side = ThreadPoolExecutor(max_workers=2) if cfg.parallel_writes > 1 else None
+    pending = [side.submit(open_ledger), side.submit(set_aside)] if side else []
+    if not side:
+        open_ledger()
+        set_aside()
 
     parsed = ing.read.parsed  # persisted with every column parsed (read_sales)
     enriched = None
@@ -167,6 +176,9 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
             clock.lap("join_stage")
         else:
             enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
+        for f in pending:
+            f.result()
+        clock.lap("ledger_open_quarantine_wait")
         cust = marts.customer_mart(enriched)
         team = marts.sales_team_mart(enriched)
         if cfg.preview_rows:
@@ -212,6 +224,8 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
             write_jdbc(written, cfg.jdbc_url, cfg.jdbc_table, cfg.jdbc_properties)
             clock.lap("jdbc")
     finally:
+        if side:
+            side.shutdown(wait=True)
         parsed.unpersist()
         if enriched is not None and not cfg.stage_enriched:
             enriched.unpersist()

@@ -1,0 +1,30 @@
+"""Property: header names written by Python's csv module parse back exactly."""
+
+import csv
+import io
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tillroll.functions import header_fields
+
+# Single-line names without surrounding blanks (names are trimmed), drawn
+# from an alphabet that exercises quoting: commas, quotes, spaces.
+NAME = st.text(alphabet=st.sampled_from(list('ab_Z9 ,"')), min_size=1, max_size=8) \
+    .map(str.strip).filter(bool)
+HEADER = st.lists(NAME, min_size=1, max_size=6)
+
+
+def _line(names):
+    buf = io.StringIO()
+    csv.writer(buf, lineterminator="").writerow(names)
+    return buf.getvalue()
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(HEADER, min_size=1, max_size=20))
+def test_header_fields_roundtrip(spark, headers):
+    lines = [(i, _line(h)) for i, h in enumerate(headers)]
+    df = spark.createDataFrame(lines, "i int, line string")
+    got = {r.i: list(r.h) for r in df.select("i", header_fields("line").alias("h")).collect()}
+    assert [got[i] for i in range(len(headers))] == headers

@@ -1,4 +1,4 @@
-"""Properties: header parsing round-trips; the monthly total matches its definition."""
+"""Properties: header parsing round-trips; monthly total and ledger state match their definitions."""
 
 import csv
 import io
@@ -58,3 +58,27 @@ def test_monthly_total_equals_window_distinct_definition(spark, rows):
     fast = marts.customer_monthly_total(mart)
     naive = marts.customer_monthly_total_naive(mart)
     assert fast.exceptAll(naive).count() == 0 and naive.exceptAll(fast).count() == 0
+
+
+EVENT = st.tuples(st.sampled_from(["f1", "f2", "f3"]), st.sampled_from(["A", "I"]),
+                  st.integers(0, 3), st.integers(0, 1000))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(EVENT, min_size=1, max_size=30, unique_by=lambda e: (e[0], e[2], e[3])))
+def test_ledger_current_is_latest_event(spark, events):
+    import datetime as dt
+
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from tillroll.operators import ledger
+
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("r", f, f, s, t0 + dt.timedelta(hours=h), seq) for f, s, h, seq in events]
+    ev = spark.createDataFrame(rows, "run_id string, file_name string, file_location string, "
+                                     "status string, event_ts timestamp, seq bigint")
+    w = Window.partitionBy("file_location").orderBy(F.desc("event_ts"), F.desc("seq"))
+    expect = ev.withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn")
+    got = ledger.ledger_current(ev)
+    assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0

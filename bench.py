@@ -115,26 +115,32 @@ def main() -> None:
     # JVM warm-up on a different query shape, not timed.
     qs["fold_extras"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
-    times = {}
+    times: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for name in names:
         best = None
-        for _ in range(repeats):
-            t = time.time()
-            qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            dt = time.time() - t
-            best = dt if best is None else min(best, dt)
-        times[name] = round(best, 3)
+        try:
+            for _ in range(repeats):
+                t = time.time()
+                qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                dt = time.time() - t
+                best = dt if best is None else min(best, dt)
+            times[name] = round(best, 3)
+        except Exception as e:  # noqa: BLE001 - record and go on; one line is always printed
+            times[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:300]}"
         spark.catalog.clearCache()
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "total_query_sec",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(v for v in times.values() if v is not None), 3),
         "unit": "sec",
         "queries": times,
         "setup": setup,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 

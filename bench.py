@@ -74,21 +74,26 @@ def main() -> None:
         marts.customer_monthly_total_naive(marts.customer_mart(catalog._enriched(sp, sf))))
     names = only or HEADLINE
 
-    setup = {}
-    t0 = time.time()
+    setup: dict[str, float] = {}
+    setup_errors: dict[str, str] = {}
+
+    def timed_setup(label: str, fn) -> None:
+        t0 = time.time()
+        try:
+            fn()
+            setup[label] = round(time.time() - t0, 3)
+        except Exception as e:  # noqa: BLE001 - the dependent queries will report too
+            setup_errors[label] = f"{type(e).__name__}: {str(e)[:300]}"
+
     if any(n in names for n in ("header_contract", "reconcile_layouts", "quarantine",
                                 "file_manifest")):
-        catalog._landing(spark, sf_dir)
-        setup["landing_write"] = round(time.time() - t0, 3)
+        timed_setup("landing_write", lambda: catalog._landing(spark, sf_dir))
     if "reject_rows" in names:
-        t0 = time.time()
-        catalog._once(spark, sf_dir, "bad_dates",
-                      lambda: landing.write_bad_dates(spark, sf_dir, catalog.BAD_DATE_RULE))
-        setup["bad_dates_write"] = round(time.time() - t0, 3)
+        timed_setup("bad_dates_write", lambda: catalog._once(
+            spark, sf_dir, "bad_dates",
+            lambda: landing.write_bad_dates(spark, sf_dir, catalog.BAD_DATE_RULE)))
     if "snapshot_latest" in names:
-        t0 = time.time()
-        qs["snapshot_latest"](spark, sf_dir)
-        setup["snapshots_write"] = round(time.time() - t0, 3)
+        timed_setup("snapshots_write", lambda: qs["snapshot_latest"](spark, sf_dir))
 
     if "reference_job" in names:
         # The source job's own workload at its own sizes (50k + 400k + 1k +
@@ -97,11 +102,9 @@ def main() -> None:
         from tillroll.plans import batch, synth
         from tillroll.session import fresh_dir
 
-        t0 = time.time()
         land = fresh_dir(spark, "bench-reference-landing")
-        synth.write_reference_batch(spark, land)
+        timed_setup("reference_batch_write", lambda: synth.write_reference_batch(spark, land))
         dims = synth.synth_dims(spark)
-        setup["reference_batch_write"] = round(time.time() - t0, 3)
 
         def reference_job(sp, _sf):
             out = fresh_dir(sp, "bench-reference-job")
@@ -141,6 +144,7 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
         **({"errors": errors} if errors else {}),
+        **({"setup_errors": setup_errors} if setup_errors else {}),
     }))
     spark.stop()
 

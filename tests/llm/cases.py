@@ -1,0 +1,26 @@
+"""Awkward rows that every operator must take: nulls, empty and long texts, repeated rows, clashing columns."""
+
+from pyspark.sql import types as T
+
+PROSE = "The river bends past the old mill and the children wave at every boat that passes before the evening bell rings over the quiet valley"
+LONG = " ".join(f"word{i % 977} thing{i % 31}" for i in range(20_000))
+TEXTS = [
+    (1, PROSE, "en"), (2, PROSE, "en"), (2, PROSE, "en"), (3, None, "en"), (4, "", None), (5, " \n\t ", "fr"), (6, "one two", "fr"), (7, "ONE Two", "fr"),
+    (None, PROSE, None), (None, None, None), (8, LONG, "en"), (9, "héllo wörld ünïcode 日本語 текст " * 4, "de"), (10, "x" * 5000, "de"),
+    (11, PROSE.replace("old", "new"), "en"), (12, "same line here\n" * 40, "en"), (13, "!!! ### $$$ %%% " * 30, "es"), (14, PROSE + " extra words at the end", "en"),
+]
+SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
+                       T.StructField("id", T.StringType()), T.StructField("key", T.LongType()), T.StructField("kept", T.BooleanType()), T.StructField("label", T.StringType())])
+
+
+def docs(spark, rows=TEXTS):
+    """doc_id, text and lang, and columns whose names the operators use themselves."""
+    return spark.createDataFrame([(*r, "x", 1, True, None) for r in rows], SCHEMA).repartition(3)
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def table(spark, name, sf="sf0.001"):
+    return spark.read.parquet(f"/root/testdata/{sf}/{name}.parquet")

@@ -1,0 +1,94 @@
+import pytest
+
+from tillroll.llm import html_extraction as hx
+
+from .cases import table
+
+SITE = ("<html><head><title>T</title><style>p{}</style><script>var t='</p>';</script></head><body>"
+        "<header class='site'><h1>Site name</h1></header><nav><ul><li><a href='/a'>Menu one</a><li><a href='/b'>Menu two</a></ul></nav>"
+        "<div class=\"cookie-notice\"><p>We use cookies</p></div><div class='ad'>Buy now</div>"
+        "<article><h1>Head&amp;line</h1><p><b>Bold start<br><p>Second  para\n with &lt;tags&gt; &eacute; and <a href=x>a link</a> here.</p>"
+        "<ul><li>Item one<li>Item two</ul><div class='ads'>Sponsored</div><p>Last one</p></article>"
+        "<aside><p>Side bar text</p></aside><section id='comments'><p>I disagree</p></section><form><label>Name</label><button>Send</button></form>"
+        "<footer>&copy; 2020 site</footer></body></html>")
+MAIN = "Head&line\nBold start\nSecond para with <tags> é and a link here.\nItem one\nItem two\nLast one"
+
+
+@pytest.fixture(scope="module")
+def params(spark):
+    return hx.fit_pages(table(spark, "pages", "sf0.01"))
+
+
+def test_article_of_a_full_page(params):
+    assert hx.main_text([SITE], params) == [MAIN]
+
+
+@pytest.mark.parametrize("main", ["<main>{}</main>", "<div class='post-content'>{}</div>", "<div id=\"content\"><div class='entry'>{}</div></div>", "<section class=story>{}</section>"])
+def test_other_names_of_the_article(params, main):
+    inner = "".join(f"<p>Sentence number {i} of the text that the page is about, long enough.</p>" for i in range(6))
+    page = f"<html><body><nav><a href=/>Home</a></nav><div class=sidebar><p>Side</p></div>{main.format(inner)}<footer>end</footer></body></html>"
+    assert hx.main_text([page], params)[0].split("\n") == [f"Sentence number {i} of the text that the page is about, long enough." for i in range(6)]
+
+
+def by_hand(page):
+    """The main text of the test tables' pages: the paragraphs of the one article."""
+    import html
+    import re
+
+    inner = re.search(r"<article>(.*?)</article>", page, re.S)[1]
+    parts = re.split(r"</?(?:p|h1)[^>]*>", inner)
+    return "\n".join(t for t in (" ".join(html.unescape(re.sub(r"<[^>]+>", "", p)).split()) for p in parts) if t)
+
+
+def test_pages(spark, params):
+    pages = {r.page_id: r for r in table(spark, "pages", "sf0.01").collect()}
+    got = {r.page_id: r for r in hx.extract_main_text(table(spark, "pages", "sf0.01"), params).collect()}
+    assert got.keys() == pages.keys()
+    assert [i for i in pages if got[i].text != by_hand(pages[i].html)] == []
+    assert all(r.n_chars == len(r.text) and r.url == pages[r.page_id].url for r in got.values())
+
+
+def test_labeller_agrees_with_markup_it_was_not_trained_on(params):
+    import numpy as np
+
+    rng = np.random.default_rng(99)
+    base = hx.blocks_of(SITE.replace("<p>Last", "<p>More words in a paragraph of the article</p>" * 8 + "<p>Last"))
+    pages = [hx._variant(base, rng) for _ in range(200)]
+    z = hx.log_odds(params, pages)
+    y = np.array([x for p in pages for x in hx._variant_labels(p)])
+    assert ((z > 0) == y).mean() > 0.95
+
+
+def test_gradients():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    p = {k: v.astype(np.float64) for k, v in hx._start(rng).items()}
+    pages = [hx.blocks_of(SITE), hx.blocks_of("<p>a<p>b c<p>d")]
+    y = np.array([x for q in pages for x in hx.weak_labels(q)], float)
+
+    def loss(q):
+        z = hx.log_odds(q, pages)
+        return float(np.mean(np.log1p(np.exp(-np.where(y > 0, z, -z)))))
+
+    _, g = hx.log_odds(p, pages, y)
+    for name in ("uf", "wb", "bf", "out", "dense"):
+        i = np.unravel_index(np.abs(g[name]).argmax(), g[name].shape)
+        up, down = ({**p, name: p[name].copy()} for _ in "12")
+        up[name][i] += 1e-2
+        down[name][i] -= 1e-2
+        assert abs((loss(up) - loss(down)) / 2e-2 - g[name][i]) < 0.05 * abs(g[name][i]) + 1e-5
+
+
+def test_awkward_pages(spark, params):
+    rows = [(1, "u", None, 1), (2, None, "", 1), (None, "u", "<p>x", 1), (3, "u", "plain < text & more", 1), (4, "u", "<article>" + "<p>w &amp; v</p>" * 3000 + "</article>", 1),
+            (4, "u", "<div" * 2000, 1), (5, "u", "<!-- open <p>never</p>", 1), (6, "u", "<script>never closed <p>x</p>", 1), (7, "u", "</p></div>" + "<b>" * 3000, 1),
+            (8, "u", "<p a='\"><article><p>quoted</p></article>", 1)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
+    got = hx.extract_main_text(pages, params).collect()
+    assert len(got) == len(rows) and all(r.text is not None and r.n_chars == len(r.text) for r in got)
+    by = {r.page_id: r.text for r in got if r.page_id != 4}
+    assert by[1] == by[2] == by[5] == by[6] == by[7] == ""
+    assert max((r.text for r in got if r.page_id == 4), key=len) == "\n".join(["w & v"] * 3000)
+    assert hx.extract_main_text(pages.where("false"), params).collect() == []
+    assert hx.fit_pages(pages.where("false")) is None and hx.main_text([SITE], None)[0].startswith("Head&line")

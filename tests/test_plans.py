@@ -31,16 +31,3 @@ def test_no_good_file_gives_empty_typed_fact(spark, tmp):
     assert acc.columns[:9] == ["customer_id", "store_id", "product_name", "sales_date",
                                "sales_person_id", "price", "quantity", "total_cost",
                                "additional_column"]
-
-
-def test_spread_only_when_fewer_splits_than_cores(spark):
-    from tillroll.plans.star import _spread_small
-
-    cores = spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=cores * 2)
-    assert _spread_small(spark, many, "id") is many
-    few = spark.range(0, 1000, numPartitions=1)
-    spread = _spread_small(spark, few, "id")
-    assert spread is not few
-    assert "RepartitionByExpression" in spread._jdf.queryExecution().logical().toString() \
-        or "Repartition" in spread._jdf.queryExecution().logical().toString()

@@ -94,3 +94,36 @@ def test_hot_partition_folder_is_split_across_tasks(spark, tmp):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_store_join_is_split_on_the_registered_star_path(spark, tmp):
+    """Store 7 holds a third of the lines: the one join on the store key is the one that is split."""
+    import os
+    import re
+
+    from conftest import SF0001
+    from tillroll.plans import catalog
+
+    sf = os.path.join(tmp, "sf")
+    for t in ("orders", "part", "supplier", "customer", "nation", "region"):
+        spark.read.parquet(f"{SF0001}/{t}.parquet").write.parquet(f"{sf}/{t}.parquet")
+    lines = spark.read.parquet(f"{SF0001}/lineitem.parquet")
+    hot = F.when(F.col("l_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("l_suppkey")).cast(lines.schema["l_suppkey"].dataType)
+    lines.withColumn("l_suppkey", hot).write.parquet(f"{sf}/lineitem.parquet")
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        out = catalog.QUERIES["enrich_sales"](spark, sf)
+        n = len(out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        final = plan[plan.index("Final Plan"):plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+        store = [x for x in re.findall(r"SortMergeJoin(?:\(skew=true\))? \[[^\n]*", final) if "suppkey" in x or "store_id" in x]
+        assert len(store) == 1 and "skew=true" in store[0], store
+        assert n == spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

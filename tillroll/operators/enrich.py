@@ -21,23 +21,27 @@ def enrich_sales(
     store: DataFrame,
     sales_team: DataFrame,
     carry: tuple[str, ...] = (),
+    person_from_store: str | None = None,
 ) -> DataFrame:
     """Join the conformed fact to store, customer and sales-team dimensions.
 
     Inner equi-joins: facts whose key is null or has no match drop out (see
     ``unmatched_facts`` to surface them); duplicate dimension keys fan out.
-    The store join comes first so that a fact already clustered on store_id
-    (e.g. by an upstream join on the supplier) is not shuffled again. Join
-    strategies are left to Spark: small dimensions are broadcast through the
-    size threshold / AQE, large ones are sort-merge joined, skewed keys are
-    split by AQE skew-join handling.
+    Join strategies are left to Spark: small dimensions are broadcast through
+    the size threshold / AQE, large ones are sort-merge joined. The store key
+    is joined on once: AQE splits a hot store's partition only where no other
+    join in the stage relies on the same partitioning.
 
     ``carry`` names extra fact columns kept in the output.
+    ``person_from_store`` names the store column that holds the sales person,
+    for facts that do not carry one.
     """
     f = fact.alias("f")
     st = store.select(
-        F.col("id").alias("st_id"), F.col("store_manager_name")
+        F.col("id").alias("st_id"), F.col("store_manager_name"),
+        *([F.col(person_from_store).alias("st_person")] if person_from_store else []),
     ).alias("st")
+    person = F.col("st.st_person" if person_from_store else "f.sales_person_id")
     ct = customer.select(
         F.col("customer_id").alias("ct_customer_id"),
         "first_name", "last_name", "address", "pincode", "phone_number",
@@ -53,12 +57,12 @@ def enrich_sales(
     joined = (
         f.join(st, F.col("f.store_id") == F.col("st.st_id"), "inner")
         .join(ct, F.col("f.customer_id") == F.col("ct.ct_customer_id"), "inner")
-        .join(tm, F.col("f.sales_person_id") == F.col("tm.tm_id"), "inner")
+        .join(tm, person == F.col("tm.tm_id"), "inner")
     )
     cols = [
         F.col("f.store_id").alias("store_id"),
         F.col("f.sales_date").alias("sales_date"),
-        F.col("f.sales_person_id").alias("sales_person_id"),
+        person.alias("sales_person_id"),
         F.col("f.total_cost").alias("total_cost"),
         F.col("ct.ct_customer_id").alias("customer_id"),
         "first_name", "last_name", "address", "pincode", "phone_number",
@@ -79,7 +83,8 @@ def unmatched_facts(
 
     One pass over the fact: it is left-joined to the *distinct* key set of
     each dimension (so duplicate dimension keys cannot fan rows out), and
-    every row emits one output row per dimension it found no match in. A
+    every row emits one output row per dimension it found no match in (a
+    fully matched row emits none). A
     null key never matches, so it is reported as unmatched. Only the key
     column of each dimension is read; key sets are small relative to the
     fact and are broadcast or sort-merge joined by Spark's size check.
@@ -99,6 +104,5 @@ def unmatched_facts(
         f = f.join(ks, f[key] == ks[f"_k{i}"], "left")
         flags.append(F.when(F.col(hit).isNull(), F.lit(name)))
     return (
-        f.select(*cols, F.explode(F.array(*flags)).alias("dimension"))
-        .filter(F.col("dimension").isNotNull())
+        f.select(*cols, F.explode(F.array_compact(F.array(*flags))).alias("dimension"))
     )

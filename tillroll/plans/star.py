@@ -12,7 +12,9 @@ Mapping (fixed):
   total_cost      l_extendedprice as decimal(12,2)
   customer dim    customer: first_name c_name, last_name c_mktsegment,
                   address c_nationkey as string, pincode/phone null
-  store dim       supplier: id s_suppkey, store_manager_name s_name
+  store dim       supplier: id s_suppkey, store_manager_name s_name, and the
+                  sales person s_nationkey for facts that carry none
+  product dim     part: id p_partkey, name p_name, current_price p_retailprice
   sales-team dim  nation: first_name n_name, last_name region name,
                   manager_id n_regionkey, is_manager 'Y' iff n_nationkey = n_regionkey
 """
@@ -29,28 +31,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _spread_small(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition ``df`` by ``key`` only when its scan yields fewer splits
-    than there are cores (e.g. a file that is one parquet row group), so the
-    fused scan + broadcast joins run on every core instead of one task.
-
-    Large inputs are left alone: there the join's own shuffle (inserted by
-    the planner) partitions by the key, and AQE can still split a hot key,
-    which it cannot do for a user repartition.
-    """
-    try:
-        splits = df.rdd.getNumPartitions()
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - e.g. no SparkContext on Spark Connect
-        return df
-    return df.repartition(key) if splits < cores else df
-
-
 def sales_fact(
-    spark: SparkSession, sf_dir: str, carry: tuple[str, ...] = ()
+    spark: SparkSession, sf_dir: str, carry: tuple[str, ...] = (), with_person: bool = True
 ) -> DataFrame:
     """The conformed sales fact (contract columns + additional_column).
 
+    ``with_person=False`` leaves sales_person_id out: it comes from the
+    supplier, which ``enrich_sales`` joins anyway (``person_from_store``).
+
     ``carry`` may name extra order/line columns to keep (e.g. o_orderpriority,
     l_returnflag, l_linestatus, o_orderstatus); they are appended after the
     contract columns. Only the columns used are read from each table.
@@ -60,22 +48,24 @@ def sales_fact(
     o_cols = {"o_orderkey", "o_custkey"}
     li_cols |= {c for c in carry if c.startswith("l_")}
     o_cols |= {c for c in carry if c.startswith("o_")}
-    li = _spread_small(spark, table(spark, sf_dir, "lineitem").select(*sorted(li_cols)),
-                       "l_orderkey")
+    li = table(spark, sf_dir, "lineitem").select(*sorted(li_cols))
     o = table(spark, sf_dir, "orders").select(*sorted(o_cols))
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     joined = (
         li.join(o, li.l_orderkey == o.o_orderkey, "inner")
         .join(p, li.l_partkey == p.p_partkey, "inner")
-        .join(s, li.l_suppkey == s.s_suppkey, "inner")
     )
+    person = []
+    if with_person:
+        s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+        joined = joined.join(s, li.l_suppkey == s.s_suppkey, "inner")
+        person = [F.col("s_nationkey").alias("sales_person_id")]
     return joined.select(
         F.col("o_custkey").alias("customer_id"),
         F.col("l_suppkey").alias("store_id"),
         F.col("p_name").alias("product_name"),
         F.to_date("l_shipdate").alias("sales_date"),
-        F.col("s_nationkey").alias("sales_person_id"),
+        *person,
         money("p_retailprice").alias("price"),
         F.col("l_quantity").cast("int").alias("quantity"),
         money("l_extendedprice").alias("total_cost"),
@@ -102,11 +92,24 @@ def store_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         null_string().alias("address"),
         null_string().alias("store_pincode"),
         F.col("s_name").alias("store_manager_name"),
+        F.col("s_nationkey").alias("sales_person_id"),
         F.lit(None).cast("date").alias("store_opening_date"),
         null_string().alias("reviews"),
     )
 
 
+def product_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("id"),
+        F.col("p_name").alias("name"),
+        F.col("p_retailprice").cast("decimal(10,2)").alias("current_price"),
+        F.lit(None).cast("decimal(10,2)").alias("old_price"),
+        F.lit(None).cast("timestamp").alias("created_date"),
+        F.lit(None).cast("timestamp").alias("updated_date"),
+        F.lit(None).cast("date").alias("expiry_date"),
+    )
+
+
 def sales_team_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")

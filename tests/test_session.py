@@ -1,3 +1,5 @@
+import pytest
+
 from tillroll.session import app_id, fresh_dir, shared_root
 
 
@@ -8,3 +10,19 @@ def test_scratch_lives_under_the_checkpoint_dir(spark):
     a, b = fresh_dir(spark, "x"), fresh_dir(spark, "x")
     assert a != b and a.startswith(root + "/tillroll/x-")
     assert app_id(spark) == spark.sparkContext.applicationId
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Conf:
+        def get(self, key, default=None):
+            return "spark://host:7077" if key == "spark.master" else default
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(Session())

@@ -77,3 +77,25 @@ def test_read_partitioned_keeps_key_types(spark, tmp):
     pruned = back.filter(F.col("store_id") == 121)
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and pruned.count() == 20
+
+
+def test_latest_snapshot_is_the_newest_committed_run(spark, tmp):
+    root = os.path.join(tmp, "run_id=7", "snap")  # the root itself may lie in a run folder
+    df = _team(spark)
+    parquet.write_snapshot(df, root, "000000000000001", partition_by=("sales_month",))
+    # a run without rows is a snapshot too
+    parquet.write_snapshot(df.limit(0), root, "000000000000002", partition_by=("sales_month",))
+    empty = parquet.latest_snapshot(spark, root)
+    assert empty.count() == 0 and set(empty.columns) == {*df.columns, "run_id"}
+    # a run whose write was not committed is none
+    parquet.write_snapshot(df.limit(3), root, "000000000000003")
+    os.remove(os.path.join(root, "run_id=000000000000003", "_SUCCESS"))
+    assert parquet.committed_runs(spark, root) == ["000000000000001", "000000000000002"]
+    assert parquet.latest_snapshot(spark, root).count() == 0
+    assert parquet.read_runs(spark, root, ["000000000000001"]).count() == 60
+
+
+def test_partitioned_write_leaves_the_session_alone(spark, tmp):
+    before = dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    parquet.write_partitioned(_team(spark), os.path.join(tmp, "p"), dynamic=True)
+    assert (dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.sources.partitionOverwriteMode")) == before

@@ -24,9 +24,10 @@ RECOMMENDED_CONF = {
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder, as named by ``spark.checkpoint.dir``.
 
-    When the session names none (local tests), a folder is created and set as
-    the checkpoint dir so later calls agree. Never falls back silently on a
-    cluster that has the setting.
+    When a local session names none (tests), a folder is created and set as
+    the checkpoint dir so later calls agree. On a cluster a folder of the
+    driver's machine would be of no use to executors, so there the setting is
+    required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -35,6 +36,9 @@ def shared_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - e.g. a Spark Connect session
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "local")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tillroll-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(root)

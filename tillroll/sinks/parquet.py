@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.sources.fs import glob_names
+
 SNAPSHOT_KEY = "run_id"
 
 
@@ -31,27 +33,10 @@ def write_partitioned(
     into one, and ``maxRecordsPerFile`` bounds file size. ``dynamic=True``
     replaces only the partitions present in ``df``.
     """
-    spark = df.sparkSession
-    # Small outputs spread over many folders are bound by file creation, not
-    # bytes: let AQE keep one task per core for them instead of merging the
-    # rebalance shuffle down to 1 MB partitions. Large outputs are unaffected
-    # (their partitions are sized by the advisory partition size).
-    conf = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
+    writer = df.hint("rebalance", *keys).write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
     if dynamic:
-        conf["spark.sql.sources.partitionOverwriteMode"] = "dynamic"
-    prev = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
-        (df.hint("rebalance", *keys).write.mode(mode)
-           .option("maxRecordsPerFile", max_records_per_file)
-           .partitionBy(*keys).parquet(path))
-    finally:
-        for k, v in prev.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*keys).parquet(path)
 
 
 def read_partitioned(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:
@@ -87,28 +72,38 @@ def write_snapshot(df: DataFrame, root: str, run_id: str,
     path = snapshot_path(root, run_id)
     if partition_by:
         write_partitioned(df, path, keys=partition_by, mode="overwrite")
+        if not glob_names(df.sparkSession, path, f"{partition_by[0]}=*"):
+            # No row, so no folder: one empty file keeps the schema readable.
+            df.limit(0).write.mode("append").parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
     return path
 
 
+def committed_runs(spark: SparkSession, root: str) -> list[str]:
+    """Run ids under ``root`` whose write was committed (its _SUCCESS marker is
+    there), in order. One listing of run folders, not of their files."""
+    names = glob_names(spark, root, f"{SNAPSHOT_KEY}=*/_SUCCESS")
+    return sorted(n.partition("=")[2] for n in names)
+
+
 def latest_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """Read only the newest snapshot under ``root``, with its run_id.
+    """Read only the newest committed snapshot under ``root``, with its run_id.
 
-    The newest run id is the max over a listing of the files under ``root``
-    (``binaryFile`` with only the path selected, so no content is read); it
-    reaches the driver as one value. Only that run's folder is then read,
+    Run ids come from the run folders directly under ``root`` (the root itself
+    may lie in another run_id=... folder). A run that wrote no rows is a
+    snapshot too: it reads as an empty table. Only that run's folder is read,
     so snapshots of different layouts (plain, partitioned) can share a root
     and older runs cost nothing. run_id is returned as text, digits intact.
     """
-    listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        .load(root).select("path")
-    )
-    pattern = f"/{SNAPSHOT_KEY}=([^/]+)/"
-    newest = listing.select(
-        F.max(F.regexp_extract("path", pattern, 1)).alias("m")).first()["m"]
-    if not newest:
-        raise FileNotFoundError(f"no {SNAPSHOT_KEY}=... snapshot under {root}")
-    return spark.read.parquet(snapshot_path(root, newest)).withColumn(
-        SNAPSHOT_KEY, F.lit(newest))
+    runs = committed_runs(spark, root)
+    if not runs:
+        raise FileNotFoundError(f"no committed {SNAPSHOT_KEY}=... snapshot under {root}")
+    path = snapshot_path(root, runs[-1])
+    return spark.read.option("basePath", path).parquet(path).withColumn(SNAPSHOT_KEY, F.lit(runs[-1]))
+
+
+def read_runs(spark: SparkSession, root: str, runs: list[str]) -> DataFrame:
+    """The rows of the given runs under ``root`` together, without their run_id."""
+    paths = [snapshot_path(root, r) for r in runs]
+    return spark.read.parquet(*paths)

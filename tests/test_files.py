@@ -30,6 +30,17 @@ CASES = {
     "own_additional.csv": [HDR + ",additional_column", ROW + ",old"],
     "case_dup.csv": [HDR + ",Price", ROW + ",9"],
     "blank_name.csv": [HDR + ",,note", ROW + ",x,y"],
+    "underscore_extra.csv": [HDR + ",_note,we`ird", ROW + ",n,w"],
+    "leading_blank.csv": ["", "  ", HDR, ROW],
+    "trailing_comma.csv": [HDR + ",", ROW + ",t"],
+    "space_name.csv": [HDR.replace(",price", ", price"), ROW],
+    "UPPER.CSV": [HDR, ROW],
+    "_hidden.csv": [HDR, ROW],
+    ".dot.csv": [HDR, ROW],
+    "wide_quoted.csv": [",".join(f'"q{i}, x"' for i in range(20_000)), "1"],
+    "one_long_line.csv": ["x" * 10_000_000],
+    "long_quotes.csv": ['"' + '""' * 50_000 + '"', "1"],
+    "quote_in_value.csv": [HDR, '1,121,"2"" pipe",2023-03-03,1,50,2,100'],
     "ragged.csv": [HDR, "9,121,sugar,2023-03-03,1,50,2,100,EXTRA", "9,121,sugar,2023-03-03,1,50"],
     "reserved.csv": [HDR + ",_corrupt_record", ROW + ",x"],
 }
@@ -68,10 +79,11 @@ def _by_name(df):
 
 def test_manifest_routes_by_extension(spark, landing):
     m = _by_name(file_manifest(spark, landing))
-    # Zero-byte files have no splits, so Spark's file sources never see them;
-    # they hold no rows, so nothing is lost.
-    assert set(m) == set(CASES) - {"empty.csv"}
-    assert not m["notes.txt"].is_csv and m["good.csv"].is_csv
+    # Zero-byte files and hidden names, which Spark's readers skip, are listed too.
+    assert set(m) == set(CASES)
+    assert not m["notes.txt"].is_csv and m["good.csv"].is_csv and not m["UPPER.CSV"].is_csv
+    assert m["empty.csv"].length == 0 and m["_hidden.csv"].length > 0
+    assert all(r.modification_time is not None for r in m.values())
 
 
 def test_headers_one_row_per_nonempty_file(spark, landing):
@@ -87,16 +99,21 @@ def test_routes_and_reasons(spark, landing):
     r = _by_name(ing.routed)
     assert r["missing.csv"].reason == "missing:store_id"
     assert list(r["missing.csv"].missing) == ["store_id"]
-    assert "empty.csv" not in r
-    assert r["notes.txt"].reason == "not_csv"
+    assert r["empty.csv"].reason == "empty"
+    assert r["notes.txt"].reason == "not_csv" and r["UPPER.CSV"].reason == "not_csv"
+    assert r["_hidden.csv"].reason == "hidden" and r[".dot.csv"].reason == "hidden"
+    assert r["space_name.csv"].reason == "missing:price"  # names are not trimmed
+    assert all(r[x].reason.startswith("missing:") for x in ("wide_quoted.csv", "one_long_line.csv", "long_quotes.csv"))
+    assert list(r["blank_name.csv"].extra) == ["_c8", "note"] and list(r["trailing_comma.csv"].extra) == ["_c8"]
     assert list(r["extra.csv"].extra) == ["payment_mode", "note"]
     assert r["case_dup.csv"].reason == "duplicate_columns"
-    assert r["blank_name.csv"].reason == "blank_column_name"
     assert r["reserved.csv"].reason == "reserved_column_name"
     ok = {k for k, v in r.items() if v.ok}
     assert ok == {"good.csv", "a_good.csv", "extra.csv", "reordered.csv", "quoted.csv",
-                  "bad_date.csv", "header_only.csv", "own_additional.csv", "ragged.csv"}
-    assert ing.read.layouts == 4  # plain (also quoted), extra, reordered, own additional
+                  "bad_date.csv", "header_only.csv", "own_additional.csv", "ragged.csv", "blank_name.csv",
+                  "underscore_extra.csv", "leading_blank.csv", "trailing_comma.csv", "quote_in_value.csv"}
+    # plain (also quoted, leading blank), extra, reordered, own additional, blank name, underscore, trailing comma
+    assert ing.read.layouts == 7
 
 
 def test_accepted_rows_conformed_by_name(spark, landing):
@@ -114,6 +131,11 @@ def test_accepted_rows_conformed_by_name(spark, landing):
     assert acc[(1, "good.csv")].additional_column is None
     # a source column named additional_column is an extra and is replaced
     assert acc[(1, "own_additional.csv")].additional_column == "old"
+    assert acc[(1, "underscore_extra.csv")].additional_column == "n,w"
+    assert acc[(1, "blank_name.csv")].additional_column == "x,y"
+    assert acc[(1, "trailing_comma.csv")].additional_column == "t"
+    assert acc[(1, "leading_blank.csv")].total_cost == D("100.00")
+    assert acc[(1, "quote_in_value.csv")].product_name == '2" pipe'
     assert acc[(8, "bad_date.csv")].sales_date.isoformat() == "2023-03-08"
 
 
@@ -125,11 +147,56 @@ def test_rejects_and_row_invariant(spark, landing):
         ("ragged.csv", "9,121,sugar,2023-03-03,1,50"),
         ("ragged.csv", "9,121,sugar,2023-03-03,1,50,2,100,EXTRA")]
     files, lines = quarantine(spark, ing.routed)
-    data_lines_in = sum(max(len(v) - 1, 0) for k, v in CASES.items() if k.endswith(".csv"))
+    read = {k: [x for x in v if x.strip()] for k, v in CASES.items() if k.endswith(".csv") and k[0] not in "_."}
+    data_lines_in = sum(max(len(v) - 1, 0) for v in read.values())
     q_rows = lines.count() - lines.select("file_path").distinct().count()
     assert ing.read.accepted.count() + len(rej) + q_rows == data_lines_in
-    assert {r.file_name for r in files.collect()} == {"missing.csv", "notes.txt", "case_dup.csv",
-                                                     "blank_name.csv", "reserved.csv"}
+    assert {r.file_name for r in files.collect()} == SET_ASIDE
+
+
+SET_ASIDE = {"missing.csv", "notes.txt", "case_dup.csv", "reserved.csv", "empty.csv", "UPPER.CSV", "_hidden.csv", ".dot.csv",
+             "space_name.csv", "wide_quoted.csv", "one_long_line.csv", "long_quotes.csv"}
+
+
+def test_split_does_not_depend_on_a_cache(spark, landing):
+    ing = batch.ingest(spark, landing)
+    rows = ing.read.accepted.agg(F.sum("total_cost"), F.count("*")).first()
+    bad = ing.read.rejects.count()
+    spark.catalog.clearCache()
+    assert ing.read.accepted.agg(F.sum("total_cost"), F.count("*")).first() == rows
+    assert ing.read.accepted.select("customer_id").count() == rows[1] and ing.read.rejects.count() == bad == 3
+
+
+def test_accepted_file_with_very_many_columns(spark, tmp):
+    root = os.path.join(tmp, "wide")
+    os.makedirs(root)
+    with open(os.path.join(root, "w.csv"), "w") as fh:
+        fh.write(HDR + "".join(f',"x{i}"' for i in range(3000)) + "\n" + ROW + ",v" * 3000 + "\n")
+    row = batch.ingest(spark, root).read.accepted.first()
+    assert row.total_cost == D("100.00") and row.additional_column == ",".join(["v"] * 3000)
+
+
+def test_money_is_rounded_half_up_to_cents(spark, tmp):
+    root = os.path.join(tmp, "cents")
+    os.makedirs(root)
+    with open(os.path.join(root, "m.csv"), "w") as fh:
+        fh.write(HDR + "\n1,121,sugar,2023-03-03,1,50,2,1.555\n")
+    assert batch.ingest(spark, root).read.accepted.first().total_cost == D("1.56")
+
+
+def test_reads_folders_where_their_files_agree(spark, tmp):
+    from tillroll.sources.sales_csv import layout_paths
+
+    root = os.path.join(tmp, "folders")
+    for name, lines in {"same/a.csv": [HDR, ROW], "same/b.csv": [HDR, ROW], "same/x.txt": ["n"], "mixed/a.csv": [HDR, ROW], "mixed/b.csv": ["x", "1"],
+                        "above/a.csv": [HDR, ROW], "above/k=1/b.csv": [HDR, ROW]}.items():
+        os.makedirs(os.path.dirname(os.path.join(root, name)), exist_ok=True)
+        with open(os.path.join(root, name), "w") as fh:
+            fh.write("".join(x + "\n" for x in lines))
+    _, routed = batch.route(spark, root)
+    (paths,) = layout_paths(routed).values()
+    assert [p.split("folders/")[1] for p in paths] == ["above/a.csv", "above/k=1", "mixed/a.csv", "same"]
+    assert batch.ingest(spark, root).read.accepted.count() == 5
 
 
 def test_quarantine_writes_tables(spark, landing, tmp):
@@ -138,7 +205,7 @@ def test_quarantine_writes_tables(spark, landing, tmp):
     quarantine(spark, ing.routed, out=out, run_id="r1")
     lines = spark.read.parquet(out + "/lines")
     assert lines.filter(F.col("reason") == "missing:store_id").count() == 2
-    assert spark.read.parquet(out + "/files").count() == 5
+    assert spark.read.parquet(out + "/files").count() == len(SET_ASIDE)
 
 
 def test_first_bytes_headers_match_text_scan(spark, landing):
@@ -149,7 +216,7 @@ def test_first_bytes_headers_match_text_scan(spark, landing):
     fast = {r.file_path: r.header_line for r in
             file_headers_first_bytes(file_manifest(spark, landing)).collect()}
     assert fast == text
-    a = batch.ingest(spark, landing)
+    a = batch.ingest(spark, landing, header_method="text")
     b = batch.ingest(spark, landing, header_method="first_bytes")
     key = ["file_name", "ok", "reason"]
     assert sorted(a.routed.select(key).collect()) == sorted(b.routed.select(key).collect())

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from tillroll.contracts import MONEY, MONEY_TOTAL
 
-# A comma that is not inside a double-quoted field (even number of quotes ahead).
-_CSV_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -73,14 +70,24 @@ def source_path() -> Column:
 
 
 def header_fields(line: Column | str) -> Column:
-    """Split a CSV header line into trimmed, unquoted column names.
+    """Split a CSV header line into column names, as Spark's CSV reader names them.
+
+    Commas inside double quotes do not split; the quotes around a name are
+    removed and a doubled quote inside it ("") stands for one quote. Names are
+    not trimmed. A blank name is called _c and its position.
 
-    Commas inside double quotes do not split; outer quotes are removed and a
-    doubled quote inside a quoted name ("") stands for one quote.
+    The line is cut at its quotes: every second piece is quoted, and only the
+    commas of the other pieces separate names. Each step is one pass, whatever
+    the length of the line.
     """
-    parts = F.split(_col(line), _CSV_COMMA)
-    return F.transform(
-        parts,
-        lambda x: F.regexp_replace(
-            F.regexp_replace(F.trim(x), r'^"|"$', ""), '""', '"'),
-    )
+    sep = "\u0001"
+    pieces = F.transform(F.split(_col(line), '"'),
+                         lambda x, i: F.when(i % 2 == 0, F.replace(x, F.lit(","), F.lit(sep))).otherwise(x))
+    quoted = F.split(F.array_join(pieces, '"'), sep)
+
+    def name(x: Column, i: Column) -> Column:
+        bare = F.when(x.startswith('"') & x.endswith('"') & (F.length(x) > 1),
+                      F.replace(F.substr(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x)
+        return F.when(F.trim(bare) == "", F.concat(F.lit("_c"), i.cast("string"))).otherwise(bare)
+
+    return F.transform(quoted, name)

@@ -4,13 +4,24 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.contracts import ADDITIONAL_COLUMN, REQUIRED_COLUMNS, SALES_SCHEMA
+from tillroll.contracts import (
+    ADDITIONAL_COLUMN,
+    CORRUPT_COLUMN,
+    REQUIRED_COLUMNS,
+    SALES_SCHEMA,
+    SOURCE_FILE_COLUMN,
+)
 from tillroll.functions.columns import fold_columns, null_string
 
 
+def quoted(name: str) -> Column:
+    """A column by its exact name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def fold_extras(df: DataFrame, extras: list[str]) -> DataFrame:
     """Set ``additional_column`` to the extras joined by ',' (header order).
 
@@ -19,7 +30,7 @@ def fold_extras(df: DataFrame, extras: list[str]) -> DataFrame:
     additional_column is one of the extras and is replaced.
     """
     if extras:
-        value = fold_columns([F.col(f"`{c}`").cast("string") for c in extras])
+        value = fold_columns([quoted(c).cast("string") for c in extras])
     else:
         value = null_string()
     return df.withColumn(ADDITIONAL_COLUMN, value)
@@ -30,8 +41,8 @@ def conform(df: DataFrame, header: list[str],
     """Fold the extras of one layout and select the contract columns by name."""
     extras = [c for c in header if c not in required]
     folded = fold_extras(df, extras)
-    # Bookkeeping columns (source file, corrupt-record text) ride along.
-    keep = [c for c in df.columns if c.startswith("_") and c != ADDITIONAL_COLUMN]
+    # The two bookkeeping columns (source file, corrupt-record text) ride along.
+    keep = [c for c in (CORRUPT_COLUMN, SOURCE_FILE_COLUMN) if c in df.columns]
     return folded.select(
         *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in SALES_SCHEMA.fields],
         *keep,

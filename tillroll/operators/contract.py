@@ -23,7 +23,7 @@ def header_contract(
       missing  required names absent from the header (sorted)
       extra    header names that are not required (header order)
       ok       no column missing, no duplicate name (ignoring case), no
-               blank or reserved name, no unbalanced quote
+               reserved name, no unbalanced quote
       reason   null when ok, else why the file is set aside
     """
     req = F.array(*[F.lit(c) for c in required])
@@ -38,7 +38,6 @@ def header_contract(
         .when(quotes % 2 != 0, F.lit("unbalanced_quotes"))
         .when(F.size(missing) > 0, F.concat(F.lit("missing:"), F.array_join(missing, ",")))
         .when(dup, F.lit("duplicate_columns"))
-        .when(F.exists("header", lambda x: x == ""), F.lit("blank_column_name"))
         .when(F.arrays_overlap(F.transform("header", F.lower),
                                F.array(*[F.lit(c) for c in RESERVED_COLUMNS])),
               F.lit("reserved_column_name"))
@@ -55,7 +54,9 @@ def route_files(manifest: DataFrame, headers: DataFrame,
                 required: tuple[str, ...] = REQUIRED_COLUMNS) -> DataFrame:
     """Manifest + header contract: one row per listed file with its route.
 
-    Non-CSV files get reason 'not_csv'; CSV files with no line get 'empty'.
+    Non-CSV files get reason 'not_csv', names that Spark's readers skip
+    (leading '_' or '.') get 'hidden', CSV files with no line get 'empty'.
+    n_lines is null where lines were not counted.
     The manifest is one short row per file, so this join is between two
     file-level tables, never data rows.
     """
@@ -64,10 +65,15 @@ def route_files(manifest: DataFrame, headers: DataFrame,
     base = joined.select(
         F.col("m.file_path").alias("file_path"), "file_name", "length", "is_csv",
         F.when(F.col("is_csv"), F.col("h.header_line")).alias("header_line"),
-        F.coalesce(F.col("h.n_lines"), F.lit(0)).alias("n_lines"),
+        F.col("h.n_lines").alias("n_lines"),
+        # Listed, not empty, but no reader saw a line of it: Spark skips such names.
+        (F.col("file_name").rlike("^[_.]") | (F.col("length") > 0) & F.col("h.file_path").isNull()
+         & F.col("m.file_path").rlike("/[_.]")).alias("hidden"),
     )
     checked = header_contract(base, required)
     return checked.withColumn(
         "reason",
-        F.when(~F.col("is_csv"), F.lit("not_csv")).otherwise(F.col("reason")),
-    ).withColumn("ok", F.col("reason").isNull())
+        F.when(~F.col("is_csv"), F.lit("not_csv"))
+        .when(F.col("hidden"), F.lit("hidden"))
+        .otherwise(F.col("reason")),
+    ).withColumn("ok", F.col("reason").isNull()).drop("hidden")

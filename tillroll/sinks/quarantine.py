@@ -24,10 +24,16 @@ def quarantine(spark: SparkSession, routed: DataFrame, out: str | None = None,
     """
     bad = routed.filter(~F.col("ok"))
     files = bad.select("file_path", "file_name", "reason", "length", "n_lines")
-    bad_csv = [r["file_path"] for r in
-               bad.filter(F.col("is_csv") & (F.col("length") > 0)).select("file_path").collect()]
-    if bad_csv:
-        text = spark.read.text(literal_paths(bad_csv)).select(
+    # Whole folders where every CSV file is bad, else paths: the list grows
+    # with folders. Only names that Spark's readers see have lines to read.
+    folder = F.regexp_extract("file_path", r"^(.*)/[^/]*$", 1)
+    csv = routed.filter(F.col("is_csv") & (F.col("length") > 0) & (F.col("reason").isNull() | (F.col("reason") != "hidden")))
+    csv = csv.select("file_path", "ok", folder.alias("folder"))
+    clean = csv.groupBy("folder").agg(F.bool_or("ok").alias("mixed"))
+    paths = [r[0] for r in csv.filter(~F.col("ok")).join(clean, "folder")
+             .select(F.when(F.col("mixed"), F.col("file_path")).otherwise(F.col("folder"))).distinct().collect()]
+    if paths:
+        text = spark.read.option("pathGlobFilter", "*.csv").text(literal_paths(sorted(paths))).select(
             source_path().alias("file_path"), F.col("value").alias("raw_line"))
         lines = text.join(files.select("file_path", "reason"), "file_path", "inner")
     else:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import source_path
+from tillroll.sources import fs
 
 
 def _as_list(paths: str | list[str]) -> list[str]:
@@ -31,32 +32,35 @@ def file_manifest(
 ) -> DataFrame:
     """Every file under ``paths`` (recursive), with size, mtime and its route.
 
-    Uses the ``binaryFile`` source but selects only ``path``, ``length`` and
-    ``modificationTime``, so file contents are never read. Listing is done by
-    Spark/Hadoop (parallel for large folders, no page limit). Names starting
-    with '_' or '.' are hidden by Spark's listing, as for any Spark reader,
-    and zero-byte files yield no split, so they are absent too (they hold no
-    rows, so no data is lost).
+    Spark's ``binaryFile`` source lists in parallel, but it leaves out
+    zero-byte files and names that start with '_' or '.' (of files, or of the
+    folders they are in). Those are added from
+    one walk over the file system's own listing (names and sizes only), which
+    keeps nothing but them; Spark's own markers and checksums of its writes
+    (_SUCCESS, .crc) are not landing files. The extension is compared with its
+    case. No contents are read; listings have no page limit.
 
     Columns: file_path, file_name, length, modification_time, is_csv.
     """
-    df = (
+    roots = _as_list(paths)
+    listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .load(_as_list(paths))
-        .select(
-            F.col("path").alias("file_path"),
-            F.col("length"),
-            F.col("modificationTime").alias("modification_time"),
-        )
-    )
-    return df.select(
-        "file_path",
-        F.element_at(F.split("file_path", "/"), -1).alias("file_name"),
-        "length",
-        "modification_time",
-        F.lower(F.col("file_path")).endswith(extension.lower()).alias("is_csv"),
+        .load(literal_paths(roots))
+        .select(F.col("path").alias("file_path"), F.element_at(F.split("path", "/"), -1).alias("file_name"),
+                "length", F.col("modificationTime").alias("modification_time"))
     )
+    left_out = [
+        (path, path.rsplit("/", 1)[-1], length, mtime)
+        for root in roots for path, below, length, mtime in fs.files(spark, root)
+        if (length == 0 or any(x[:1] in "_." for x in below.split("/")))
+        and not below.endswith("_SUCCESS") and not below.endswith(".crc")
+    ]
+    extra = spark.createDataFrame(left_out, "file_path string, file_name string, length long, mtime long").select(
+        "file_path", "file_name", "length", F.timestamp_millis("mtime").alias("modification_time"))
+    return listed.unionByName(extra).select(
+        "file_path", "file_name", "length", "modification_time",
+        F.col("file_name").endswith(extension).alias("is_csv"))
 
 
 def file_headers(spark: SparkSession, paths: str | list[str],
@@ -64,7 +68,8 @@ def file_headers(spark: SparkSession, paths: str | list[str],
     """First line and line count of every file, in one text scan.
 
     The first line of a file is the line with the smallest
-    (file_block_start, row position) among that file's lines; the row
+    (file_block_start, row position) among that file's lines that are not
+    blank (Spark's CSV reader skips blank lines before a header too); the row
     position comes from monotonically_increasing_id, which grows with the
     line order inside each split. Both aggregates are partial (map-side), so
     a file split into many blocks still reduces to one row before the
@@ -84,7 +89,7 @@ def file_headers(spark: SparkSession, paths: str | list[str],
         F.monotonically_increasing_id().alias("pos"),
     )
     return lines.groupBy("file_path").agg(
-        F.min_by("value", F.struct("block_start", "pos")).alias("header_line"),
+        F.min_by("value", F.when(F.trim("value") != "", F.struct("block_start", "pos"))).alias("header_line"),
         F.count(F.lit(1)).alias("n_lines"),
     )
 
@@ -102,6 +107,8 @@ def _arrow_fs_path(uri: str):
         while local.startswith("//"):
             local = local[1:]
         return pafs.LocalFileSystem(), local
+    if "://" not in uri:
+        return pafs.LocalFileSystem(), uri
     if uri.startswith("s3a://") or uri.startswith("s3n://"):
         uri = "s3://" + uri.split("://", 1)[1]
     return pafs.FileSystem.from_uri(uri)
@@ -114,34 +121,43 @@ def _first_lines(batches):
     for pdf in batches:
         heads = []
         for uri in pdf["file_path"]:
-            fs, path = _arrow_fs_path(uri)
-            buf = b""
-            with fs.open_input_stream(path) as fh:
-                while b"\n" not in buf:
-                    chunk = fh.read(HEAD_BYTES)
-                    if not chunk:
+            store, path = _arrow_fs_path(uri)
+            line, rest = b"", b""
+            with store.open_input_stream(path) as fh:
+                while not line.strip():
+                    parts = [rest]
+                    while b"\n" not in parts[-1]:
+                        chunk = fh.read(HEAD_BYTES)
+                        if not chunk:
+                            break
+                        parts.append(chunk)
+                    line, end, rest = b"".join(parts).partition(b"\n")
+                    if not end:
                         break
-                    buf += chunk
-            if not buf:
-                heads.append(None)
-                continue
-            line = buf.split(b"\n", 1)[0].rstrip(b"\r")
-            heads.append(line.decode("utf-8", errors="replace").lstrip("\ufeff"))
+            text = line.rstrip(b"\r").decode("utf-8", errors="replace").lstrip("\ufeff")
+            heads.append(text if text.strip() else None)
         yield pd.DataFrame({"file_path": pdf["file_path"], "header_line": heads,
                             "n_lines": pd.Series([None] * len(heads), dtype="Int64")})
 
 
+def reachable(paths: str | list[str]) -> bool:
+    """Whether Python workers can be expected to open these paths: local or
+    mounted files, and stores that Arrow has a client for."""
+    schemes = {p.split(":", 1)[0] if ":" in p.split("/", 1)[0] else "file" for p in _as_list(paths)}
+    return schemes <= {"file", "s3", "s3a", "s3n", "gs"}
+
+
 def file_headers_first_bytes(manifest: DataFrame, files_per_task: int = 1000) -> DataFrame:
     """First line of every CSV file in a manifest, reading only its first bytes.
 
     Same output as ``file_headers`` except ``n_lines`` is null (lines are not
     counted). Work is O(files), not O(bytes): each Spark task opens its
     share of the files through Arrow's filesystem layer and reads until the
-    first newline. The Python workers must be able to reach the storage
-    themselves (Arrow does not use Hadoop's credentials), which is why this
-    is opt-in.
+    end of the first line that is not blank. The Python workers must be able
+    to reach the storage themselves (Arrow does not use Hadoop's
+    credentials); ``reachable`` says for which paths that is expected.
     """
-    csv = manifest.filter("is_csv AND length > 0").select("file_path")
+    csv = manifest.filter("is_csv AND length > 0 AND NOT file_name RLIKE '^[_.]'").select("file_path")
     n = max(1, int(csv.count() // files_per_task) + 1)
     return csv.repartition(n, "file_path").mapInPandas(
         _first_lines, "file_path string, header_line string, n_lines bigint")

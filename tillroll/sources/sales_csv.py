@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,8 +16,9 @@ from tillroll.contracts import (
     SOURCE_FILE_COLUMN,
 )
 from tillroll.functions.columns import source_path
-from tillroll.sources.files import literal_paths
 from tillroll.operators.conform import conform, reconcile_layouts
+from tillroll.session import fresh_dir
+from tillroll.sources.files import literal_paths
 
 CORRUPT = CORRUPT_COLUMN
 SOURCE_FILE = SOURCE_FILE_COLUMN
@@ -66,48 +66,67 @@ def read_layout(spark: SparkSession, header: list[str], paths: list[str]) -> Dat
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("dateFormat", "yyyy-MM-dd")
+        .option("escape", '"')  # a doubled quote inside a quoted value is one quote
+        .option("maxColumns", str(max(20_480, len(header) + 1)))
+        .option("pathGlobFilter", "*.csv")
         .csv(literal_paths(paths))
         .withColumn(SOURCE_FILE, source_path())
     )
     return conform(raw, header)
 
 
-def read_sales(spark: SparkSession, routed: DataFrame,
-               storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK) -> SalesRead:
+def layout_paths(routed: DataFrame) -> dict[tuple[str, ...], list[str]]:
+    """Header layout -> what to read: a whole folder where all its CSV files
+    are accepted with one layout and nothing lies below it, else file paths.
+
+    The list that reaches the driver thus grows with folders, not files, on
+    landing areas that keep layouts apart.
+    """
+    folder = F.regexp_extract("file_path", r"^(.*)/[^/]*$", 1)
+    files = routed.filter("is_csv").select(
+        "file_path", folder.alias("folder"), "ok", "header",
+        F.when(F.col("ok"), F.array_join("header", "\u0001")).alias("layout"))
+    per = files.groupBy("folder").agg(
+        F.bool_and("ok").alias("all_ok"), F.count_distinct("layout").alias("n"))
+    # Folders that have listed files somewhere below them: Spark would read those too.
+    above = (routed.select(F.split(folder, "/").alias("p")).distinct()
+             .select(F.explode(F.transform(F.sequence(F.lit(1), F.size("p") - 1), lambda i: F.array_join(F.slice("p", 1, i), "/"))).alias("folder"))
+             .distinct().withColumn("has_below", F.lit(True)))
+    per = per.join(above, "folder", "left").select(
+        "folder", (F.col("all_ok") & (F.col("n") == 1) & F.col("has_below").isNull()).alias("whole"))
+    rows = (files.filter("ok").join(per, "folder")
+            .select("header", F.when(F.col("whole"), F.col("folder")).otherwise(F.col("file_path")).alias("path"))
+            .distinct().collect())
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in rows:
+        out.setdefault(tuple(r["header"]), []).append(r["path"])
+    return {k: sorted(v) for k, v in sorted(out.items())}
+
+
+def read_sales(spark: SparkSession, routed: DataFrame, stage: str | None = None) -> SalesRead:
     """Read every file with ``ok`` in a routed manifest (see route_files).
 
-    The parsed rows are persisted (``storage``; spill-to-disk by default,
-    recomputed from the source files if an executor is lost). This is also
-    what makes the accept/reject split exact: Spark's CSV parser only
-    converts the columns a query needs, so a bad value in an unused column
-    would otherwise go unnoticed; the persisted plan needs every column, so
-    every field of every row is checked once. Call ``unpersist`` on
-    ``.parsed`` when done.
-
-    Only the list of distinct layouts and their file paths reach the driver
-    (file metadata, which Spark's own file index needs anyway); rows never
-    do. The number of scans equals the number of distinct layouts, not the
-    number of files.
+    The parsed rows are written once as Parquet to ``stage`` (a fresh shared
+    folder by default), and everything downstream reads that table. This is
+    what makes the accept/reject split exact: Spark's CSV parser only converts
+    the columns a query needs, so a bad value in an unused column could go
+    unnoticed; the write needs every column, so every field of every row is
+    checked, once, and no cache decides a result. A lost executor costs a
+    Parquet re-read, not a CSV re-parse.
+
+    The number of scans equals the number of distinct layouts, not the number
+    of files (see ``layout_paths`` for what reaches the driver).
     """
-    ok = routed.filter("ok").select(
-        F.array_join("header", "\u0001").alias("_layout"), "header", "file_path")
-    layouts = ok.select("_layout", "header").dropDuplicates(["_layout"]).collect()
-    # Plain collect of (layout, path) pairs: paths reach the driver (the
-    # reader is built from them) without being gathered into one task's
-    # group first; grouping happens here.
-    by_layout: dict[str, list[str]] = {}
-    for r in ok.select("_layout", "file_path").collect():
-        by_layout.setdefault(r["_layout"], []).append(r["file_path"])
-    frames = [read_layout(spark, list(lay["header"]), sorted(by_layout[lay["_layout"]]))
-              for lay in sorted(layouts, key=lambda r: r["_layout"])]
+    layouts = layout_paths(routed)
+    frames = [read_layout(spark, list(header), paths) for header, paths in layouts.items()]
     if not frames:
         empty = spark.createDataFrame([], SALES_SCHEMA)
         empty = empty.withColumn(SOURCE_FILE, F.lit(None).cast("string"))
         return SalesRead(empty.withColumn(CORRUPT, F.lit(None).cast("string")), 0)
+    stage = stage or fresh_dir(spark, "parsed")
     parsed = reconcile_layouts(frames)
-    if storage is not None:
-        parsed = parsed.persist(storage)
-    return SalesRead(parsed, len(frames))
+    parsed.write.mode("overwrite").parquet(stage)
+    return SalesRead(spark.read.schema(parsed.schema).parquet(stage), len(frames))
 
 
 def reject_rows(parsed: DataFrame) -> DataFrame:

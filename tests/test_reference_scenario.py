@@ -5,6 +5,7 @@ from collections import defaultdict
 from decimal import Decimal as D
 
 from tillroll.plans import batch, synth
+from tillroll.sinks import parquet
 
 
 def test_reference_batch_through_the_job(spark, tmp):
@@ -30,10 +31,10 @@ def test_reference_batch_through_the_job(spark, tmp):
             totals[(int(r.customer_id), r.sales_date[:7])] += D(r.total_cost)
             n += 1
     got = {(r.customer_id, r.sales_date_month): r.total_sales
-           for r in spark.read.parquet(f"{out}/customer_monthly_total").collect()}
+           for r in parquet.latest_snapshot(spark, f"{out}/customer_monthly_total").collect()}
     assert got == dict(totals)
-    full = {r.full_name for r in spark.read.parquet(f"{out}/customer_monthly_total").collect()}
+    full = {r.full_name for r in parquet.latest_snapshot(spark, f"{out}/customer_monthly_total").collect()}
     assert full <= {f"{a} {b}" for a, b, _, _ in names.values()}
     assert spark.read.parquet(f"{out}/sales_team_partitioned").count() == n  # one run
-    team_tot = spark.read.parquet(f"{out}/sales_team_monthly_total")
+    team_tot = parquet.latest_snapshot(spark, f"{out}/sales_team_monthly_total")
     assert sum(r.total_sales for r in team_tot.collect()) == sum(totals.values())

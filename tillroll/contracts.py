@@ -44,6 +44,7 @@ SALES_SCHEMA = T.StructType(
     + [T.StructField(ADDITIONAL_COLUMN, T.StringType(), True)]
 )
 
+# The columns of the dimension tables and the ledger.
 CUSTOMER_SCHEMA = T.StructType([
     T.StructField("customer_id", T.IntegerType(), True),
     T.StructField("first_name", T.StringType(), True),
@@ -94,13 +95,6 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType(), False),
 ])
 
-DIMENSION_SCHEMAS = {
-    "customer": CUSTOMER_SCHEMA,
-    "store": STORE_SCHEMA,
-    "product": PRODUCT_SCHEMA,
-    "sales_team": SALES_TEAM_SCHEMA,
-}
-
 # Ledger status codes: 'A' = file taken into a run, 'I' = run finished with it.
 STATUS_OPEN = "A"
 STATUS_DONE = "I"

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.contracts import MONEY_TOTAL
-from tillroll.functions.columns import cents, from_cents, full_name, money_total, month_key
+from tillroll.functions.columns import cents, from_cents, full_name, month_key
 
+# The columns of the two marts.
 CUSTOMER_MART_COLUMNS = (
     "customer_id", "first_name", "last_name", "address", "pincode",
     "phone_number", "sales_date", "total_cost",
@@ -32,6 +33,30 @@ def sales_team_mart(enriched: DataFrame) -> DataFrame:
     )
 
 
+CUSTOMER_MONTH_KEYS = ("customer_id", "full_name", "address", "phone_number", "sales_date_month")
+TEAM_MONTH_KEYS = ("store_id", "sales_person_id", "full_name", "sales_month")
+
+
+def customer_month_sums(mart: DataFrame) -> DataFrame:
+    """Exact cents per customer, attribute variant and month: what a run adds to the totals."""
+    keyed = mart.select(
+        "customer_id",
+        full_name("first_name", "last_name").alias("full_name"),
+        "address",
+        "phone_number",
+        month_key("sales_date").alias("sales_date_month"),
+        cents("total_cost").alias("total_cents"),
+    )
+    return keyed.groupBy(*CUSTOMER_MONTH_KEYS).agg(F.sum("total_cents").alias("total_cents"))
+
+
+def customer_total_of_sums(sums: DataFrame) -> DataFrame:
+    """The monthly totals of the month sums of one or many runs (see customer_monthly_total)."""
+    w = Window.partitionBy("customer_id", "sales_date_month")
+    merged = sums.groupBy(*CUSTOMER_MONTH_KEYS).agg(F.sum("total_cents").alias("total_cents"))
+    return merged.select(*CUSTOMER_MONTH_KEYS, from_cents(F.sum("total_cents").over(w)).alias("total_sales"))
+
+
 def customer_monthly_total(mart: DataFrame) -> DataFrame:
     """Total spend per customer and month, one row per attribute variant.
 
@@ -47,38 +72,26 @@ def customer_monthly_total(mart: DataFrame) -> DataFrame:
     keys are already distinct. Sums run on exact integer cents (see
     ``functions.cents``).
     """
-    keyed = mart.select(
-        "customer_id",
-        full_name("first_name", "last_name").alias("full_name"),
-        "address",
-        "phone_number",
-        month_key("sales_date").alias("sales_date_month"),
-        cents("total_cost").alias("_cents"),
-    )
-    partial = keyed.groupBy(
-        "customer_id", "full_name", "address", "phone_number", "sales_date_month"
-    ).agg(F.sum("_cents").alias("_part"))
     w = Window.partitionBy("customer_id", "sales_date_month")
-    return partial.select(
-        "customer_id", "full_name", "address", "phone_number", "sales_date_month",
-        from_cents(F.sum("_part").over(w)).alias("total_sales"),
-    )
+    return customer_month_sums(mart).select(
+        *CUSTOMER_MONTH_KEYS, from_cents(F.sum("total_cents").over(w)).alias("total_sales"))
 
 
-def customer_monthly_total_naive(mart: DataFrame) -> DataFrame:
-    """Window-over-every-row then distinct form; kept only as a bench baseline."""
-    w = Window.partitionBy("customer_id", "sales_date_month")
-    return (
-        mart.withColumn("sales_date_month", month_key("sales_date"))
-        .withColumn("_t", F.sum("total_cost").over(w))
-        .select(
-            "customer_id",
-            full_name("first_name", "last_name").alias("full_name"),
-            "address", "phone_number", "sales_date_month",
-            money_total("_t").alias("total_sales"),
-        )
-        .distinct()
-    )
+def sales_team_month_sums(mart: DataFrame) -> DataFrame:
+    """Exact cents per store, sales person and month: what a run adds to the totals."""
+    return mart.groupBy(
+        "store_id",
+        "sales_person_id",
+        full_name("sales_person_first_name", "sales_person_last_name").alias("full_name"),
+        "sales_month",
+    ).agg(F.sum(cents("total_cost")).alias("total_cents"))
+
+
+def sales_team_total_of_sums(sums: DataFrame, incentive: Column | None = None) -> DataFrame:
+    """The monthly totals of the month sums of one or many runs (see sales_team_monthly_total)."""
+    agg = sums.groupBy(*TEAM_MONTH_KEYS).agg(from_cents(F.sum("total_cents")).alias("total_sales"))
+    inc = incentive if incentive is not None else F.lit(None)
+    return agg.withColumn("incentive", inc.cast(MONEY_TOTAL))
 
 
 def sales_team_monthly_total(
@@ -90,11 +103,7 @@ def sales_team_monthly_total(
     (it may refer to ``total_sales``); with none the column is null. No rate
     is assumed.
     """
-    agg = mart.groupBy(
-        "store_id",
-        "sales_person_id",
-        full_name("sales_person_first_name", "sales_person_last_name").alias("full_name"),
-        "sales_month",
-    ).agg(from_cents(F.sum(cents("total_cost"))).alias("total_sales"))
+    sums = sales_team_month_sums(mart)
     inc = incentive if incentive is not None else F.lit(None)
-    return agg.withColumn("incentive", inc.cast(MONEY_TOTAL))
+    return sums.select(*TEAM_MONTH_KEYS, from_cents("total_cents").alias("total_sales")) \
+        .withColumn("incentive", inc.cast(MONEY_TOTAL))

@@ -2,11 +2,11 @@
 
     paths -> file_manifest -> file_headers -> route_files -+- bad  -> quarantine
                                                            +- good, per layout
-    -> read_sales (explicit schema) -+- malformed -> rejects
-                                     +- conformed fact (persisted once)
+    -> read_sales (explicit schema, staged as Parquet) -+- malformed -> rejects
+                                                        +- conformed fact
     -> enrich_sales (joined once, staged as Parquet)
-    -> customer mart | sales-team mart | partitioned mart   (versioned by run_id)
-    -> customer / sales-team monthly totals -> Parquet (+ JDBC) -> ledger 'I'
+    -> customer mart | sales-team mart | partitioned mart | month sums   (versioned by run_id)
+    -> monthly totals over all committed runs -> Parquet (+ JDBC) -> commit, ledger 'I'
 
 Only file-level metadata (distinct layouts with their paths) reaches the
 driver; all row work is Spark jobs.
@@ -20,7 +20,6 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,12 +28,24 @@ from tillroll.operators import enrich, ledger, marts
 from tillroll.operators.contract import route_files
 from tillroll.sinks import parquet, quarantine as qmod
 from tillroll.sinks.jdbc import write_jdbc
-from tillroll.sources.files import file_headers, file_headers_first_bytes, file_manifest
+from tillroll.session import fresh_dir
+from tillroll.sources import fs
+from tillroll.sources.files import (
+    file_headers,
+    file_headers_first_bytes,
+    file_manifest,
+    literal_paths,
+    reachable,
+)
 from tillroll.sources.sales_csv import SalesRead, read_sales, reject_rows
 
 log = logging.getLogger("tillroll")
 
-CSV_GLOB = "*.[cC][sS][vV]"
+CSV_GLOB = "*.csv"
+
+
+class NothingToProcess(RuntimeError):
+    """No file of the landing folders can be taken in."""
 
 
 @dataclass
@@ -44,28 +55,40 @@ class Ingested:
     read: SalesRead
 
 
-def ingest(spark: SparkSession, paths: str | list[str],
-           storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
-           header_method: str = "text") -> Ingested:
-    """List, check and read a landing folder (or folders).
+def route(spark: SparkSession, paths: str | list[str], header_method: str = "auto") -> tuple[DataFrame, DataFrame]:
+    """(manifest, routed files) of landing folders, each listed and checked once.
 
-    ``storage`` is how the parsed rows are kept (see read_sales); pass None
-    when the caller writes them out instead. ``header_method`` "text" reads
-    headers with one Spark text scan (portable; counts lines too);
-    "first_bytes" reads only the first bytes of each file in Spark tasks
-    through Arrow (O(files) instead of O(bytes); workers need direct
-    storage access).
+    ``header_method`` "first_bytes" reads only the first bytes of each file in
+    Spark tasks through Arrow (O(files); workers need direct storage access);
+    "text" reads headers with one Spark text scan (any store; counts lines
+    too, but reads all bytes); "auto" takes "first_bytes" where the store is
+    one that Arrow opens by itself, else "text". Both tables are one short row
+    per file and are written once to the shared folder.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    manifest = file_manifest(spark, paths)
+    if header_method == "auto":
+        header_method = "first_bytes" if reachable(paths) else "text"
+    manifest = _written(file_manifest(spark, paths), "manifest")
     if header_method == "first_bytes":
         headers = file_headers_first_bytes(manifest)
     elif header_method == "text":
-        headers = file_headers(spark, paths, path_glob=CSV_GLOB, recursive=True)
+        headers = file_headers(spark, literal_paths(paths), path_glob=CSV_GLOB, recursive=True)
     else:
         raise ValueError(f"unknown header_method {header_method!r}")
-    routed = route_files(manifest, headers).persist(StorageLevel.MEMORY_AND_DISK)
-    return Ingested(manifest, routed, read_sales(spark, routed, storage=storage))
+    return manifest, _written(route_files(manifest, headers), "routed")
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ingest(spark: SparkSession, paths: str | list[str], header_method: str = "auto",
+           stage: str | None = None) -> Ingested:
+    """List, check and read landing folders; ``stage``: where the parsed rows are written (see read_sales)."""
+    manifest, routed = route(spark, paths, header_method)
+    return Ingested(manifest, routed, read_sales(spark, routed, stage))
 
 
 @dataclass
@@ -85,18 +108,11 @@ class JobConfig:
     jdbc_table: str = "customers_data_mart"
     jdbc_properties: dict = field(default_factory=dict)
     incentive: Column | None = None
-    # Join once and write the enriched fact as Parquet under out_root/staging;
-    # every mart then reads that table. It is a durable cut of the lineage (a
-    # lost executor costs a Parquet re-read, not a CSV re-parse and re-join),
-    # and large dimensions are shuffled once per run, not once per output.
-    # False keeps the enriched fact persisted instead.
-    stage_enriched: bool = True
     # Debug: log the schema and this many rows of the enriched fact and the
     # marts (each preview is an extra Spark job, so 0 = off).
     preview_rows: int = 0
-    # How headers are found: "text" (one Spark text scan) or "first_bytes"
-    # (Arrow reads of each file's first bytes in Spark tasks); see ingest().
-    header_method: str = "text"
+    # How headers are found; see route().
+    header_method: str = "auto"
     # Number of output writes submitted at once (1 = one after another).
     parallel_writes: int = 4
 
@@ -126,25 +142,32 @@ class _Clock:
 
 
 def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
-    """Run one batch. Safe to re-run with the same run_id after a failure:
-    every output of a run lives under paths keyed by run_id (or is an
-    overwrite), and the ledger's 'I' events are written last."""
+    """Run one batch.
+
+    Raises NothingToProcess, before anything is written to the outputs, when
+    no file is accepted. Each run's marts and month sums live under run_id; the
+    current totals are built from the month sums of all committed runs and
+    this one, so they do not depend on how files are cut into runs. Safe to
+    re-run with the same run_id after a failure: its folders are replaced, and
+    the run's commit record and the ledger's 'I' events are written last. (Rows
+    appended over JDBC carry the run_id; readers take the newest one's.)
+    """
     out = cfg.out_root.rstrip("/")
     clock = _Clock()
-    ing = ingest(spark, cfg.landing, header_method=cfg.header_method)
-    routed = ing.routed
+    manifest, routed = route(spark, cfg.landing, cfg.header_method)
+    counts = {r["ok"]: r["count"] for r in routed.groupBy("ok").count().collect()}
     clock.lap("list_headers_route")
+    if not counts.get(True):
+        raise NothingToProcess(f"no accepted file among {sum(counts.values())} listed")
 
     def open_ledger() -> None:
         if not cfg.ledger_path:
             return
-        try:
+        if fs.exists(spark, cfg.ledger_path):
             prior = ledger.read_ledger(spark, cfg.ledger_path)
-            stale = ledger.ledger_open_files(prior, ing.manifest).count()
+            stale = ledger.ledger_open_files(prior, manifest).count()
             if stale:
                 log.warning("%d files were left open by an earlier run", stale)
-        except Exception:  # noqa: BLE001 - first run: no ledger yet
-            log.info("no ledger at %s yet", cfg.ledger_path)
         ledger.ledger_append(
             ledger.ledger_events(routed.filter("ok").select("file_path"), cfg.run_id, STATUS_OPEN),
             cfg.ledger_path)
@@ -156,89 +179,84 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     # them beside it (both finish before any mart is written).
     side = ThreadPoolExecutor(max_workers=2) if cfg.parallel_writes > 1 else None
     pending = [side.submit(open_ledger), side.submit(set_aside)] if side else []
-    if not side:
-        open_ledger()
-        set_aside()
-
-    parsed = ing.read.parsed  # persisted with every column parsed (read_sales)
-    enriched = None
     try:
-        # First action: parses each file once into the cache; rejects are small.
-        reject_rows(parsed).write.mode("overwrite").parquet(f"{out}/rejects/run_id={cfg.run_id}")
+        if not side:
+            open_ledger()
+            set_aside()
+        staging = f"{out}/staging/run_id={cfg.run_id}"
+        read = read_sales(spark, routed, f"{staging}/parsed")
+        reject_rows(read.parsed).write.mode("overwrite").parquet(f"{out}/rejects/run_id={cfg.run_id}")
         clock.lap("parse_rejects")
-        fact = parsed.filter(F.col("_corrupt_record").isNull())
-        enriched = enrich.enrich_sales(fact, cfg.customer, cfg.store, cfg.sales_team)
-        if cfg.stage_enriched:
-            staged = f"{out}/staging/run_id={cfg.run_id}"
-            enriched.write.mode("overwrite").parquet(staged)
-            parsed.unpersist()
-            enriched = spark.read.parquet(staged)
-            clock.lap("join_stage")
-        else:
-            enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
+        # Joined once and written: every mart reads that table, so large
+        # dimensions are shuffled once per run, not once per output.
+        fact = read.parsed.filter(F.col("_corrupt_record").isNull())
+        enrich.enrich_sales(fact, cfg.customer, cfg.store, cfg.sales_team) \
+            .write.mode("overwrite").parquet(f"{staging}/enriched")
+        enriched = spark.read.parquet(f"{staging}/enriched")
+        clock.lap("join_stage")
         for f in pending:
             f.result()
         clock.lap("ledger_open_quarantine_wait")
-        cust = marts.customer_mart(enriched)
-        team = marts.sales_team_mart(enriched)
-        if cfg.preview_rows:
-            for label, df in (("enriched", enriched), ("customer_mart", cust),
-                              ("sales_team_mart", team)):
-                preview(df, label, cfg.preview_rows)
-        outputs = {
-            "customer_mart": f"{out}/customer_mart",
-            "sales_team_mart": f"{out}/sales_team_mart",
-            "sales_team_partitioned": f"{out}/sales_team_partitioned",
-            "customer_monthly_total": f"{out}/customer_monthly_total",
-            "sales_team_monthly_total": f"{out}/sales_team_monthly_total",
-        }
-        monthly = marts.customer_monthly_total(cust)
-        team_total = marts.sales_team_monthly_total(team, cfg.incentive)
-        if cfg.snapshots:
-            # Each mart is written once, straight to its versioned folder
-            # <mart>/run_id=<id>/; the current mart is latest_snapshot(<mart>).
-            writes = [
-                lambda: parquet.write_snapshot(cust, outputs["customer_mart"], cfg.run_id),
-                lambda: parquet.write_snapshot(team, outputs["sales_team_mart"], cfg.run_id),
-                lambda: parquet.write_snapshot(team, outputs["sales_team_partitioned"], cfg.run_id,
-                                               partition_by=cfg.partition_keys),
-            ]
-        else:
-            writes = [
-                lambda: parquet.write_mart(cust, outputs["customer_mart"]),
-                lambda: parquet.write_mart(team, outputs["sales_team_mart"]),
-                lambda: parquet.write_partitioned(team, outputs["sales_team_partitioned"],
-                                                  cfg.partition_keys),
-            ]
-        writes += [
-            lambda: parquet.write_mart(monthly, outputs["customer_monthly_total"]),
-            lambda: parquet.write_mart(team_total, outputs["sales_team_monthly_total"]),
-        ]
-        # The outputs are independent jobs over the staged table: submit them
-        # together so the scheduler can fill the cluster (Spark runs jobs from
-        # several driver threads concurrently). Any failure is re-raised.
-        _run_all(writes, cfg.parallel_writes)
-        clock.lap("marts_and_totals")
-        if cfg.jdbc_url:
-            written = spark.read.parquet(outputs["customer_monthly_total"])
-            write_jdbc(written, cfg.jdbc_url, cfg.jdbc_table, cfg.jdbc_properties)
-            clock.lap("jdbc")
     finally:
         if side:
             side.shutdown(wait=True)
-        parsed.unpersist()
-        if enriched is not None and not cfg.stage_enriched:
-            enriched.unpersist()
-
-    counts = routed.groupBy("ok").count().collect()
-    by = {r["ok"]: r["count"] for r in counts}
+    cust = marts.customer_mart(enriched)
+    team = marts.sales_team_mart(enriched)
+    if cfg.preview_rows:
+        for label, df in (("enriched", enriched), ("customer_mart", cust),
+                          ("sales_team_mart", team)):
+            preview(df, label, cfg.preview_rows)
+    outputs = {name: f"{out}/{name}" for name in (
+        "customer_mart", "sales_team_mart", "sales_team_partitioned",
+        "customer_month_sums", "sales_team_month_sums",
+        "customer_monthly_total", "sales_team_monthly_total")}
+
+    def snapshot(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> None:
+        parquet.write_snapshot(df, outputs[name], cfg.run_id, partition_by=partition_by)
+
+    writes = [
+        lambda: snapshot(marts.customer_month_sums(cust), "customer_month_sums"),
+        lambda: snapshot(marts.sales_team_month_sums(team), "sales_team_month_sums"),
+    ]
+    if cfg.snapshots:
+        # Each mart is written once, straight to its versioned folder
+        # <mart>/run_id=<id>/; the newest mart is latest_snapshot(<mart>).
+        writes += [
+            lambda: snapshot(cust, "customer_mart"),
+            lambda: snapshot(team, "sales_team_mart"),
+            lambda: snapshot(team, "sales_team_partitioned", cfg.partition_keys),
+        ]
+    else:
+        writes += [
+            lambda: parquet.write_mart(cust, outputs["customer_mart"]),
+            lambda: parquet.write_mart(team, outputs["sales_team_mart"]),
+            lambda: parquet.write_partitioned(team, outputs["sales_team_partitioned"],
+                                              cfg.partition_keys),
+        ]
+    # The outputs are independent jobs over the staged table: submit them
+    # together so the scheduler can fill the cluster (Spark runs jobs from
+    # several driver threads concurrently). Any failure is re-raised.
+    _run_all(writes, cfg.parallel_writes)
+    clock.lap("marts")
+    runs = sorted({*parquet.committed_runs(spark, f"{out}/commits"), cfg.run_id})
+    monthly = marts.customer_total_of_sums(parquet.read_runs(spark, outputs["customer_month_sums"], runs))
+    team_total = marts.sales_team_total_of_sums(
+        parquet.read_runs(spark, outputs["sales_team_month_sums"], runs), cfg.incentive)
+    _run_all([lambda: snapshot(monthly, "customer_monthly_total"),
+              lambda: snapshot(team_total, "sales_team_monthly_total")], cfg.parallel_writes)
+    clock.lap("totals")
+    if cfg.jdbc_url:
+        written = parquet.latest_snapshot(spark, outputs["customer_monthly_total"])
+        write_jdbc(written, cfg.jdbc_url, cfg.jdbc_table, cfg.jdbc_properties)
+        clock.lap("jdbc")
+    parquet.write_snapshot(routed.filter("ok").agg(F.count(F.lit(1)).alias("n_files")),
+                           f"{out}/commits", cfg.run_id)
     if cfg.ledger_path:
         ledger.ledger_append(
             ledger.ledger_events(routed.filter("ok").select("file_path"), cfg.run_id, STATUS_DONE),
             cfg.ledger_path)
-    routed.unpersist()
-    clock.lap("ledger_close")
-    return JobResult(cfg.run_id, by.get(True, 0), by.get(False, 0), ing.read.layouts, outputs,
+    clock.lap("commit")
+    return JobResult(cfg.run_id, counts.get(True, 0), counts.get(False, 0), read.layouts, outputs,
                      clock.steps)
 
 

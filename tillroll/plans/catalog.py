@@ -15,11 +15,21 @@ from pyspark.sql import types as T
 
 from tillroll.operators import enrich, ledger, marts
 from tillroll.operators.conform import fold_extras
-from tillroll.plans import batch, landing, star, synth
+from tillroll.contracts import (
+    CUSTOMER_SCHEMA,
+    PRODUCT_SCHEMA,
+    SALES_TEAM_SCHEMA,
+    STATUS_DONE,
+    STATUS_OPEN,
+    STORE_SCHEMA,
+)
+from tillroll.plans import batch, landing, star
 from tillroll.session import app_id, fresh_dir
 from tillroll.sinks import parquet
 from tillroll.sinks.quarantine import quarantine
+from tillroll.sources import fs
 from tillroll.sources.files import file_manifest
+from tillroll.sources.sales_csv import read_dim
 
 
 def normalise(df: DataFrame) -> DataFrame:
@@ -37,9 +47,9 @@ def normalise(df: DataFrame) -> DataFrame:
 
 
 def _enriched(spark: SparkSession, sf: str, carry: tuple[str, ...] = ()) -> DataFrame:
-    fact = star.sales_fact(spark, sf, carry=carry)
+    fact = star.sales_fact(spark, sf, carry=carry, with_person=False)
     customer, store, team = star.dims(spark, sf)
-    return enrich.enrich_sales(fact, customer, store, team, carry=carry)
+    return enrich.enrich_sales(fact, customer, store, team, carry=carry, person_from_store="sales_person_id")
 
 
 def q_enrich_sales(spark, sf):
@@ -156,21 +166,12 @@ def _once(spark: SparkSession, sf: str, kind: str, make) -> str:
     it exists. Each dataset lives in a fresh folder of the shared root."""
     key = (app_id(spark), sf, kind)
     path = _WRITTEN.get(key)
-    if path is None or not _exists(spark, path):
+    if path is None or not fs.exists(spark, path):
         path = make()
         _WRITTEN[key] = path
     return path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        hit = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .load(path).select("path").limit(1).collect())
-        return bool(hit)
-    except Exception:  # noqa: BLE001
-        return False
-
-
 def _partitioned_mart(spark, sf) -> str:
     def make():
         path = fresh_dir(spark, "sales_team_partitioned")
@@ -222,8 +223,8 @@ def _landing(spark, sf) -> str:
     return _once(spark, sf, "landing", lambda: landing.write_landing(spark, sf))
 
 
-def _ingested(spark, sf) -> batch.Ingested:
-    return batch.ingest(spark, _landing(spark, sf))
+def _ingested(spark, sf, **kw) -> batch.Ingested:
+    return batch.ingest(spark, _landing(spark, sf), **kw)
 
 
 def _folder(path_col: str):
@@ -239,7 +240,8 @@ def q_file_manifest(spark, sf):
 
 
 def q_header_contract(spark, sf):
-    routed = _ingested(spark, sf).routed.filter("is_csv")
+    _, routed = batch.route(spark, _landing(spark, sf), header_method="text")  # counts lines
+    routed = routed.filter("is_csv")
     return routed.groupBy(
         F.array_join("header", ",").alias("header"),
         F.array_join("missing", ",").alias("missing"),
@@ -277,12 +279,26 @@ def q_reject_rows(spark, sf):
     root = _once(spark, sf, "bad_dates",
                  lambda: landing.write_bad_dates(spark, sf, BAD_DATE_RULE))
     read = batch.ingest(spark, root).read
-    acc = read.accepted.agg(F.count(F.lit(1)).alias("n_rows"),
+    acc = read.accepted.agg(F.lit("accepted").alias("outcome"), F.lit(None).cast("string").alias("layout"),
+                            F.lit(None).cast("string").alias("raw_line"), F.count(F.lit(1)).alias("n_rows"),
                             F.sum("total_cost").cast("double").alias("total_cost"))
-    rej = read.rejects.agg(F.count(F.lit(1)).alias("n_rows"),
-                           F.lit(None).cast("double").alias("total_cost"))
-    return (acc.select(F.lit("accepted").alias("outcome"), "*")
-            .unionByName(rej.select(F.lit("rejected").alias("outcome"), "*")))
+    rej = read.rejects.select(F.lit("rejected").alias("outcome"),
+                              F.element_at(F.split("file_path", "/"), -3).alias("layout"), "raw_line",
+                              F.lit(1).cast("bigint").alias("n_rows"), F.lit(None).cast("double").alias("total_cost"))
+    return acc.unionByName(rej)
+
+
+def q_quarantine_written(spark, sf):
+    """Every data line of the files that were set aside, written and read back."""
+    def make():
+        out = fresh_dir(spark, "quarantined")
+        _, routed = batch.route(spark, _landing(spark, sf))
+        quarantine(spark, routed, out=out, run_id="000000000000001")
+        return out
+    out = _once(spark, sf, "quarantined", make)
+    header = ",".join(landing.LAYOUTS["missing"][0])
+    return spark.read.parquet(f"{out}/lines/run_id=000000000000001").filter(F.col("raw_line") != header) \
+        .select(F.element_at(F.split("file_path", "/"), -3).alias("layout"), "reason", "raw_line")
 
 
 def q_fold_extras(spark, sf):
@@ -321,52 +337,92 @@ def q_unmatched_facts(spark, sf):
 
 # ------------------------------------------------------ dimension exports
 
-def q_dimension_csv_roundtrip(spark, sf):
-    """Customer dimension exported as CSV by Spark, read back with the
-    explicit contract schema (no inference), as the job reads its dims."""
-    from tillroll.contracts import CUSTOMER_SCHEMA
-    from tillroll.sources.sales_csv import read_dim
-
+def _dim_roundtrip(spark, sf, name, make_dim, schema):
+    """A dimension exported as CSV by Spark, read back with its explicit
+    schema (no inference; wide integer keys), as the job reads its dims."""
     def make():
-        path = fresh_dir(spark, "dim_customer")
-        star.customer_dim(spark, sf).write.option("header", "true").csv(path)
+        path = fresh_dir(spark, f"dim_{name}")
+        make_dim(spark, sf).write.option("header", "true").csv(path)
         return path
-    path = _once(spark, sf, "dim_customer", make)
-    schema = T.StructType([T.StructField(f.name, T.LongType() if f.name == "customer_id"
-                                         else f.dataType, True) for f in CUSTOMER_SCHEMA.fields])
-    return normalise(read_dim(spark, path, schema, fmt="csv"))
+    path = _once(spark, sf, f"dim_{name}", make)
+    wide = T.StructType([T.StructField(f.name, T.LongType() if isinstance(f.dataType, T.IntegerType)
+                                       else f.dataType, True) for f in schema.fields])
+    return normalise(read_dim(spark, path, wide, fmt="csv"))
 
 
-# ------------------------------------------------------------ synth, job
+def q_dimension_csv_roundtrip(spark, sf):
+    return _dim_roundtrip(spark, sf, "customer", star.customer_dim, CUSTOMER_SCHEMA)
 
-def q_synth_sales(spark, sf):
-    n = star.table(spark, sf, "lineitem").count()
-    df = synth.synth_sales(spark, n)
-    bad_total = F.col("total_cost") != (F.col("price") * F.col("quantity")).cast("decimal(12,2)")
-    bad_person = F.floor((F.col("sales_person_id") - 1) / 3) != (F.col("store_id") - 121)
-    bad_qty = (F.col("quantity") < 1) | (F.col("quantity") > 10)
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count(F.when(bad_total, 1)).alias("n_bad_total"),
-        F.count(F.when(bad_person, 1)).alias("n_bad_person"),
-        F.count(F.when(bad_qty, 1)).alias("n_bad_quantity"),
-    )
 
+def q_store_csv_roundtrip(spark, sf):
+    return _dim_roundtrip(spark, sf, "store", lambda sp, d: star.store_dim(sp, d).drop("sales_person_id"), STORE_SCHEMA)
 
-def q_job_monthly_total(spark, sf):
+
+def q_sales_team_csv_roundtrip(spark, sf):
+    return _dim_roundtrip(spark, sf, "sales_team", star.sales_team_dim, SALES_TEAM_SCHEMA)
+
+
+def q_product_csv_roundtrip(spark, sf):
+    return _dim_roundtrip(spark, sf, "product", star.product_dim, PRODUCT_SCHEMA)
+
+
+# -------------------------------------------------------------------- jobs
+
+def _run_job(spark, sf, out, run_id, folders):
+    root = _landing(spark, sf)
+    customer, store, team = star.dims(spark, sf)
+    batch.run(spark, batch.JobConfig(
+        landing=[f"{root}/{x}" for x in folders], out_root=out, run_id=run_id,
+        customer=customer, store=store, sales_team=team, ledger_path=f"{out}/ledger"))
+
+
+def _job(spark, sf) -> str:
     def make():
         out = fresh_dir(spark, "job")
-        customer, store, team = star.dims(spark, sf)
-        cfg = batch.JobConfig(
-            landing=[_landing(spark, sf)], out_root=out, run_id=batch.new_run_id(),
-            customer=customer, store=store, sales_team=team, ledger_path=f"{out}/ledger",
-            # Month folders only: the (month, store) layout is exercised by
-            # partitioned_mart_roundtrip; here it would add ~8k tiny files.
-            partition_keys=("sales_month",))
-        batch.run(spark, cfg)
+        _run_job(spark, sf, out, "000000000000001", [*landing.LAYOUTS, "exports"])
         return out
-    out = _once(spark, sf, "job", make)
-    return normalise(spark.read.parquet(f"{out}/customer_monthly_total"))
+    return _once(spark, sf, "job", make)
+
+
+def q_job_monthly_total(spark, sf):
+    total = parquet.latest_snapshot(spark, f"{_job(spark, sf)}/customer_monthly_total")
+    return normalise(total.drop("run_id"))
+
+
+def q_partitioned_snapshot(spark, sf):
+    """The job's (month, store) partitioned mart, read back as its newest snapshot."""
+    back = parquet.latest_snapshot(spark, f"{_job(spark, sf)}/sales_team_partitioned")
+    return back.groupBy(
+        F.col("sales_month").cast("string").alias("sales_month"), F.col("store_id").cast("bigint").alias("store_id"),
+    ).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("total_cost").cast("double").alias("total_sales"))
+
+
+def q_job_two_runs(spark, sf):
+    """The landing files cut into two runs: the totals are those of one run over all."""
+    def make():
+        out = fresh_dir(spark, "job2")
+        _run_job(spark, sf, out, "000000000000001", ["standard", "missing"])
+        _run_job(spark, sf, out, "000000000000002", ["extra", "reordered", "exports"])
+        return out
+    out = _once(spark, sf, "job2", make)
+    return normalise(parquet.latest_snapshot(spark, f"{out}/customer_monthly_total").drop("run_id"))
+
+
+def q_ledger_roundtrip(spark, sf):
+    """Events appended and read back: a run took in all files and finished those of
+    one layout; of the files still present (not the set-aside ones) the open ones by layout."""
+    layout = F.element_at(F.split("file_path", "/"), -3)
+
+    def make():
+        path = fresh_dir(spark, "ledger")
+        files = file_manifest(spark, _landing(spark, sf)).filter("is_csv")
+        ledger.ledger_append(ledger.ledger_events(files, "r1", STATUS_OPEN), path)
+        ledger.ledger_append(ledger.ledger_events(files.filter(layout == "standard"), "r1", STATUS_DONE), path)
+        return path
+    events = ledger.read_ledger(spark, _once(spark, sf, "ledger", make))
+    present = file_manifest(spark, _landing(spark, sf)).filter(layout != "missing")
+    open_ = ledger.ledger_open_files(events, present).withColumnRenamed("file_location", "file_path")
+    return open_.groupBy(layout.alias("layout")).agg(F.countDistinct(_folder("file_path")).alias("n_folders"))
 
 
 _LAYOUT_SQL = "WITH " + _FACT_SQL + """,
@@ -430,13 +486,23 @@ UNION ALL
 SELECT 'quarantined', 'not_csv', COUNT(DISTINCT m), CAST(NULL AS BIGINT)
 FROM laid WHERE layout = 'missing'"""
 
+_LINE = """concat_ws(',', customer_id, store_id, product_name, {date}, sales_person_id, price, quantity, total_cost)"""
 SQL["reject_rows"] = "WITH " + _FACT_SQL + """
-SELECT 'accepted' AS outcome, COUNT(*) AS n_rows, CAST(SUM(total_cost) AS DOUBLE) AS total_cost
+SELECT 'accepted' AS outcome, CAST(NULL AS VARCHAR) AS layout, CAST(NULL AS VARCHAR) AS raw_line,
+       COUNT(*) AS n_rows, CAST(SUM(total_cost) AS DOUBLE) AS total_cost
 FROM fact WHERE NOT (o_orderpriority = '1-URGENT' AND l_linestatus = 'O')
 UNION ALL
-SELECT 'rejected', COUNT(*), CAST(NULL AS DOUBLE)
+SELECT 'rejected', 'standard', """ + _LINE.format(date="strftime(sales_date, '%d/%m/%Y')") + """, 1, CAST(NULL AS DOUBLE)
 FROM fact WHERE o_orderpriority = '1-URGENT' AND l_linestatus = 'O'"""
 
+SQL["quarantine_written"] = _LAYOUT_SQL + """
+SELECT layout, 'missing:store_id' AS reason,
+       concat_ws(',', customer_id, product_name, sales_date, sales_person_id, price, quantity, total_cost, coalesce(payment_mode, '')) AS raw_line
+FROM laid WHERE layout = 'missing'"""
+
+SQL["ledger_roundtrip"] = _LAYOUT_SQL + """
+SELECT layout, COUNT(DISTINCT m) AS n_folders FROM laid WHERE layout IN ('extra', 'reordered') GROUP BY layout"""
+
 SQL["fold_extras"] = """
 SELECT event_id,
        concat_ws(',', NULLIF(event_type, 'view'), CASE WHEN value > 10 THEN props END)
@@ -473,10 +539,22 @@ SELECT c_custkey AS customer_id, c_name AS first_name, c_mktsegment AS last_name
        CAST(NULL AS VARCHAR) AS phone_number, CAST(NULL AS VARCHAR) AS customer_joining_date
 FROM customer"""
 
-SQL["synth_sales"] = """
-SELECT COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_bad_total, CAST(0 AS BIGINT) AS n_bad_person,
-       CAST(0 AS BIGINT) AS n_bad_quantity
-FROM lineitem"""
+SQL["store_csv_roundtrip"] = """
+SELECT s_suppkey AS id, CAST(NULL AS VARCHAR) AS address, CAST(NULL AS VARCHAR) AS store_pincode,
+       s_name AS store_manager_name, CAST(NULL AS VARCHAR) AS store_opening_date, CAST(NULL AS VARCHAR) AS reviews
+FROM supplier"""
+
+SQL["sales_team_csv_roundtrip"] = """
+SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS first_name, r_name AS last_name, CAST(n_regionkey AS BIGINT) AS manager_id,
+       CASE WHEN n_nationkey = n_regionkey THEN 'Y' ELSE 'N' END AS is_manager,
+       CAST(NULL AS VARCHAR) AS address, CAST(NULL AS VARCHAR) AS pincode, CAST(NULL AS VARCHAR) AS joining_date
+FROM nation JOIN region ON n_regionkey = r_regionkey"""
+
+SQL["product_csv_roundtrip"] = """
+SELECT CAST(p_partkey AS BIGINT) AS id, p_name AS name, CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS DOUBLE) AS current_price,
+       CAST(NULL AS DOUBLE) AS old_price, CAST(NULL AS TIMESTAMP) AS created_date, CAST(NULL AS TIMESTAMP) AS updated_date,
+       CAST(NULL AS VARCHAR) AS expiry_date
+FROM part"""
 
 # The whole job over the landing folder: rows of the 'missing' layout are
 # quarantined, so the monthly total covers the other three layouts.
@@ -489,6 +567,14 @@ SELECT DISTINCT CAST(customer_id AS BIGINT) AS customer_id,
        CAST(SUM(total_cost) OVER (PARTITION BY customer_id, strftime(sales_date, '%Y-%m')) AS DOUBLE)
          AS total_sales
 FROM enriched"""
+SQL["job_two_runs"] = SQL["job_monthly_total"]
+
+SQL["partitioned_snapshot"] = "WITH " + _ENRICHED_SQL.replace(
+    "FROM fact f\n", "FROM (SELECT * FROM fact WHERE l_returnflag <> 'R') f\n"
+) + """
+SELECT strftime(sales_date, '%Y-%m') AS sales_month, CAST(store_id AS BIGINT) AS store_id,
+       COUNT(*) AS n_rows, CAST(SUM(total_cost) AS DOUBLE) AS total_sales
+FROM enriched GROUP BY ALL"""
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -508,8 +594,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ledger_open_files": q_ledger_open_files,
     "unmatched_facts": q_unmatched_facts,
     "snapshot_latest": q_snapshot_latest,
-    "synth_sales": q_synth_sales,
     "file_manifest": q_file_manifest,
     "job_monthly_total": q_job_monthly_total,
     "dimension_csv_roundtrip": q_dimension_csv_roundtrip,
+    "store_csv_roundtrip": q_store_csv_roundtrip,
+    "sales_team_csv_roundtrip": q_sales_team_csv_roundtrip,
+    "product_csv_roundtrip": q_product_csv_roundtrip,
+    "quarantine_written": q_quarantine_written,
+    "ledger_roundtrip": q_ledger_roundtrip,
+    "job_two_runs": q_job_two_runs,
+    "partitioned_snapshot": q_partitioned_snapshot,
 }

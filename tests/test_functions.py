@@ -7,10 +7,11 @@ from tillroll.functions import cents, fold_columns, from_cents, full_name, heade
 
 
 def test_header_fields_respects_quotes(spark):
-    df = spark.createDataFrame([('a, "b,c" ,"d"',), ("x",), ("",), ('"say ""hi""",y',)],
+    df = spark.createDataFrame([('a,"b,c", "d",,e ',), ("x",), ("",), ('"say ""hi""",y',)],
                                "line string")
     got = [r.h for r in df.select(header_fields("line").alias("h")).collect()]
-    assert got == [["a", "b,c", "d"], ["x"], [""], ['say "hi"', "y"]]
+    # names are not trimmed; a blank one is called by its position
+    assert got == [["a", "b,c", ' "d"', "_c3", "e "], ["x"], ["_c0"], ['say "hi"', "y"]]
 
 
 def test_fold_full_name_month(spark):

@@ -368,12 +368,12 @@ def q_product_csv_roundtrip(spark, sf):
 
 # -------------------------------------------------------------------- jobs
 
-def _run_job(spark, sf, out, run_id, folders):
+def _run_job(spark, sf, out, run_id, folders, **kw):
     root = _landing(spark, sf)
     customer, store, team = star.dims(spark, sf)
     batch.run(spark, batch.JobConfig(
         landing=[f"{root}/{x}" for x in folders], out_root=out, run_id=run_id,
-        customer=customer, store=store, sales_team=team, ledger_path=f"{out}/ledger"))
+        customer=customer, store=store, sales_team=team, ledger_path=f"{out}/ledger", **kw))
 
 
 def _job(spark, sf) -> str:
@@ -398,11 +398,13 @@ def q_partitioned_snapshot(spark, sf):
 
 
 def q_job_two_runs(spark, sf):
-    """The landing files cut into two runs: the totals are those of one run over all."""
+    """The landing files cut into two runs: the totals are those of one run over all.
+    (Marts by month only; job_monthly_total writes the (month, store) folders.)"""
     def make():
         out = fresh_dir(spark, "job2")
-        _run_job(spark, sf, out, "000000000000001", ["standard", "missing"])
-        _run_job(spark, sf, out, "000000000000002", ["extra", "reordered", "exports"])
+        keys = {"partition_keys": ("sales_month",)}
+        _run_job(spark, sf, out, "000000000000001", ["standard", "missing"], **keys)
+        _run_job(spark, sf, out, "000000000000002", ["extra", "reordered", "exports"], **keys)
         return out
     out = _once(spark, sf, "job2", make)
     return normalise(parquet.latest_snapshot(spark, f"{out}/customer_monthly_total").drop("run_id"))

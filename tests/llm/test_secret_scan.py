@@ -59,6 +59,7 @@ def test_digest(spark, tmp_path):
     frame(spark).write.parquet(f"{tmp_path}/documents.parquet")
     for r in op6_secret_scan(spark, str(tmp_path)).collect():
         options = [t for i, t in TEXTS if i == r.doc_id]
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(r.spans.count(k) for k in ("assign:", "access:", "hex:"))
         assert any(r.spans == ",".join(f"{ss.RULES[n].kind}:{a}:{b}" for a, n, b in brute(t))
                    and r.base_sha256 == hashlib.sha256(",".join(f"{ss.RULES[n].kind}:{a}:{b}" for a, n, b in brute(t) if n < 3).encode()).hexdigest() for t in options)
 

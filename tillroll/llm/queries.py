@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -51,7 +51,11 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = find_secrets(table(spark, sf_dir, "documents")).select("doc_id", "__secrets")
     base = F.filter("__secrets", lambda x: x["kind"] < len(BASE))
-    counts = [F.size(F.filter("__secrets", lambda x, n=n: x["kind"] == n)).cast("long").alias(f"n_{r.kind}") for n, r in enumerate(BASE)]
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("__secrets", lambda x: x["kind"] == kind)).cast("long")
+
+    counts = [count(n).alias(f"n_{r.kind}") for n, r in enumerate(BASE)]
     return rows.select("doc_id", *counts, F.sha2(joined_spans(base).cast("binary"), 256).alias("base_sha256"),
                        joined_spans(F.col("__secrets")).alias("spans"))
 

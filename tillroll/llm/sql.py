@@ -23,7 +23,7 @@ WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t FROM documents),
 w AS (
   SELECT *, regexp_extract_all(t, '{WORD}+') AS ws,
-    list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '{WORD}')) AS ls FROM d),
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS ls FROM d),
 win AS (
   SELECT rid, i, ws[i:i+2] AS x FROM w, unnest(range(1, len(ws) - 1)) AS u(i)),
 twice AS (
@@ -31,7 +31,7 @@ twice AS (
 rep AS (
   SELECT rid, count(DISTINCT i + k) AS n FROM twice, unnest([0, 1, 2]) AS u(k) GROUP BY rid),
 c AS (
-  SELECT w.rid, doc_id, stratum, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, x -> length(x))), 0)::BIGINT AS word_chars,
+  SELECT w.rid, doc_id, stratum, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
     len(regexp_extract_all(t, '{SYMBOLS}'))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
     coalesce(rep.n, 0)::BIGINT AS n_repeat_words, len(ls)::BIGINT AS n_lines,
     len(regexp_extract_all(t, '\p{{Lu}}'))::BIGINT AS n_capitals, len(regexp_extract_all(t, '!'))::BIGINT AS n_shouts
@@ -52,7 +52,7 @@ cell AS (
   FROM v JOIN g USING (doc_id), x WHERE NOT base_failed GROUP BY stratum, rule, cutoff),
 sure AS (
   SELECT stratum, rule, cutoff, bad - {PRICE} * k AS gain,
-    list_sum(list_transform(range(0, k + 1), i -> exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+    list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
       + i * ln({RISK / len(RULES)}) + (n - i) * ln(1 - {RISK / len(RULES)})))) AS p
   FROM cell WHERE k < n * {RISK / len(RULES)}),
 best AS (
@@ -71,7 +71,7 @@ def secret_scan_sql() -> str:
         p = _text(r.pattern)
         keep = f"length({f'regexp_extract(m, {p}, {r.group})' if r.group else 'm'}) >= {r.least}"
         parts.append(f"""SELECT rid, {n} AS no, '{r.kind}' AS kind, s, s + length(m) AS e FROM (
-  SELECT rid, f[i] AS m, coalesce(list_sum(list_transform(b[1:i], x -> length(x))), 0) + coalesce(list_sum(list_transform(f[1:i-1], x -> length(x))), 0) AS s
+  SELECT rid, f[i] AS m, coalesce(list_sum(list_transform(b[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(f[1:i-1], lambda x: length(x))), 0) AS s
   FROM (SELECT rid, regexp_extract_all(t, {p}) AS f, string_split_regex(t, {p}) AS b FROM d), unnest(range(1, len(f) + 1)) AS u(i))
 WHERE {keep}""")
     counts = ", ".join(f"count(*) FILTER (no = {n})::BIGINT AS n_{r.kind}" for n, r in enumerate(BASE))

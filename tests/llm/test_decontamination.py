@@ -46,7 +46,7 @@ def test_documents_against_brute_force(spark):
 def test_awkward_rows_and_items(spark):
     rows = [(1, PROSE, 1), (2, None, 1), (3, "", 1), (None, PROSE, 1), (4, "evening bell", 1), (5, " ".join(LONG.split()[100:900]), 1), (6, "no such words here at all", 1), (6, PROSE.upper(), 1)]
     got = found(docs(spark), bench(spark, rows))
-    assert {d for d, i in got if i == 1} == {1, 2, 14, None} - {None} | ({None} & {d for d, _ in got}) | {d for d, i in got if i == 1 and d == 11}
+    assert {d for d, i in got if i == 1} == {1, 2, 14, None}
     assert got[8, 5] == 1.0 and (1, 4) in got and (1, 6) in got and not {i for _, i in got} & {2, 3}
     kept = dc.drop_contaminated(docs(spark), bench(spark, rows))
     assert kept.columns == docs(spark).columns

@@ -1,6 +1,7 @@
+import numpy as np
+
 import corpus_pipeline as cp
 from tillroll.llm import sentencepiece_unigram as sp
-from tillroll.llm import textvec as tv
 
 from . import test_decontamination as dc
 from . import test_jaccard_join as jj
@@ -33,11 +34,9 @@ def test_run_equals_brute_force(spark):
     got = cp.run(spark, sf).collect()
     assert sorted(r.doc_id for r in got) == sorted(want)
     p = sp.Pieces.load()
-    import numpy as np
     for r in got:
         data, at = sp.decode_slice(p, np.array(r.ids, np.int64), np.array([0, len(r.ids)]))
         assert data.tobytes().decode() == want[r.doc_id] and r.lossless and len(at) == 2
-    assert tv.SLICE_BYTES > 0
 
 
 def test_stages_take_awkward_rows(spark, tmp_path):
@@ -52,8 +51,7 @@ def test_stages_take_awkward_rows(spark, tmp_path):
         assert out.columns == df.columns, name
         assert stage(spark, empty(spark), sf).collect() == []
     kept = cp.near_copies(spark, df, sf).collect()
-    assert sorted(str(r.doc_id) for r in kept) == sorted(["1", "3", "4", "None", "None"]) or {r.doc_id for r in kept} >= {1, 3, 4, None}
-    assert [r.doc_id for r in kept].count(1) == 1 and 2 not in {r.doc_id for r in kept}
+    assert sorted(str(r.doc_id) for r in kept if r.doc_id != 5) == ["1", "3", "4", "None", "None"]
     assert cp.decontaminate(spark, df, sf).where("doc_id = 3").count() == 0
     assert "[SECRET]" in cp.secrets(spark, df, sf).where("doc_id = 4").first().text
     assert cp.pieces(spark, df, sf).count() == len(rows)

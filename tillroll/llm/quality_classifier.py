@@ -44,15 +44,10 @@ def shape_tokens(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     words, of = tv.word_hashes(data, offsets)
     count = np.bincount(of, minlength=n)
     kinds = np.bincount(tv.distinct(words, of, n)[1], minlength=n)
-    line = data == 10
-    pieces = tv.SPACE.copy()
-    pieces[:] = False
-    pieces[10] = True
-    start, end, own = tv.word_spans(data, offsets, pieces)
+    start, end, own = tv.word_spans(data, offsets, np.arange(256) == 10)
     hashes = tv.hash_spans(data, start, end)
     lines = np.bincount(own, minlength=n)
     line_kinds = np.bincount(tv.distinct(hashes, own, n)[1], minlength=n)
-    del line
     return np.stack([np.minimum(np.log2(count + 1), 15).astype(np.int64),
                      16 + np.minimum(15 * kinds // np.maximum(count, 1), 15),
                      32 + np.minimum(15 * (lines - line_kinds) // np.maximum(lines, 1), 15)], axis=1)

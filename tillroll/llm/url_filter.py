@@ -29,7 +29,7 @@ from .util import staged
 
 _U = np.uint64
 ORDER = 5
-BITS = 18      # buckets of contexts, and of contexts with their next byte, of each model
+BITS = 20      # buckets of contexts, and of contexts with their next byte, of each model; grams that share one share their counts
 FOLDS = 5      # one part of the rule-judged URLs calibrates the cut
 MISS = 0.01    # most of the allowed URLs that the cut may block there
 BINS = 1000    # score steps a unit, for the cut
@@ -112,7 +112,7 @@ def fit_urls(judged: DataFrame, miss: float = MISS) -> UrlModel | None:
     split = pairs.select(F.shiftright("key", 40).alias("label"), F.shiftright("key", 20).bitwiseAND(2 ** 20 - 1).alias("context"), F.col("key").bitwiseAND(2 ** 20 - 1).alias("gram"), "n")
     contexts = split.groupBy("label", "context").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).toArrow()
     grams = split.groupBy("label", "gram").agg(F.sum("n").alias("n")).toArrow()
-    model = UrlModel(np.zeros((2, 2 ** BITS)), np.zeros((2, 2 ** BITS)), np.zeros((2, 2 ** BITS)), 0.0)
+    model = UrlModel(*(np.zeros((2, 2 ** BITS), np.float32) for _ in range(3)), 0.0)
     label, at, n = (grams[c].to_numpy() for c in ("label", "gram", "n"))
     model.grams[label, at] = n
     label, at = contexts["label"].to_numpy(), contexts["context"].to_numpy()

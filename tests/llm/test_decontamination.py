@@ -105,3 +105,61 @@ def test_words_match_the_definition():
     data, offsets = tv.utf8(pa.array(texts))
     start, end, of = tv.word_spans(data, offsets, tv.PUNCTUATION)
     assert [data[a:b].tobytes().decode().lower() for a, b in zip(start, end, strict=True)] == words(texts[0]) and set(of.tolist()) == {0}
+
+
+def edited(rng, w):
+    """A copy of the words: some changed, left out or put in, or an end cut off."""
+    w = list(w)
+    kind = rng.integers(5)
+    if kind == 4:
+        cut = 1 + int(rng.integers(max(len(w) // 6, 1)))
+        return w[cut:] if rng.random() < 0.5 else w[:-cut]
+    for _ in range(int(rng.integers(1, 2 + len(w) // 25))):
+        k = int(rng.integers(len(w)))
+        w[k:k + (kind != 2)] = [] if kind == 1 else [f"new{rng.integers(10 ** 9)}"]
+    return w
+
+
+def test_every_edited_copy_that_brute_force_finds_is_found():
+    """Copies in longer texts, of ladder lengths and others; the only region is the copy's, so whole texts compare alike."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    lengths = [5, 6, 9, 16, 19, 22, 26, 30, 31, 37, 44, 52, 74, 77, 105, 126, 240, 300]
+    items = [(i, " ".join(f"w{rng.integers(10 ** 9)}" for _ in range(n))) for i, n in enumerate(lengths * 2)]
+    texts = [" ".join([*(f"a{rng.integers(10 ** 9)}" for _ in range(rng.integers(60))), *edited(rng, x.split()), *(f"b{rng.integers(10 ** 9)}" for _ in range(rng.integers(60)))])
+             for _, x in items for _ in range(30)]
+    index = dc.build_index([i for i, _ in items], [x for _, x in items])
+    got = {(t, i): sim for t, i, sim in dc.matches(index, *tv.utf8(pa.array(texts)), dc.RADIUS, 0.8)}
+    want = brute(list(enumerate(texts)), items)
+    assert got.keys() == want.keys() and len(want) > 500 and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_weights_and_regions_against_brute_force():
+    """Items that share passages, so weights differ; any region of an item's length and a tenth at both ends counts."""
+    import math
+    from collections import Counter
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    parts = [[f"p{k}x{i}" for i in range(12)] for k in range(8)]
+    items = [(i, " ".join(sum((parts[k] for k in rng.integers(0, 8, 3)), []))) for i in range(25)]
+    texts = [" ".join(sum((edited(rng, parts[k]) if rng.random() < 0.3 else parts[k] for k in rng.integers(0, 8, 12)), [])) for _ in range(60)]
+    texts += [x.replace("x5 ", "x5 put in here ") for _, x in items] + [" ".join(x.split()[:-7]) for _, x in items]
+    own = [words(x) for _, x in items]
+    sets = [{tuple(v[k:k + 5]) for k in range(len(v) - 4)} for v in own]
+    df = Counter(s for x in sets for s in x)
+    want = {}
+    for t, text in enumerate(texts):
+        w = words(text)
+        runs = [tuple(w[k:k + 5]) for k in range(len(w) - 4)]
+        for i, x in enumerate(sets):
+            weight = {s: 1 + math.log(len(items) / df[s]) for s in x}
+            size = len(own[i]) + 2 * (len(own[i]) // 10) - 4
+            best = max(sum(weight[s] for s in set(runs[k:k + size]) & x) for k in range(max(len(runs) - size, 0) + 1)) / sum(weight.values())
+            if abs(best - 0.8) > 1e-9 and best >= 0.8:
+                want[t, i] = best
+    index = dc.build_index([i for i, _ in items], [x for _, x in items])
+    got = {(t, i): sim for t, i, sim in dc.matches(index, *tv.utf8(pa.array(texts)), dc.RADIUS, 0.8) if abs(sim - 0.8) > 1e-9}
+    assert got.keys() == want.keys() and want and all(abs(got[k] - want[k]) < 1e-9 for k in want)

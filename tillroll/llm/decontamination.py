@@ -1,4 +1,4 @@
-"""Benchmark decontamination: SimHash over item-sized windows, then exact weighted shingles.
+"""Benchmark decontamination: SimHash windows and seed shingles, then exact weighted shingles.
 
 A benchmark item of n words is fingerprinted over windows of w words at its
 start and end (and, beyond the longest window, every w words): w is the largest
@@ -6,15 +6,22 @@ size of a geometric ladder that n holds. Every window of w words of every
 document gets the same 64-bit SimHash of its words, so each document word
 starts one window per ladder size that some item uses. Fingerprints are cut into ``radius`` + 1
 blocks; two that differ in at most ``radius`` bits agree in one block, so block
-tables find all of them. The document's region around a found window is then
-compared exactly: the share of the item's weighted five-word shingles (weight
-1 + log of the item count over the number of items with the shingle) found in it.
+tables find all of them.
+
+Shingles are runs of five words, weighted 1 + log of the item count over the
+number of items with the shingle. An item's heaviest shingles, until the others
+weigh less than ``share`` of it, are its seeds: a region that holds ``share`` of
+the item holds a seed unedited, so no copy is without one, wherever its edits are.
+
+Around seeds and found windows the text is compared exactly: the largest share of
+the item's weight within any region of the item's length plus a tenth at both ends.
 
 Words are runs of letters and digits, A-Z lower-cased; characters outside ASCII belong to words.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,6 +38,7 @@ _U = np.uint64
 SHINGLE = 5
 RADIUS = 5
 LONGEST = 240  # words of a window: counts of set bits stay within a byte
+MARK_BITS = 20
 BLOCK_BYTES = 8_000_000  # benchmark text indexed at once
 _ONES = _U(0x0101010101010101)
 FOUND = ArrayType(StructType([StructField("item_id", LongType()), StructField("similarity", DoubleType())]))
@@ -68,7 +76,8 @@ def simhash(sums: list[np.ndarray], w: int) -> np.ndarray:
 class Index:
     """Of one block of benchmark items."""
     words: list[np.ndarray]
-    shingles: list[dict[int, float]]  # by item: weight of each shingle
+    shingles: list[tuple[np.ndarray, np.ndarray]]  # by item: its shingles in order, and their weights
+    seeds: tuple[np.ndarray, np.ndarray, np.ndarray]  # shingles in order, the item of each, and which upper bits occur
     item_ids: np.ndarray
     windows: dict[int, tuple]         # by size: fingerprints, items, offsets, block tables
     cuts: list[tuple[int, int]]
@@ -80,15 +89,28 @@ def _cuts(radius: int) -> list[tuple[int, int]]:
     return [(a, (1 << (b - a)) - 1) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def build_index(item_ids: list[int], texts: list[str], radius: int = RADIUS) -> Index:
+def _seeds(shingles: np.ndarray, weights: np.ndarray, share: float) -> np.ndarray:
+    """The heaviest shingles, so many that the others weigh less than ``share`` of all."""
+    order = np.argsort(-weights, kind="stable")
+    rest = weights.sum() - np.cumsum(weights[order])
+    enough = np.flatnonzero(rest < share * weights.sum() * (1 - 1e-9))
+    return shingles[order[:enough[0] + 1 if len(enough) else len(order)]]
+
+
+def build_index(item_ids: list[int], texts: list[str], radius: int = RADIUS, share: float = 0.8) -> Index:
     data, offsets = tv.utf8(pa.array(texts, pa.string()))
     data, offsets = data[offsets[0]:offsets[-1]], offsets - offsets[0]
     words, of = tv.word_hashes(data, offsets, breaks=tv.PUNCTUATION)
     at = tv.per_text(of, len(texts))
     own = [words[at[i]:at[i + 1]] for i in range(len(texts))]
-    sets = [set(tv.shingles(w, np.zeros(len(w), np.int64), SHINGLE)[0].tolist()) for w in own]
-    df = Counter(s for x in sets for s in x)
-    weights = [{s: 1 + float(np.log(len(texts) / df[s])) for s in x} for x in sets]
+    sets = [np.unique(tv.shingles(w, np.zeros(len(w), np.int64), SHINGLE)[0]) for w in own]
+    df = Counter(s for x in sets for s in x.tolist())
+    weights = [1 + np.log(len(texts) / np.array([df[s] for s in x.tolist()], float)) for x in sets]
+    seeds = [_seeds(x, v, share) if len(w) >= SHINGLE else x[:0] for x, v, w in zip(sets, weights, own, strict=True)]
+    seed, seed_of = np.concatenate([np.zeros(0, np.uint64), *seeds]), np.repeat(np.arange(len(texts)), [len(x) for x in seeds])
+    order = np.argsort(seed, kind="stable")
+    marks = np.zeros(2 ** MARK_BITS, bool)
+    marks[seed >> _U(64 - MARK_BITS)] = True
     sizes: dict[int, list] = {}
     steps = ladder()
     for i, w in enumerate(own):
@@ -106,7 +128,7 @@ def build_index(item_ids: list[int], texts: list[str], radius: int = RADIUS) ->
             block = ((prints >> _U(shift)) & _U(mask)).astype(np.int64)
             tables.append((np.argsort(block, kind="stable"), np.searchsorted(np.sort(block), np.arange(mask + 2))))
         windows[size] = (prints, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), tables)
-    return Index(own, weights, np.array(item_ids, np.int64), windows, cuts)
+    return Index(own, list(zip(sets, weights, strict=True)), (seed[order], seed_of[order], marks), np.array(item_ids, np.int64), windows, cuts)
 
 
 def _near_windows(index: Index, size: int, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -127,14 +149,50 @@ def _near_windows(index: Index, size: int, prints: np.ndarray, radius: int) -> t
     return np.concatenate(windows), np.concatenate(found)
 
 
-def _contained(index: Index, item: int, words: np.ndarray, shingles: np.ndarray, a: int, b: int) -> float:
-    """The share of the item's weight whose shingles lie within words a to b."""
-    weights, n = index.shingles[item], len(index.words[item])
+def _near_seeds(index: Index, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, item) of every seed among the shingles."""
+    seed, item, marks = index.seeds
+    hit = np.flatnonzero(marks[shingles >> _U(64 - MARK_BITS)])
+    first = np.searchsorted(seed, shingles[hit], "left")
+    count = np.searchsorted(seed, shingles[hit], "right") - first
+    total = np.r_[0, np.cumsum(count)]
+    return np.repeat(hit, count), item[np.repeat(first - total[:-1], count) + np.arange(total[-1])]
+
+
+def _contained(index: Index, item: int, words: np.ndarray, shingles: np.ndarray, first: int, end: int, hits: np.ndarray, share: float) -> float:
+    """The largest share of the item's weight within a region of words ``first`` to ``end`` that has one of
+    ``hits`` (in order); 0 if it's under ``share``. A region is a tenth longer than the item at both ends."""
+    mine, n = index.words[item], len(index.words[item])
     if n < SHINGLE:
-        mine = index.words[item]
-        return float(any((words[x:x + n] == mine).all() for x in range(a, b - n + 1)))
-    here = set(shingles[a:max(b - SHINGLE + 1, a)].tolist())
-    return sum(v for s, v in weights.items() if s in here) / sum(weights.values())
+        return float(any((words[x:x + n] == mine).all() for x in hits.tolist() if x + n <= end))
+    own, weights = index.shingles[item]
+    whole = math.fsum(weights)
+    span = n + 2 * max(1, n // 10) - SHINGLE  # from the first shingle of a region to its last
+    best = 0.0
+    apart = np.flatnonzero(np.diff(hits) > 2 * span) + 1
+    for near in np.split(hits, apart):
+        a, b = max(int(near[0]) - span, first), min(int(near[-1]) + span, end - SHINGLE) + 1
+        here = shingles[a:max(b, a)]
+        at = np.minimum(np.searchsorted(own, here), len(own) - 1)
+        place = np.flatnonzero(own[at] == here)
+        at = at[place]
+        if math.fsum(weights[np.unique(at)]) / whole < max(share, best):
+            continue
+        place, kind, weight = place.tolist(), at.tolist(), weights.tolist()
+        times, held, most, i, region = Counter(), 0.0, -1.0, 0, (0, 0)
+        for j, k in enumerate(kind):
+            if not times[k]:
+                held += weight[k]
+            times[k] += 1
+            while place[j] - place[i] > span:
+                times[kind[i]] -= 1
+                if not times[kind[i]]:
+                    held -= weight[kind[i]]
+                i += 1
+            if held > most:
+                most, region = held, (i, j + 1)
+        best = max(best, math.fsum(weights[np.unique(at[slice(*region)])]) / whole)
+    return best if best >= share else 0.0
 
 
 def matches(index: Index, data: np.ndarray, offsets: np.ndarray, radius: int, share: float) -> Iterator[tuple[int, int, float]]:
@@ -144,24 +202,27 @@ def matches(index: Index, data: np.ndarray, offsets: np.ndarray, radius: int, sh
     # The shingle at each word; runs over the end of a text are never inside a region.
     shingles = tv.shingles(words, np.zeros(len(words), np.int64), SHINGLE)[0] if len(words) >= SHINGLE else words[:0]
     sums = bit_sums(words)
-    tried: dict[tuple[int, int, int], float] = {}
-    best: dict[tuple[int, int], float] = {}
-    for size, (_, items, offs, _) in index.windows.items():
+    pos, item = _near_seeds(index, shingles)
+    whole = of[pos] == of[pos + SHINGLE - 1]
+    places, held = [pos[whole]], [item[whole]]
+    for size, (_, items, _, _) in index.windows.items():
         prints = simhash(sums, size)
         inside = np.flatnonzero(of[:len(prints)] == of[size - 1:size - 1 + len(prints)])
         w, e = _near_windows(index, size, prints[inside], radius)
-        for pos, entry in zip(inside[w].tolist(), e.tolist(), strict=True):
-            text, item = int(of[pos]), int(items[entry])
-            start, n = pos - int(offs[entry]), len(index.words[item])
-            if best.get((text, item), 0.0) >= 1.0 or (text, item, start) in tried:
-                continue
-            slack = max(1, n // 10)
-            sim = _contained(index, item, words, shingles, max(start - slack, int(at[text])), min(start + n + slack, int(at[text + 1])))
-            tried[text, item, start] = sim
-            if sim >= share:
-                best[text, item] = max(best.get((text, item), 0.0), sim)
-    for (text, item), sim in best.items():
-        yield text, item, sim
+        places.append(inside[w])
+        held.append(items[e])
+    place, item = np.concatenate(places), np.concatenate(held)
+    order = np.lexsort((place, item, of[place]))
+    place, item = place[order], item[order]
+    text = of[place]
+    new = np.ones(len(place), bool)
+    new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1])
+    starts = np.flatnonzero(new)
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(place)], strict=False):
+        t, i = int(text[a]), int(item[a])
+        sim = _contained(index, i, words, shingles, int(at[t]), int(at[t + 1]), place[a:b], share)
+        if sim:
+            yield t, i, sim
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", radius: int = RADIUS, share: float = 0.8) -> DataFrame:
@@ -189,7 +250,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
         rows = numbered.where(F.col("part") == part).distinct().orderBy("item_id", "text").collect()
         if not rows:
             continue
-        held = spark.sparkContext.broadcast(vars(build_index([r.item_id for r in rows], [r.text for r in rows], radius)))
+        held = spark.sparkContext.broadcast(vars(build_index([r.item_id for r in rows], [r.text for r in rows], radius, share)))
 
         def run(batches, held=held):
             index = Index(**held.value)

@@ -187,3 +187,42 @@ def test_url_verdicts_follow_the_rules_on_urls_not_counted(spark):
     held = [r for r in rows if r.rule and zlib.crc32(r.url.encode()) % uf.FOLDS == 0]
     model = [(r.score, r.verdict == "allow") for r in held]
     assert auc([s for s, _ in model], [int(a) for _, a in model]) > 0.95
+
+
+def test_url_counts_are_exact_and_grow_with_the_urls(spark, monkeypatch):
+    """No two grams share a count, also with far more grams than any fixed table; chunks don't change scores."""
+    import math
+    from collections import Counter
+
+    rng = np.random.default_rng(8)
+    urls = [("http://" + bytes(rng.integers(33, 127, 300).astype(np.uint8)).decode().lower(), bool(k % 2)) for k in range(3000)]
+    model = uf.fit_urls(spark.createDataFrame(urls, "url string, allowed boolean").repartition(4))
+    counts = [Counter(), Counter()]
+    for u, allowed in urls:
+        if zlib.crc32(u.encode()) % uf.FOLDS:
+            b = u.encode()
+            counts[allowed].update((k, b[max(i - k, 0):i], i < k, b[i]) for i in range(len(b)) for k in range(uf.ORDER + 1))
+    grams = counts[0].keys() | counts[1].keys()
+    assert len(grams) > 2 ** 20 and model.table.where(F.col("key") >= uf.GRAM).count() == len(grams)
+    seen, kinds = ([Counter(), Counter()] for _ in "12")
+    for c in (0, 1):
+        for (*key, _), n in counts[c].items():
+            seen[c][tuple(key)] += n
+            kinds[c][tuple(key)] += 1
+
+    def want(u):
+        total = 0.0
+        for i in range(len(u)):
+            p = [1 / 256, 1 / 256]
+            for k in range(uf.ORDER + 1):
+                key = (k, u[max(i - k, 0):i], i < k)
+                for c in (0, 1):
+                    if seen[c][key]:
+                        p[c] = (counts[c][*key, u[i]] + kinds[c][key] * p[c]) / (seen[c][key] + kinds[c][key])
+            total += math.log(max(p[1], 1e-12)) - math.log(max(p[0], 1e-12))
+        return total / max(len(u), 1)
+
+    rows = spark.createDataFrame([(u, i) for i, (u, _) in enumerate(urls[:60])] + [("", 60), (None, 61), ("é日new", 62)], "url string, id long")
+    monkeypatch.setattr(uf, "CHUNK_BYTES", 1000)
+    got = uf._with_scores(rows.repartition(2), model).collect()
+    assert len(got) == 63 and all(abs(r.score - want((r.url or "").lower().encode())) < 1e-9 for r in got)

@@ -6,10 +6,13 @@ from contexts of 0 to ORDER bytes, interpolated with Witten-Bell weights. The
 difference of the log-likelihoods over the length is the score; the cut comes
 from rule-judged URLs that the models haven't seen.
 
-Counting is a Spark aggregation over all rule-judged URLs: tasks count hashed
-grams of their batches, then the counts are added up by bucket. The number of
-buckets is fixed, so the models, which go through the driver to all tasks, are
-bounded whatever the input.
+Counting is a Spark aggregation over all rule-judged URLs: tasks count the
+grams of their batches, then the counts are added up by gram. A context of up
+to 5 bytes and its next byte fit in 64 bits, so no two grams share a count. The
+counts are a Spark table that grows with the URLs; nothing of it is collected or
+made a fixed size. URLs are scored in chunks: each chunk's distinct grams are
+joined to the table, and the task that scores the chunk gets their counts. A
+gram has a row a chunk, however many URLs have it, so common ones need no salt.
 """
 
 from __future__ import annotations
@@ -19,17 +22,18 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from . import textvec as tv
 from .hashed_text import run_sums
 from .util import staged
 
-_U = np.uint64
 ORDER = 5
-BITS = 20      # buckets of contexts, and of contexts with their next byte, of each model; grams that share one share their counts
+GRAM = 1 << 60  # set in the key of a context with its next byte
+CHUNK_BYTES = 1_000_000  # URLs scored at once; a longer one is a chunk of its own
 FOLDS = 5      # one part of the rule-judged URLs calibrates the cut
 MISS = 0.01    # most of the allowed URLs that the cut may block there
 BINS = 1000    # score steps a unit, for the cut
@@ -58,35 +62,64 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return pick(2), pick(1)
 
 
-def gram_hashes(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """(context bucket, gram bucket) at every byte: the ``order`` bytes before it, fewer at the start of a text, without and with it."""
+def gram_keys(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """(context key, gram key) at every byte: the ``order`` bytes before it, fewer at the start of a text, without and with it. Different ones have different keys."""
     place = np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))
-    code = np.full(len(data), order + 1, np.uint64)
+    code = np.zeros(len(data), np.int64)
     for k in range(order, 0, -1):
-        before = np.zeros(len(data), np.uint64)
-        before[k:] = data[:-k].astype(np.uint64) + _U(1)
+        before = np.zeros(len(data), np.int64)
+        before[k:] = data[:-k].astype(np.int64) + 1
         before[place < k] = 0
-        code = code * _U(0x100000001B3) + before
-    gram = tv.mix(code * _U(0x9E3779B97F4A7C15) + data + _U(1))
-    return (tv.mix(code) >> _U(64 - BITS)).astype(np.int64), (gram >> _U(64 - BITS)).astype(np.int64)
+        code = code * 257 + before
+    code += order << 41
+    return code, code << 8 | data | GRAM
+
+
+@dataclass
+class Counts:
+    """Of grams and contexts; blocked, allowed."""
+    keys: np.ndarray   # in order; those left out count 0
+    seen: np.ndarray   # (2, keys): how often it occurs
+    kinds: np.ndarray  # (2, keys): how many different bytes follow a context
+
+    @staticmethod
+    def of(rows: pa.Table) -> Counts:
+        """From rows of a model's table, possibly repeated."""
+        keys, first = np.unique(rows["key"].to_numpy(), return_index=True)
+        column = {c: np.r_[rows[c].to_numpy()[first].astype(np.float64), 0.0] for c in ("blocked", "allowed", "blocked_kinds", "allowed_kinds")}
+        return Counts(np.r_[keys, np.iinfo(np.int64).max], np.array([column["blocked"], column["allowed"]]), np.array([column["blocked_kinds"], column["allowed_kinds"]]))
+
+    def at(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key; the last one, of counts 0, for one left out."""
+        at = np.searchsorted(self.keys, keys)
+        return np.where(self.keys[at] == keys, at, len(self.keys) - 1)
 
 
 @dataclass
 class UrlModel:
-    grams: np.ndarray     # (2, buckets): how often a context is followed by a byte; blocked, allowed
-    contexts: np.ndarray  # (2, buckets): how often a context occurs
-    kinds: np.ndarray     # (2, buckets): how many different bytes follow it
+    table: DataFrame  # key, blocked, allowed, blocked_kinds, allowed_kinds: of all grams and contexts that occur
     cut: float
 
+    def counts(self, data: np.ndarray, offsets: np.ndarray) -> Counts:
+        """Of a few texts, on the driver."""
+        wanted = self.table.sparkSession.createDataFrame(pa.table({"key": _keys(data, offsets)}))
+        return Counts.of(self.table.join(wanted, "key").toArrow())
 
-def score(model: UrlModel, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+
+def _keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """All that ``score`` looks up, once each."""
+    return np.concatenate([np.unique(x) for order in range(ORDER + 1) for x in gram_keys(data, offsets, order)])
+
+
+def score(model: UrlModel | Counts, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Mean log-likelihood difference a byte, allowed over blocked; 0 for an empty text."""
+    counts = model.counts(data, offsets) if isinstance(model, UrlModel) else model
     p = np.full((2, len(data)), 1 / 256)
     for order in range(ORDER + 1):
-        context, gram = gram_hashes(data, offsets, order)
+        context, gram = (counts.at(x) for x in gram_keys(data, offsets, order))
         for c in (0, 1):
-            seen, kinds = model.contexts[c][context], model.kinds[c][context]
-            p[c] = (np.minimum(model.grams[c][gram], seen) + kinds * p[c] + (seen == 0) * p[c]) / (seen + kinds + (seen == 0))
+            seen, kinds = counts.seen[c][context], counts.kinds[c][context]
+            p[c] = (counts.seen[c][gram] + kinds * p[c] + (seen == 0) * p[c]) / (seen + kinds + (seen == 0))
     total = run_sums(np.log(np.maximum(p[1], 1e-12)) - np.log(np.maximum(p[0], 1e-12)), offsets)
     return total / np.maximum(np.diff(offsets), 1)
 
@@ -97,28 +130,31 @@ def _counted(batches):
         for i, j, data, offsets in tv.text_slices(batch.column(0)):
             data = tv.LOWER[data]
             own = np.repeat(label[i:j], np.diff(offsets))
-            parts = []
             for order in range(ORDER + 1):
-                context, gram = gram_hashes(data, offsets, order)
-                parts.append((own << 40) | (context << 20) | gram)
-            keys, n = np.unique(np.concatenate(parts), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["key", "n"])
+                keys, n = np.unique(gram_keys(data, offsets, order)[1] << 1 | own, return_counts=True)
+                n = n.astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys >> 1), pa.array(n * (1 - (keys & 1))), pa.array(n * (keys & 1))], ["key", "blocked", "allowed"])
+
+
+def _count_table(judged: DataFrame) -> DataFrame:
+    """``UrlModel.table`` from rows (url, label)."""
+    grams = staged(judged.mapInArrow(_counted, "key long, blocked long, allowed long").groupBy("key")
+                   .agg(F.sum("blocked").alias("blocked"), F.sum("allowed").alias("allowed")), "url-grams")
+    contexts = grams.groupBy(F.shiftright(F.col("key").bitwiseAND(GRAM - 1), 8).alias("key")).agg(
+        F.sum("blocked").alias("blocked"), F.sum("allowed").alias("allowed"),
+        F.count_if(F.col("blocked") > 0).alias("blocked_kinds"), F.count_if(F.col("allowed") > 0).alias("allowed_kinds"))
+    none = F.lit(0).cast("long")
+    return staged(grams.select("*", none.alias("blocked_kinds"), none.alias("allowed_kinds")).unionByName(contexts), "url-counts")
 
 
 def fit_urls(judged: DataFrame, miss: float = MISS) -> UrlModel | None:
     """Models and cut from rows (url, allowed boolean); None unless both verdicts occur."""
     judged = judged.where("url <> ''").select("url", F.col("allowed").cast("int").alias("label"), (F.crc32(F.col("url").cast("binary")) % FOLDS == 0).alias("held"))
-    pairs = staged(judged.where("not held").select("url", "label").mapInArrow(_counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "url-grams")
-    split = pairs.select(F.shiftright("key", 40).alias("label"), F.shiftright("key", 20).bitwiseAND(2 ** 20 - 1).alias("context"), F.col("key").bitwiseAND(2 ** 20 - 1).alias("gram"), "n")
-    contexts = split.groupBy("label", "context").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).toArrow()
-    grams = split.groupBy("label", "gram").agg(F.sum("n").alias("n")).toArrow()
-    model = UrlModel(*(np.zeros((2, 2 ** BITS), np.float32) for _ in range(3)), 0.0)
-    label, at, n = (grams[c].to_numpy() for c in ("label", "gram", "n"))
-    model.grams[label, at] = n
-    label, at = contexts["label"].to_numpy(), contexts["context"].to_numpy()
-    model.contexts[label, at], model.kinds[label, at] = contexts["n"].to_numpy(), contexts["kinds"].to_numpy()
-    if not (model.contexts.sum(axis=1) > 0).all():
+    counts = _count_table(judged.where("not held").select("url", "label"))
+    empty = counts.where("key = 0").first()  # the context of no bytes, before every byte
+    if not (empty and empty.blocked and empty.allowed):
         return None
+    model = UrlModel(counts, 0.0)
     held = judged.where("held").select("url", "label")
     scored = _with_scores(held, model).select("label", F.round(F.greatest(F.least("score", F.lit(20.0)), F.lit(-20.0)) * BINS).cast("int").alias("bin"))
     bins = scored.groupBy("label", "bin").count().collect()
@@ -134,17 +170,42 @@ def fit_urls(judged: DataFrame, miss: float = MISS) -> UrlModel | None:
     return model
 
 
-def _with_scores(rows: DataFrame, model: UrlModel | None) -> DataFrame:
-    """``rows`` (the text first) and their score."""
-    held = rows.sparkSession.sparkContext.broadcast(vars(model) if model else None)
+def _chunked(batches):
+    """The rows (the text first) and their chunk; a chunk's rows follow each other."""
+    chunk = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        of = np.zeros(batch.num_rows, np.int64)
+        for i, j in tv.slices(tv.utf8(batch.column(0))[1], CHUNK_BYTES):
+            of[i:j] = chunk
+            chunk += 1
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(of)], [*batch.schema.names, "chunk"])
+
+
+def _wanted(batches):
+    """(chunk, key) of rows (text, chunk): twice where a batch ends inside a chunk."""
+    for batch in batches:
+        of = batch.column(1).to_numpy()
+        starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else []
+        for a, b in zip(starts, [*starts[1:], len(of)], strict=False):
+            for _, _, data, offsets in tv.text_slices(batch.column(0).slice(a, b - a)):
+                keys = _keys(tv.LOWER[data], offsets)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), of[a])), pa.array(keys)], ["chunk", "key"])
+
+
+def _scored(rows: pa.Table, found: pa.Table) -> pa.Table:
+    """A chunk's rows and their score, from the counts of its grams."""
+    counts = Counts.of(found)
+    parts = [score(counts, tv.LOWER[data], offsets) for _, _, data, offsets in tv.text_slices(rows.column(0))]
+    return rows.drop_columns(["chunk"]).append_column("score", pa.array(np.concatenate(parts)))
 
-    def run(batches):
-        m = UrlModel(**held.value) if held.value else None
-        for batch in batches:
-            parts = [score(m, tv.LOWER[data], offsets) if m else np.zeros(j - i) for i, j, data, offsets in tv.text_slices(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(parts) if parts else np.zeros(0))], [*batch.schema.names, "score"])
 
-    return rows.mapInArrow(run, StructType([*rows.schema, StructField("score", DoubleType())]))
+def _with_scores(rows: DataFrame, model: UrlModel | None) -> DataFrame:
+    """``rows`` (the text first) and their score."""
+    if not model:
+        return rows.withColumn("score", F.lit(0.0))
+    chunked = staged(rows.mapInArrow(_chunked, StructType([*rows.schema, StructField("chunk", LongType())])), "url-chunks")
+    found = chunked.select(rows.columns[0], "chunk").mapInArrow(_wanted, "chunk long, key long").join(model.table, "key")
+    return chunked.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(_scored, StructType([*rows.schema, StructField("score", DoubleType())]))
 
 
 def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES) -> DataFrame:

@@ -163,3 +163,15 @@ def test_weights_and_regions_against_brute_force():
     index = dc.build_index([i for i, _ in items], [x for _, x in items])
     got = {(t, i): sim for t, i, sim in dc.matches(index, *tv.utf8(pa.array(texts)), dc.RADIUS, 0.8) if abs(sim - 0.8) > 1e-9}
     assert got.keys() == want.keys() and want and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_weights_follow_the_whole_benchmark_in_any_block(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    parts = [[f"p{k}x{i}" for i in range(12)] for k in range(8)]
+    rows = [(i, " ".join(sum((parts[k] for k in rng.integers(0, 8, 2)), [f"own{i}x{j}" for j in range(int(rng.integers(8, 30)))])), 0) for i in range(40)]
+    rows = bench(spark, rows)
+    df = spark.createDataFrame([(r.item_id, " ".join(r.text.split()[:-6]), "en", "x", 1, True, "") for r in rows.collect()], SCHEMA)
+    whole = found(df, rows)
+    monkeypatch.setattr(dc, "BLOCK_BYTES", 3000)
+    got = found(df, rows)
+    assert got.keys() == whole.keys() and whole and all(abs(got[k] - whole[k]) < 1e-9 for k in whole)

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from . import textvec as tv
+from .util import staged
 
 _U = np.uint64
 SHINGLE = 5
@@ -97,15 +98,32 @@ def _seeds(shingles: np.ndarray, weights: np.ndarray, share: float) -> np.ndarra
     return shingles[order[:enough[0] + 1 if len(enough) else len(order)]]
 
 
-def build_index(item_ids: list[int], texts: list[str], radius: int = RADIUS, share: float = 0.8) -> Index:
-    data, offsets = tv.utf8(pa.array(texts, pa.string()))
+def _own_shingles(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(words, distinct shingles) of every text."""
+    data, offsets = tv.utf8(texts)
     data, offsets = data[offsets[0]:offsets[-1]], offsets - offsets[0]
     words, of = tv.word_hashes(data, offsets, breaks=tv.PUNCTUATION)
     at = tv.per_text(of, len(texts))
-    own = [words[at[i]:at[i + 1]] for i in range(len(texts))]
-    sets = [np.unique(tv.shingles(w, np.zeros(len(w), np.int64), SHINGLE)[0]) for w in own]
-    df = Counter(s for x in sets for s in x.tolist())
-    weights = [1 + np.log(len(texts) / np.array([df[s] for s in x.tolist()], float)) for x in sets]
+    for i in range(len(texts)):
+        own = words[at[i]:at[i + 1]]
+        yield own, np.unique(tv.shingles(own, np.zeros(len(own), np.int64), SHINGLE)[0])
+
+
+def _shingle_rows(batches):
+    """(part, shingle) of rows (text, part): the distinct shingles of each."""
+    for batch in batches:
+        sets = [x for _, x in _own_shingles(batch.column(0))]
+        part = np.repeat(batch.column(1).to_numpy(), [len(x) for x in sets])
+        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64))], ["part", "shingle"])
+
+
+def build_index(item_ids: list[int], texts: list[str], radius: int = RADIUS, share: float = 0.8, common: dict[int, int] | None = None, total: int = 0) -> Index:
+    """Weights follow the counts of these items, or ``common``: of ``total`` items, how many have each shingle that more than one has."""
+    parts = list(_own_shingles(pa.array(texts, pa.string())))
+    own, sets = [w for w, _ in parts], [x for _, x in parts]
+    if common is None:
+        common, total = Counter(s for x in sets for s in x.tolist()), len(texts)
+    weights = [1 + np.log(total / np.array([common.get(s, 1) for s in x.tolist()], float)) for x in sets]
     seeds = [_seeds(x, v, share) if len(w) >= SHINGLE else x[:0] for x, v, w in zip(sets, weights, own, strict=True)]
     seed, seed_of = np.concatenate([np.zeros(0, np.uint64), *seeds]), np.repeat(np.arange(len(texts)), [len(x) for x in seeds])
     order = np.argsort(seed, kind="stable")
@@ -236,7 +254,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
 
     The benchmark is indexed in blocks of at most BLOCK_BYTES of text (a longer
     item is a block of its own), one after the other; each block's index is
-    broadcast, so its size is bounded whatever the benchmark's.
+    broadcast, so its size is bounded whatever the benchmark's. Weights follow
+    the whole benchmark: Spark counts the items with each shingle, and a block
+    gets the counts of its own.
     """
     spark = docs.sparkSession
     out = docs.drop("__found").withColumn("__found", F.array().cast(FOUND))
@@ -244,13 +264,20 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     size = items.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     parts = max(1, -(-2 * size // BLOCK_BYTES))
     numbered = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
+    numbered = staged(numbered.distinct(), "benchmark-items")
+    total = numbered.count()
+    common = staged(numbered.select("text", "part").mapInArrow(_shingle_rows, "part long, shingle long")
+                    .groupBy("shingle").agg(F.count("*").alias("n"), F.collect_set("part").alias("parts"))
+                    .where("n > 1").select(F.explode("parts").alias("part"), "shingle", "n"), "benchmark-shingles")
     fields = out.columns
     place = fields.index(text_col)
     for part in range(parts):
-        rows = numbered.where(F.col("part") == part).distinct().orderBy("item_id", "text").collect()
+        rows = numbered.where(F.col("part") == part).orderBy("item_id", "text").collect()
         if not rows:
             continue
-        held = spark.sparkContext.broadcast(vars(build_index([r.item_id for r in rows], [r.text for r in rows], radius, share)))
+        counts = common.where(F.col("part") == part).toArrow()
+        counts = dict(zip(counts["shingle"].to_numpy().view(np.uint64).tolist(), counts["n"].to_pylist(), strict=True))
+        held = spark.sparkContext.broadcast(vars(build_index([r.item_id for r in rows], [r.text for r in rows], radius, share, counts, total)))
 
         def run(batches, held=held):
             index = Index(**held.value)

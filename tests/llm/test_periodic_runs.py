@@ -1,0 +1,130 @@
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tillroll.llm import periodic_runs, textvec as tv
+from tillroll.llm.periodic_runs import find_runs, runs_of, stretches
+from tillroll.llm.runs_query import op12_periodic_runs
+
+from . import cases
+
+
+def by_hand(w):
+    """Every stretch of equal words q apart, as long as it goes, that has no smaller period."""
+    out = []
+    for q in range(1, len(w) // 4 + 1):
+        i = 0
+        while i + q < len(w):
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            part = w[i:j + q]
+            if j > i and len(part) >= max(6, 4 * q) and not any(part[x:] == part[:-x] for x in range(1, q)):
+                out.append((i, len(part), q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def row_by_hand(words):
+    runs = by_hand(words)
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    return len(words), runs, sha("".join(f"{s},{n},{q}\n" for s, n, q in runs)), sha(" ".join(w for i, w in enumerate(words) if i not in gone))
+
+
+def split(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def got(row):
+    return row.n_words, [tuple(r) for r in row.runs], row.runs_sha256, row.collapsed_sha256
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.integers(0, 2), min_size=1, max_size=7), st.integers(1, 7)), max_size=6))
+def test_runs_of_repeated_parts(parts):
+    words = [w for part, times in parts for w in part * times]
+    assert runs_of(words) == by_hand(words)
+
+
+def test_stretches_lose_no_run():
+    rnd = random.Random(5)
+    for _ in range(300):
+        texts = []
+        for _ in range(rnd.randint(1, 4)):
+            w = [rnd.randrange(60) for _ in range(rnd.randint(0, 40))]
+            for _ in range(rnd.randint(0, 3)):
+                i = rnd.randint(0, len(w))
+                w[i:i] = [rnd.randrange(4) for _ in range(rnd.randint(1, 5))] * rnd.randint(3, 7)
+            texts.append(w)
+        words = np.array([x for t in texts for x in t], np.uint64)
+        of = np.array([i for i, t in enumerate(texts) for _ in t], np.int64)
+        at = tv.per_text(of, len(texts))
+        found = stretches(words, of, at)
+        assert all(a < b and of[a] == of[b - 1] for a, b in found) and all(x[1] <= y[0] for x, y in zip(found, found[1:]))
+        for i, t in enumerate(texts):
+            for s, n, _ in by_hand(t):
+                assert any(a <= at[i] + s and at[i] + s + n <= b for a, b in found)
+
+
+def test_whole_rows_match_a_plain_version(spark):
+    rnd = random.Random(3)
+    rows = []
+    for i in range(300):
+        w = [rnd.choice("der Fluß und the мир w1 w2 é".split()) for _ in range(rnd.randint(0, 50))]
+        for _ in range(rnd.randint(0, 3)):
+            j = rnd.randint(0, len(w))
+            w[j:j] = [rnd.choice("a b ç".split()) for _ in range(rnd.randint(1, 6))] * rnd.randint(2, 8)
+        rows.append((i, "".join(x + rnd.choice([" ", "\n", "\t ", "\x0b", "\xa0", "\r\n"]) for x in w)))
+    out = find_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(out) == 300 and any(len(r.periodic.runs) > 1 for r in out)
+    for r in out:
+        assert got(r.periodic) == row_by_hand(split(r.text))
+
+
+def test_awkward_rows_and_empty_tables(spark):
+    docs = cases.docs(spark).selectExpr("*", "1 AS periodic", "'x' AS runs")
+    out = find_runs(docs).collect()
+    assert len(out) == len(cases.TEXTS) and {r.runs for r in out} == {"x"}
+    for r in out:
+        assert got(r.periodic) == row_by_hand(split(r.text)) if r.doc_id != 8 else r.periodic.n_words == 40_000
+    assert [r.periodic.n_words for r in out if r.text is None] == [0, 0]
+    assert find_runs(cases.empty(spark)).count() == 0
+
+
+def test_long_periods_and_long_texts():
+    part = [i * 7919 % 3001 for i in range(3001)]
+    words = part * 5 + list(range(5000, 15000)) + [1] * 20_000
+    assert runs_of(words) == [(0, 15005, 3001), (25005, 20_000, 1)]
+    assert runs_of([1, 2] * 3) == [] and runs_of([1] * 5) == [] and runs_of([1] * 6) == [(0, 6, 1)] and runs_of([1, 2] * 4) == [(0, 8, 2)]
+
+
+@pytest.mark.parametrize("sf", ["sf0.001"])
+def test_query_matches_a_plain_version(spark, sf):
+    rows = {r.doc_id: r for r in op12_periodic_runs(spark, f"/root/testdata/{sf}").collect()}
+    docs = cases.table(spark, "documents").collect()
+    assert len(rows) == len(docs)
+    seen = 0
+    for d in docs:
+        w = split(d.text)
+        h = zlib.crc32(str(d.doc_id).encode())
+        if h % 10 == 0 and w:
+            g, n = h // 10, len(w)
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+        r = rows[d.doc_id]
+        if len(w) > 3000:
+            continue  # the plain version is quadratic; the longest texts are compared by runs_of alone
+        _, runs, lines, kept = row_by_hand(w)
+        top = min(runs, key=lambda x: (-x[1], x[0], x[2]), default=(None, None, None))
+        assert (r.n_runs, r.runs_sha256, r.collapsed_sha256) == (len(runs), lines, kept)
+        assert (r.start, r.length, r.period) == top and r.exponent_milli == (top[1] * 1000 // top[2] if runs else None)
+        seen += bool(runs)
+    assert seen > 5 and periodic_runs.WINDOW == 4

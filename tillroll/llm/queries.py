@@ -17,6 +17,7 @@ from .language_id import learn_and_identify
 from .mix_query import op11_source_mix
 from .quality_classifier import learn_and_grade
 from .quality_rules import quality_rules
+from .runs_query import op12_periodic_runs
 from .secret_scan import BASE, find_secrets, joined_spans
 from .sentencepiece_unigram import encode_texts
 from .toxicity import learn_and_score
@@ -85,7 +86,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_rules, op2_ngram_jaccard_join, op3_url_filter, op4_quality_classifier, op5_html_extraction, op6_secret_scan,
-                            op7_language_id, op8_decontamination, op9_sentencepiece, op10_toxicity, op11_source_mix, pipeline)}
+                            op7_language_id, op8_decontamination, op9_sentencepiece, op10_toxicity, op11_source_mix, op12_periodic_runs, pipeline)}
 SQL: dict[str, str] = {**sql.SQL, "op11_source_mix": mix_query.SQL}
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import mix_query, sql
+from . import mix_query, phrases_query, sql
 from .decontamination import find_contamination
 from .html_extraction import extract_main_text, fit_pages
 from .jaccard_join import ngram_jaccard_join
 from .language_id import learn_and_identify
 from .mix_query import op11_source_mix
+from .phrases_query import op13_phrase_collocations
 from .quality_classifier import learn_and_grade
 from .quality_rules import quality_rules
 from .runs_query import op12_periodic_runs
@@ -86,7 +87,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_rules, op2_ngram_jaccard_join, op3_url_filter, op4_quality_classifier, op5_html_extraction, op6_secret_scan,
-                            op7_language_id, op8_decontamination, op9_sentencepiece, op10_toxicity, op11_source_mix, op12_periodic_runs, pipeline)}
-SQL: dict[str, str] = {**sql.SQL, "op11_source_mix": mix_query.SQL}
+                            op7_language_id, op8_decontamination, op9_sentencepiece, op10_toxicity, op11_source_mix, op12_periodic_runs, op13_phrase_collocations, pipeline)}
+SQL: dict[str, str] = {**sql.SQL, "op11_source_mix": mix_query.SQL, "op13_phrase_collocations": phrases_query.SQL}
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

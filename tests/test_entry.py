@@ -13,7 +13,8 @@ FAST = ["enrich_sales", "customer_mart", "sales_team_mart", "customer_monthly_to
         "customer_monthly_total_varying", "sales_team_monthly_total", "fold_extras",
         "ledger_open_files", "unmatched_facts", "store_csv_roundtrip", "product_csv_roundtrip",
         "sales_team_csv_roundtrip", "quarantine_written", "reject_rows", "ledger_roundtrip",
-        "job_monthly_total", "job_two_runs", "partitioned_snapshot"]
+        "job_monthly_total", "job_two_runs", "partitioned_snapshot", "job_grown_folder", "mart_over_runs",
+        "mart_month_compacted", "set_aside_once", "one_folder_layouts"]
 
 
 def test_entry_runs(spark):

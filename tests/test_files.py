@@ -185,7 +185,7 @@ def test_money_is_rounded_half_up_to_cents(spark, tmp):
 
 
 def test_reads_folders_where_their_files_agree(spark, tmp):
-    from tillroll.sources.sales_csv import layout_paths
+    from tillroll.sources.sales_csv import layout_folders
 
     root = os.path.join(tmp, "folders")
     for name, lines in {"same/a.csv": [HDR, ROW], "same/b.csv": [HDR, ROW], "same/x.txt": ["n"], "mixed/a.csv": [HDR, ROW], "mixed/b.csv": ["x", "1"],
@@ -194,8 +194,9 @@ def test_reads_folders_where_their_files_agree(spark, tmp):
         with open(os.path.join(root, name), "w") as fh:
             fh.write("".join(x + "\n" for x in lines))
     _, routed = batch.route(spark, root)
-    (paths,) = layout_paths(routed).values()
-    assert [p.split("folders/")[1] for p in paths] == ["above/a.csv", "above/k=1", "mixed/a.csv", "same"]
+    whole, mixed = layout_folders(routed)
+    (paths,) = whole.values()
+    assert [[p.split("folders/")[1] for p in x] for x in (paths, mixed)] == [["above/k=1", "same"], ["above", "mixed"]]
     assert batch.ingest(spark, root).read.accepted.count() == 5
 
 

@@ -5,6 +5,7 @@ import io
 import os
 
 from conftest import SF0001
+from tillroll.contracts import SALES_SCHEMA
 from tillroll.plans import batch, catalog
 
 
@@ -28,6 +29,4 @@ def test_no_good_file_gives_empty_typed_fact(spark, tmp):
     assert ing.read.layouts == 0
     acc = ing.read.accepted
     assert acc.count() == 0
-    assert acc.columns[:9] == ["customer_id", "store_id", "product_name", "sales_date",
-                               "sales_person_id", "price", "quantity", "total_cost",
-                               "additional_column"]
+    assert acc.columns[:9] == SALES_SCHEMA.names

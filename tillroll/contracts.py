@@ -98,3 +98,5 @@ LEDGER_SCHEMA = T.StructType([
 # Ledger status codes: 'A' = file taken into a run, 'I' = run finished with it.
 STATUS_OPEN = "A"
 STATUS_DONE = "I"
+# Of this library: the file was set aside.
+STATUS_SET_ASIDE = "Q"

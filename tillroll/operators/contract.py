@@ -28,13 +28,16 @@ def header_contract(
     """
     req = F.array(*[F.lit(c) for c in required])
     h = headers.withColumn("header", header_fields("header_line"))
+    if "no_line_end" not in h.columns:  # the bounded reader tells
+        h = h.withColumn("no_line_end", F.lit(False))
     quotes = F.length("header_line") - F.length(F.regexp_replace("header_line", '"', ""))
     missing = F.array_sort(F.array_except(req, F.col("header")))
     # Spark resolves column names case-insensitively by default, so names
     # that differ only in case would collide in the reader: set them aside.
     dup = F.size(F.array_distinct(F.transform("header", F.lower))) != F.size("header")
     reason = (
-        F.when(F.col("header_line").isNull(), F.lit("empty"))
+        F.when(F.col("no_line_end"), F.lit("no_line_end"))
+        .when(F.col("header_line").isNull(), F.lit("empty"))
         .when(quotes % 2 != 0, F.lit("unbalanced_quotes"))
         .when(F.size(missing) > 0, F.concat(F.lit("missing:"), F.array_join(missing, ",")))
         .when(dup, F.lit("duplicate_columns"))
@@ -47,6 +50,7 @@ def header_contract(
         .withColumn("extra", F.array_except(F.col("header"), req))
         .withColumn("reason", reason)
         .withColumn("ok", F.col("reason").isNull())
+        .drop("no_line_end")
     )
 
 
@@ -55,17 +59,21 @@ def route_files(manifest: DataFrame, headers: DataFrame,
     """Manifest + header contract: one row per listed file with its route.
 
     Non-CSV files get reason 'not_csv', names that Spark's readers skip
-    (leading '_' or '.') get 'hidden', CSV files with no line get 'empty'.
+    (leading '_' or '.') get 'hidden', CSV files with no line get 'empty',
+    those whose header has no end within the reader's bound 'no_line_end'.
     n_lines is null where lines were not counted.
     The manifest is one short row per file, so this join is between two
     file-level tables, never data rows.
     """
     m = manifest.alias("m")
+    if "no_line_end" not in headers.columns:
+        headers = headers.withColumn("no_line_end", F.lit(False))
     joined = m.join(headers.alias("h"), F.col("m.file_path") == F.col("h.file_path"), "left")
     base = joined.select(
-        F.col("m.file_path").alias("file_path"), "file_name", "length", "is_csv",
+        F.col("m.file_path").alias("file_path"), "file_name", "length", F.col("m.modification_time"), "is_csv",
         F.when(F.col("is_csv"), F.col("h.header_line")).alias("header_line"),
         F.col("h.n_lines").alias("n_lines"),
+        F.coalesce("h.no_line_end", F.lit(False)).alias("no_line_end"),
         # Listed, not empty, but no reader saw a line of it: Spark skips such names.
         (F.col("file_name").rlike("^[_.]") | (F.col("length") > 0) & F.col("h.file_path").isNull()
          & F.col("m.file_path").rlike("/[_.]")).alias("hidden"),

@@ -26,10 +26,10 @@ def customer_mart(enriched: DataFrame) -> DataFrame:
     return enriched.select(*CUSTOMER_MART_COLUMNS)
 
 
-def sales_team_mart(enriched: DataFrame) -> DataFrame:
-    """Projection for the sales-team mart plus the 'yyyy-MM' sales_month."""
+def sales_team_mart(enriched: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Projection for the sales-team mart plus the 'yyyy-MM' sales_month (and columns to carry)."""
     return enriched.select(
-        *SALES_TEAM_MART_COLUMNS, month_key("sales_date").alias("sales_month")
+        *SALES_TEAM_MART_COLUMNS, month_key("sales_date").alias("sales_month"), *carry
     )
 
 
@@ -37,9 +37,8 @@ CUSTOMER_MONTH_KEYS = ("customer_id", "full_name", "address", "phone_number", "s
 TEAM_MONTH_KEYS = ("store_id", "sales_person_id", "full_name", "sales_month")
 
 
-def customer_month_sums(mart: DataFrame) -> DataFrame:
-    """Exact cents per customer, attribute variant and month: what a run adds to the totals."""
-    keyed = mart.select(
+def _customer_months(mart: DataFrame) -> DataFrame:
+    return mart.select(
         "customer_id",
         full_name("first_name", "last_name").alias("full_name"),
         "address",
@@ -47,11 +46,27 @@ def customer_month_sums(mart: DataFrame) -> DataFrame:
         month_key("sales_date").alias("sales_date_month"),
         cents("total_cost").alias("total_cents"),
     )
-    return keyed.groupBy(*CUSTOMER_MONTH_KEYS).agg(F.sum("total_cents").alias("total_cents"))
+
+
+def customer_month_sums(mart: DataFrame) -> DataFrame:
+    """Exact cents per customer, attribute variant and month."""
+    return _customer_months(mart).groupBy(*CUSTOMER_MONTH_KEYS).agg(F.sum("total_cents").alias("total_cents"))
+
+
+def month_delta(mart: DataFrame, keys: tuple[str, ...], sign: int = 1) -> DataFrame:
+    """What rows of the customer mart (``keys``: CUSTOMER_MONTH_KEYS) or of the sales-team
+    mart (TEAM_MONTH_KEYS) add to the month sums, or take away: cents and rows."""
+    rows = _customer_months(mart) if keys == CUSTOMER_MONTH_KEYS else _team_months(mart)
+    return rows.groupBy(*keys).agg((F.sum("total_cents") * sign).alias("total_cents"), (F.count(F.lit(1)) * sign).alias("n_rows"))
+
+
+def merge_deltas(deltas: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Month sums of deltas and earlier sums together; groups that lost all their rows go."""
+    return deltas.groupBy(*keys).agg(F.sum("total_cents").alias("total_cents"), F.sum("n_rows").alias("n_rows")).where("n_rows <> 0")
 
 
 def customer_total_of_sums(sums: DataFrame) -> DataFrame:
-    """The monthly totals of the month sums of one or many runs (see customer_monthly_total)."""
+    """The monthly totals of month sums (see customer_monthly_total)."""
     w = Window.partitionBy("customer_id", "sales_date_month")
     merged = sums.groupBy(*CUSTOMER_MONTH_KEYS).agg(F.sum("total_cents").alias("total_cents"))
     return merged.select(*CUSTOMER_MONTH_KEYS, from_cents(F.sum("total_cents").over(w)).alias("total_sales"))
@@ -77,18 +92,23 @@ def customer_monthly_total(mart: DataFrame) -> DataFrame:
         *CUSTOMER_MONTH_KEYS, from_cents(F.sum("total_cents").over(w)).alias("total_sales"))
 
 
-def sales_team_month_sums(mart: DataFrame) -> DataFrame:
-    """Exact cents per store, sales person and month: what a run adds to the totals."""
-    return mart.groupBy(
+def _team_months(mart: DataFrame) -> DataFrame:
+    return mart.select(
         "store_id",
         "sales_person_id",
         full_name("sales_person_first_name", "sales_person_last_name").alias("full_name"),
         "sales_month",
-    ).agg(F.sum(cents("total_cost")).alias("total_cents"))
+        cents("total_cost").alias("total_cents"),
+    )
+
+
+def sales_team_month_sums(mart: DataFrame) -> DataFrame:
+    """Exact cents per store, sales person and month."""
+    return _team_months(mart).groupBy(*TEAM_MONTH_KEYS).agg(F.sum("total_cents").alias("total_cents"))
 
 
 def sales_team_total_of_sums(sums: DataFrame, incentive: Column | None = None) -> DataFrame:
-    """The monthly totals of the month sums of one or many runs (see sales_team_monthly_total)."""
+    """The monthly totals of month sums (see sales_team_monthly_total)."""
     agg = sums.groupBy(*TEAM_MONTH_KEYS).agg(from_cents(F.sum("total_cents")).alias("total_sales"))
     inc = incentive if incentive is not None else F.lit(None)
     return agg.withColumn("incentive", inc.cast(MONEY_TOTAL))

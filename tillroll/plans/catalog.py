@@ -26,7 +26,7 @@ from tillroll.contracts import (
 from tillroll.plans import batch, landing, star
 from tillroll.session import app_id, fresh_dir
 from tillroll.sinks import parquet
-from tillroll.sinks.quarantine import quarantine
+from tillroll.sinks.quarantine import quarantine, set_aside
 from tillroll.sources import fs
 from tillroll.sources.files import file_manifest
 from tillroll.sources.sales_csv import read_dim
@@ -410,6 +410,64 @@ def q_job_two_runs(spark, sf):
     return normalise(parquet.latest_snapshot(spark, f"{out}/customer_monthly_total").drop("run_id"))
 
 
+def _grown(spark, sf) -> str:
+    """Three runs over a folder that grows, the earlier files and the bad ones still in it; a fourth finds nothing new.
+    (Marts by month only, to spare the test disk; job_monthly_total writes the (month, store) folders.)"""
+    def make():
+        out = fresh_dir(spark, "job3")
+        keys = {"partition_keys": ("sales_month",)}
+        _run_job(spark, sf, out, "000000000000001", ["standard", "missing"], **keys)
+        _run_job(spark, sf, out, "000000000000002", ["standard", "missing", "extra"], **keys)
+        _run_job(spark, sf, out, "000000000000003", [""], **keys)
+        try:
+            _run_job(spark, sf, out, "000000000000004", [""], **keys)
+        except batch.NothingToProcess:
+            return out
+        raise AssertionError("files were taken in twice")
+    return _once(spark, sf, "job3", make)
+
+
+def q_job_grown_folder(spark, sf):
+    """Every file counts once, whichever run saw it first and however often it was listed."""
+    return normalise(parquet.latest_snapshot(spark, f"{_grown(spark, sf)}/customer_monthly_total").drop("run_id"))
+
+
+def _store_months(rows):
+    return rows.groupBy(
+        F.col("sales_month").cast("string").alias("sales_month"), F.col("store_id").cast("bigint").alias("store_id"),
+    ).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("total_cost").cast("double").alias("total_sales"))
+
+
+def q_mart_over_runs(spark, sf):
+    """The partitioned mart of all three runs together, pruned by month."""
+    rows = parquet.all_runs(spark, f"{_grown(spark, sf)}/sales_team_partitioned")
+    return _store_months(rows.filter(F.col("sales_month") == PRUNE_MONTH))
+
+
+def q_mart_month_compacted(spark, sf):
+    """The same after its month was rewritten as one folder."""
+    def make():
+        out = _grown(spark, sf)
+        parquet.compact_months(spark, f"{out}/sales_team_partitioned", keys=("sales_month",), months=[f"sales_month={PRUNE_MONTH}"])
+        return out
+    rows = parquet.all_runs(spark, f"{_once(spark, sf, 'job3c', make)}/sales_team_partitioned")
+    return _store_months(rows.filter(F.col("sales_month") == PRUNE_MONTH))
+
+
+def q_set_aside_once(spark, sf):
+    """Lines of files that three runs found bad: kept once."""
+    _, lines = set_aside(spark, _grown(spark, sf))
+    header = ",".join(landing.LAYOUTS["missing"][0])
+    return lines.filter(F.col("raw_line") != header).select(F.element_at(F.split("file_path", "/"), -3).alias("layout"), "reason", "raw_line")
+
+
+def q_one_folder_layouts(spark, sf):
+    """Files of four layouts in one folder, accepted ones parsed in one scan."""
+    root = _once(spark, sf, "landing_one", lambda: landing.write_one_folder(spark, sf))
+    acc = batch.ingest(spark, root).read.accepted
+    return normalise(acc.select(*[c for c in acc.columns if not c.startswith("_")]))
+
+
 def q_ledger_roundtrip(spark, sf):
     """Events appended and read back: a run took in all files and finished those of
     one layout; of the files still present (not the set-aside ones) the open ones by layout."""
@@ -579,6 +637,18 @@ SELECT strftime(sales_date, '%Y-%m') AS sales_month, CAST(store_id AS BIGINT) AS
 FROM enriched GROUP BY ALL"""
 
 
+SQL["job_grown_folder"] = SQL["job_monthly_total"]
+SQL["mart_over_runs"] = "WITH " + _ENRICHED_SQL.replace(
+    "FROM fact f\n", "FROM (SELECT * FROM fact WHERE l_returnflag <> 'R') f\n"
+) + f"""
+SELECT strftime(sales_date, '%Y-%m') AS sales_month, CAST(store_id AS BIGINT) AS store_id,
+       COUNT(*) AS n_rows, CAST(SUM(total_cost) AS DOUBLE) AS total_sales
+FROM enriched WHERE strftime(sales_date, '%Y-%m') = '{PRUNE_MONTH}' GROUP BY ALL"""
+SQL["mart_month_compacted"] = SQL["mart_over_runs"]
+SQL["set_aside_once"] = SQL["quarantine_written"]
+SQL["one_folder_layouts"] = SQL["reconcile_layouts"]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enrich_sales": q_enrich_sales,
     "customer_mart": q_customer_mart,
@@ -606,4 +676,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ledger_roundtrip": q_ledger_roundtrip,
     "job_two_runs": q_job_two_runs,
     "partitioned_snapshot": q_partitioned_snapshot,
+    "job_grown_folder": q_job_grown_folder,
+    "mart_over_runs": q_mart_over_runs,
+    "mart_month_compacted": q_mart_month_compacted,
+    "set_aside_once": q_set_aside_once,
+    "one_folder_layouts": q_one_folder_layouts,
 }

@@ -78,3 +78,12 @@ def write_bad_dates(spark: SparkSession, sf_dir: str, bad: str,
         F.col("sales_date").cast("string"))
     write_layout(fact, REQUIRED_COLUMNS, f"{root}/standard", date_col=date_col)
     return root
+
+
+def write_one_folder(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
+    """The files of all four layouts side by side in one folder, as a source without sub-folders leaves them."""
+    root = root or fresh_dir(spark, "landing-one")
+    fact = landing_fact(spark, sf_dir)
+    for cols, pred in LAYOUTS.values():
+        fact.filter(F.expr(pred)).select(*cols).write.mode("append").option("header", "true").csv(f"{root}/all")
+    return root

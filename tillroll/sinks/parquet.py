@@ -1,10 +1,16 @@
-"""Parquet mart writers and the snapshot reader."""
+"""Parquet mart writers, the snapshot readers and the compactor of months."""
 
 from __future__ import annotations
 
+import json
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tillroll.operators.intake import FILE_KEY
+from tillroll.sinks import commits
 from tillroll.sources.fs import glob_names
 
 SNAPSHOT_KEY = "run_id"
@@ -47,8 +53,6 @@ def read_partitioned(spark: SparkSession, path: str, types: dict[str, str]) -> D
     data schema is taken from the files and the named partition columns get
     ``types``; filters on them still prune folders.
     """
-    from pyspark.sql import types as T
-
     inferred = spark.read.parquet(path).schema
     fields = [T.StructField(f.name, T.DataType.fromDDL(types[f.name]), True)
               if f.name in types else f for f in inferred.fields]
@@ -88,14 +92,29 @@ def committed_runs(spark: SparkSession, root: str) -> list[str]:
 
 
 def latest_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """Read only the newest committed snapshot under ``root``, with its run_id.
+    """Read the newest committed state of an output, with its run_id.
 
-    Run ids come from the run folders directly under ``root`` (the root itself
+    Where a commit record lies beside ``root`` (``<root>/../commits``, as a job
+    writes it), that decides: a mart is what the newest committed run wrote of
+    it, month sums and totals are all their months as they are now. Else the
+    newest run folder with a _SUCCESS marker is read. Run ids come from the
+    run folders directly under ``root`` (the root itself
     may lie in another run_id=... folder). A run that wrote no rows is a
     snapshot too: it reads as an empty table. Only that run's folder is read,
     so snapshots of different layouts (plain, partitioned) can share a root
     and older runs cost nothing. run_id is returned as text, digits intact.
     """
+    out, _, name = root.rstrip("/").rpartition("/")
+    state = commits.load(spark, out)
+    if name in state.schemas:
+        schema = T.StructType.fromJson(json.loads(state.schemas[name]))
+        paths = state.runs[state.run_id].get(name)
+        if paths is None:
+            paths = [p for month in state.months.get(name, {}).values() for p in month]
+            rows = spark.read.schema(schema).parquet(*[f"{out}/{p}" for p in paths]) if paths else spark.createDataFrame([], schema)
+        else:
+            rows = spark.read.schema(schema).option("basePath", f"{out}/{paths}").parquet(f"{out}/{paths}")
+        return rows.drop(FILE_KEY).withColumn(SNAPSHOT_KEY, F.lit(state.run_id))
     runs = committed_runs(spark, root)
     if not runs:
         raise FileNotFoundError(f"no committed {SNAPSHOT_KEY}=... snapshot under {root}")
@@ -103,6 +122,55 @@ def latest_snapshot(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path).withColumn(SNAPSHOT_KEY, F.lit(runs[-1]))
 
 
+def all_runs(spark: SparkSession, root: str) -> DataFrame:
+    """A mart over all committed runs of a job, with the run_id of the folder each row lies in.
+
+    Rows of files that a later run took in anew are left out. A partitioned mart
+    is read by the folders that hold each month now; filters on its partition
+    columns (and on run_id) prune folders.
+    """
+    out, _, name = root.rstrip("/").rpartition("/")
+    state = commits.load(spark, out)
+    if name not in state.schemas:
+        raise FileNotFoundError(f"no committed run wrote {root}")
+    schema = T.StructType.fromJson(json.loads(state.schemas[name])).add(SNAPSHOT_KEY, "string")
+    paths = [p for month in state.months[name].values() for p in month] if name in state.months else [r[name] for r in state.runs.values() if name in r]
+    rows = spark.read.schema(schema).option("basePath", root).parquet(*[f"{out}/{p}" for p in paths]) if paths else spark.createDataFrame([], schema)
+    return _standing(spark, out, state, rows).drop(FILE_KEY)
+
+
+def _standing(spark: SparkSession, out: str, state: commits.State, rows: DataFrame) -> DataFrame:
+    if not state.retracted:
+        return rows
+    gone = spark.read.schema(f"{FILE_KEY} bigint").parquet(*[f"{out}/{p}" for p in state.retracted])
+    return rows.join(gone, FILE_KEY, "left_anti").select(*rows.columns)
+
+
+def compact_months(spark: SparkSession, root: str, keys: tuple[str, ...] = ("sales_month", "store_id"),
+                   months: list[str] | None = None) -> list[str]:
+    """Rewrite months of a partitioned mart that lie in several run folders as one folder each.
+
+    ``months`` names month folders (``sales_month=2023-03``); all by default.
+    Rows of files that were taken in anew are left out for good. The rewritten
+    months are committed together; until then, and if this fails, readers see
+    the old folders, which stay. Returns the months rewritten.
+    """
+    out, _, name = root.rstrip("/").rpartition("/")
+    state = commits.load(spark, out)
+    held = state.months.get(name, {})
+    todo = sorted(m for m, paths in held.items() if len(paths) > 1 and (months is None or m in months))
+    if not todo:
+        return []
+    schema = T.StructType.fromJson(json.loads(state.schemas[name])).add(SNAPSHOT_KEY, "string")
+    rows = spark.read.schema(schema).option("basePath", root).parquet(*[f"{out}/{p}" for m in todo for p in held[m]])
+    target = f"{name}/{SNAPSHOT_KEY}=compact-{state.seen + 1:012d}"
+    write_partitioned(_standing(spark, out, state, rows).drop(SNAPSHOT_KEY), f"{out}/{target}", keys=keys)
+    there = set(glob_names(spark, f"{out}/{target}", f"{keys[0]}=*"))
+    new = {m: p for m, p in held.items() if m not in todo} | {m: [f"{target}/{m}"] for m in todo if m in there}
+    commits.commit(spark, out, replace(state, months={**state.months, name: new}))
+    return todo
+
+
 def read_runs(spark: SparkSession, root: str, runs: list[str]) -> DataFrame:
     """The rows of the given runs under ``root`` together, without their run_id."""
     paths = [snapshot_path(root, r) for r in runs]

@@ -1,4 +1,4 @@
-"""Listings by the session's Hadoop file system: names and sizes only, never contents."""
+"""The session's Hadoop file system: names, sizes, and small texts such as commit records."""
 
 from __future__ import annotations
 
@@ -34,6 +34,36 @@ def glob_names(spark: SparkSession, folder: str, pattern: str) -> list[str]:
     return out
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path as Spark's readers name it, with its store."""
+    p = _path(spark, path)
+    return _fs(spark, p).makeQualified(p).toString()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a new small file; FileExistsError where there is one already (the store decides)."""
+    p = _path(spark, path)
+    try:
+        out = _fs(spark, p).create(p, False)
+    except Exception as e:
+        if exists(spark, path):
+            raise FileExistsError(path) from e
+        raise
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    p = _path(spark, path)
+    stream = _fs(spark, p).open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def files(spark: SparkSession, folder: str) -> Iterator[tuple[str, str, int, int]]:
     """(path, path below the folder, length, modification time in ms) of every file under ``folder`` (or of the file itself)."""
     root = _path(spark, folder)

@@ -1,21 +1,23 @@
-"""Read accepted sales files, one CSV scan per distinct header layout."""
+"""Read accepted sales files: one scan per header layout, and one for folders that mix layouts."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.contracts import (
+    ADDITIONAL_COLUMN,
     CONTRACT_TYPES,
     CORRUPT_COLUMN,
     REQUIRED_COLUMNS,
     SALES_SCHEMA,
     SOURCE_FILE_COLUMN,
 )
-from tillroll.functions.columns import source_path
+from tillroll.functions.columns import fold_columns, source_path
 from tillroll.operators.conform import conform, reconcile_layouts
 from tillroll.session import fresh_dir
 from tillroll.sources.files import literal_paths
@@ -58,16 +60,22 @@ def layout_schema(header: list[str]) -> T.StructType:
     return T.StructType(fields + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
+def parse_options(header: list[str]) -> dict[str, str]:
+    return {
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": CORRUPT,
+        "dateFormat": "yyyy-MM-dd",
+        "escape": '"',  # a doubled quote inside a quoted value is one quote
+        "maxColumns": str(max(20_480, len(header) + 1)),
+    }
+
+
 def read_layout(spark: SparkSession, header: list[str], paths: list[str]) -> DataFrame:
     """Read all files of one layout with an explicit schema, PERMISSIVE."""
     raw = (
         spark.read.schema(layout_schema(header))
+        .options(**parse_options(header))
         .option("header", "true")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("dateFormat", "yyyy-MM-dd")
-        .option("escape", '"')  # a doubled quote inside a quoted value is one quote
-        .option("maxColumns", str(max(20_480, len(header) + 1)))
         .option("pathGlobFilter", "*.csv")
         .csv(literal_paths(paths))
         .withColumn(SOURCE_FILE, source_path())
@@ -75,58 +83,141 @@ def read_layout(spark: SparkSession, header: list[str], paths: list[str]) -> Dat
     return conform(raw, header)
 
 
-def layout_paths(routed: DataFrame) -> dict[tuple[str, ...], list[str]]:
-    """Header layout -> what to read: a whole folder where all its CSV files
-    are accepted with one layout and nothing lies below it, else file paths.
+def folder_of(path: str) -> Column:
+    return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
+
 
-    The list that reaches the driver thus grows with folders, not files, on
-    landing areas that keep layouts apart.
+def layout_folders(routed: DataFrame, listed: DataFrame | None = None) -> tuple[dict[tuple[str, ...], list[str]], list[str]]:
+    """(header layout -> folders whose CSV files are all accepted with that layout and
+    have nothing below them, the other folders with an accepted file).
+
+    ``listed`` is the manifest where it has files that are not routed (column
+    ``known`` not null); they lie in the folders too.
+    Only layouts and folders reach the driver, never files.
     """
-    folder = F.regexp_extract("file_path", r"^(.*)/[^/]*$", 1)
     files = routed.filter("is_csv").select(
-        "file_path", folder.alias("folder"), "ok", "header",
+        folder_of("file_path").alias("folder"), "ok", "header",
         F.when(F.col("ok"), F.array_join("header", "\u0001")).alias("layout"))
+    paths = routed.select("file_path")
+    if listed is not None:
+        others = listed.filter("known IS NOT NULL")
+        files = files.union(others.filter("is_csv").select(
+            folder_of("file_path"), F.lit(False), F.lit(None).cast("array<string>"), F.lit(None).cast("string")))
+        paths = paths.union(others.select("file_path"))
     per = files.groupBy("folder").agg(
-        F.bool_and("ok").alias("all_ok"), F.count_distinct("layout").alias("n"))
+        F.bool_and("ok").alias("all_ok"), F.bool_or("ok").alias("any_ok"), F.count_distinct("layout").alias("n"),
+        F.first("header", ignorenulls=True).alias("header"))
     # Folders that have listed files somewhere below them: Spark would read those too.
-    above = (routed.select(F.split(folder, "/").alias("p")).distinct()
+    above = (paths.select(F.split(folder_of("file_path"), "/").alias("p")).distinct()
              .select(F.explode(F.transform(F.sequence(F.lit(1), F.size("p") - 1), lambda i: F.array_join(F.slice("p", 1, i), "/"))).alias("folder"))
              .distinct().withColumn("has_below", F.lit(True)))
-    per = per.join(above, "folder", "left").select(
-        "folder", (F.col("all_ok") & (F.col("n") == 1) & F.col("has_below").isNull()).alias("whole"))
-    rows = (files.filter("ok").join(per, "folder")
-            .select("header", F.when(F.col("whole"), F.col("folder")).otherwise(F.col("file_path")).alias("path"))
-            .distinct().collect())
-    out: dict[tuple[str, ...], list[str]] = {}
+    rows = per.filter("any_ok").join(above, "folder", "left").select(
+        "folder", "header", (F.col("all_ok") & (F.col("n") == 1) & F.col("has_below").isNull()).alias("whole")).collect()
+    whole: dict[tuple[str, ...], list[str]] = {}
     for r in rows:
-        out.setdefault(tuple(r["header"]), []).append(r["path"])
-    return {k: sorted(v) for k, v in sorted(out.items())}
+        if r["whole"]:
+            whole.setdefault(tuple(r["header"]), []).append(r["folder"])
+    return {k: sorted(v) for k, v in sorted(whole.items())}, sorted(r["folder"] for r in rows if not r["whole"])
+
 
+def file_lines(spark: SparkSession, files: DataFrame, folders: list[str], skip: list[str], header: bool) -> DataFrame:
+    """The columns of ``files`` and ``line``: the lines of those files, which lie in ``folders``.
 
-def read_sales(spark: SparkSession, routed: DataFrame, stage: str | None = None) -> SalesRead:
-    """Read every file with ``ok`` in a routed manifest (see route_files).
+    The folders are listed by Spark. Files elsewhere, files that are smaller or
+    larger, older or newer than all of ``files``, and those whose paths are in ``skip`` are left
+    out by a filter on the file's metadata, which Spark applies to the listing, so
+    they are not opened; a join on the path decides about the rest. Where a folder
+    keeps its earlier files, these are the older ones. Lines are split as Spark's CSV reader does, blank ones
+    left out; without ``header``, so is each file's first.
+    """
+    slack = F.expr("INTERVAL 2 SECONDS")  # two listings of a store may round a time differently
+    least, most, old, new = files.agg(F.min("length"), F.max("length"), F.min("modification_time") - slack, F.max("modification_time") + slack).first()
+    raw, names = "_raw", sorted(set(folders))
+    top = [f for f in names if not any(f.startswith(g + "/") for g in names)]
+    lines = (spark.read.schema(f"line string, {raw} string")
+             .option("header", str(not header).lower()).option("sep", "\u0001").option("quote", "")
+             .option("columnNameOfCorruptRecord", raw)
+             .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+             .csv(literal_paths(top)))
+    inside = F.regexp_extract(source_path(), r"^(.*)/[^/]*$", 1).isin(names)
+    if skip:
+        inside = inside & ~source_path().isin(skip)
+    inside = inside & F.col("_metadata.file_size").between(least, most) & F.col("_metadata.file_modification_time").between(F.lit(old), F.lit(new))
+    # A line that holds the separator comes whole in the second column.
+    found = lines.where(inside).select(F.coalesce(raw, "line").alias("line"), source_path().alias("file_path"))
+    return found.join(files.drop("length", "modification_time"), "file_path")
+
+
+def endless(routed: DataFrame, folders: list[str], listed: DataFrame | None = None) -> list[str]:
+    """Files set aside for want of a line end, now or by an earlier run, which no reader of ``folders`` should open."""
+    found = routed.filter("reason = 'no_line_end'").select("file_path")
+    if listed is not None:
+        found = found.union(listed.filter("known = 'no_line_end'").select("file_path"))
+    return [r[0] for r in found.where(folder_of("file_path").isin(folders)).collect()]
+
+
+def read_mixed(spark: SparkSession, routed: DataFrame, folders: list[str], listed: DataFrame | None = None) -> DataFrame:
+    """The accepted files of folders that mix layouts, in one scan: each line meets its
+    file's layout by a join with the routed files and is parsed under it. Only the
+    layouts reach the driver."""
+    ok = routed.filter("ok").where(folder_of("file_path").isin(folders))
+    layouts = sorted(tuple(r[0]) for r in ok.select("header").distinct().collect())
+    which = F.lit(None).cast("int")
+    for i, header in enumerate(layouts):
+        which = F.when(F.array_join("header", "\u0001") == "\u0001".join(header), i).otherwise(which)
+    files = ok.select("file_path", "length", "modification_time", which.alias("_layout"))
+    lines = file_lines(spark, files, folders, endless(routed, folders, listed), header=False)
+    row = F.lit(None)
+    for i, header in enumerate(layouts):
+        # The lambda holds the parsed row, so it is parsed once for all its fields.
+        one = F.transform(F.array(F.from_csv("line", _ddl(header), parse_options(list(header)))), _as_contract(header))
+        row = F.when(F.col("_layout") == i, F.get(one, F.lit(0))).otherwise(row)
+    return lines.select(row.alias("r"), F.col("file_path").alias(SOURCE_FILE))
+
+
+def _as_contract(header: tuple[str, ...]):
+    extras = [c for c in header if c not in REQUIRED_COLUMNS]
+
+    def conformed(r: Column) -> Column:
+        fold = fold_columns([r.getField(c) for c in extras]) if extras else F.lit(None).cast("string")
+        return F.struct(*[r.getField(c).alias(c) for c in REQUIRED_COLUMNS], fold.alias(ADDITIONAL_COLUMN), r.getField(CORRUPT).alias(CORRUPT))
+    return conformed
+
+
+def _ddl(header: tuple[str, ...]) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in layout_schema(list(header)).fields)
+
+
+def read_sales(spark: SparkSession, routed: DataFrame, stage: str | None = None, listed: DataFrame | None = None) -> SalesRead:
+    """Read every file with ``ok`` in a routed manifest (see route_files; ``listed``: see layout_folders).
 
     The parsed rows are written once as Parquet to ``stage`` (a fresh shared
     folder by default), and everything downstream reads that table. This is
     what makes the accept/reject split exact: Spark's CSV parser only converts
     the columns a query needs, so a bad value in an unused column could go
-    unnoticed; the write needs every column, so every field of every row is
+    unnoticed; the write needs every column (they are written as one struct),
+    so every field of every row is
     checked, once, and no cache decides a result. A lost executor costs a
     Parquet re-read, not a CSV re-parse.
 
-    The number of scans equals the number of distinct layouts, not the number
-    of files (see ``layout_paths`` for what reaches the driver).
+    Folders of one layout take one scan a layout; all folders that mix layouts
+    or accepted and other files take one scan together (``read_mixed``).
     """
-    layouts = layout_paths(routed)
-    frames = [read_layout(spark, list(header), paths) for header, paths in layouts.items()]
-    if not frames:
+    whole, mixed = layout_folders(routed, listed)
+    n = routed.filter("ok").select(F.array_join("header", "\u0001")).distinct().count()
+    frames = [read_layout(spark, list(header), folders) for header, folders in whole.items()]
+    columns = [*SALES_SCHEMA.names, CORRUPT]
+    rows = [f.select(F.struct(*columns).alias("r"), SOURCE_FILE) for f in ([reconcile_layouts(frames)] if frames else [])]
+    if mixed:
+        rows.append(read_mixed(spark, routed, mixed, listed))
+    if not rows:
         empty = spark.createDataFrame([], SALES_SCHEMA)
         empty = empty.withColumn(SOURCE_FILE, F.lit(None).cast("string"))
         return SalesRead(empty.withColumn(CORRUPT, F.lit(None).cast("string")), 0)
     stage = stage or fresh_dir(spark, "parsed")
-    parsed = reconcile_layouts(frames)
+    parsed = reduce(DataFrame.unionByName, rows)
     parsed.write.mode("overwrite").parquet(stage)
-    return SalesRead(spark.read.schema(parsed.schema).parquet(stage), len(frames))
+    return SalesRead(spark.read.schema(parsed.schema).parquet(stage).select("r.*", SOURCE_FILE), n)
 
 
 def reject_rows(parsed: DataFrame) -> DataFrame:

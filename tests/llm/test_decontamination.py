@@ -89,11 +89,13 @@ def test_blocks_find_every_fingerprint_within_the_radius():
     rng = np.random.default_rng(2)
     texts = [" ".join(f"w{rng.integers(500)}" for _ in range(20)) for _ in range(30)]
     index = dc.build_index(list(range(30)), texts)
-    (size, (prints, *_)), = index.windows.items()
+    size = max(index.windows)
+    prints = index.windows[size][0]
+    assert index.windows[size][3] == 5 and index.windows[dc.SHINGLE][3] == dc.SHORT_RADIUS
     near = prints[rng.integers(0, len(prints), 2000)]
     for k in range(6):
         near = near ^ np.where(rng.random(2000) < 0.8, np.uint64(1) << rng.integers(0, 64, 2000).astype(np.uint64), np.uint64(0))
-    got = set(zip(*(x.tolist() for x in dc._near_windows(index, size, near, 5)), strict=True))
+    got = set(zip(*(x.tolist() for x in dc._near_windows(index, size, near)), strict=True))
     want = {(i, e) for i in range(2000) for e in range(len(prints)) if int(near[i] ^ prints[e]).bit_count() <= 5}
     assert got == want and want
 
@@ -130,9 +132,13 @@ def test_every_edited_copy_that_brute_force_finds_is_found():
     texts = [" ".join([*(f"a{rng.integers(10 ** 9)}" for _ in range(rng.integers(60))), *edited(rng, x.split()), *(f"b{rng.integers(10 ** 9)}" for _ in range(rng.integers(60)))])
              for _, x in items for _ in range(30)]
     index = dc.build_index([i for i, _ in items], [x for _, x in items])
-    got = {(t, i): sim for t, i, sim in dc.matches(index, *tv.utf8(pa.array(texts)), dc.RADIUS, 0.8)}
+    got = {(t, i): sim for t, i, sim in dc.matches(index, *tv.utf8(pa.array(texts)), 0.8)}
     want = brute(list(enumerate(texts)), items)
     assert got.keys() == want.keys() and len(want) > 500 and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    # The fingerprints decide: nothing is found without them, and item-sized windows alone miss copies.
+    for sizes, least, most in (([], 0, 0), ([s for s in index.windows if s > dc.SHORT], 1, len(want) - 1)):
+        some = dc.Index(index.words, index.shingles, index.item_ids, {s: index.windows[s] for s in sizes})
+        assert least <= len(list(dc.matches(some, *tv.utf8(pa.array(texts)), 0.8))) <= most
 
 
 def test_weights_and_regions_against_brute_force():
@@ -161,7 +167,7 @@ def test_weights_and_regions_against_brute_force():
             if abs(best - 0.8) > 1e-9 and best >= 0.8:
                 want[t, i] = best
     index = dc.build_index([i for i, _ in items], [x for _, x in items])
-    got = {(t, i): sim for t, i, sim in dc.matches(index, *tv.utf8(pa.array(texts)), dc.RADIUS, 0.8) if abs(sim - 0.8) > 1e-9}
+    got = {(t, i): sim for t, i, sim in dc.matches(index, *tv.utf8(pa.array(texts)), 0.8) if abs(sim - 0.8) > 1e-9}
     assert got.keys() == want.keys() and want and all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 

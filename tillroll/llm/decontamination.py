@@ -1,19 +1,21 @@
-"""Benchmark decontamination: SimHash windows and seed shingles, then exact weighted shingles.
+"""Benchmark decontamination: SimHash windows, then exact weighted shingles.
 
-A benchmark item of n words is fingerprinted over windows of w words at its
-start and end (and, beyond the longest window, every w words): w is the largest
-size of a geometric ladder that n holds. Every window of w words of every
-document gets the same 64-bit SimHash of its words, so each document word
-starts one window per ladder size that some item uses. Fingerprints are cut into ``radius`` + 1
-blocks; two that differ in at most ``radius`` bits agree in one block, so block
-tables find all of them.
+A benchmark item of n words is fingerprinted over windows of item size: w words at its
+start and end (and, beyond the longest window, every w words), w the largest
+size of a geometric ladder that n holds; and over short windows of its parts. Every
+window of these sizes of every document gets the same 64-bit SimHash of its words, so
+each document word starts one window per size that some item uses. Fingerprints are
+cut into radius + 1 blocks; two that differ in at most radius bits agree in one block,
+so block tables find all of them. The radius is ``radius`` bits, for windows of up to SHORT words
+SHORT_RADIUS.
 
 Shingles are runs of five words, weighted 1 + log of the item count over the
-number of items with the shingle. An item's heaviest shingles, until the others
-weigh less than ``share`` of it, are its seeds: a region that holds ``share`` of
-the item holds a seed unedited, so no copy is without one, wherever its edits are.
+number of items with the shingle. An item's parts are windows of five words, on its
+heaviest shingles, until the others weigh less than ``share`` of it: a region that holds ``share`` of
+the item has one of these unedited, at distance 0, so no copy is missed, wherever
+its edits are. Item-sized windows alone miss copies with many small edits.
 
-Around seeds and found windows the text is compared exactly: the largest share of
+Around the windows found the text is compared exactly: the largest share of
 the item's weight within any region of the item's length plus a tenth at both ends.
 
 Words are runs of letters and digits, A-Z lower-cased; characters outside ASCII belong to words.
@@ -38,6 +40,7 @@ from .util import staged
 _U = np.uint64
 SHINGLE = 5
 RADIUS = 5
+SHORT, SHORT_RADIUS = 8, 1
 LONGEST = 240  # words of a window: counts of set bits stay within a byte
 MARK_BITS = 20
 BLOCK_BYTES = 8_000_000  # benchmark text indexed at once
@@ -78,10 +81,8 @@ class Index:
     """Of one block of benchmark items."""
     words: list[np.ndarray]
     shingles: list[tuple[np.ndarray, np.ndarray]]  # by item: its shingles in order, and their weights
-    seeds: tuple[np.ndarray, np.ndarray, np.ndarray]  # shingles in order, the item of each, and which upper bits occur
     item_ids: np.ndarray
-    windows: dict[int, tuple]         # by size: fingerprints, items, offsets, block tables
-    cuts: list[tuple[int, int]]
+    windows: dict[int, tuple]         # by size: fingerprints, items, offsets, radius, tables of the blocks
 
 
 def _cuts(radius: int) -> list[tuple[int, int]]:
@@ -90,12 +91,15 @@ def _cuts(radius: int) -> list[tuple[int, int]]:
     return [(a, (1 << (b - a)) - 1) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def _seeds(shingles: np.ndarray, weights: np.ndarray, share: float) -> np.ndarray:
-    """The heaviest shingles, so many that the others weigh less than ``share`` of all."""
+def _parts(words: np.ndarray, shingles: np.ndarray, weights: np.ndarray, share: float) -> list[int]:
+    """Where the item's heaviest shingles begin: so many that the others weigh less than ``share`` of all."""
     order = np.argsort(-weights, kind="stable")
     rest = weights.sum() - np.cumsum(weights[order])
     enough = np.flatnonzero(rest < share * weights.sum() * (1 - 1e-9))
-    return shingles[order[:enough[0] + 1 if len(enough) else len(order)]]
+    chosen = np.sort(shingles[order[:enough[0] + 1 if len(enough) else len(order)]])
+    runs = tv.shingles(words, np.zeros(len(words), np.int64), SHINGLE)[0]
+    at = np.minimum(np.searchsorted(chosen, runs), len(chosen) - 1)
+    return np.flatnonzero(chosen[at] == runs).tolist()
 
 
 def _own_shingles(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -124,11 +128,6 @@ def build_index(item_ids: list[int], texts: list[str], radius: int = RADIUS, sha
     if common is None:
         common, total = Counter(s for x in sets for s in x.tolist()), len(texts)
     weights = [1 + np.log(total / np.array([common.get(s, 1) for s in x.tolist()], float)) for x in sets]
-    seeds = [_seeds(x, v, share) if len(w) >= SHINGLE else x[:0] for x, v, w in zip(sets, weights, own, strict=True)]
-    seed, seed_of = np.concatenate([np.zeros(0, np.uint64), *seeds]), np.repeat(np.arange(len(texts)), [len(x) for x in seeds])
-    order = np.argsort(seed, kind="stable")
-    marks = np.zeros(2 ** MARK_BITS, bool)
-    marks[seed >> _U(64 - MARK_BITS)] = True
     sizes: dict[int, list] = {}
     steps = ladder()
     for i, w in enumerate(own):
@@ -138,45 +137,43 @@ def build_index(item_ids: list[int], texts: list[str], radius: int = RADIUS, sha
             sums = bit_sums(w)
             for off in sorted({*range(0, n - size + 1, size), n - size}):
                 sizes.setdefault(size, []).append((simhash([x[off:off + size + 1] for x in sums], size)[0], i, off))
-    windows, cuts = {}, _cuts(radius)
+            if n >= SHINGLE:
+                prints = simhash(sums, SHINGLE)
+                sizes.setdefault(SHINGLE, []).extend((prints[off], i, off) for off in _parts(w, sets[i], weights[i], share))
+    windows = {}
     for size, rows in sizes.items():
         prints = np.array([r[0] for r in rows], np.uint64)
+        near = radius if size > SHORT else min(radius, SHORT_RADIUS)
         tables = []
-        for shift, mask in cuts:
-            block = ((prints >> _U(shift)) & _U(mask)).astype(np.int64)
-            tables.append((np.argsort(block, kind="stable"), np.searchsorted(np.sort(block), np.arange(mask + 2))))
-        windows[size] = (prints, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), tables)
-    return Index(own, list(zip(sets, weights, strict=True)), (seed[order], seed_of[order], marks), np.array(item_ids, np.int64), windows, cuts)
-
-
-def _near_windows(index: Index, size: int, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """(window, entry) of all pairs within ``radius`` bits, possibly repeated."""
-    entries, _, _, tables = index.windows[size]
+        for shift, mask in _cuts(near):
+            block = (prints >> _U(shift)) & _U(mask)
+            order = np.argsort(block, kind="stable")
+            low = max(mask.bit_length() - MARK_BITS, 0)  # a mark for the upper bits of each block that occurs
+            marks = np.zeros(2 ** min(mask.bit_length(), MARK_BITS), bool)
+            marks[block >> _U(low)] = True
+            tables.append((shift, mask, low, marks, order, block[order]))
+        windows[size] = (prints, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), near, tables)
+    return Index(own, list(zip(sets, weights, strict=True)), np.array(item_ids, np.int64), windows)
+
+
+def _near_windows(index: Index, size: int, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(window, entry) of all pairs within the size's radius, possibly repeated."""
+    entries, _, _, radius, tables = index.windows[size]
     windows, found = [], []
-    for (shift, mask), (order, at) in zip(index.cuts, tables, strict=True):
-        block = ((prints >> _U(shift)) & _U(mask)).astype(np.int64)
-        count = (at[1:] - at[:-1])[block]
-        hit = np.flatnonzero(count)
-        count = count[hit]
+    for shift, mask, low, marks, order, blocks in tables:
+        block = (prints >> _U(shift)) & _U(mask)
+        hit = np.flatnonzero(marks[block >> _U(low)])
+        first = np.searchsorted(blocks, block[hit], "left")
+        count = np.searchsorted(blocks, block[hit], "right") - first
         total = np.r_[0, np.cumsum(count)]
         w = np.repeat(hit, count)
-        e = order[np.repeat(at[block[hit]] - total[:-1], count) + np.arange(total[-1])]
+        e = order[np.repeat(first - total[:-1], count) + np.arange(total[-1])]
         near = np.bitwise_count(prints[w] ^ entries[e]) <= radius
         windows.append(w[near])
         found.append(e[near])
     return np.concatenate(windows), np.concatenate(found)
 
 
-def _near_seeds(index: Index, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place, item) of every seed among the shingles."""
-    seed, item, marks = index.seeds
-    hit = np.flatnonzero(marks[shingles >> _U(64 - MARK_BITS)])
-    first = np.searchsorted(seed, shingles[hit], "left")
-    count = np.searchsorted(seed, shingles[hit], "right") - first
-    total = np.r_[0, np.cumsum(count)]
-    return np.repeat(hit, count), item[np.repeat(first - total[:-1], count) + np.arange(total[-1])]
-
-
 def _contained(index: Index, item: int, words: np.ndarray, shingles: np.ndarray, first: int, end: int, hits: np.ndarray, share: float) -> float:
     """The largest share of the item's weight within a region of words ``first`` to ``end`` that has one of
     ``hits`` (in order); 0 if it's under ``share``. A region is a tenth longer than the item at both ends."""
@@ -213,20 +210,18 @@ def _contained(index: Index, item: int, words: np.ndarray, shingles: np.ndarray,
     return best if best >= share else 0.0
 
 
-def matches(index: Index, data: np.ndarray, offsets: np.ndarray, radius: int, share: float) -> Iterator[tuple[int, int, float]]:
+def matches(index: Index, data: np.ndarray, offsets: np.ndarray, share: float) -> Iterator[tuple[int, int, float]]:
     """(text, item, similarity) for every item that a text holds to ``share`` or more."""
     words, of = tv.word_hashes(data, offsets, breaks=tv.PUNCTUATION)
     at = tv.per_text(of, len(offsets) - 1)
     # The shingle at each word; runs over the end of a text are never inside a region.
     shingles = tv.shingles(words, np.zeros(len(words), np.int64), SHINGLE)[0] if len(words) >= SHINGLE else words[:0]
     sums = bit_sums(words)
-    pos, item = _near_seeds(index, shingles)
-    whole = of[pos] == of[pos + SHINGLE - 1]
-    places, held = [pos[whole]], [item[whole]]
-    for size, (_, items, _, _) in index.windows.items():
+    places, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for size, (_, items, *_) in index.windows.items():
         prints = simhash(sums, size)
         inside = np.flatnonzero(of[:len(prints)] == of[size - 1:size - 1 + len(prints)])
-        w, e = _near_windows(index, size, prints[inside], radius)
+        w, e = _near_windows(index, size, prints[inside])
         places.append(inside[w])
         held.append(items[e])
     place, item = np.concatenate(places), np.concatenate(held)
@@ -284,7 +279,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
             for batch in batches:
                 found = batch.column(batch.num_columns - 1).to_pylist()
                 for i, _, data, offsets in tv.text_slices(batch.column(place).cast(pa.large_string())):
-                    for text, item, sim in matches(index, data, offsets, radius, share):
+                    for text, item, sim in matches(index, data, offsets, share):
                         found[i + text].append({"item_id": int(index.item_ids[item]), "similarity": sim})
                 for r, x in enumerate(found):
                     if len(x) > 1:

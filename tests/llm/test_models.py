@@ -74,6 +74,49 @@ def test_toxicity_on_held_out_documents(toxic):
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
 
 
+def test_toxicity_by_language(spark, toxic):
+    """Every language with some held-out toxic documents is told better than by chance, and its clean ones are left alone."""
+    got, label = toxic
+    lang = {r.doc_id: r.lang for r in table(spark, "documents", SF).select("doc_id", "lang").collect()}
+    for name in set(lang.values()):
+        rows = [(r.score, label[i], r.predicted) for i, r in got.items() if r.held_out and lang[i] == name and i in label]
+        y = [x for _, x, _ in rows]
+        if sum(y) >= 5:
+            assert auc([x for x, _, _ in rows], y) > 0.9, name
+            assert sum(p for _, x, p in rows if x) >= 0.75 * sum(y), name
+        if len(y) > 50:
+            assert sum(p for _, x, p in rows if not x) <= 0.1 * len(y), name
+
+
+def test_toxicity_scores_like_the_definition():
+    """A plain forward pass over words, filters and the largest response of each, with given weights."""
+    import pyarrow as pa
+
+    from tillroll.llm import textvec as tv
+
+    rng = np.random.default_rng(2)
+    tables = [rng.normal(size=(2, 2 ** tox.BITS, tox.FILTERS)).astype(np.float32) for w in tox.WIDTHS for _ in range(w)]
+    bias, weights = rng.normal(size=len(tox.WIDTHS) * tox.FILTERS).astype(np.float32), rng.normal(size=len(tox.WIDTHS) * tox.FILTERS).astype(np.float32)
+    texts = ["one", "", None, "You, sir, are a fool! " * 5, "zwei Wörter"]
+    data, offsets = tv.utf8(pa.array(texts))
+    got = tox.logits(tables, bias, weights, 0.25, *tox.word_buckets(data, offsets))
+    for t, text in enumerate(texts):
+        one, two, _ = tox.word_buckets(*tv.utf8(pa.array([text])))
+        want, k = 0.25, 0
+        for i, w in enumerate(tox.WIDTHS):
+            for f in range(tox.FILTERS):
+                responses = [float(bias[i * tox.FILTERS + f]) + sum(float(tables[k + j][0][one[s + j], f]) + float(tables[k + j][1][two[s + j], f]) for j in range(w))
+                             for s in range(len(one) - w + 1)]
+                want += max([0.0, *responses]) * float(weights[i * tox.FILTERS + f])
+            k += w
+        assert abs(got[t] - want) < 1e-3
+
+
+def test_toxicity_sample_shares():
+    got = tox._shares({("a/1", 1): 900, ("b/1", 1): 30, ("c/1", 1): 5000, ("a/0", 0): 10}, 1000)
+    assert got == {"b/1": 30, "a/1": 485, "c/1": 485, "a/0": 10}
+
+
 def test_toxicity_of_awkward_rows(spark):
     labels = spark.createDataFrame([(i, t, 1) for i, t in ((1, 0), (2, 1), (2, 0), (8, 1), (9, 0), (12, 0), (None, 1), (3, None))], "doc_id long, toxic int, kept int")
     rows = tox.learn_and_score(docs(spark), labels).collect()

@@ -21,13 +21,13 @@ def fold(id_col: str | Column, folds: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary") if isinstance(id_col, str) else id_col.cast("string").cast("binary")) % folds
 
 
-def sampled(rows: DataFrame, by: str, most: int, id_col: str = "id", name: str = "sample") -> DataFrame:
+def sampled(rows: DataFrame, by: str, most: int | dict, id_col: str = "id", name: str = "sample") -> DataFrame:
     """Of the rows with each value of ``by``, about ``most`` at most, chosen by the hash of
-    their id: a share of them that shrinks as they grow, and the same rows each time."""
+    their id: a share of them that shrinks as they grow, and the same rows each time. ``most`` may differ by value."""
     counts = {r[0]: r[1] for r in rows.groupBy(by).count().collect()}
     share = F.lit(0.0)
     for value, n in counts.items():
-        share = F.when(F.col(by) == F.lit(value), F.lit(min(1.0, most / n))).otherwise(share)
+        share = F.when(F.col(by) == F.lit(value), F.lit(min(1.0, (most[value] if isinstance(most, dict) else most) / n))).otherwise(share)
     return staged(rows.where(F.pmod(F.xxhash64(id_col, F.lit(7)), F.lit(2 ** 24)) < share * 2 ** 24), name)
 
 

@@ -1,23 +1,24 @@
 """Risk-controlled quality rules, in DataFrame functions only.
 
 Each rule rejects a text whose value (per thousand) is over a cutoff. The
-cutoff comes from labelled holdouts: for every stratum, rule and candidate
-cutoff, the good documents that it would reject are counted, and the cutoff is
-certified only if an exact binomial test rejects "more than ``risk`` / rules of
-the good documents would go" at level ``delta`` / (strata * rules * cutoffs).
-By the union bound over all tests (Bonferroni) and over the rules, with
+cutoff comes from labelled holdouts: in every stratum the candidate cutoffs, which
+hold for all rules at once, are tested from the loosest to the tightest. One is
+certified if an exact binomial test rejects "more than ``risk`` of the good documents
+would go", by whichever rules, and all looser ones are certified; testing in a fixed
+order and stopping at the first failure needs no correction for the number of
+cutoffs. Over the strata the level is ``delta`` / strata (Bonferroni), so with
 probability 1 - delta no stratum loses more than ``risk`` of its good
 documents to the rules, whichever certified cutoffs are then chosen. Of the
 certified cutoffs, the one that rejects the most bad documents is used, each
 good one rejected counting against ``price`` bad ones; without a gain, or
-without a certificate (too few labels), the rule rejects nothing there.
+without a certificate (too few labels), the rules reject nothing there.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .util import staged
@@ -94,25 +95,22 @@ def binomial_cdf(k: Column, n: Column, p: float) -> Column:
 
 
 def certified_cutoffs(values: DataFrame, risk: float = RISK, delta: float = DELTA, price: int = PRICE) -> DataFrame:
-    """From rows (stratum, good boolean, one value per rule): stratum and one cutoff per rule (null: none)."""
+    """From rows (stratum, good boolean, one value per rule): stratum and its cutoff (null: none)."""
+    worst = F.greatest(*RULES)
     counts = []
-    for r in RULES:
-        for c in CUTOFFS:
-            over = F.col(r) > c
-            counts += [F.count_if(over & F.col("good")).alias(f"g_{r}_{c}"), F.count_if(over & ~F.col("good")).alias(f"b_{r}_{c}")]
+    for c in CUTOFFS:
+        counts += [F.count_if((worst > c) & F.col("good")).alias(f"g_{c}"), F.count_if((worst > c) & ~F.col("good")).alias(f"b_{c}")]
     wide = staged(values.groupBy("stratum").agg(F.count_if("good").alias("n"), *counts), "quality-counts")
-    strata = wide.count()
-    level = delta / max(strata * len(RULES) * len(CUTOFFS), 1)
+    level = delta / max(wide.count(), 1)
     cells = wide.select("stratum", "n", F.explode(F.array(*[
-        F.struct(F.lit(r).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"g_{r}_{c}").alias("good"), F.col(f"b_{r}_{c}").alias("bad"))
-        for r in RULES for c in CUTOFFS])).alias("x")).select("stratum", "n", "x.*")
-    sure = binomial_cdf(F.col("good"), F.col("n"), risk / len(RULES)) <= level
+        F.struct(F.lit(c).alias("cutoff"), F.col(f"g_{c}").alias("good"), F.col(f"b_{c}").alias("bad"))
+        for c in CUTOFFS])).alias("x")).select("stratum", "n", "x.*")
+    sure = binomial_cdf(F.col("good"), F.col("n"), risk) <= level
+    looser = Window.partitionBy("stratum").orderBy(F.col("cutoff").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = cells.withColumn("certified", F.min(sure).over(looser))
     gain = F.col("bad") - price * F.col("good")
-    best = (cells.where(sure & (gain > 0)).groupBy("stratum", "rule")
-            .agg(F.max_by("cutoff", F.struct(gain, F.col("cutoff"))).alias("cutoff")))
-    return staged(wide.select("stratum").join(
-        best.groupBy("stratum").pivot("rule", list(RULES)).agg(F.first("cutoff")), "stratum", "left")
-        .select("stratum", *[F.col(r).cast("long").alias(f"cut_{r}") for r in RULES]), "quality-cutoffs")
+    best = cells.where(F.col("certified") & (gain > 0)).groupBy("stratum").agg(F.max_by("cutoff", F.struct(gain, F.col("cutoff"))).alias("cutoff"))
+    return staged(wide.select("stratum").join(best, "stratum", "left").select("stratum", F.col("cutoff").cast("long").alias("cutoff")), "quality-cutoffs")
 
 
 def _values(docs: DataFrame, id_col: str, text_col: str, stratum_col: str) -> DataFrame:
@@ -127,8 +125,8 @@ def _cutoffs(values: DataFrame, labels: DataFrame, id_col: str, risk: float, del
     return certified_cutoffs(values.where("not base_failed").join(graded, "id"), risk, delta, price)
 
 
-def _rejected_by(value, cut) -> Column:
-    return F.filter(F.array(*[F.when(value(r) > cut(r), F.lit(r)) for r in RULES]), lambda x: x.isNotNull())
+def _rejected_by(value, cutoff: Column) -> Column:
+    return F.filter(F.array(*[F.when(value(r) > cutoff, F.lit(r)) for r in RULES]), lambda x: x.isNotNull())
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
@@ -144,7 +142,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """
     values = _values(docs, id_col, text_col, stratum_col)
     cuts = _cutoffs(values, labels, id_col, risk, delta, price)
-    judged = values.join(cuts, "stratum", "left").withColumn("rejected_by", _rejected_by(F.col, lambda r: F.col(f"cut_{r}")))
+    judged = values.join(cuts, "stratum", "left").withColumn("rejected_by", _rejected_by(F.col, F.col("cutoff")))
     return judged.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          (~F.col("base_failed") & (F.size("rejected_by") == 0)).alias("kept"), "rejected_by", *RULES)
 
@@ -158,9 +156,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     writing the feature expressions into a filter of their own.
     """
     cuts = _cutoffs(_values(docs, id_col, text_col, stratum_col), labels, id_col, risk, delta, price)
-    cuts = cuts.select(F.col("stratum").alias("__stratum"), F.struct(*[f"cut_{r}" for r in RULES]).alias("__cut"))
-    rows = (with_features(docs, text_col).withColumn("__row", F.monotonically_increasing_id())
-            .withColumn("__stratum", F.coalesce(F.col(stratum_col).cast("string"), F.lit(""))))
-    judged = rows.join(cuts, "__stratum", "left")
-    hits = _rejected_by(lambda r: F.col("__q")[r], lambda r: F.col("__cut")[f"cut_{r}"])
-    return judged.where(~F.col("__q")["base_failed"] & (F.size(hits) == 0) & (F.col("__row") >= 0)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(text_col).alias("text"),
+                       F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"))
+    rows = with_features(rows, "text").withColumn("row", F.monotonically_increasing_id())
+    judged = rows.join(cuts, "stratum", "left")
+    hits = _rejected_by(lambda r: F.col("__q")[r], F.col("cutoff"))
+    return judged.where(~F.col("__q")["base_failed"] & (F.size(hits) == 0) & (F.col("row") >= 0)).select("doc.*")

@@ -14,9 +14,9 @@ def _text(x: str) -> str:
 
 
 def quality_rules_sql() -> str:
-    grid = ", ".join(f"({_text(r)}, {c})" for r in RULES for c in CUTOFFS)
-    value = "CASE x.rule " + " ".join(f"WHEN {_text(r)} THEN v.{r}" for r in RULES) + " END"
-    hits = ", ".join(f"CASE WHEN v.{r} > max(b.cutoff) FILTER (b.rule = {_text(r)}) THEN {_text(r)} END" for r in RULES)
+    grid = ", ".join(f"({c})" for c in CUTOFFS)
+    value = f"greatest({', '.join(f'v.{r}' for r in RULES)})"
+    hits = ", ".join(f"CASE WHEN v.{r} > b.cutoff THEN {_text(r)} END" for r in RULES)
     columns = ("doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, " + ", ".join(RULES))
     return rf"""
 WITH d AS (
@@ -45,22 +45,22 @@ v AS (
     CASE WHEN n_words > 0 THEN n_shouts * 1000 // n_words ELSE 0 END AS shouts
   FROM c),
 g AS (SELECT doc_id, max(quality) = 1 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
-x AS (SELECT * FROM (VALUES {grid}) AS t(rule, cutoff)),
+x AS (SELECT * FROM (VALUES {grid}) AS t(cutoff)),
 cell AS (
-  SELECT stratum, rule, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (good AND {value} > cutoff) AS k,
+  SELECT stratum, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (good AND {value} > cutoff) AS k,
     count(*) FILTER (NOT good AND {value} > cutoff) AS bad
-  FROM v JOIN g USING (doc_id), x WHERE NOT base_failed GROUP BY stratum, rule, cutoff),
+  FROM v JOIN g USING (doc_id), x WHERE NOT base_failed GROUP BY stratum, cutoff),
 sure AS (
-  SELECT stratum, rule, cutoff, bad - {PRICE} * k AS gain,
+  SELECT stratum, cutoff, bad - {PRICE} * k AS gain, CASE WHEN k < n * {RISK} THEN
     list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
-      + i * ln({RISK / len(RULES)}) + (n - i) * ln(1 - {RISK / len(RULES)})))) AS p
-  FROM cell WHERE k < n * {RISK / len(RULES)}),
+      + i * ln({RISK}) + (n - i) * ln(1 - {RISK})))) ELSE 1 END AS p
+  FROM cell),
+sequence AS (
+  SELECT *, bool_and(p <= {DELTA} / (SELECT count(DISTINCT stratum) FROM cell)) OVER (PARTITION BY stratum ORDER BY cutoff DESC) AS certified FROM sure),
 best AS (
-  SELECT stratum, rule, arg_max(cutoff, gain * 100000 + cutoff) AS cutoff FROM sure
-  WHERE gain > 0 AND p <= {DELTA} / (SELECT count(*) FROM cell) GROUP BY stratum, rule),
+  SELECT stratum, arg_max(cutoff, gain * 100000 + cutoff) AS cutoff FROM sequence WHERE certified AND gain > 0 GROUP BY stratum),
 judged AS (
-  SELECT v.rid, concat_ws(',', {hits}) AS rejected_by
-  FROM v LEFT JOIN best b ON v.stratum = b.stratum GROUP BY v.rid, {", ".join(f"v.{r}" for r in RULES)})
+  SELECT v.rid, concat_ws(',', {hits}) AS rejected_by FROM v LEFT JOIN best b ON v.stratum = b.stratum)
 SELECT {columns}, rejected_by, NOT base_failed AND rejected_by = '' AS kept FROM v JOIN judged USING (rid)
 """
 

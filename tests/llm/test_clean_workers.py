@@ -1,0 +1,9 @@
+"""Every operator with Python workers that find pyspark but not this repository."""
+
+from test_intake import run_with_clean_workers
+
+
+def test_queries_need_no_copy_of_the_package_on_workers(spark, tmp):
+    names = ["op2_ngram_jaccard_join", "op3_url_filter", "op4_quality_classifier", "op5_html_extraction", "op7_language_id", "op8_decontamination",
+             "op9_sentencepiece", "op10_toxicity", "op12_periodic_runs", "op13_phrase_collocations", "pipeline"]
+    assert f"all {len(names)}" in run_with_clean_workers(tmp, names)

@@ -94,7 +94,7 @@ def test_linked_sets_always_share_a_key():
 
 def test_hamming_distance_bounds_the_symmetric_difference(spark):
     df = docs(spark).select("doc_id", "text").where("doc_id is not null")
-    got = df.mapInArrow(jj._described(5), "id long, n_shingles long, sig long, sig2 long, sketch binary").collect()
+    got = df.mapInArrow(jj._described(5, 0), "id long, n_shingles long, sig long, sig2 long, sketch binary").collect()
     text = {r.doc_id: shingles(r.text) for r in df.collect()}
     for x, y in itertools.combinations(got, 2):
         far = sum((a ^ b).bit_count() for a, b in zip(x.sketch, y.sketch, strict=True))
@@ -122,3 +122,51 @@ def test_other_thresholds(spark, percent):
 
 def test_empty_table(spark):
     assert joined(empty(spark)) == []
+
+
+def some_texts(rnd, n, ids):
+    """Texts of which many are near copies of another, under few ids."""
+    vocab = [f"w{i}" for i in range(400)]
+    base = [rnd.choices(vocab, k=rnd.randrange(30, 90)) for _ in range(n // 4)]
+    rows = []
+    for _ in range(n):
+        w = list(rnd.choice(base)) if rnd.random() < 0.7 else rnd.choices(vocab, k=rnd.randrange(1, 60))
+        for _ in range(rnd.randrange(3)):
+            w[rnd.randrange(len(w))] = rnd.choice(vocab)
+        rows.append((rnd.randrange(ids) if rnd.random() < 0.95 else None, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("seed,ids", [(1, 40), (2, 200), (3, 20), (4, 100_000)])
+def test_ids_with_several_texts(spark, seed, ids):
+    rows = some_texts(random.Random(seed), 90, ids)
+    check(spark.createDataFrame([(*r, "en", "x", 1, True, "") for r in rows], SCHEMA).repartition(4))
+
+
+@pytest.mark.parametrize("seed,ids", [(1, 40), (5, 12), (6, 100_000)])
+def test_one_row_of_each_group_of_texts_stays(spark, seed, ids):
+    rows = some_texts(random.Random(seed), 90, ids)
+    rows += rows[:20] + [(3, ""), (3, ""), (None, "a b c"), (None, "a b c")]
+    df = spark.createDataFrame([(*r, "en", "x", i, True, "") for i, r in enumerate(rows)], SCHEMA).repartition(4)
+    # By text: every row an id of its own, and the first id of a group decides.
+    alone = brute([(n, t) for n, (i, t) in enumerate(rows) if i is not None])
+    part = {n: c for n, _, c in alone}
+    want, groups = Counter(r for r in rows if r[0] is None or not shingles(r[1])), defaultdict(list)
+    for n, (i, t) in enumerate(rows):
+        if i is not None and shingles(t):
+            groups[part[n]].append((i, t))
+    kept = jj.drop_near_copies(df).collect()
+    got = [(r.doc_id, r.text) for r in kept]
+    assert jj.drop_near_copies(df).columns == df.columns
+    rest = Counter(got) - want
+    assert sum(rest.values()) == len(groups) and sum(Counter(got).values()) == len(groups) + sum(want.values())
+    for g in groups.values():
+        mine = [r for r in rest.elements() if r in g]
+        assert len(mine) == 1 and mine[0][0] == min(i for i, _ in g)
+
+
+def test_signatures_that_clash_are_mixed_anew(spark, monkeypatch):
+    real = jj._signatures
+    monkeypatch.setattr(jj, "_signatures", lambda values, at, seed: real(values, at, seed) if seed else np.minimum(np.diff(at), 1).astype(np.int64))
+    rows = some_texts(random.Random(9), 60, 100)
+    check(spark.createDataFrame([(*r, "en", "x", 1, True, "") for r in rows], SCHEMA).repartition(3))

@@ -14,9 +14,11 @@ more empty blocks than ``spare`` at some level also emits its prefix (its
 smallest shingles by hash, at least one of which a partner's prefix shares):
 a pair that no filled block is sure to find has two such documents.
 
-Documents that meet in a block form a bucket. Each document is first verified
+All of this works on classes, the documents of one set, named by their set's
+signature; Spark verifies that no two sets share it (else the hashes are mixed anew).
+Classes that meet in a block form a bucket. Each class is first verified
 against one leader (its most frequent bucket minimum), which is linear in the
-documents. Buckets whose members are then still in different components are
+classes. Buckets whose members are then still in different components are
 compared pair by pair, in bounded chunks, with a bitwise parity sketch whose
 Hamming distance bounds the symmetric difference too; survivors are verified.
 Verification computes both sets from the whole texts, so links are exact.
@@ -94,7 +96,11 @@ def block_keys(values: np.ndarray, text: np.ndarray, at: np.ndarray, percent: in
     return np.concatenate(keys), np.concatenate(of)
 
 
-def _described(k: int):
+def _signatures(values: np.ndarray, at: np.ndarray, seed: int) -> np.ndarray:
+    return tv.sums(tv.mix(values ^ _U(seed)) if seed else values, at).view(np.int64)
+
+
+def _described(k: int, seed: int):
     def run(batches):
         for batch in batches:
             for i, j, values, text, at in _shingle_sets(batch.column(1), k):
@@ -105,27 +111,39 @@ def _described(k: int):
                 again = tv.mix(values ^ _U(0x2545F4914F6CDD1D))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(i, n), pa.array(np.diff(at)),
-                    pa.array(tv.sums(values, at).view(np.int64)), pa.array(tv.sums(again, at).view(np.int64)),
+                    pa.array(_signatures(values, at, seed)), pa.array(tv.sums(again, at).view(np.int64)),
                     pa.array([r.tobytes() for r in bits], pa.binary())],
                     ["id", "n_shingles", "sig", "sig2", "sketch"])
     return run
 
 
-def _keyed(k: int, percent: int):
+def _signed(k: int, seed: int):
+    """Rows (any columns, the text last) with the text's sig and n_shingles added."""
+    def run(batches):
+        for batch in batches:
+            sig, n = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for _, _, values, _, at in _shingle_sets(batch.column(batch.num_columns - 1), k):
+                sig.append(_signatures(values, at, seed))
+                n.append(np.diff(at))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(sig)), pa.array(np.concatenate(n))], [*batch.schema.names, "sig", "n_shingles"])
+    return run
+
+
+def _keyed(k: int, percent: int, seed: int):
     def run(batches):
         seen: set[int] = set()  # signatures of this task's texts: a copy has the same keys
         for batch in batches:
             for i, j, values, text, at in _shingle_sets(batch.column(1), k):
                 fresh = np.zeros(j - i, bool)
-                for d, s in enumerate(tv.sums(values, at).tolist()):
+                sig = _signatures(values, at, seed)
+                for d, s in enumerate(sig.tolist()):
                     if s not in seen:
                         seen.add(s)
                         fresh[d] = True
                 keep = fresh[text]
                 values, text = values[keep], text[keep]
                 keys, of = block_keys(values, text, tv.per_text(text, j - i), percent)
-                ids = batch.column(0).slice(i, j - i).to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids[of].astype(np.int64))], ["key", "id"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(sig[of])], ["key", "id"])
     return run
 
 
@@ -216,69 +234,109 @@ def _near(percent: int):
     return run
 
 
-def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of ``docs``: its id, n_shingles and component_id.
-
-    Two documents link when 100 * intersection >= percent * union of their sets
-    of distinct k-word shingles (A-Z lower-cased; fewer words than k: the whole
-    sequence is one shingle). component_id is the smallest id reachable by
-    links, the row's own included.
+def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> tuple[DataFrame, DataFrame, int]:
+    """(a row per row: id, n_shingles, sig; the links of classes: a, b; the seed of the signatures).
 
-    Null or empty texts, or texts without a word, have n_shingles 0 and link
-    with nothing. A row with a null id takes part in no link; its component_id is null. Rows
-    that share an id are one document: a link of either joins its component.
-    Other columns of ``docs`` are not read. An empty table gives an empty result.
+    Links are enough of them for the components: each class's with a leader, and
+    between the components these leave.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    info = staged(rows.mapInArrow(_described(k), "id long, n_shingles long, sig long, sig2 long, sketch binary"), "jaccard-sets")
-    known = info.where("id is not null and n_shingles > 0")
-    sig = ["n_shingles", "sig", "sig2"]
-    classes = known.groupBy(*sig).agg(F.min("id").alias("rep"))
-    rep = staged(known.select("id", *sig).join(classes, sig).groupBy("id", "rep").count().select("id", "rep"), "jaccard-classes")
-
+    for seed in range(8):
+        info = staged(rows.mapInArrow(_described(k, seed), "id long, n_shingles long, sig long, sig2 long, sketch binary"), "jaccard-sets")
+        known = info.where("id is not null and n_shingles > 0")
+        sets = known.select("sig", "n_shingles", "sig2").distinct()
+        if sets.groupBy("sig").count().where("count > 1").isEmpty():
+            break
+    else:
+        raise RuntimeError("no signature tells all sets apart")
     texts = rows.where("id is not null")
-    keys = texts.mapInArrow(_keyed(k, percent), "key long, id long")
+    keys = texts.mapInArrow(_keyed(k, percent, seed), "key long, id long")
     members = staged(keys.repartition("key").sortWithinPartitions("key", "id")
                      .mapInArrow(_buckets, "key long, leader long, id long"), "jaccard-buckets")
+    shown = known.groupBy("sig").agg(F.min("id").alias("doc"))  # the document whose text stands for the class
 
     def links(pairs: DataFrame, name: str) -> DataFrame:
         """Those of the candidate pairs (a, b) that link, verified on whole texts."""
         pairs = staged(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"jaccard-{name}")
-        bitmap = id_filter(pairs.select(F.explode(F.array("a", "b")).alias("id")), "id")
-        found = rows_in_filter(texts, "id", bitmap)
-        sides = (pairs.join(found.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-                 .join(found.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-                 .select("a", "b", "text_a", "text_b"))
+        wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(shown, "sig"), f"jaccard-{name}-docs")
+        found = rows_in_filter(texts, "id", id_filter(wanted.select(F.col("doc").alias("id")), "id"))
+        found = found.mapInArrow(_signed(k, seed), "id long, text string, sig long, n_shingles long").where("n_shingles > 0")
+        found = found.join(wanted.select("sig", F.col("doc").alias("id")), ["sig", "id"], "left_semi").dropDuplicates(["sig", "id"])
+        found = staged(found.select("sig", "text"), f"jaccard-{name}-texts")
+        sides = (pairs.join(found.toDF("a", "text_a"), "a").join(found.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b"))
         return staged(sides.mapInArrow(_verified(k, percent), "a long, b long"), f"jaccard-links-{name}")
 
-    # Copies link by their equal sets; each other member is verified against one leader.
-    equal = rep.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    copies = rep.toDF("id", "rep")
+    # Each class is verified against one leader.
     best = (members.groupBy("id", "leader").count()
             .groupBy("id").agg(F.max_by("leader", F.struct("count", -F.col("leader"))).alias("leader")))
-    best = (best.join(copies, "id").join(copies.toDF("leader", "leader_rep"), "leader")
-            .where("rep <> leader_rep").select(F.col("rep").alias("a"), F.col("leader_rep").alias("b")))
-    found = equal.union(links(best, "leaders"))
+    found = links(best.toDF("a", "b"), "leaders")
     part = connected_components(found)
 
     # Buckets that still span components: compare their members pair by pair.
     bucket = members.select("key", "id").union(members.select("key", F.col("leader").alias("id")).distinct())
-    bucket = (bucket.join(part, "id", "left").join(copies, "id")
-              .select("key", F.col("rep").alias("id"), F.coalesce("component", "rep").alias("component")).distinct())
+    bucket = bucket.join(part, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     bucket = staged(bucket, "jaccard-members")
     open_keys = (bucket.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
                  .where("low < high").select("key", F.ceil(F.col("n") / CHUNK).cast("long").alias("chunks")))
     left = bucket.join(open_keys, "key").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")))
-    one = Window.partitionBy("id").orderBy("n_shingles", "sig")
-    sketches = (info.where("n_shingles > 0").join(left.select("id").distinct(), "id", "left_semi")
-                .withColumn("nth", F.row_number().over(one)).where("nth = 1").select("id", "n_shingles", "sketch"))
+    sketches = (known.join(left.select(F.col("id").alias("sig")).distinct(), "sig", "left_semi")
+                .groupBy(F.col("sig").alias("id")).agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
     blocks = F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1),
                          lambda o: F.least("chunk", o) * 2 ** 20 + F.greatest("chunk", o))
     spread = (left.join(sketches, "id")
               .select("key", F.explode(blocks).alias("block"), "id", "component", "n_shingles", "chunk", "sketch"))
     near = spread.repartition("key", "block").sortWithinPartitions("key", "block", "id").mapInArrow(_near(percent), "a long, b long")
-    all_links = staged(found.union(links(near, "rest")), "jaccard-links")
-    component = connected_components(all_links)
-    return (info.select("id", "n_shingles").join(component, "id", "left")
-            .select(F.col("id").alias(id_col), "n_shingles",
-                    F.coalesce(F.when(F.col("n_shingles") > 0, F.col("component")), F.col("id")).alias("component_id")))
+    return info.select("id", "n_shingles", "sig"), staged(found.union(links(near, "rest")), "jaccard-links"), seed
+
+
+def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """One row per row of ``docs``: its id, n_shingles and component_id.
+
+    Two documents link when 100 * intersection >= percent * union of their sets
+    of distinct k-word shingles (A-Z lower-cased; fewer words than k: the whole
+    sequence is one shingle). component_id is the smallest id reachable by
+    links, the row's own included.
+
+    Null or empty texts, or texts without a word, have n_shingles 0 and link
+    with nothing. A row with a null id takes part in no link; its component_id is null. Rows
+    that share an id are one document, whatever their texts: a link of any joins its component.
+    Other columns of ``docs`` are not read. An empty table gives an empty result.
+    """
+    info, links, _ = _classes(docs, id_col, text_col, k, percent)
+    known = info.where("id is not null and n_shingles > 0")
+    # An id with several sets joins their classes.
+    several = known.groupBy("id").agg(F.min("sig").alias("a"), F.max("sig").alias("low")).where("a < low").select("id", "a")
+    same = several.join(known.select("id", F.col("sig").alias("b")), "id").where("a <> b").select("a", "b").distinct()
+    part = connected_components(links.union(same)).toDF("sig", "part")
+    least = known.groupBy("sig").agg(F.min("id").alias("least")).join(part, "sig", "left").withColumn("part", F.coalesce("part", "sig"))
+    parts = least.groupBy("part").agg(F.min("least").alias("component"))
+    component = staged(least.join(parts, "part").select("sig", "component"), "jaccard-components")
+    # Nothing but the join in this stage, so Spark can split a large class's partition.
+    out = info.join(component, "sig", "left")
+    return out.select(F.col("id").alias(id_col), "n_shingles",
+                      F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id")).alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each group of linked texts, with all its columns.
+
+    Groups are the components of texts by links (here an id doesn't join its
+    texts: rows that share one but not a text are no copies). The row with the
+    smallest id stays, of several texts of that id the one with the smallest
+    signature, of equal rows the first by their columns. Rows with a null id or
+    without a word stay, all of them.
+    """
+    info, links, seed = _classes(docs, id_col, text_col, k, percent)
+    known = info.where("id is not null and n_shingles > 0")
+    part = connected_components(links).toDF("sig", "part")
+    least = known.groupBy("sig").agg(F.min("id").alias("id")).join(part, "sig", "left")
+    first = least.groupBy(F.coalesce("part", "sig").alias("part")).agg(F.min(F.struct("id", "sig")).alias("x"))
+    first = staged(first.select("x.id", "x.sig"), "jaccard-first")
+    wide = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    schema = wide.withColumns({"sig": F.lit(0).cast("long"), "n_shingles": F.lit(0).cast("long")}).schema
+    rows = wide.mapInArrow(_signed(k, seed), schema)
+    free = rows.where("id is null or n_shingles = 0").select("doc.*")
+    held = rows_in_filter(rows.where("id is not null and n_shingles > 0"), "sig", id_filter(first, "sig"))
+    copies = Window.partitionBy("id", "sig").orderBy("doc")
+    kept = held.join(first, ["id", "sig"], "left_semi").withColumn("nth", F.row_number().over(copies)).where("nth = 1")
+    return kept.select("doc.*").unionByName(free)

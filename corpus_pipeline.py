@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm.decontamination import drop_contaminated
-from tillroll.llm.jaccard_join import ngram_jaccard_join
+from tillroll.llm.jaccard_join import drop_near_copies
 from tillroll.llm.quality_rules import keep_good
 from tillroll.llm.secret_scan import redact_secrets
 from tillroll.llm.sentencepiece_unigram import encode_texts
@@ -23,13 +23,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one with the smallest doc_id; of rows that share
-    a doc_id, the smallest by its columns. Documents without an id or a word stay."""
-    first = ngram_jaccard_join(docs).where("doc_id = component_id").select("doc_id").distinct()
-    others = [c for c in docs.columns if c != "doc_id"]
-    kept = (docs.where("doc_id is not null").join(first, "doc_id", "left_semi")
-            .groupBy("doc_id").agg(F.min(F.struct(*others)).alias("__row")).select("doc_id", "__row.*").select(*docs.columns))
-    return kept.unionByName(docs.where("doc_id is null"))
+    """Of each group of linked texts, the row with the smallest doc_id. Texts that share a doc_id
+    but are no copies stay, and so do documents without an id or a word."""
+    return drop_near_copies(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -106,7 +106,7 @@ def test_buckets_across_batches():
 
     key, ids = [1, 1, 1, 2, 3, 3, 3, 3, 4, 4], [5, 6, 6, 9, 1, 2, 3, 3, 7, 7]
     for cut in range(1, 10):
-        parts = [pa.RecordBatch.from_arrays([pa.array(key[a:b]), pa.array(ids[a:b])], ["key", "id"]) for a, b in ((0, cut), (cut, 10))]
+        parts = [pa.RecordBatch.from_arrays([pa.array(key[a:b]), pa.array(ids[a:b]), pa.array(ids[a:b])], ["key", "doc", "id"]) for a, b in ((0, cut), (cut, 10))]
         got = sorted({tuple(r.values()) for b in jj._buckets(iter(parts)) for r in b.to_pylist()})
         assert got == [(1, 5, 6), (3, 1, 2), (3, 1, 3)]
 

@@ -117,15 +117,15 @@ def _described(k: int, seed: int):
     return run
 
 
-def _signed(k: int, seed: int):
-    """Rows (any columns, the text last) with the text's sig and n_shingles added."""
+def _signed(k: int, seed: int, place: int, names: list[str]):
+    """Rows of any columns, the text at ``place``, with the text's signature and size added."""
     def run(batches):
         for batch in batches:
             sig, n = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for _, _, values, _, at in _shingle_sets(batch.column(batch.num_columns - 1), k):
+            for _, _, values, _, at in _shingle_sets(batch.column(place), k):
                 sig.append(_signatures(values, at, seed))
                 n.append(np.diff(at))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(sig)), pa.array(np.concatenate(n))], [*batch.schema.names, "sig", "n_shingles"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(sig)), pa.array(np.concatenate(n))], names)
     return run
 
 
@@ -143,7 +143,8 @@ def _keyed(k: int, percent: int, seed: int):
                 keep = fresh[text]
                 values, text = values[keep], text[keep]
                 keys, of = block_keys(values, text, tv.per_text(text, j - i), percent)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(sig[of])], ["key", "id"])
+                doc = batch.column(0).slice(i, j - i).to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(doc[of].astype(np.int64)), pa.array(sig[of])], ["key", "doc", "id"])
     return run
 
 
@@ -171,12 +172,13 @@ def _whole_keys(batches, columns: int) -> Iterator[list[np.ndarray]]:
 
 
 def _buckets(batches):
-    """(key, leader, id) for every bucket of two ids or more; rows come sorted by key and id."""
+    """(key, leader, id) for every bucket of two classes or more; rows (key, doc, id) come sorted, so the class
+    of the smallest document leads: the same one in the buckets of a text and its later variants."""
     last_key = last_leader = last_id = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        key, ids = batch.column(0).to_numpy(), batch.column(2).to_numpy()
         first = np.r_[True, key[1:] != key[:-1]]
         start = np.flatnonzero(first)
         leader = np.repeat(ids[start], np.diff(np.r_[start, len(key)]))
@@ -190,20 +192,21 @@ def _buckets(batches):
         yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(leader[keep]), pa.array(ids[keep])], ["key", "leader", "id"])
 
 
-def _verified(k: int, percent: int):
-    """Of rows (a, b, text of a, text of b), the pairs that link."""
+def _verified(k: int, percent: int, seed: int):
+    """Of rows (a, b, text of a, text of b), the pairs that link. A text of another class (its id has several) is passed over."""
     def run(batches):
         for batch in batches:
-            left, right = ([(v, at, i) for i, _, v, _, at in _shingle_sets(batch.column(c), k)] for c in (2, 3))
-
-            def sets(parts):
-                for v, at, _ in parts:
-                    for d in range(len(at) - 1):
-                        yield v[at[d]:at[d + 1]]
+            def sets(column: int):
+                for _, _, v, _, at in _shingle_sets(batch.column(column), k):
+                    for d, sig in enumerate(_signatures(v, at, seed).tolist()):
+                        yield sig, v[at[d]:at[d + 1]]
+            a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            left = list(sets(2))
             ok = np.zeros(batch.num_rows, bool)
-            for r, (x, y) in enumerate(zip(sets(left), sets(right), strict=True)):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok[r] = both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+            for r, ((p, x), (q, y)) in enumerate(zip(left, sets(3), strict=True)):
+                if p == a[r] and q == b[r]:
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    ok[r] = both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
             yield batch.select(["a", "b"]).filter(pa.array(ok))
     return run
 
@@ -250,21 +253,23 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
     else:
         raise RuntimeError("no signature tells all sets apart")
     texts = rows.where("id is not null")
-    keys = texts.mapInArrow(_keyed(k, percent, seed), "key long, id long")
-    members = staged(keys.repartition("key").sortWithinPartitions("key", "id")
+    if not known.groupBy("id", "sig").count().where("count > 1").isEmpty():
+        texts = texts.dropDuplicates(["id", "text"])  # equal rows
+    keys = texts.mapInArrow(_keyed(k, percent, seed), "key long, doc long, id long")
+    members = staged(keys.repartition("key").sortWithinPartitions("key", "doc", "id")
                      .mapInArrow(_buckets, "key long, leader long, id long"), "jaccard-buckets")
-    shown = known.groupBy("sig").agg(F.min("id").alias("doc"))  # the document whose text stands for the class
+    # The document whose text stands for the class.
+    shown = staged(known.groupBy("sig").agg(F.min("id").alias("doc")), "jaccard-classes")
 
     def links(pairs: DataFrame, name: str) -> DataFrame:
         """Those of the candidate pairs (a, b) that link, verified on whole texts."""
         pairs = staged(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"jaccard-{name}")
-        wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(shown, "sig"), f"jaccard-{name}-docs")
-        found = rows_in_filter(texts, "id", id_filter(wanted.select(F.col("doc").alias("id")), "id"))
-        found = found.mapInArrow(_signed(k, seed), "id long, text string, sig long, n_shingles long").where("n_shingles > 0")
-        found = found.join(wanted.select("sig", F.col("doc").alias("id")), ["sig", "id"], "left_semi").dropDuplicates(["sig", "id"])
-        found = staged(found.select("sig", "text"), f"jaccard-{name}-texts")
-        sides = (pairs.join(found.toDF("a", "text_a"), "a").join(found.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b"))
-        return staged(sides.mapInArrow(_verified(k, percent), "a long, b long"), f"jaccard-links-{name}")
+        pairs = staged(pairs.join(shown.toDF("a", "doc_a"), "a").join(shown.toDF("b", "doc_b"), "b"), f"jaccard-{name}-docs")
+        bitmap = id_filter(pairs.select(F.explode(F.array("doc_a", "doc_b")).alias("id")), "id")
+        found = rows_in_filter(texts, "id", bitmap)
+        sides = (pairs.join(found.toDF("doc_a", "text_a"), "doc_a").join(found.toDF("doc_b", "text_b"), "doc_b")
+                 .select("a", "b", "text_a", "text_b"))
+        return staged(sides.mapInArrow(_verified(k, percent, seed), "a long, b long"), f"jaccard-links-{name}")
 
     # Each class is verified against one leader.
     best = (members.groupBy("id", "leader").count()
@@ -332,11 +337,17 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     least = known.groupBy("sig").agg(F.min("id").alias("id")).join(part, "sig", "left")
     first = least.groupBy(F.coalesce("part", "sig").alias("part")).agg(F.min(F.struct("id", "sig")).alias("x"))
     first = staged(first.select("x.id", "x.sig"), "jaccard-first")
-    wide = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    schema = wide.withColumns({"sig": F.lit(0).cast("long"), "n_shingles": F.lit(0).cast("long")}).schema
-    rows = wide.mapInArrow(_signed(k, seed), schema)
-    free = rows.where("id is null or n_shingles = 0").select("doc.*")
-    held = rows_in_filter(rows.where("id is not null and n_shingles > 0"), "sig", id_filter(first, "sig"))
-    copies = Window.partitionBy("id", "sig").orderBy("doc")
-    kept = held.join(first, ["id", "sig"], "left_semi").withColumn("nth", F.row_number().over(copies)).where("nth = 1")
-    return kept.select("doc.*").unionByName(free)
+    more = ["sig", "n_shingles", "id"]
+    while set(more) & {c.lower() for c in docs.columns}:
+        more = [f"_{c}" for c in more]
+    sig, size, key = more
+    schema = docs.withColumns({sig: F.lit(0).cast("long"), size: F.lit(0).cast("long")}).schema
+    rows = docs.mapInArrow(_signed(k, seed, docs.columns.index(text_col), schema.names), schema).withColumn(key, F.col(id_col).cast("long"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    free = rows.where(F.col(key).isNull() | (F.col(size) == 0)).select(*columns)
+    held = rows_in_filter(rows.where(F.col(key).isNotNull() & (F.col(size) > 0)), sig, id_filter(first, "sig"))
+    kept = held.join(first.toDF(key, sig), [key, sig], "left_semi")
+    if not known.groupBy("id", "sig").count().where("count > 1").isEmpty():
+        copies = Window.partitionBy(key, sig).orderBy(*columns)
+        kept = kept.withColumn(size, F.row_number().over(copies)).where(F.col(size) == 1)
+    return kept.select(*columns).unionByName(free)

@@ -37,6 +37,7 @@ from .util import staged
 LEAST, TOP, SHARE = 10, 2000, 50
 ENTRIES = 1 << 20
 BITMAP_BITS = 25
+PARTS = 32
 PIECE_ENDS = np.zeros(256, bool)
 PIECE_ENDS[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = True
 BREAKS = PIECE_ENDS | tv.SPACE
@@ -242,7 +243,10 @@ def mine_collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "
               .groupBy("id1", "id2").agg(F.max("longer").alias("longer")))
     two = pairs.join(inside, ["id1", "id2"], "left").where(F.col("longer").isNull() | (100 * F.col("longer") < share * F.col("a")))
     two = two.select("lang", F.concat_ws(" ", "w1", "w2").alias("phrase"), "a", F.col("f1").alias("l"), F.col("f2").alias("r"), score("a", "f1", "f2").alias("score"))
-    best = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    ranked = two.unionByName(three).withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= top)
+    order = (F.col("score").desc(), F.col("a").desc(), "phrase")
+    found = two.unionByName(three).withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    # The first of each part of a language, then of all: a task ranks PARTS * top phrases at most.
+    found = found.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top)
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

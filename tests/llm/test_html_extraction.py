@@ -54,9 +54,54 @@ def test_labeller_agrees_with_markup_it_was_not_trained_on(params):
     rng = np.random.default_rng(99)
     base = hx.blocks_of(SITE.replace("<p>Last", "<p>More words in a paragraph of the article</p>" * 8 + "<p>Last"))
     pages = [hx._variant(base, rng) for _ in range(200)]
-    z = hx.log_odds(params, pages)
-    y = np.array([x for p in pages for x in hx._variant_labels(p)])
-    assert ((z > 0) == y).mean() > 0.95
+    right = [k == y for p, own in pages for k, y in zip(hx.chosen(p, hx.log_odds(params, [p]).tolist()), own, strict=True)]
+    assert np.mean(right) > 0.95
+
+
+PARAGRAPHS = [f"Sentence number {i} of the text that the page is about, long enough." for i in range(6)]
+
+
+@pytest.mark.parametrize("side", ["", "<div class=sidebar><p>Side</p></div>", "<div class=ad>Buy</div>", "<div class='cookie-notice'><p>We use cookies</p></div>"])
+@pytest.mark.parametrize("main", ['<div class="content with-sidebar">{}</div>', '<div id=page class="no-sidebar">{}</div>', '<section class="search">{}</section>',
+                                  "<nav><select><option>A</nav><article>{}</article>", "<nav><button>Go</nav><article>{}</article>", "<iframe src=x /><article>{}</article>",
+                                  "<div><a href=/>Home</a> <a href=/b>B</a></div><div>{}</div>"])
+def test_the_labeller_decides_not_the_names(params, main, side):
+    inner = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    for before, after in ((side, ""), ("", side)):
+        page = f"<html><body><nav><a href=/>Home</a></nav>{before}{main.format(inner)}{after}<footer>end</footer></body></html>"
+        assert hx.main_text([page], params) == ["\n".join(PARAGRAPHS)]
+
+
+@pytest.mark.parametrize("part", ["<aside><p>Aside</p></aside>", "<div class=ads>Buy</div>", "<form><input><button>Send</button></form>", "<div class=sidebar><p>Side</p></div>"])
+def test_other_parts_within_the_article(params, part):
+    inner = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    page = f"<html><body><article>{inner[:210].rsplit('<p>', 1)[0]}{part}{inner[len(inner[:210].rsplit('<p>', 1)[0]):]}</article></body></html>"
+    assert hx.main_text([page], params) == ["\n".join(PARAGRAPHS)]
+
+
+def test_inline_things_do_not_split_a_block():
+    page = "<article><p>Here <math><mi>x</mi><mo>=</mo><mn>1</mn></math> is<img src=a> an <svg><path d=z /></svg>icon.</p></article>"
+    assert [b.text for b in hx.blocks_of(page)] == ["Here x=1 is an icon."]
+
+
+def test_pages_without_any_name(spark, params):
+    """Pages of which most took no part in training, all their names taken away: F1 of the blocks; without the labeller far less."""
+    import re
+    from collections import Counter
+
+    real = [r.html for r in table(spark, "pages", "sf0.1").select("html").collect()]
+    plain = [re.sub(r"<(/?)(?:article|nav|footer)\b", r"<\1div", p.replace(' class="ad"', "")) for p in real]
+
+    def f1(found):
+        same = have = want = 0
+        for text, page in zip(found, real, strict=True):
+            a, b = (Counter(x.split("\n") if x else []) for x in (text, by_hand(page)))
+            same, have, want = same + (a & b).total(), have + a.total(), want + b.total()
+        return 2 * same / (have + want)
+
+    assert f1(hx.main_text(plain, params)) >= 0.98
+    assert f1(hx.main_text(plain, None)) < 0.9
+    assert hx.main_text(real, params) == [by_hand(p) for p in real]
 
 
 def test_gradients():
@@ -91,4 +136,4 @@ def test_awkward_pages(spark, params):
     assert by[1] == by[2] == by[5] == by[6] == by[7] == ""
     assert max((r.text for r in got if r.page_id == 4), key=len) == "\n".join(["w & v"] * 3000)
     assert hx.extract_main_text(pages.where("false"), params).collect() == []
-    assert hx.fit_pages(pages.where("false")) is None and hx.main_text([SITE], None)[0].startswith("Head&line")
+    assert hx.fit_pages(pages.where("false")) is None and hx.main_text([SITE], None)[0].startswith("Site name\nMenu one")

@@ -1,18 +1,21 @@
 """Main text of web pages by a recurrent block labeller.
 
 A page is read into its leaf blocks of text in page order, each with the path
-of elements around it (tags and their class and id words). A bidirectional
-LSTM in numpy reads the blocks' hashed path and word vectors, so that the whole
-page stands behind every decision, and gives each block the log-odds of being
-main text. Blocks of the same section (the path down to the last element that
-is more than a paragraph or the like) share their mean log-odds.
-
-The labeller is trained on a bounded sample of the pages. The labels
-come from markup that says what it is: text within article or main is main text, text within
-navigation, footers, asides, forms, scripts or elements named after adverts,
-comments and the like is not. Every sampled page also gives variants: its
-article as a plainly named element, and more such parts around and within it. An exact check follows the
-labeller: blocks within the elements that always hold something else are left out.
+of elements around it (tags and their class and id words) and the group it
+stands in: the last element around it that is more than a paragraph or the like.
+A bidirectional LSTM in numpy reads the blocks' hashed path and word vectors and
+the size and link share of their groups, so that the whole page stands behind
+every decision, and gives each block the log-odds of being main text. Blocks of
+a group share their mean log-odds; to that of a list, table, unnamed leaf div or
+named paragraph its surrounding group's is added. Nothing else decides.
+
+The labeller is trained on a bounded sample of the pages. The labels come from
+markup that says what it is: text within article or main is main text, unless
+it is within navigation, a form, or an element in there that is named after
+adverts, comments and the like. Every sampled page also gives variants, so that
+no single name decides: its article as an element named otherwise, by a
+misleading word or not at all, its other parts without their names, and more
+such parts around and within it.
 """
 
 from __future__ import annotations
@@ -32,18 +35,19 @@ from .hashed_text import run_sums, sigmoid
 BITS = 12
 DIM = 16
 HIDDEN = 12
-DENSE = 4
+DENSE = 7
 TRAIN_PAGES = 300  # about
+VARIANTS = 2        # of each, drawn anew in every epoch
 
 # Names from HTML, and the words that sites give to what isn't main text.
-RAW = {"script", "style", "noscript", "template", "iframe", "object", "svg", "math", "canvas", "audio", "video", "select", "textarea", "title", "button"}
+RAW = {"script", "style", "textarea", "title"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q",
-          "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"}
-LEAF = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "tr", "tbody", "thead", "tfoot", "pre", "blockquote", "ul", "ol", "dl",
-        "table", "figure", "figcaption", "caption", "address", "center"}
+          "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "math", "mi", "mn", "mo", "ms", "mtext", "mrow", "mfrac", "msup", "msub", "msqrt", "svg", "g", "path", "use"}
+LISTS = {"ul", "ol", "dl", "table"}
+LEAF = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "tr", "tbody", "thead", "tfoot", "pre", "blockquote", "figure", "figcaption", "caption", "address", "center"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-OTHER_TAGS = RAW | {"nav", "footer", "aside", "form", "menu", "dialog", "head"}
+OTHER_TAGS = {"nav", "footer", "aside", "form", "menu", "dialog", "head", "noscript", "template", "iframe", "object", "canvas", "audio", "video", "select", "button"}
 OTHER_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "promo", "sponsor", "sponsored", "cookie", "cookies", "consent",
                "notice", "alert", "sidebar", "aside", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead", "comment", "comments",
                "reply", "replies", "disqus", "share", "sharing", "social", "related", "newsletter", "subscribe", "signup", "popup", "modal", "toolbar",
@@ -61,6 +65,8 @@ class Block:
     text: str
     path: tuple[str, ...]   # elements around it, as tag or tag.words, from the root
     linked: int             # characters inside links
+    group: int = 0          # number of the element that is its group
+    around: int = -1        # the group around that one, where it has a say too
 
 
 def _element(tag: str, attributes: str) -> str:
@@ -69,24 +75,37 @@ def _element(tag: str, attributes: str) -> str:
 
 
 def blocks_of(page: str) -> list[Block]:
-    """The leaf blocks of a page. Inline elements and line breaks don't end a block; every other element does."""
+    """The leaf blocks of a page. Inline elements, images and line breaks don't end a block; every other element does.
+
+    Scripts, styles, titles, text areas and comments are not text; one that nobody closes runs to the
+    end. All other elements that nobody closes end with the element around them.
+    """
     out: list[Block] = []
     stack: list[str] = []   # elements as in Block.path
     tags: list[str] = []
+    numbers: list[int] = []
     parts: list[str] = []
-    linked = 0
+    linked = opened = 0
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = _BLANKS.sub(" ", html.unescape("".join(parts))).strip()
             if text:
-                out.append(Block(text, tuple(e for e, t in zip(stack, tags, strict=True) if t not in INLINE), linked))
+                around = [(e, n) for e, t, n in zip(stack, tags, numbers, strict=True) if t not in INLINE]
+                out.append(Block(text, tuple(e for e, _ in around), linked, *_groups(around)))
             parts.clear()
         linked = 0
 
     def pop_to(i: int) -> None:
-        del stack[i:], tags[i:]
+        del stack[i:], tags[i:], numbers[i:]
+
+    def push(e: str, tag: str) -> None:
+        nonlocal opened
+        opened += 1
+        stack.append(e)
+        tags.append(tag)
+        numbers.append(opened)
 
     at, end = 0, len(page)
     while at < end:
@@ -110,12 +129,12 @@ def blocks_of(page: str) -> list[Block]:
             elif tag == "p":
                 flush()
             continue
-        if tag == "br":
-            parts.append(" ")
+        if tag in {"br", "img", "wbr"}:
+            if tag == "br":
+                parts.append(" ")
             continue
         if tag in INLINE:
-            stack.append(tag)
-            tags.append(tag)
+            push(tag, tag)
             continue
         flush()
         if tag in VOID:
@@ -133,41 +152,42 @@ def blocks_of(page: str) -> list[Block]:
             pop_to(len(tags) - 1)               # a block inside an inline element that nobody closed
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            if (m[3] or "").rstrip().endswith("/") and tag in {"svg", "math"}:
-                continue
             at = close.end() if close else end
             continue
         if not (m[3] or "").rstrip().endswith("/"):
-            stack.append(_element(tag, m[3] or ""))
-            tags.append(tag)
+            push(_element(tag, m[3] or ""), tag)
     flush()
     return out
 
 
-def _other(path: tuple[str, ...]) -> bool:
-    """Whether some element around a block always holds something other than main text."""
-    inside = False
-    for e in path:
-        tag, *words = e.split(".")
-        if tag in OTHER_TAGS or (tag not in {"html", "body", "article", "main"} and OTHER_WORDS & set(words)) or (tag == "header" and not inside):
-            return True
-        inside = inside or tag in {"article", "main"}
-    return False
+def _groups(path: list[tuple[str, int]]) -> tuple[int, int]:
+    """(group, group around it or -1) of a block, from the elements around it and their numbers."""
+    weak = -1
+    for at in range(len(path) - 1, -1, -1):
+        e, number = path[at]
+        tag, _, names = e.partition(".")
+        if tag in LEAF and not names:
+            continue
+        if tag in LEAF or (not names and (tag in LISTS or (tag == "div" and at == len(path) - 1))):
+            weak = number if weak < 0 else weak
+            continue
+        return (number, -1) if weak < 0 else (weak, number)
+    return (0, -1) if weak < 0 else (weak, 0)
+
+
+def _marked(path: tuple[str, ...]) -> int:
+    """Where on the path the first article or main is; -1 without one."""
+    return next((i for i, e in enumerate(path) if e.split(".")[0] in {"article", "main"}), -1)
 
 
 def weak_labels(blocks: list[Block]) -> list[bool]:
-    """Main text by the markup; on pages without article or main, all that isn't something else."""
-    inside = [any(e.split(".")[0] in {"article", "main"} for e in b.path) for b in blocks]
-    marked = any(inside)
-    return [(i or not marked) and not _other(b.path) for i, b in zip(inside, blocks, strict=True)]
-
+    """Main text by the markup, for training: what is in article or main, but not in an element in there that names something else."""
+    def good(path: tuple[str, ...]) -> bool:
+        at = _marked(path)
+        return at >= 0 and not any(tag in OTHER_TAGS or OTHER_WORDS & set(names)
+                                   for tag, *names in (e.split(".") for e in path[at + 1:])) and not OTHER_TAGS & {e.split(".")[0] for e in path[:at]}
 
-def section(b: Block) -> tuple[str, ...]:
-    """The path down to the last element that isn't a paragraph, heading, list or the like."""
-    path = list(b.path)
-    while path and path[-1].split(".")[0] in LEAF:
-        path.pop()
-    return tuple(path)
+    return [good(b.path) for b in blocks]
 
 
 def _bucket(word: str, salt: str) -> int:
@@ -186,17 +206,29 @@ def features(pages: list[list[Block]]) -> tuple[np.ndarray, ...]:
         return k
 
     for blocks in pages:
-        for i, b in enumerate(blocks):
+        own = [b.text.lower().split() for b in blocks]
+        total = sum(map(len, own))
+        sizes: dict[int, list[int]] = {}    # words, characters, those inside links
+        for b, w in zip(blocks, own, strict=True):
+            for g in {b.group, b.around} - {-1}:
+                n = sizes.setdefault(g, [0, 0, 0])
+                n[0] += len(w)
+                n[1] += len(b.text)
+                n[2] += b.linked
+        for i, (b, w) in enumerate(zip(blocks, own, strict=True)):
             for e in b.path:
                 tag, *names = e.split(".")
                 tokens.append(bucket(tag, "t:"))
-                tokens += [bucket(w, "n:") for w in names]
+                tokens += [bucket(x, "n:") for x in names]
+            last = next((e for e in reversed(b.path) if e.split(".")[0] not in LEAF), "none").split(".")
+            tokens += [bucket(x, "g:") for x in last]
             tokens.append(bucket("leaf " + b.path[-1].split(".")[0] if b.path else "none", "t:"))
             at.append(len(tokens))
-            own = b.text.lower().split()
-            words += [bucket(w, "w:") for w in own]
+            words += [bucket(x, "w:") for x in w]
             words_at.append(len(words))
-            dense.append((min(np.log1p(len(own)) / 6, 1.5), min(b.linked / max(len(b.text), 1), 1.0), i / max(len(blocks) - 1, 1), 1.0))
+            n = sizes[b.group]
+            dense.append((min(np.log1p(len(w)) / 6, 1.5), min(b.linked / max(len(b.text), 1), 1.0), i / max(len(blocks) - 1, 1), 1.0,
+                          min(np.log1p(n[0]) / 8, 1.5), min(n[2] / max(n[1], 1), 1.0), n[0] / max(total, 1)))
         if len(known) > 500_000:
             known.clear()
     return (np.array(tokens, np.int64), np.array(at), np.array(words, np.int64), np.array(words_at), np.array(dense, np.float32).reshape(-1, DENSE))
@@ -304,73 +336,80 @@ def log_odds(p: dict[str, np.ndarray], pages: list[list[Block]], train: np.ndarr
     return z, grads
 
 
-def _variants(blocks: list[Block], rng) -> list[list[Block]]:
-    """The page, and two with its main element named otherwise and other parts put around and within it."""
-    return [blocks, _variant(blocks, rng), _variant(blocks, rng)]
-
-
-def _variant(blocks: list[Block], rng) -> list[Block]:
+def _variant(blocks: list[Block], rng) -> tuple[list[Block], list[bool]]:
+    """A page with the same main text in an element named otherwise, other parts put around and within it, and the labels."""
     text = " ".join(b.text for b in blocks).split() or ["x"]
-
-    def some(a: int, b: int) -> str:
-        n, k = int(rng.integers(a, b)), int(rng.integers(0, len(text)))
-        return " ".join((text[k:] + text)[:n])
-
-    names = sorted(OTHER_WORDS)
-    tags = ["nav", "footer", "aside", "form", "header", "div", "section", "ul"]
-
-    def part(base: tuple[str, ...]) -> list[Block]:
-        tag = tags[int(rng.integers(len(tags)))]
-        word = names[int(rng.integers(len(names)))]
-        e = f"{tag}.{word}" if tag in {"div", "section", "ul"} or rng.random() < 0.3 else tag
-        leaf = ["p", "li", "div", "h1", "h3"][int(rng.integers(5))]
-        return [Block(t := some(1, 40), (*base, e, leaf), len(t) if rng.random() < 0.4 else 0) for _ in range(int(rng.integers(1, 6)))]
-
-    main = ["article", "main", *(f"{t}.{w}" for t in ("div", "section", "article") for w in MAIN_WORDS)][int(rng.integers(26))]
+    count = max((b.group for b in blocks), default=0) + 1
     out: list[Block] = []
-    labels = weak_labels(blocks)
+    labels: list[bool] = []
     root = ("html", "body")
-    for _ in range(int(rng.integers(0, 3))):
-        out += part(root)
-    for b, good in zip(blocks, labels, strict=True):
+    plain = rng.random() < 0.35             # a page whose parts have no names
+
+    def one(xs):
+        return xs[int(rng.integers(len(xs)))]
+
+    def part(base: tuple[str, ...], named: bool) -> None:
+        nonlocal count
+        count += 1
+        tag = one(["nav", "footer", "aside", "form", "header", "div", "section", "ul", "select", "button"]) if named else one(["div", "div", "section"])
+        e = f"{tag}.{one(sorted(OTHER_WORDS))}" if named and (tag in {"div", "section", "ul"} or rng.random() < 0.3) else tag
+        leaf = one([("p",), ("li",), ("ul", "li"), ("div",), ("h1",), ("h3",), ()])
+        linked = rng.random() < (0.4 if named else 0.7)
+        for _ in range(int(rng.integers(1, 6))):
+            k = int(rng.integers(0, len(text)))
+            t = " ".join((text[k:] + text)[:int(rng.integers(1, 40 if named else 8))])
+            out.append(Block(t, (*base, e, *leaf), len(t) if linked else 0, count))
+            labels.append(False)
+
+    kind = rng.random()
+    if plain:
+        main = one([("div",), ("div", "div"), ("section",), ("div", "section")])
+    elif kind < 0.4:
+        main = one([("article",), ("main",), ("main", "article"), ("div", "article"), (f"div.{one(sorted(OTHER_WORDS))}", "article")])
+    else:
+        word = one(MAIN_WORDS) if kind < 0.92 else one(sorted(OTHER_WORDS))
+        main = (f"{one(['div', 'section', 'article'])}.{word}" + (f".{one(['with', 'no'])}.{one(sorted(OTHER_WORDS))}" if rng.random() < 0.2 else ""),)
+        main = (*one([(), ("div",), ("div.page",)]), *main, *one([(), ("div",)]))
+    main_group = count = count + 1
+    for _ in range(int(rng.integers(0, 4))):
+        part(root, not plain)
+    for b, good in zip(blocks, weak_labels(blocks), strict=True):
         if good:
-            path = tuple(main if e.split(".")[0] == "article" else e for e in b.path)
-            if rng.random() < 0.3:
-                path = (*path[:-1], *[("ul", "li"), ("h2",), ("blockquote", "p"), ("table", "tr", "td"), ("div",)][int(rng.integers(5))])
-            out.append(Block(b.text, path, b.linked))
-            if rng.random() < 0.04:
-                out += part(path[:-1])
+            leaf, group = one([b.path[_marked(b.path) + 1:]] * 5 + [("h2",), ("blockquote", "p"), ("div",), ("ul", "li"), ("table", "tr", "td")]), (main_group, -1)
+            if leaf and leaf[0] in {"ul", "table", "div"}:
+                count += 1
+                group = (count, main_group)
+            out.append(Block(b.text, (*root, *main, *leaf), b.linked, *group))
+            labels.append(True)
+            if rng.random() < 0.1:
+                part((*root, *main), True)
         elif rng.random() < 0.8:
-            out.append(b)
+            path = b.path
+            if plain:
+                path = tuple("div" if e.split(".")[0] not in LEAF | LISTS | {"html", "body"} else e.split(".")[0] for e in path)
+            out.append(Block(b.text, path, b.linked, b.group, b.around))
+            labels.append(False)
     for _ in range(int(rng.integers(0, 3))):
-        out += part(root if rng.random() < 0.7 else (*root, main))
-    return out
-
-
-def _variant_labels(blocks: list[Block]) -> list[bool]:
-    named = {f"{t}.{w}" for t in ("div", "section", "article") for w in MAIN_WORDS} | {"article", "main"}
-    inside = [any(e in named or e.split(".")[0] in {"article", "main"} for e in b.path) for b in blocks]
-    marked = any(inside)
-    return [(i or not marked) and not _other(b.path) for i, b in zip(inside, blocks, strict=True)]
+        part(root if plain or rng.random() < 0.7 else (*root, *main), not plain)
+    return out, labels
 
 
-def train(pages: list[list[Block]], epochs: int = 10, batch: int = 16, rate: float = 0.01, seed: int = 1) -> dict[str, np.ndarray] | None:
-    """The labeller's parameters; None without a block."""
+def train(pages: list[list[Block]], epochs: int = 20, batch: int = 16, rate: float = 0.01, seed: int = 1) -> dict[str, np.ndarray] | None:
+    """The labeller's parameters; None where no page marks its main text."""
     rng = np.random.default_rng(seed)
-    pages = [v for p in pages if p for v in _variants(p, rng)]
-    pages = [p for p in pages if p]
+    pages = [p for p in pages if any(weak_labels(p))]
     if not pages:
         return None
     params = _start(rng)
     first, second = ({k: np.zeros_like(v) for k, v in params.items()} for _ in "12")
     n = 0
     for epoch in range(epochs):
-        order = sorted(rng.permutation(len(pages)).tolist(), key=lambda i: len(pages[i]) // 16)
+        pairs = [v for p in pages for v in ((p, weak_labels(p)), *(_variant(p, rng) for _ in range(VARIANTS)))]
+        order = sorted(rng.permutation(len(pairs)).tolist(), key=lambda i: len(pairs[i][0]) // 16)
         groups = [order[a:a + batch] for a in range(0, len(order), batch)]
         for g in rng.permutation(len(groups)):
-            own = [pages[i] for i in groups[g]]
-            y = np.array([x for p in own for x in _variant_labels(p)], np.float32)
-            _, grads = log_odds(params, own, y)
+            y = np.array([x for i in groups[g] for x in pairs[i][1]], np.float32)
+            _, grads = log_odds(params, [pairs[i][0] for i in groups[g]], y)
             n += 1
             size = np.sqrt(sum(float((v * v).sum()) for v in grads.values()))
             for k, v in grads.items():
@@ -381,8 +420,18 @@ def train(pages: list[list[Block]], epochs: int = 10, batch: int = 16, rate: flo
     return params
 
 
+def chosen(blocks: list[Block], odds: list[float]) -> list[bool]:
+    """Which blocks are main text, given their log-odds: by the mean of their group, plus that of the group around it where it has a say."""
+    held: dict[int, list[float]] = {}
+    for b, v in zip(blocks, odds, strict=True):
+        for g in {b.group, b.around} - {-1}:
+            held.setdefault(g, []).append(v)
+    mean = {g: sum(v) / len(v) for g, v in held.items()}
+    return [mean[b.group] + (mean[b.around] if b.around >= 0 else 0.0) > 0 for b in blocks]
+
+
 def main_text(pages: list[str], params: dict[str, np.ndarray] | None, group_blocks: int = 20_000) -> list[str]:
-    """The main text of each page: its blocks that the labeller and the exact check leave, joined by line ends."""
+    """The main text of each page: the blocks that the labeller chooses, joined by line ends. Without a labeller, all blocks."""
     read = [blocks_of(p) for p in pages]
     out = [""] * len(pages)
     order = sorted((i for i in range(len(pages)) if read[i]), key=lambda i: len(read[i]))
@@ -395,12 +444,9 @@ def main_text(pages: list[str], params: dict[str, np.ndarray] | None, group_bloc
         a = 0
         for i in take:
             blocks = read[i]
-            own = z[a:a + len(blocks)]
+            keep = chosen(blocks, z[a:a + len(blocks)].tolist())
             a += len(blocks)
-            total: dict[tuple, list[float]] = {}
-            for b, v in zip(blocks, own.tolist(), strict=True):
-                total.setdefault(section(b), []).append(v)
-            out[i] = "\n".join(b.text for b in blocks if sum(total[section(b)]) > 0 and not _other(b.path))
+            out[i] = "\n".join(b.text for b, k in zip(blocks, keep, strict=True) if k)
     return out
 
 
@@ -417,12 +463,13 @@ def fit_pages(pages: DataFrame, html_col: str = "html", most: int = TRAIN_PAGES)
                 blocks = blocks_of(page)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([zlib.crc32(page.encode())], pa.int64()), pa.array([[b.text for b in blocks]], pa.list_(pa.string())),
-                    pa.array([[" ".join(b.path) for b in blocks]], pa.list_(pa.string())), pa.array([[b.linked for b in blocks]], pa.list_(pa.int64()))],
-                    ["h", "texts", "paths", "linked"])
+                    pa.array([[" ".join(b.path) for b in blocks]], pa.list_(pa.string())),
+                    *(pa.array([[getattr(b, f) for b in blocks]], pa.list_(pa.int64())) for f in ("linked", "group", "around"))],
+                    ["h", "texts", "paths", "linked", "group", "around"])
 
-    got = few.mapInArrow(run, "h long, texts array<string>, paths array<string>, linked array<long>").collect()
+    got = few.mapInArrow(run, "h long, texts array<string>, paths array<string>, linked array<long>, group array<long>, around array<long>").collect()
     got.sort(key=lambda r: (r.h, r.texts))
-    return train([[Block(t, tuple(p.split(" ")) if p else (), n) for t, p, n in zip(r.texts, r.paths, r.linked, strict=True)] for r in got])
+    return train([[Block(t, tuple(p.split(" ")) if p else (), *n) for t, p, *n in zip(r.texts, r.paths, r.linked, r.group, r.around, strict=True)] for r in got])
 
 
 def extract_main_text(pages: DataFrame, params: dict[str, np.ndarray] | None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -430,8 +477,8 @@ def extract_main_text(pages: DataFrame, params: dict[str, np.ndarray] | None, id
 
     White space inside a block is one space, blocks are joined by one line end,
     nothing else is dropped or cut. Null and empty html, and pages without main
-    text, give an empty text. Without a trained labeller (no page had a block to
-    learn from) the exact check alone decides. Null and repeated ids and null urls pass through.
+    text, give an empty text. Without a trained labeller (no page marks its main
+    text) every block is kept. Null and repeated ids and null urls pass through.
     """
     held = pages.sparkSession.sparkContext.broadcast(params)
 

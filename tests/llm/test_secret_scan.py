@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from tillroll.llm import secret_scan as ss
 from tillroll.llm.queries import op6_secret_scan
 
@@ -66,3 +68,19 @@ def test_digest(spark, tmp_path):
 
 def test_empty_table(spark):
     assert ss.find_secrets(empty(spark)).collect() == []
+
+
+def test_columns_named_like_the_helpers_stay(spark):
+    rows = [(1, "token = abcdefg", "x", 7), (2, "nothing", "y", 8), (None, "password: hunter22", "z", 9), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __rules string, __id int").withColumn("__may", F.lit("m")).withColumn("__map", F.lit(1))
+    got = ss.find_secrets(df)
+    assert got.columns == [*df.columns, "__secrets"]
+    assert sorted(map(repr, got.drop("__secrets").collect())) == sorted(map(repr, df.collect()))
+    assert all([tuple(x) for x in r["__secrets"]] == brute(r.text) for r in got.collect())
+
+
+def test_rows_that_are_no_candidates_are_not_shuffled(spark):
+    ids = spark.range(0, 50, 7).toDF("key")
+    marked = ss._may_hold(spark.range(1000).toDF("doc_id"), ids, "doc_id", "may")
+    may = {r.doc_id for r in marked.where("may").collect()}
+    assert {r.key for r in ids.collect()} <= may and len(may) < 20

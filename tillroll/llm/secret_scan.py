@@ -19,7 +19,10 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .util import staged
+
 GAP = "\0"
+FILTER_BITS = 23
 MOST_STRINGS = 256  # beyond it a part of an expression counts as a gap, which only widens the candidates
 
 
@@ -134,24 +137,60 @@ def _spans(text: Column, rule: Rule, number: int) -> Column:
     return F.when(F.regexp_like(text, pattern), walked).otherwise(none)
 
 
+def _may_hold(docs: DataFrame, ids: DataFrame, id_col: str, name: str) -> DataFrame:
+    """``docs`` with a boolean column: false only where the row's id is surely none of ``ids``.
+
+    The hashes of the ids are a bitmap of 2**FILTER_BITS bits in rows of 4 KB (1 MB in all, whatever the input),
+    which is what is broadcast. It only spares shuffling rows; a join decides.
+    """
+    def place(column: str) -> tuple[Column, Column]:
+        h = F.pmod(F.xxhash64(F.col(f"`{column}`")), F.lit(2 ** FILTER_BITS))
+        return F.floor(h / 32768), F.pmod(h, F.lit(32768))
+
+    part, bit = place(ids.columns[0])
+    bitmap = ids.select(part.alias("p"), bit.alias("b")).groupBy("p").agg(F.bitmap_construct_agg("b").alias("m"))
+    row, held = _free(docs.columns, "__part", "__map")
+    part, bit = place(id_col)
+    byte = F.conv(F.hex(F.substring(F.col(held), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    test = F.coalesce(F.floor(byte / F.pow(F.lit(2), F.pmod(bit, F.lit(8)))) % 2 == 1, F.lit(False))
+    return docs.join(F.broadcast(bitmap.toDF(row, held)), part == F.col(row), "left").select(*[F.col(f"`{c}`") for c in docs.columns], test.alias(name))
+
+
+def _free(taken: list[str], *names: str) -> list[str]:
+    """The names, each with underscores before it until no column of ``taken`` has it."""
+    low = {c.lower() for c in taken}
+    out = []
+    for n in names:
+        while n.lower() in low:
+            n = f"_{n}"
+        out.append(n)
+    return out
+
+
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with ``__secrets``: the spans (start, kind number, end) of every rule's matches, by start, then kind.
 
     Places are code points, the end exclusive. A null or empty text has none.
     Rows with null or repeated ids are scanned like any other: candidates are
-    found by id, and each row's own text is then matched. An empty table stays
-    empty. ``__secrets`` replaces a column of that name; the others stay as they are.
+    found by id, and each row's own text is then matched. Only rows that may be
+    candidates are shuffled; the others are scanned where they are, for the
+    rules without a trigram. An empty table stays empty. ``__secrets`` replaces
+    a column of that name; all others stay as they are.
     """
     trigrams, terms = _plan(rules)
-    docs = docs.drop("__secrets", "__rules", "__id")
-    found = candidates(postings(docs, trigrams, id_col, text_col), trigrams, terms).toDF("__id", "__rules")
-    rows = docs.join(found, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")), "left")
+    docs = docs.drop("__secrets")
+    own, bits, flag = _free(docs.columns, "__id", "__rules", "__may")
+    found = staged(candidates(postings(docs, trigrams, id_col, text_col), trigrams, terms).toDF(own, bits), "secret-candidates")
+    marked = _may_hold(docs, found.select(own), id_col, flag)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    likely = marked.where(F.col(flag)).join(found, F.col(f"`{id_col}`").eqNullSafe(F.col(own)), "left").select(*columns, bits)
+    rows = likely.union(marked.where(~F.col(flag)).select(*columns, F.lit(None).cast("long").alias(bits)))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     selective = {n for n, _ in terms}
-    spans = [F.when(F.expr(f"coalesce(__rules, 0L) & {2 ** n}L") != 0, _spans(text, r, n)).otherwise(none) if n in selective else _spans(text, r, n)
+    spans = [F.when(F.coalesce(F.col(bits), F.lit(0)).bitwiseAND(F.lit(2 ** n)) != 0, _spans(text, r, n)).otherwise(none) if n in selective else _spans(text, r, n)
              for n, r in enumerate(rules)]
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.sort_array(F.concat(*spans)).alias("__secrets"))
+    return rows.select(*columns, F.sort_array(F.concat(*spans)).alias("__secrets"))
 
 
 def joined_spans(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:

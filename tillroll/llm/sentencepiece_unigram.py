@@ -66,6 +66,9 @@ def double_array(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return base, check, value
 
 
+SLICE_BYTES = 500_000  # of text encoded at once; a longer text is a slice of its own
+
+
 @dataclass
 class Pieces:
     base: np.ndarray
@@ -235,7 +238,7 @@ def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for batch in batches:
             texts = batch.column(1)
             whole, whole_at = tv.utf8(texts)
-            for i, j, data, offsets in tv.text_slices(_marked(texts)):
+            for i, j, data, offsets in tv.text_slices(_marked(texts), SLICE_BYTES):
                 ids, at = encode_slice(p, data, offsets)
                 back, back_at = decode_slice(p, ids, at)
                 same = _equal_texts(back, back_at, whole[whole_at[i]:whole_at[j]], whole_at[i:j + 1] - whole_at[i])

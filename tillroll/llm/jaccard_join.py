@@ -272,18 +272,26 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
         return staged(sides.mapInArrow(_verified(k, percent, seed), "a long, b long"), f"jaccard-links-{name}")
 
     # Each class is verified against one leader.
-    best = (members.groupBy("id", "leader").count()
-            .groupBy("id").agg(F.max_by("leader", F.struct("count", -F.col("leader"))).alias("leader")))
+    pairs = staged(members.groupBy("id", "leader").agg(F.count("*").alias("n")), "jaccard-pairs")
+    best = pairs.groupBy("id").agg(F.max_by("leader", F.struct("n", -F.col("leader"))).alias("leader"))
     found = links(best.toDF("a", "b"), "leaders")
     part = connected_components(found)
 
-    # Buckets that still span components: compare their members pair by pair.
-    bucket = members.select("key", "id").union(members.select("key", F.col("leader").alias("id")).distinct())
-    bucket = bucket.join(part, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    bucket = staged(bucket, "jaccard-members")
-    open_keys = (bucket.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-                 .where("low < high").select("key", F.ceil(F.col("n") / CHUNK).cast("long").alias("chunks")))
-    left = bucket.join(open_keys, "key").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")))
+    # Buckets that still span components have a member in another one than their leader's. Pairs of member and
+    # leader are far fewer than the rows of buckets, so they tell which buckets these are; only their rows move.
+    open_pairs = staged(pairs.join(part.toDF("id", "own"), "id", "left").join(part.toDF("leader", "led"), "leader", "left")
+                        .where(F.coalesce("own", "id") != F.coalesce("led", "leader"))
+                        .select("id", "leader", F.xxhash64("id", "leader").alias("pair")), "jaccard-open-pairs")
+    across = rows_in_filter(members.withColumn("pair", F.xxhash64("id", "leader")), "pair", id_filter(open_pairs, "pair"))
+    open_keys = staged(across.join(open_pairs, ["id", "leader"], "left_semi").select("key").distinct(), "jaccard-open-keys")
+    opened = rows_in_filter(members, "key", id_filter(open_keys, "key")).join(open_keys, "key", "left_semi")
+    bucket = opened.select("key", "id").union(opened.select("key", F.col("leader").alias("id"))).distinct()
+    bucket = staged(bucket.join(part, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")), "jaccard-members")
+
+    # These are compared member by member; of buckets with the same members (by number and 128 bits of hash) one is.
+    groups = bucket.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+    one = groups.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("n") / CHUNK).cast("long").alias("chunks"))
+    left = staged(bucket.join(one, "key").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks"))), "jaccard-compared")
     sketches = (known.join(left.select(F.col("id").alias("sig")).distinct(), "sig", "left_semi")
                 .groupBy(F.col("sig").alias("id")).agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
     blocks = F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1),

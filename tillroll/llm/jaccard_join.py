@@ -211,6 +211,19 @@ def _verified(k: int, percent: int, seed: int):
     return run
 
 
+def _possible(percent: int):
+    """Of rows (a, b, sizes, sketches), the pairs that the sketches' Hamming distance doesn't rule out."""
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(len(n), -1) for c in (4, 5))
+            far = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            yield batch.select(["a", "b"]).filter(pa.array(far <= _differ(n, percent)))
+    return run
+
+
 def _near(percent: int):
     """Pairs of a chunk's members, in different components, that the sketches' Hamming distance doesn't rule out."""
     def run(batches):
@@ -261,6 +274,15 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
     # The document whose text stands for the class.
     shown = staged(known.groupBy("sig").agg(F.min("id").alias("doc")), "jaccard-classes")
 
+    def possible(pairs: DataFrame) -> DataFrame:
+        """Those of the candidate pairs (a, b) that their sketches leave, so that no text moves for the others."""
+        bitmap = id_filter(pairs.select(F.explode(F.array("a", "b")).alias("sig")), "sig")
+        sketches = (rows_in_filter(known.select("sig", "n_shingles", "sketch"), "sig", bitmap)
+                    .groupBy("sig").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")))
+        sides = (pairs.join(sketches.toDF("a", "n_a", "sketch_a"), "a").join(sketches.toDF("b", "n_b", "sketch_b"), "b")
+                 .select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b"))
+        return staged(sides.mapInArrow(_possible(percent), "a long, b long"), "jaccard-possible")
+
     def links(pairs: DataFrame, name: str) -> DataFrame:
         """Those of the candidate pairs (a, b) that link, verified on whole texts."""
         pairs = staged(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"jaccard-{name}")
@@ -274,7 +296,8 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
     # Each class is verified against one leader.
     pairs = staged(members.groupBy("id", "leader").agg(F.count("*").alias("n")), "jaccard-pairs")
     best = pairs.groupBy("id").agg(F.max_by("leader", F.struct("n", -F.col("leader"))).alias("leader"))
-    found = links(best.toDF("a", "b"), "leaders")
+    best = staged(best.toDF("a", "b"), "jaccard-best")
+    found = links(possible(best), "leaders")
     part = connected_components(found)
 
     # Buckets that still span components have a member in another one than their leader's. Pairs of member and

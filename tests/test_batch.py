@@ -124,3 +124,24 @@ def test_plain_overwrite_and_preview(spark, tmp):
     assert [(r.raw_line, r.reason) for r in rej] == [
         ("1,121,sugar,2023-03-04,1,50,1,bad", "malformed_row")]
     assert _totals(spark, out) == {(1, "2023-03"): 100.0}
+
+
+def test_runs_with_and_without_store_folders_read_and_compact_together(spark, tmp, monkeypatch):
+    land, out = os.path.join(tmp, "in"), os.path.join(tmp, "out")
+    for k, most in enumerate((2_000, 1, 0), 1):
+        monkeypatch.setattr(parquet, "MOST_FOLDERS", most)
+        _write(f"{land}/d{k}.csv", [HDR, f"1,121,sugar,2023-03-0{k},1,50,2,{k}00", f"2,121,sugar,2023-0{k}-01,1,50,1,{k}"])
+        batch.run(spark, _cfg(spark, [land], f"00000000000000{k}", out))
+    root = f"{out}/sales_team_partitioned"
+    depth = commits.load(spark, out).folder_keys
+    assert [depth[f"sales_team_partitioned/run_id=00000000000000{k}"] for k in (1, 2, 3)] == \
+        [["sales_month", "store_id"], ["sales_month"], ["sales_month"]]
+    want = sorted([("2023-03", 121, 100.0 * k) for k in (1, 2, 3)] + [(f"2023-0{k}", 121, float(k)) for k in (1, 2, 3)])
+
+    def got(rows):
+        return sorted((r.sales_month, r.store_id, float(r.total_cost)) for r in rows.collect())
+    assert got(parquet.all_runs(spark, root)) == want
+    assert got(parquet.all_runs(spark, root).filter("sales_month = '2023-03' and store_id = 121")) == [w for w in want if w[0] == "2023-03"]
+    assert parquet.compact_months(spark, root) == ["sales_month=2023-03"]
+    assert got(parquet.all_runs(spark, root)) == want
+    assert got(parquet.latest_snapshot(spark, root)) == [("2023-03", 121, 3.0), ("2023-03", 121, 300.0)]

@@ -99,3 +99,24 @@ def test_partitioned_write_leaves_the_session_alone(spark, tmp):
     before = dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     parquet.write_partitioned(_team(spark), os.path.join(tmp, "p"), dynamic=True)
     assert (dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.sources.partitionOverwriteMode")) == before
+
+
+def test_folders_of_a_write_are_bounded_and_stores_lie_together(spark, tmp, monkeypatch):
+    monkeypatch.setattr(parquet, "MOST_FOLDERS", 10)
+    monkeypatch.setattr(parquet, "ROWS_PER_RANGE", 200)
+    rows = [(i % 97 if i % 50 else None, f"2023-0{1 + i % 3}", float(i)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "store_id int, sales_month string, total_cost double")
+    path = os.path.join(tmp, "p")
+    parquet.write_partitioned(df, path)
+    folders = [d for d, _, files in os.walk(path) if any(f.endswith(".parquet") for f in files)]
+    assert len(folders) == 3
+    back = spark.read.parquet(path)
+    assert sorted(back.select(*df.columns).collect(), key=str) == sorted(df.collect(), key=str)
+    files = back.groupBy("sales_month", "store_id").agg(F.count_distinct("_metadata.file_name").alias("n"))
+    assert files.agg(F.max("n")).first()[0] == 1
+    # Each file's rows are ordered by store: row groups know their stores.
+    for d in folders:
+        for f in os.listdir(d):
+            if f.endswith(".parquet"):
+                stores = [-1 if r[0] is None else r[0] for r in spark.read.parquet(os.path.join(d, f)).select("store_id").collect()]
+                assert stores == sorted(stores)

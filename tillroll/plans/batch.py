@@ -237,7 +237,7 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
         "customer_month_sums", "sales_team_month_sums",
         "customer_monthly_total", "sales_team_monthly_total")}
     folders = {"fact": f"fact/{mine}", "rejects": f"rejects/{mine}", "quarantine_files": f"quarantine/files/{mine}", "quarantine_lines": f"quarantine/lines/{mine}"}
-    schemas, months = dict(state.schemas), dict(state.months)
+    schemas, months, folder_keys = dict(state.schemas), dict(state.months), dict(state.folder_keys)
 
     # Former versions of the files taken in: what they added goes.
     retracted, gone = list(state.retracted), None
@@ -265,6 +265,7 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
             for m in glob_names(spark, path, f"{partition_by[0]}=*"):
                 held.setdefault(m, []).append(f"{name}/{mine}/{m}")
             months[name] = held
+            folder_keys[f"{name}/{mine}"] = parquet.folder_keys(spark, path, partition_by)
 
     def months_of(name: str, total: str, mart_of, keys: tuple[str, ...], month: str, to_total) -> None:
         """Merge what this run adds into the months it touches, and make their totals anew."""
@@ -317,7 +318,7 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     tables = [*state.done, f"done/{mine}"]
     intake.outcome(routed, done, cfg.run_id, seq).write.mode("overwrite").parquet(f"{out}/{tables[-1]}")
     new = replace(state, run_id=cfg.run_id, runs={**state.runs, cfg.run_id: folders}, months=months, schemas=schemas,
-                  done=tables, retracted=retracted)
+                  done=tables, retracted=retracted, folder_keys=folder_keys)
     if len(tables) > intake.COMPACT_AFTER:
         intake.finished(spark, out, new).write.mode("overwrite").parquet(f"{out}/done/state-{seq:012d}")
         new = replace(new, done=[f"done/state-{seq:012d}"])

@@ -174,8 +174,9 @@ def _once(spark: SparkSession, sf: str, kind: str, make) -> str:
 
 def _partitioned_mart(spark, sf) -> str:
     def make():
-        path = fresh_dir(spark, "sales_team_partitioned")
-        parquet.write_partitioned(marts.sales_team_mart(_enriched(spark, sf)), path)
+        path, mart = fresh_dir(spark, "sales_team_partitioned"), marts.sales_team_mart(_enriched(spark, sf))
+        parquet.write_mart(mart, stage := fresh_dir(spark, "sales_team_mart"))  # its folders are counted before it is written
+        parquet.write_partitioned(spark.read.schema(mart.schema).parquet(stage), path)
         return path
     return _once(spark, sf, "partitioned", make)
 

@@ -44,6 +44,8 @@ class State:
     done: list[str] = field(default_factory=list)
     #: Tables of the keys of files whose rows no longer count.
     retracted: list[str] = field(default_factory=list)
+    #: Run folder of a partitioned mart -> the keys that are folders in it.
+    folder_keys: dict[str, list[str]] = field(default_factory=dict)
     #: Highest version there was when this was loaded.
     seen: int = 0
 

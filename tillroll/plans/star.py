@@ -25,6 +25,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import money, null_string
+from tillroll.sources import fs
+
+
+#: Bytes of lineitem in a task of its join with orders, the largest: so a task's memory stays as the tables grow.
+BYTES_PER_TASK = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +55,9 @@ def sales_fact(
     o_cols |= {c for c in carry if c.startswith("o_")}
     li = table(spark, sf_dir, "lineitem").select(*sorted(li_cols))
     o = table(spark, sf_dir, "orders").select(*sorted(o_cols))
+    n = fs.size(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet") // BYTES_PER_TASK
+    if n > 1:
+        li, o = li.repartition(n, "l_orderkey"), o.repartition(n, "o_orderkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     joined = (
         li.join(o, li.l_orderkey == o.o_orderkey, "inner")

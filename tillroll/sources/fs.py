@@ -20,6 +20,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _fs(spark, p).exists(p)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files below a folder."""
+    p = _path(spark, path)
+    return _fs(spark, p).getContentSummary(p).getLength()
+
+
 def glob_names(spark: SparkSession, folder: str, pattern: str) -> list[str]:
     """Names under ``folder`` that match a glob pattern (of one or more levels), first level only."""
     root = _path(spark, folder)

@@ -84,3 +84,16 @@ def test_customer_mart_projection(spark):
     rows = [(1, "A", "B", "x", "1", "2", dt.date(2023, 3, 1), D("10.00"))]
     enriched = _mart(spark, rows).withColumn("store_id", F.lit(1))
     assert marts.customer_mart(enriched).columns == list(marts.CUSTOMER_MART_COLUMNS)
+
+
+def test_month_sums_are_moved_once_for_merge_and_total(spark):
+    rows = [(i % 9, "f", "l", f"a{i % 2}", None, None, dt.date(2023, 1 + i % 3, 1), D("1.50")) for i in range(90)]
+    delta = marts.month_delta(_mart(spark, rows), marts.CUSTOMER_MONTH_KEYS)
+    spark.createDataFrame(delta.collect(), delta.schema).createOrReplaceTempView("deltas")
+    sums = spark.table("deltas")
+    merged = marts.merge_deltas(marts.by_range(sums, "customer_id", "sales_date_month", 4), marts.CUSTOMER_MONTH_KEYS)
+    total = marts.customer_total_of_sums(merged)
+    assert total._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    want = marts.customer_total_of_sums(marts.merge_deltas(sums, marts.CUSTOMER_MONTH_KEYS))
+    assert sorted(total.collect(), key=str) == sorted(want.collect(), key=str) and total.count() == 18
+    assert merged.groupBy("sales_date_month", marts.RANGE).count().count() > 3

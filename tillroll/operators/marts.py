@@ -33,6 +33,14 @@ def sales_team_mart(enriched: DataFrame, carry: tuple[str, ...] = ()) -> DataFra
     )
 
 
+#: Helper column of ``by_range``; a function of the first key.
+RANGE = "_range"
+
+
+def _with_range(sums: DataFrame, keys: tuple[str, ...]) -> tuple[str, ...]:
+    return (RANGE, *keys) if RANGE in sums.columns else keys
+
+
 CUSTOMER_MONTH_KEYS = ("customer_id", "full_name", "address", "phone_number", "sales_date_month")
 TEAM_MONTH_KEYS = ("store_id", "sales_person_id", "full_name", "sales_month")
 
@@ -60,15 +68,22 @@ def month_delta(mart: DataFrame, keys: tuple[str, ...], sign: int = 1) -> DataFr
     return rows.groupBy(*keys).agg((F.sum("total_cents") * sign).alias("total_cents"), (F.count(F.lit(1)) * sign).alias("n_rows"))
 
 
+def by_range(sums: DataFrame, key: str, month: str, ranges: int) -> DataFrame:
+    """Month sums moved once, so that a month's rows lie in ``ranges`` parts of whole keys, with the part's
+    number (RANGE): merging, totals and writing by month then move none."""
+    return sums.withColumn(RANGE, F.pmod(F.hash(key), F.lit(ranges))).repartition(month, RANGE)
+
+
 def merge_deltas(deltas: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Month sums of deltas and earlier sums together; groups that lost all their rows go."""
+    keys = _with_range(deltas, keys)
     return deltas.groupBy(*keys).agg(F.sum("total_cents").alias("total_cents"), F.sum("n_rows").alias("n_rows")).where("n_rows <> 0")
 
 
 def customer_total_of_sums(sums: DataFrame) -> DataFrame:
     """The monthly totals of month sums (see customer_monthly_total)."""
-    w = Window.partitionBy("customer_id", "sales_date_month")
-    merged = sums.groupBy(*CUSTOMER_MONTH_KEYS).agg(F.sum("total_cents").alias("total_cents"))
+    w = Window.partitionBy(*_with_range(sums, ("customer_id", "sales_date_month")))
+    merged = sums.groupBy(*_with_range(sums, CUSTOMER_MONTH_KEYS)).agg(F.sum("total_cents").alias("total_cents"))
     return merged.select(*CUSTOMER_MONTH_KEYS, from_cents(F.sum("total_cents").over(w)).alias("total_sales"))
 
 
@@ -109,7 +124,7 @@ def sales_team_month_sums(mart: DataFrame) -> DataFrame:
 
 def sales_team_total_of_sums(sums: DataFrame, incentive: Column | None = None) -> DataFrame:
     """The monthly totals of month sums (see sales_team_monthly_total)."""
-    agg = sums.groupBy(*TEAM_MONTH_KEYS).agg(from_cents(F.sum("total_cents")).alias("total_sales"))
+    agg = sums.groupBy(*_with_range(sums, TEAM_MONTH_KEYS)).agg(from_cents(F.sum("total_cents")).alias("total_sales")).drop(RANGE)
     inc = incentive if incentive is not None else F.lit(None)
     return agg.withColumn("incentive", inc.cast(MONEY_TOTAL))
 

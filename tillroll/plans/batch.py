@@ -47,6 +47,8 @@ CSV_GLOB = "*.csv"
 #: Partition column of the month sums and totals: a copy of their month.
 MONTH_FOLDER = "_month"
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+#: Month sums, about, that one task merges.
+SUMS_PER_RANGE = 500_000
 
 
 class NothingToProcess(RuntimeError):
@@ -274,19 +276,28 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
             delta = delta.unionByName(marts.month_delta(mart_of(gone), keys, -1))
         delta.write.mode("overwrite").parquet(f"{staging}/{name}")
         delta = spark.read.schema(delta.schema).parquet(f"{staging}/{name}")
-        touched = {f"{MONTH_FOLDER}={r[0] or NULL_FOLDER}" for r in delta.select(month).distinct().collect()}
+        sizes = {r[0]: r[1] for r in delta.groupBy(month).count().collect()}
+        touched = {f"{MONTH_FOLDER}={m or NULL_FOLDER}" for m in sizes}
         held = [f"{out}/{p}" for m in sorted(touched) for p in months.get(name, {}).get(m, ())]
-        rows = delta.unionByName(spark.read.schema(delta.schema).parquet(*held)) if held else delta
+        rows = delta
+        if held:
+            before = spark.read.schema(delta.schema).parquet(*held)
+            rows = delta.unionByName(before)
+            for m, n in before.groupBy(month).count().collect():
+                sizes[m] = sizes.get(m, 0) + n
+        ranges = -(-max(sizes.values(), default=1) // SUMS_PER_RANGE)
 
         def by_month(df: DataFrame, output: str) -> DataFrame:
-            parquet.write_partitioned(df.withColumn(MONTH_FOLDER, F.col(month)), f"{outputs[output]}/{mine}", keys=(MONTH_FOLDER,))
+            df = df.drop(marts.RANGE)
+            parquet.write_partitioned(df.withColumn(MONTH_FOLDER, F.col(month)), f"{outputs[output]}/{mine}", keys=(MONTH_FOLDER,), clustered=True)
             there = glob_names(spark, f"{outputs[output]}/{mine}", f"{MONTH_FOLDER}=*")
             kept = {m: p for m, p in months.get(output, {}).items() if m not in touched}
             months[output] = kept | {m: [f"{output}/{mine}/{m}"] for m in there}
             schemas[output] = df.schema.json()
             paths = [f"{outputs[output]}/{mine}/{m}" for m in there]
             return spark.read.schema(df.schema).parquet(*paths) if paths else spark.createDataFrame([], df.schema)
-        by_month(to_total(by_month(marts.merge_deltas(rows, keys), name)), total)
+        sums = by_month(marts.merge_deltas(marts.by_range(rows, keys[0], month, ranges), keys), name)
+        by_month(to_total(marts.by_range(sums, keys[0], month, ranges)), total)
 
     writes = [
         lambda: months_of("customer_month_sums", "customer_monthly_total", marts.customer_mart, marts.CUSTOMER_MONTH_KEYS, "sales_date_month",

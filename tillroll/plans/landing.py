@@ -40,14 +40,31 @@ def landing_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("channel", F.col("o_orderpriority"))
 
 
+def fact_by_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landing fact joined once and written, layout by layout and month by month; ``layout`` names a row's layout."""
+    layout = F.lit(None).cast("string")
+    for name, (_, pred) in LAYOUTS.items():
+        layout = F.when(F.expr(pred), F.lit(name)).otherwise(layout)
+    used = [c for c in dict.fromkeys(c for cols, _ in LAYOUTS.values() for c in cols)]
+    fact = landing_fact(spark, sf_dir).withColumn("layout", layout).where("layout IS NOT NULL").select(
+        # A value that its layout doesn't write is not carried.
+        *[F.when(F.col("layout").isin([n for n, (cols, _) in LAYOUTS.items() if c in cols]), F.col(c)).alias(c) for c in used], "layout")
+    path = fresh_dir(spark, "landing-fact")
+    (fact.withColumn("month", month_key("sales_date")).hint("rebalance", "layout", "month").drop("month")
+     .write.partitionBy("layout").parquet(path))
+    return spark.read.schema(fact.schema).parquet(path)
+
+
 def write_layout(df: DataFrame, cols: tuple[str, ...], path: str,
-                 date_col: Column | None = None) -> None:
+                 date_col: Column | None = None, clustered: bool = False) -> None:
+    """``clustered``: the rows of a month lie together already."""
     out = df.select(
         *[(date_col.alias(c) if (c == "sales_date" and date_col is not None) else F.col(c))
           for c in cols],
         month_key("sales_date").alias("sales_month"),
     )
-    (out.hint("rebalance", "sales_month").write.mode("error")
+    out = out if clustered else out.hint("rebalance", "sales_month")
+    (out.write.mode("error")
         .option("header", "true").partitionBy("sales_month").csv(path))
 
 
@@ -56,14 +73,13 @@ def write_landing(spark: SparkSession, sf_dir: str, root: str | None = None,
     """Write the four layouts (and a JSON export of the 'missing' rows, which
     must be routed as non-CSV) under a fresh folder; return its path."""
     root = root or fresh_dir(spark, "landing")
-    fact = landing_fact(spark, sf_dir)
-    for name, (cols, pred) in LAYOUTS.items():
-        write_layout(fact.filter(F.expr(pred)), cols, f"{root}/{name}")
+    fact = fact_by_layout(spark, sf_dir)
+    for name, (cols, _) in LAYOUTS.items():
+        write_layout(fact.filter(F.col("layout") == name), cols, f"{root}/{name}", clustered=True)
     if with_json:
-        cols, pred = LAYOUTS["missing"]
-        (fact.filter(F.expr(pred)).select(*cols, month_key("sales_date").alias("sales_month"))
-         .hint("rebalance", "sales_month").write.mode("error")
-         .partitionBy("sales_month").json(f"{root}/exports"))
+        cols, _ = LAYOUTS["missing"]
+        (fact.filter("layout = 'missing'").select(*cols, month_key("sales_date").alias("sales_month"))
+         .write.mode("error").partitionBy("sales_month").json(f"{root}/exports"))
     return root
 
 
@@ -83,7 +99,7 @@ def write_bad_dates(spark: SparkSession, sf_dir: str, bad: str,
 def write_one_folder(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
     """The files of all four layouts side by side in one folder, as a source without sub-folders leaves them."""
     root = root or fresh_dir(spark, "landing-one")
-    fact = landing_fact(spark, sf_dir)
-    for cols, pred in LAYOUTS.values():
-        fact.filter(F.expr(pred)).select(*cols).write.mode("append").option("header", "true").csv(f"{root}/all")
+    fact = fact_by_layout(spark, sf_dir)
+    for name, (cols, _) in LAYOUTS.items():
+        fact.filter(F.col("layout") == name).select(*cols).write.mode("append").option("header", "true").csv(f"{root}/all")
     return root

@@ -269,3 +269,42 @@ def test_url_counts_are_exact_and_grow_with_the_urls(spark, monkeypatch):
     monkeypatch.setattr(uf, "CHUNK_BYTES", 1000)
     got = uf._with_scores(rows.repartition(2), model).collect()
     assert len(got) == 63 and all(abs(r.score - want((r.url or "").lower().encode())) < 1e-9 for r in got)
+
+
+def test_toxicity_trained_in_parts_sees_every_row(spark, monkeypatch):
+    """Five parts, averaged, tell held-out documents; the thresholds count every row held back from training."""
+    df, labels = table(spark, "documents", SF), table(spark, "labels", SF)
+    seen = {}
+
+    def train_round(rows, params, out_bias, share, epochs, seed, inner=tox._train_round):
+        seen.setdefault("rows", rows.count())
+        seen["parts"] = rows.select("part").distinct().count()
+        return inner(rows, params, out_bias, share, epochs, seed)
+    monkeypatch.setattr(tox, "_train_round", train_round)
+    got, label = by_id(tox.learn_and_score(df, labels, rows_per_part=500)), {r.doc_id: r.toxic for r in labels.collect() if r.toxic is not None}
+    used = labels.join(df.select("doc_id"), "doc_id").where("toxic is not null").where(fold("doc_id", 5) != 0)
+    back = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(4)) == 0
+    assert seen == {"rows": used.where(~back).count(), "parts": 5}
+    held = [i for i, r in got.items() if r.held_out and i in label]
+    assert auc([got[i].score for i in held], [label[i] for i in held]) > 0.9
+
+
+def test_toxicity_threshold_of_counts_is_that_of_the_rows():
+    rng = np.random.default_rng(3)
+    y = rng.integers(0, 2, 400)
+    z = np.round(rng.normal(size=400) + y, 1)
+    at, inverse = np.unique(z, return_inverse=True)
+    cut = tox._threshold(at, np.bincount(inverse, y), np.bincount(inverse))
+
+    def f1(c):
+        return 2 * (y[z >= c].sum()) / ((z >= c).sum() + y.sum())
+    assert f1(cut) == max(f1(c) for c in at)
+
+
+def test_toxicity_languages_count_every_text(spark):
+    rows = [("the cat and the dog " * 3, "en"), ("der Hund und die Katze", "de")] * 40 + [("le chat", None)]
+    few = tox._count_languages(spark.createDataFrame(rows, "text string, lang string").repartition(7))
+    once = tox._count_languages(spark.createDataFrame(rows[:2], "text string, lang string"))
+    assert few.languages == once.languages == ["de", "en"]
+    counts = [np.exp(m.logits.astype(float)) / np.exp(m.logits.astype(float)).min(axis=0) * 0.5 - 0.5 for m in (few, once)]
+    assert np.allclose(counts[0], 40 * counts[1], rtol=1e-3, atol=1e-2)

@@ -5,7 +5,7 @@ by side, its own and its stem's (its first STEM bytes), so that forms of a word
 didn't see count too. Filters of several widths slide over the words; each keeps its largest
 response in the whole text, and a logistic layer weighs these maxima. Training
 uses every labelled whole text: tasks each take a part of the rows (numpy, Adam)
-from the same start, Spark averages what they learned, and so on for several rounds; the
+from the same start, Spark averages what they learned, and all go on from there once more; the
 gradient runs through the winning windows only. A text's language is
 predicted from the text, by counts of the grams of all these texts, and
 the decision threshold is calibrated for each predicted language on all rows held
@@ -37,7 +37,8 @@ STEM = 6
 WIDTHS = (1, 2, 3)
 FILTERS = 8             # of each width
 ROWS_PER_PART = 8_000   # about, that one task trains on in a round
-PASSES = (3, 14)        # over all rows, least and most; few rows are seen oftener
+PASSES = (4, 14)        # over all rows, least and most; few rows are seen oftener
+ROUNDS = 2              # after each of which the parts' parameters are averaged
 STEPS = 42_000          # rows, counted in each pass, beyond which the passes get fewer
 BINS = 1000             # of a logit's unit, for the thresholds
 LANGUAGE_BITS = 14
@@ -208,25 +209,19 @@ def _train_round(rows: DataFrame, params: list[np.ndarray], out_bias: float, sha
 
     def run(part: pa.Table) -> pa.Table:
         part = part.sort_by([("h", "ascending"), ("label", "ascending"), ("id", "ascending")])
-        docs = [tuple(np.frombuffer(x, np.uint16).astype(np.int64) for x in pair)
-                for pair in zip(part.column("one").to_pylist(), part.column("two").to_pylist(), strict=True)]
+        docs = []
+        for chunk in part.column("text").chunks:
+            for i, j, data, offsets in tv.text_slices(chunk):
+                one, two, at = word_buckets(data, offsets)
+                docs += [(one[at[t]:at[t + 1]].astype(np.uint32), two[at[t]:at[t + 1]].astype(np.uint32)) for t in range(j - i)]
         mine = [p.copy() for p in held.value[0]]
         end = train(mine, held.value[1], docs, part.column("label").to_numpy(), share, epochs, seed=seed)
-        seen = [np.unique(np.concatenate([d[q] for d in docs])) for q in (0, 1)]
+        seen = [np.unique(np.concatenate([d[q] for d in docs])).astype(np.int64) for q in (0, 1)]
         rest = _vectors(mine, end)
         at = np.concatenate([seen[0], seen[1] + size, 2 * size + np.arange(len(rest))])
         values = np.concatenate([mine[0][0][seen[0]], mine[0][1][seen[1]], rest]).astype(np.float32)
         return pa.table([pa.array(at, pa.int32()), *(pa.array(values[:, i].copy()) for i in range(DIM))], ["at", *(f"v{i}" for i in range(DIM))])
 
-    def words(batches):
-        # The words' buckets, two bytes each, are less to shuffle than the text.
-        for batch in batches:
-            for i, j, data, offsets in tv.text_slices(batch.column(4)):
-                one, two, at = word_buckets(data, offsets)
-                parts = [pa.array([x[at[t]:at[t + 1]].astype(np.uint16).tobytes() for t in range(j - i)], pa.binary()) for x in (one, two)]
-                yield pa.RecordBatch.from_arrays([c.slice(i, j - i) for c in batch.columns[:4]] + parts, ["part", "h", "label", "id", "one", "two"])
-
-    rows = rows.select("part", "h", "label", "id", "text").mapInArrow(words, "part int, h long, label int, id long, one binary, two binary")
     found = rows.groupBy("part").applyInArrow(run, kind).groupBy("at").agg(*[F.avg(f"v{i}").alias(f"v{i}") for i in range(DIM)]).toArrow()
     at = found.column("at").to_numpy()
     values = np.stack([found.column(f"v{i}").to_numpy() for i in range(DIM)], axis=1)
@@ -297,7 +292,7 @@ def fit_toxicity(rows: DataFrame, rows_per_part: int = ROWS_PER_PART) -> Toxicit
     passes = min(max(-(-STEPS // size), PASSES[0]), PASSES[1])
     fit = fit.withColumn("part", F.pmod(F.xxhash64("h"), F.lit(parts)).cast("int")).drop("held", "lang")
     params, bias = start()
-    rounds = 1 if parts == 1 else passes
+    rounds = 1 if parts == 1 else ROUNDS
     for k in range(rounds):
         params, bias = _train_round(fit, params, bias, toxic / size, passes // rounds, k + 1)
     net = network(params, bias)

@@ -170,3 +170,37 @@ def test_signatures_that_clash_are_mixed_anew(spark, monkeypatch):
     monkeypatch.setattr(jj, "_signatures", lambda values, at, seed: real(values, at, seed) if seed else np.minimum(np.diff(at), 1).astype(np.int64))
     rows = some_texts(random.Random(9), 60, 100)
     check(spark.createDataFrame([(*r, "en", "x", 1, True, "") for r in rows], SCHEMA).repartition(3))
+
+
+def test_sketches_tell_long_texts_apart_that_share_passages():
+    """Sets as large as these fill 2,048 bits to half, so that such sketches leave every pair to be verified on its texts."""
+    rng = np.random.default_rng(8)
+    common = rng.integers(0, 2 ** 63, 600)
+    sets = [np.concatenate([common, rng.integers(0, 2 ** 63, int(rng.integers(5000, 9000)))]) for _ in range(12)]
+    near = [np.concatenate([s[300:], rng.integers(0, 2 ** 63, 200)]) for s in sets[:4]]
+    short = [s[:int(rng.integers(1, 4000))] for s in sets]
+    both = [np.unique(s).astype(np.uint64) for s in (*sets, *near, *short)]
+    at = np.r_[0, np.cumsum([len(s) for s in both])]
+    sketches = jj._sketches(np.concatenate(both), at, jj.SKETCH_MOST)
+    assert {len(s) for s in sketches} == {256, 512, 1024}
+    pairs = np.array(list(itertools.combinations(range(len(both)), 2)))
+    far = jj._distances(jj._by_width(sketches), np.array([len(s) for s in sketches]), *pairs.T)
+    size, apart = np.diff(at), np.array([len(np.setxor1d(both[x], both[y])) for x, y in pairs])
+    assert (far <= apart).all()
+    left = far <= jj._differ(size[pairs[:, 0]] + size[pairs[:, 1]], 80)
+    links = apart <= jj._differ(size[pairs[:, 0]] + size[pairs[:, 1]], 80)
+    assert links.sum() == 4 and (left | ~links).all()
+    alike = np.minimum(*size[pairs].T) * 100 >= np.maximum(*size[pairs].T) * 80
+    assert (left & alike).sum() == 4
+
+
+def test_pairs_of_long_texts_that_sketches_leave(spark):
+    """No text moves for two long texts around one passage."""
+    rnd = random.Random(4)
+    passage = rnd.choices(range(10 ** 6), k=300)
+    texts = [" ".join(f"w{x}" for x in passage + rnd.choices(range(10 ** 6), k=6000)) for _ in range(6)]
+    rows = [(n, t) for n, t in enumerate([*texts, texts[0] + " end", texts[1].replace(" ", "  ", 5) + " a b"])]
+    info = spark.createDataFrame(rows, "id long, text string").mapInArrow(jj._described(5, 0, jj.SKETCH_MOST), "id long, n_shingles long, sig long, sig2 long, sketch binary")
+    a, b = info.toDF("a", "n_a", "x", "y", "sketch_a"), info.toDF("b", "n_b", "x", "y", "sketch_b")
+    pairs = a.crossJoin(b).where("a < b").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
+    assert sorted(map(tuple, pairs.mapInArrow(jj._possible(80), "a long, b long").collect())) == [(0, 6), (1, 7)]

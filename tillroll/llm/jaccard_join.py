@@ -21,6 +21,8 @@ against one leader (its most frequent bucket minimum), which is linear in the
 classes. Buckets whose members are then still in different components are
 compared pair by pair, in bounded chunks, with a bitwise parity sketch whose
 Hamming distance bounds the symmetric difference too; survivors are verified.
+A long text has a longer sketch, as one whose bits are all as good as random rules
+nothing out; of two sketches the longer is folded to the length of the other.
 Verification computes both sets from the whole texts, so links are exact.
 """
 
@@ -37,7 +39,8 @@ from . import textvec as tv
 from .util import connected_components, id_filter, rows_in_filter, staged
 
 _U = np.uint64
-SKETCH_BITS = 2048
+SKETCH_BITS = 2048  # of a set of up to twice as many shingles, and a power of 2
+SKETCH_MOST = 16384
 CHUNK = 4096  # members of a bucket compared at once
 
 
@@ -100,19 +103,55 @@ def _signatures(values: np.ndarray, at: np.ndarray, seed: int) -> np.ndarray:
     return tv.sums(tv.mix(values ^ _U(seed)) if seed else values, at).view(np.int64)
 
 
-def _described(k: int, seed: int):
+def _sketches(values: np.ndarray, at: np.ndarray, most: int) -> list[bytes]:
+    """Of each set the parity of its values in bits, value v in bit v % bits: a power of 2, half the set's size or more if that is within ``most``."""
+    size = np.diff(at)
+    bits = np.clip(2 ** np.ceil(np.log2(np.maximum(size, 2) / 2)).astype(np.int64), SKETCH_BITS, most)
+    start = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(bits // 64, out=start[1:])
+    out = np.zeros(start[-1], np.uint64)
+    bit = values & (np.repeat(bits, size) - 1).astype(np.uint64)
+    np.bitwise_xor.at(out, np.repeat(start[:-1], size) + (bit >> _U(6)).astype(np.int64), _U(1) << (bit & _U(63)))
+    return [out[i:j].tobytes() for i, j in zip(start, start[1:], strict=False)]
+
+
+def _by_width(sketches: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each length in bytes: (the sketches of this length or more, folded to it; each sketch's row there)."""
+    size, out = np.array([len(s) for s in sketches], np.int64), {}
+    for width in np.unique(size):
+        own = np.flatnonzero(size >= width)
+        folded = np.empty((len(own), width // 8), np.uint64)
+        for longer in np.unique(size[own]):
+            rows = np.flatnonzero(size[own] == longer)
+            bits = np.frombuffer(b"".join(sketches[i] for i in own[rows]), np.uint64)
+            folded[rows] = np.bitwise_xor.reduce(bits.reshape(len(rows), longer // width, width // 8), axis=1)
+        place = np.zeros(len(size), np.int64)
+        place[own] = np.arange(len(own))
+        out[int(width)] = folded, place
+    return out
+
+
+def _distances(sketches: dict[int, tuple[np.ndarray, np.ndarray]], width: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Hamming distances of the pairs x, y of ``_by_width``'s sketches, of the lengths ``width``, at the shorter's length."""
+    out, both = np.zeros(len(x), np.int64), np.minimum(width[x], width[y])
+    for w in np.unique(both):
+        folded, place = sketches[int(w)]
+        own = np.flatnonzero(both == w)
+        for i in range(0, len(own), 20_000 * 256 // int(w)):
+            part = own[i:i + 20_000 * 256 // int(w)]
+            out[part] = np.bitwise_count(folded[place[x[part]]] ^ folded[place[y[part]]]).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def _described(k: int, seed: int, most: int = SKETCH_BITS):
     def run(batches):
         for batch in batches:
             for i, j, values, text, at in _shingle_sets(batch.column(1), k):
-                n = j - i
-                bits = np.zeros((n, SKETCH_BITS // 64), np.uint64)
-                bit = values % _U(SKETCH_BITS)
-                np.bitwise_xor.at(bits.reshape(-1), text * (SKETCH_BITS // 64) + (bit >> _U(6)).astype(np.int64), _U(1) << (bit & _U(63)))
                 again = tv.mix(values ^ _U(0x2545F4914F6CDD1D))
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(i, n), pa.array(np.diff(at)),
+                    batch.column(0).slice(i, j - i), pa.array(np.diff(at)),
                     pa.array(_signatures(values, at, seed)), pa.array(tv.sums(again, at).view(np.int64)),
-                    pa.array([r.tobytes() for r in bits], pa.binary())],
+                    pa.array(_sketches(values, at, most), pa.binary())],
                     ["id", "n_shingles", "sig", "sig2", "sketch"])
     return run
 
@@ -218,8 +257,8 @@ def _possible(percent: int):
             if not batch.num_rows:
                 continue
             n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(len(n), -1) for c in (4, 5))
-            far = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            sketches, at = [*batch.column(4).to_pylist(), *batch.column(5).to_pylist()], np.arange(len(n))
+            far = _distances(_by_width(sketches), np.array([len(s) for s in sketches]), at, at + len(n))
             yield batch.select(["a", "b"]).filter(pa.array(far <= _differ(n, percent)))
     return run
 
@@ -230,7 +269,8 @@ def _near(percent: int):
         for t in _whole_keys(batches, 2):
             key, block = t["key"].to_numpy(), t["block"].to_numpy()
             ids, comp, n, chunk = (t[c].to_numpy() for c in ("id", "component", "n_shingles", "chunk"))
-            bits = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(len(ids), -1)
+            sketches = t["sketch"].to_pylist()
+            width, sketches = np.array([len(s) for s in sketches]), _by_width(sketches)
             lo, hi = block // 2 ** 20, block % 2 ** 20
             step, left = 1, np.arange(len(ids) - 1)
             while len(left):
@@ -242,7 +282,7 @@ def _near(percent: int):
                 x, y = x[ok], y[ok]
                 for at in range(0, len(x), 20_000):
                     u, v = x[at:at + 20_000], y[at:at + 20_000]
-                    far = np.bitwise_count(bits[u] ^ bits[v]).sum(axis=1, dtype=np.int64)
+                    far = _distances(sketches, width, u, v)
                     ok = far <= _differ(n[u] + n[v], percent)
                     if ok.any():
                         yield pa.RecordBatch.from_arrays([pa.array(ids[u[ok]]), pa.array(ids[v[ok]])], ["a", "b"])
@@ -258,7 +298,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     for seed in range(8):
-        info = staged(rows.mapInArrow(_described(k, seed), "id long, n_shingles long, sig long, sig2 long, sketch binary"), "jaccard-sets")
+        info = staged(rows.mapInArrow(_described(k, seed, SKETCH_MOST), "id long, n_shingles long, sig long, sig2 long, sketch binary"), "jaccard-sets")
         known = info.where("id is not null and n_shingles > 0")
         sets = known.select("sig", "n_shingles", "sig2").distinct()
         if sets.groupBy("sig").count().where("count > 1").isEmpty():

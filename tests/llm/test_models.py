@@ -308,3 +308,27 @@ def test_toxicity_languages_count_every_text(spark):
     assert few.languages == once.languages == ["de", "en"]
     counts = [np.exp(m.logits.astype(float)) / np.exp(m.logits.astype(float)).min(axis=0) * 0.5 - 0.5 for m in (few, once)]
     assert np.allclose(counts[0], 40 * counts[1], rtol=1e-3, atol=1e-2)
+
+
+def test_toxicity_texts_move_once(spark, monkeypatch):
+    """Rows to train on lie by part, so no round shuffles them; each has its id's label, and no other row is there."""
+    rows = [(i % 90 if i % 7 else None, f"text {i % 110} of {i}" * 3, "en" if i % 3 else None) for i in range(400)] + [(5, None, "en"), (2 ** 60 + 1, "a b", "en"), (2 ** 60, "c", "en")]
+    labels = [(i, i % 2) for i in (*range(0, 60, 1), 2 ** 60 + 1)]
+    texts, graded = spark.createDataFrame(rows, "id long, text string, lang string"), spark.createDataFrame(labels, "id long, label int")
+    want = sorted(((i, t, g, dict(labels)[i]) for i, t, g in rows if i in dict(labels)), key=str)
+    seen = []
+
+    def fitted(rows, fit, cal, *more, inner=tox._fitted):
+        seen.append(sorted(map(tuple, rows.select("id", "text", "lang", "label").collect()), key=str))
+        seen.append(sorted(map(tuple, fit.select("id", "text", "lang", "label").union(cal.select("id", "text", "lang", "label")).collect()), key=str))
+        return inner(rows, fit, cal, *more)
+
+    def train_round(rows, *more, inner=tox._train_round):
+        plan = rows.groupBy("part").applyInArrow(lambda t: t.select(["part"]), "part int")._jdf.queryExecution().executedPlan().toString()
+        seen.append("Exchange" in plan)
+        return inner(rows, *more)
+    monkeypatch.setattr(tox, "_fitted", fitted)
+    monkeypatch.setattr(tox, "_train_round", train_round)
+    assert tox.fit_toxicity(texts, graded, rows_per_part=50)
+    assert seen == [want, want] + [False] * tox.ROUNDS
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tillroll_toxicity")]

@@ -17,6 +17,7 @@ a window's response is a sum of as many rows as the filter is wide.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import fresh_dir
 from . import textvec as tv
 from .hashed_text import GRAMS, buckets, fold, gram_buckets, lowered, sigmoid
 from .language_id import UNKNOWN, LanguageModel, has_letter
@@ -273,28 +275,60 @@ def _guessed(language: LanguageModel | None, data: np.ndarray, offsets: np.ndarr
     return np.where(has_letter(low, offsets), predict_language(language, low, offsets).argmax(axis=1), len(language.languages))
 
 
-def fit_toxicity(rows: DataFrame, rows_per_part: int = ROWS_PER_PART) -> ToxicityModel | None:
-    """A model from all rows of a table of id, text, lang and label (0 or 1); None unless both labels occur.
+def _in_parts(texts: DataFrame, graded: DataFrame, parts: int, name: str) -> DataFrame:
+    """The rows of ``texts`` with a label, as a table in buckets by part: texts move to their label and their part at once,
+    and what is grouped by part later doesn't move them again."""
+    buckets = 4 * parts  # so that few parts share one
+    left = texts.withColumn("part", F.pmod(F.xxhash64("h"), F.lit(parts)).cast("int"))
+    right = graded.select("id", "label", F.pmod(F.xxhash64("h"), F.lit(parts)).cast("int").alias("part")).distinct()
+    schema = left.withColumn("label", F.lit(0)).schema
+
+    def run(rows: pa.Table, known: pa.Table) -> pa.Table:
+        ids, at = known.column("id").to_numpy(), rows.column("id").to_numpy()
+        order = np.argsort(ids)
+        if not len(order):
+            return rows.slice(0, 0).append_column("label", pa.array([], pa.int32()))
+        place = order[np.minimum(np.searchsorted(ids, at, sorter=order), len(order) - 1)]
+        found = ids[place] == at
+        return rows.filter(pa.array(found)).append_column("label", pa.array(known.column("label").to_numpy()[place[found]], pa.int32()))
+
+    dealt = left.repartition(buckets, "part").groupBy("part").cogroup(right.repartition(buckets, "part").groupBy("part")).applyInArrow(run, schema)
+    dealt.write.bucketBy(buckets, "part").format("parquet").option("path", fresh_dir(texts.sparkSession, "llm-toxicity-graded")).saveAsTable(name)
+    return texts.sparkSession.table(name)
+
+
+def fit_toxicity(texts: DataFrame, graded: DataFrame, rows_per_part: int = ROWS_PER_PART) -> ToxicityModel | None:
+    """A model from all rows of a table of id, text and lang whose id is in ``graded`` (id, once each, and label, 0 or 1);
+    None unless both labels occur.
 
     The driver gets the averaged parameters and counts, whose sizes are fixed, never rows.
     """
-    rows = rows.select("id", F.xxhash64("id", "text").alias("h"), "text", "lang", F.col("label").cast("int").alias("label"),
-                       (F.pmod(F.xxhash64("id", F.lit(5)), F.lit(4)) == 0).alias("held"))
-    n = {(h, y): 0 for h in (False, True) for y in (0, 1)} | {tuple(r[:2]): r[2] for r in rows.groupBy("held", "label").count().collect()}
+    texts = texts.where("id is not null").select("id", F.xxhash64("id", "text").alias("h"), "text", "lang", (F.pmod(F.xxhash64("id", F.lit(5)), F.lit(4)) == 0).alias("held"))
+    graded = staged(texts.select("id", "h", "held").join(graded.select("id", F.col("label").cast("int").alias("label")), "id"), "toxicity-labels")
+    n = {(h, y): 0 for h in (False, True) for y in (0, 1)} | {tuple(r[:2]): r[2] for r in graded.groupBy("held", "label").count().collect()}
     if not (n[False, 0] + n[True, 0] and n[False, 1] + n[True, 1]):
         return None
-    fit = cal = rows
-    if all(n.values()):
-        fit, cal = rows.where("not held"), rows.where("held")
+    apart = all(n.values())
+    if apart:
         n = {k: v for k, v in n.items() if not k[0]}
     size, toxic = sum(n.values()), sum(v for (_, y), v in n.items() if y)
     parts = -(-size // rows_per_part)
     passes = min(max(-(-STEPS // size), PASSES[0]), PASSES[1])
-    fit = fit.withColumn("part", F.pmod(F.xxhash64("h"), F.lit(parts)).cast("int")).drop("held", "lang")
+    name = f"tillroll_toxicity_{uuid.uuid4().hex[:12]}"
+    try:
+        rows = _in_parts(texts, graded, parts, name)
+        return _fitted(rows, rows.where("not held") if apart else rows, rows.where("held") if apart else rows, parts, passes, toxic / size)
+    finally:
+        texts.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _fitted(rows: DataFrame, fit: DataFrame, cal: DataFrame, parts: int, passes: int, share: float) -> ToxicityModel:
+    """A model of rows to train on and to calibrate with; the languages are those of all rows."""
+    fit = fit.drop("held", "lang")
     params, bias = start()
     rounds = 1 if parts == 1 else ROUNDS
     for k in range(rounds):
-        params, bias = _train_round(fit, params, bias, toxic / size, passes // rounds, k + 1)
+        params, bias = _train_round(fit, params, bias, share, passes // rounds, k + 1)
     net = network(params, bias)
 
     language = _count_languages(rows)
@@ -377,8 +411,10 @@ def learn_and_score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     graded = (labels.select(F.col(id_col).cast("long").alias("id"), F.col("toxic").cast("int").alias("label")).where("id is not null and label in (0, 1)")
               .groupBy("id").agg(F.max("label").alias("label")).where(fold("id", folds) != held_fold))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    # Only texts that may have a label are moved to the labels.
-    texts = rows_in_filter(texts, "id", id_filter(graded, "id"))
-    model = fit_toxicity(staged(texts.join(graded, "id"), "toxicity-graded"), rows_per_part)
+    # Only texts that may have a label are moved, by a bitmap of about 8 bits a label or more.
+    graded = staged(graded, "toxicity-graded-ids")
+    bits = min(max((8 * graded.count()).bit_length(), 23), 27)
+    texts = rows_in_filter(texts, "id", id_filter(graded, "id", bits), bits)
+    model = fit_toxicity(texts, graded, rows_per_part)
     out = score_toxicity(docs, model, id_col, text_col)
     return out.select(id_col, F.coalesce(fold(id_col, folds) == held_fold, F.lit(False)).alias("held_out"), "score", "predicted")

@@ -271,6 +271,15 @@ def test_url_counts_are_exact_and_grow_with_the_urls(spark, monkeypatch):
     assert len(got) == 63 and all(abs(r.score - want((r.url or "").lower().encode())) < 1e-9 for r in got)
 
 
+def test_url_grams_are_not_broadcast(spark):
+    """Neither the grams of the URLs nor the model's table, both of which grow with the input, pass through the driver."""
+    urls = [(f"http://{'good' if k % 2 else 'bad'}.example/{k}", bool(k % 2)) for k in range(200)]
+    model = uf.fit_urls(spark.createDataFrame(urls, "url string, allowed boolean"))
+    scored = uf._with_scores(spark.createDataFrame(urls, "url string, allowed boolean"), model)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
+    assert "Broadcast" not in scored._jdf.queryExecution().executedPlan().toString() and scored.count() == 200
+
+
 def test_toxicity_trained_in_parts_sees_every_row(spark, monkeypatch):
     """Five parts, averaged, tell held-out documents; the thresholds count every row held back from training."""
     df, labels = table(spark, "documents", SF), table(spark, "labels", SF)

@@ -204,7 +204,8 @@ def _with_scores(rows: DataFrame, model: UrlModel | None) -> DataFrame:
     if not model:
         return rows.withColumn("score", F.lit(0.0))
     chunked = staged(rows.mapInArrow(_chunked, StructType([*rows.schema, StructField("chunk", LongType())])), "url-chunks")
-    found = chunked.select(rows.columns[0], "chunk").mapInArrow(_wanted, "chunk long, key long").join(model.table, "key")
+    # Spark takes the grams for smaller than their URLs, and files for as large as what they hold: either side would be broadcast, whatever its size.
+    found = chunked.select(rows.columns[0], "chunk").mapInArrow(_wanted, "chunk long, key long").join(model.table.hint("merge"), "key")
     return chunked.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(_scored, StructType([*rows.schema, StructField("score", DoubleType())]))
 
 

@@ -34,3 +34,20 @@ def tmp(tmp_path):
 
 
 SF0001 = "/root/testdata/sf0.001"
+
+
+@pytest.fixture()
+def shuffle_files(spark):
+    """The shuffle files there are now; with ``until``, once only those are left or after ten seconds."""
+    import time
+
+    def now():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {b for b in blocks.mkString(" ").split() if b.startswith("shuffle_")}
+
+    def files(until=None):
+        end = time.time() + 10
+        while until is not None and now() - until and time.time() < end:
+            time.sleep(0.2)
+        return now()
+    return files

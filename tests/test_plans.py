@@ -53,3 +53,15 @@ def test_landing_fact_is_joined_once_for_all_layouts(spark, tmp, monkeypatch):
     assert csv.count() > 100 and csv.exceptAll(exported).count() == exported.exceptAll(csv).count() == 0
     months = len(os.listdir(f"{root}/missing"))
     assert sum(len([f for f in fs if f.endswith(".csv")]) for _, _, fs in os.walk(f"{root}/missing")) < 3 * months
+
+
+def test_the_landing_files_are_all_that_stays(spark, tmp, monkeypatch, shuffle_files):
+    """The joined fact and the shuffle files of the joins go once the files are written; the export is compressed."""
+    monkeypatch.setattr(landing, "fresh_dir", lambda s, name: os.path.join(tmp, name))
+    there = shuffle_files()
+    root = landing.write_landing(spark, SF0001)
+    assert os.listdir(tmp) == ["landing"] and not shuffle_files(until=there) - there
+    names = [f for _, _, fs in os.walk(f"{root}/exports") for f in fs if f.startswith("part-")]
+    assert names and all(f.endswith(".json.gz") for f in names)
+    landing.write_one_folder(spark, SF0001)
+    assert sorted(os.listdir(tmp)) == ["landing", "landing-one"]

@@ -1,6 +1,6 @@
 import pytest
 
-from tillroll.session import app_id, fresh_dir, shared_root
+from tillroll.session import SHUFFLES_GO, app_id, fresh_dir, shared_root, shuffles_go
 
 
 def test_scratch_lives_under_the_checkpoint_dir(spark):
@@ -26,3 +26,19 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_root(Session())
+
+
+def test_shuffle_files_go_with_their_query(spark, shuffle_files):
+    there, df = shuffle_files(), spark.range(1000).repartition(3).groupBy("id").count()
+    assert spark.conf.get(SHUFFLES_GO, None) is None
+    with shuffles_go(spark):
+        assert df.count() == 1000
+    assert not shuffle_files(until=there) - there
+    assert spark.conf.get(SHUFFLES_GO, None) is None
+    spark.conf.set(SHUFFLES_GO, "false")
+    try:
+        with pytest.raises(ZeroDivisionError), shuffles_go(spark):
+            1 / 0
+        assert spark.conf.get(SHUFFLES_GO) == "false"
+    finally:
+        spark.conf.unset(SHUFFLES_GO)

@@ -11,13 +11,17 @@ the data fixes, never files.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.contracts import REQUIRED_COLUMNS
 from tillroll.functions.columns import month_key
 from tillroll.plans import star
-from tillroll.session import fresh_dir
+from tillroll.session import fresh_dir, shuffles_go
+from tillroll.sources import fs
 
 EXTRA_COLUMNS = ("payment_mode", "channel")
 
@@ -40,8 +44,10 @@ def landing_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("channel", F.col("o_orderpriority"))
 
 
-def fact_by_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The landing fact joined once and written, layout by layout and month by month; ``layout`` names a row's layout."""
+@contextmanager
+def fact_by_layout(spark: SparkSession, sf_dir: str) -> Iterator[DataFrame]:
+    """The landing fact joined once and written, layout by layout and month by month; ``layout`` names a row's layout.
+    What is written here is removed at the end of the ``with`` block, and the join's shuffle files before it begins."""
     layout = F.lit(None).cast("string")
     for name, (_, pred) in LAYOUTS.items():
         layout = F.when(F.expr(pred), F.lit(name)).otherwise(layout)
@@ -50,9 +56,14 @@ def fact_by_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
         # A value that its layout doesn't write is not carried.
         *[F.when(F.col("layout").isin([n for n, (cols, _) in LAYOUTS.items() if c in cols]), F.col(c)).alias(c) for c in used], "layout")
     path = fresh_dir(spark, "landing-fact")
-    (fact.withColumn("month", month_key("sales_date")).hint("rebalance", "layout", "month").drop("month")
-     .write.partitionBy("layout").parquet(path))
-    return spark.read.schema(fact.schema).parquet(path)
+    month = F.year("sales_date") * 12 + F.month("sales_date")  # a number moves in fewer bytes than a text
+    with shuffles_go(spark):
+        (fact.withColumn("month", month).hint("rebalance", "layout", "month").drop("month")
+         .write.partitionBy("layout").parquet(path))
+    try:
+        yield spark.read.schema(fact.schema).parquet(path)
+    finally:
+        fs.delete(spark, path)
 
 
 def write_layout(df: DataFrame, cols: tuple[str, ...], path: str,
@@ -73,13 +84,13 @@ def write_landing(spark: SparkSession, sf_dir: str, root: str | None = None,
     """Write the four layouts (and a JSON export of the 'missing' rows, which
     must be routed as non-CSV) under a fresh folder; return its path."""
     root = root or fresh_dir(spark, "landing")
-    fact = fact_by_layout(spark, sf_dir)
-    for name, (cols, _) in LAYOUTS.items():
-        write_layout(fact.filter(F.col("layout") == name), cols, f"{root}/{name}", clustered=True)
-    if with_json:
-        cols, _ = LAYOUTS["missing"]
-        (fact.filter("layout = 'missing'").select(*cols, month_key("sales_date").alias("sales_month"))
-         .write.mode("error").partitionBy("sales_month").json(f"{root}/exports"))
+    with fact_by_layout(spark, sf_dir) as fact:
+        for name, (cols, _) in LAYOUTS.items():
+            write_layout(fact.filter(F.col("layout") == name), cols, f"{root}/{name}", clustered=True)
+        if with_json:
+            cols, _ = LAYOUTS["missing"]
+            (fact.filter("layout = 'missing'").select(*cols, month_key("sales_date").alias("sales_month"))
+             .write.mode("error").partitionBy("sales_month").option("compression", "gzip").json(f"{root}/exports"))
     return root
 
 
@@ -99,7 +110,7 @@ def write_bad_dates(spark: SparkSession, sf_dir: str, bad: str,
 def write_one_folder(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
     """The files of all four layouts side by side in one folder, as a source without sub-folders leaves them."""
     root = root or fresh_dir(spark, "landing-one")
-    fact = fact_by_layout(spark, sf_dir)
-    for name, (cols, _) in LAYOUTS.items():
-        fact.filter(F.col("layout") == name).select(*cols).write.mode("append").option("header", "true").csv(f"{root}/all")
+    with fact_by_layout(spark, sf_dir) as fact:
+        for name, (cols, _) in LAYOUTS.items():
+            fact.filter(F.col("layout") == name).select(*cols).write.mode("append").option("header", "true").csv(f"{root}/all")
     return root

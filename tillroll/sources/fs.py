@@ -20,6 +20,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _fs(spark, p).exists(p)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file, or a folder with all that is in it; nothing if it isn't there."""
+    p = _path(spark, path)
+    _fs(spark, p).delete(p, True)
+
+
 def size(spark: SparkSession, path: str) -> int:
     """Bytes of a file, or of all files below a folder."""
     p = _path(spark, path)

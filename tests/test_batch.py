@@ -31,6 +31,28 @@ def _cfg(spark, paths, run_id, out):
                               sales_team=t, ledger_path=f"{out}/ledger")
 
 
+def test_a_run_leaves_its_outputs_only(spark, tmp, monkeypatch, shuffle_files):
+    """Parsed rows are gone before the marts are written, what a run adds to the sums before the totals; no shuffle file stays."""
+    land, out = os.path.join(tmp, "in"), os.path.join(tmp, "out")
+    _write(f"{land}/d1.csv", [HDR, "1,121,sugar,2023-03-03,1,50,2,100", "2,121,sugar,2023-04-04,1,50,1,50"])
+    seen, inner = [], batch.parquet.write_snapshot
+
+    def write_snapshot(*args, **kw):
+        seen.append(os.path.exists(f"{out}/staging/run_id={args[2]}/parsed"))
+        return inner(*args, **kw)
+    monkeypatch.setattr(batch.parquet, "write_snapshot", write_snapshot)
+    there = shuffle_files()
+    batch.run(spark, _cfg(spark, [land], "000000000000001", out))
+    _write(f"{land}/d2.csv", [HDR, "1,121,sugar,2023-03-09,1,50,2,1"])
+    batch.run(spark, _cfg(spark, [land], "000000000000002", out))
+    assert seen == [False] * 6 and not any("run_id" in d for d, _, _ in os.walk(f"{out}/staging"))
+    assert not shuffle_files(until=there) - there
+    assert _totals(spark, out) == {(1, "2023-03"): 101.0, (2, "2023-04"): 50.0}
+    assert parquet.compact_months(spark, f"{out}/sales_team_partitioned") == ["sales_month=2023-03"]
+    assert not shuffle_files(until=there) - there
+    assert parquet.all_runs(spark, f"{out}/sales_team_partitioned").count() == 3
+
+
 def test_batch_run_end_to_end(spark, tmp):
     land = os.path.join(tmp, "in")
     _write(f"{land}/d1.csv", [HDR, "1,121,sugar,2023-03-03,1,50,2,100",

@@ -30,7 +30,7 @@ from tillroll.operators import enrich, intake, ledger, marts
 from tillroll.operators.contract import route_files
 from tillroll.sinks import commits, parquet, quarantine as qmod
 from tillroll.sinks.jdbc import write_jdbc
-from tillroll.session import fresh_dir
+from tillroll.session import fresh_dir, shuffles_go
 from tillroll.sources.files import (
     file_headers,
     file_headers_first_bytes,
@@ -38,6 +38,7 @@ from tillroll.sources.files import (
     literal_paths,
     reachable,
 )
+from tillroll.sources import fs
 from tillroll.sources.fs import glob_names
 from tillroll.sources.sales_csv import SalesRead, folder_of, read_sales, reject_rows
 
@@ -176,7 +177,16 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
 
     After the commit come the ledger's 'I' events (a log; intake does not
     depend on it) and, with ``jdbc_url``, ``publish``, which can be repeated.
+
+    What is staged goes as soon as it has been read for the last time, and each
+    query's shuffle files when it ends, so that a run holds its outputs and
+    what its running queries need.
     """
+    with shuffles_go(spark):
+        return _run(spark, cfg)
+
+
+def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     out = cfg.out_root.rstrip("/")
     clock = _Clock()
     state = commits.load(spark, out)
@@ -221,6 +231,7 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
         joined = enrich.enrich_sales(fact, cfg.customer, cfg.store, cfg.sales_team, carry=(SOURCE_FILE_COLUMN,))
         joined.write.mode("overwrite").parquet(f"{out}/fact/{mine}")
         enriched = spark.read.schema(joined.schema).parquet(f"{out}/fact/{mine}")
+        fs.delete(spark, f"{staging}/parsed")
         clock.lap("join_stage")
         for f in pending:
             f.result()
@@ -297,6 +308,7 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
             paths = [f"{outputs[output]}/{mine}/{m}" for m in there]
             return spark.read.schema(df.schema).parquet(*paths) if paths else spark.createDataFrame([], df.schema)
         sums = by_month(marts.merge_deltas(marts.by_range(rows, keys[0], month, ranges), keys), name)
+        fs.delete(spark, f"{staging}/{name}")
         by_month(to_total(marts.by_range(sums, keys[0], month, ranges)), total)
 
     writes = [
@@ -325,6 +337,7 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     # together so the scheduler can fill the cluster (Spark runs jobs from
     # several driver threads concurrently). Any failure is re-raised.
     _run_all(writes, cfg.parallel_writes)
+    fs.delete(spark, staging)
     clock.lap("marts_totals")
     tables = [*state.done, f"done/{mine}"]
     intake.outcome(routed, done, cfg.run_id, seq).write.mode("overwrite").parquet(f"{out}/{tables[-1]}")
